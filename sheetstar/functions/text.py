@@ -8,6 +8,12 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Every character counted as white space.
+_WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 _DIGITS = r"[0-9]+(_[0-9]+)*"
 _FLOAT = rf"^[+-]?({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS})([eE][+-]?{_DIGITS})?$"
 _INTEGER = rf"^[+-]?{_DIGITS}$"
@@ -17,7 +23,7 @@ _NAN = r"(?i)^[+-]?nan$"
 
 def strip(text: Column) -> Column:
     """Remove leading and trailing white space, no-break spaces and tabs included."""
-    return F.regexp_replace(text, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
+    return F.btrim(text, F.lit(_WHITE_SPACE))
 
 
 def parse_float(text: Column) -> Column:
@@ -75,16 +81,14 @@ def float_text(number: Column) -> Column:
     )
 
 
-def round_number(number: Column, decimals: int, exact: bool = False) -> Column:
-    """Round to ``decimals`` places.
+def round_number(number: Column, decimals: int) -> Column:
+    """Round the written decimal half up."""
+    return F.when(F.isnan(number) | F.abs(number).isin(float("inf")), number).otherwise(F.round(number, decimals))
 
-    The built-in rounds the written decimal half up. ``exact`` rounds the stored binary value
-    instead, which differs only on numbers written with a 5 right after the last kept place.
-    """
-    if not exact:
-        return F.when(F.isnan(number) | F.abs(number).isin(float("inf")), number).otherwise(
-            F.round(number, decimals)
-        )
+
+def round_exactly(number: Column, decimals: int) -> Column:
+    """Round the stored binary value; differs from :func:`round_number` only on numbers written
+    with a 5 right after the last kept place."""
 
     @F.pandas_udf("double")
     def rounded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -23,11 +23,11 @@ def fingerprints(rows: DataFrame, stream_bytes: int = STREAM_BYTES) -> DataFrame
     (spilling) sort and fed to the hash batch by batch: memory stays flat at any size.
     """
     texts = rows.select(
-        "file_id", "row_idx", F.array_join(F.transform("cells", lambda c: c["text"]), "").alias("row_text")
+        "file_id", "row_idx", F.array_join(F.col("cells")["text"], "").alias("row_text")
     ).filter(F.col("row_text").isNotNull())
     sized = texts.withColumn("bytes", F.sum(F.octet_length("row_text")).over(W.partitionBy("file_id")))
-    in_order = F.array_sort(F.collect_list(F.struct("row_idx", "row_text")))
-    joined = F.array_join(F.transform(in_order, lambda r: r["row_text"]), "")
+    in_order = F.sort_array(F.collect_list(F.struct("row_idx", "row_text")))
+    joined = F.array_join(in_order["row_text"], "")
     small = (
         sized.filter(F.col("bytes") <= stream_bytes)
         .groupBy("file_id")

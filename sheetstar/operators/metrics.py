@@ -1,4 +1,4 @@
-"""Year-keyed metric series."""
+"""Year-keyed metric series, computed within each record: no joins and no shuffles."""
 
 from __future__ import annotations
 
@@ -6,91 +6,125 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sheetstar import fixed
-from sheetstar.functions.text import round_number
+from sheetstar.functions.text import parse_float, round_exactly, round_number
 from sheetstar.operators.sheets import number
 
+_DOCUMENT_METRICS = "map<string,map<string,struct<kind:string,text:string,num:double>>>"
 
-def years(year_row: Column) -> Column:
+
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, evaluating ``value`` once however often ``body`` mentions it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def years(year_values: Column) -> Column:
     """Year headers as text; null when the header row is missing or empty."""
-    texts = F.transform(year_row["values"], lambda v: v["text"])
-    return F.when(F.size(texts) > 0, texts)
+    return F.when(F.size(year_values) > 0, year_values["text"])
 
 
-def metric_points(records: DataFrame, align: str = "packed", exact_rounding: bool = False) -> DataFrame:
-    """``file_id, metric, pos, year, kind, num, text``, one row per metric and year.
+def _point(pos: Column, year: Column, value: Column) -> Column:
+    """Typed value: a sentinel kept, a number rounded, anything else kept raw."""
+    sentinel = (value["kind"] == "str") & value["text"].isin(fixed.SENTINELS)
+    return _let(
+        number(value),
+        lambda parsed: F.struct(
+            pos.alias("pos"),
+            year.alias("year"),
+            F.when(sentinel, "sentinel").when(parsed.isNotNull(), "num").otherwise("raw").alias("kind"),
+            F.when(~sentinel, round_number(parsed, fixed.METRIC_DECIMALS)).alias("num"),
+            value["text"].alias("text"),
+        ),
+    )
 
-    Year i is paired with value i, cut to the shorter of the two (``align="packed"``), or with
-    the value standing in the same sheet column (``align="column"``). A repeated year keeps
-    its last value at the position of its first. ``kind`` is sentinel, num or raw.
 
-    Narrow up to the aggregation, whose keys start with the file a record is already grouped
-    by.
+def _last_per_year(pairs: Column) -> Column:
+    """Points of pairs (pos, year, value); a repeated year keeps its last value at its first place."""
+    return _let(
+        pairs["year"],
+        lambda all_years: F.transform(
+            F.array_distinct(all_years),
+            lambda year: _point(
+                F.get(pairs, (F.array_position(all_years, year) - 1).cast("int"))["pos"],
+                year,
+                F.get(pairs, (F.size(pairs) - F.array_position(F.reverse(all_years), year)).cast("int"))["value"],
+            ),
+        ),
+    )
+
+
+def with_series(records: DataFrame, align: str = "packed") -> DataFrame:
+    """Add ``series``: one entry (metric, points) per metric with values, null without year headers.
+
+    Year i is paired with value i, cut to the shorter of the two (``align="packed"``), or with
+    the value standing in the same sheet column (``align="column"``). A point is ``pos, year,
+    kind, num, text`` with kind sentinel, num or raw.
     """
     if align not in ("packed", "column"):
         raise ValueError(f"align must be 'packed' or 'column', not {align!r}")
-    header = records.select(
-        "file_id",
-        years(F.col("year_row")).alias("years"),
-        F.col("year_row.columns").alias("year_columns"),
-        F.explode("metric_rows").alias("m"),
-    ).filter(F.col("years").isNotNull() & (F.size("m.values") > 0))
-    if align == "packed":
-        pairs = F.slice(
-            F.arrays_zip(F.col("years").alias("year"), F.col("m.values").alias("value")),
-            F.lit(1),
-            F.least(F.size("years"), F.size("m.values")),
+    header = F.col("year_values")
+
+    def packed(values: Column) -> Column:
+        paired = F.slice(header, F.lit(1), F.least(F.size(header), F.size(values)))
+        return F.transform(
+            paired,
+            lambda y, i: F.struct(i.alias("pos"), y["text"].alias("year"), F.get(values, i).alias("value")),
         )
-    else:
-        by_column = F.map_from_arrays("m.columns", "m.values")
-        pairs = F.filter(
-            F.transform(
-                F.arrays_zip(F.col("years").alias("year"), F.col("year_columns").alias("column")),
-                lambda y: F.struct(y["year"].alias("year"), by_column[y["column"]].alias("value")),
+
+    def by_column(values: Column) -> Column:
+        lookup = F.map_from_arrays(values["col_idx"], values)
+        every = F.transform(
+            header,
+            lambda y, i: F.struct(
+                i.alias("pos"), y["text"].alias("year"), F.element_at(lookup, y["col_idx"]).alias("value")
             ),
-            lambda p: p["value"].isNotNull(),
         )
-    exploded = header.select(
-        "file_id", F.col("m.metric").alias("metric"), F.posexplode(pairs).alias("pos", "pair")
-    )
-    one_per_year = exploded.groupBy("file_id", "metric", F.col("pair.year").alias("year")).agg(
-        F.min("pos").alias("pos"), F.max_by("pair.value", "pos").alias("value")
-    )
-    value = F.col("value")
-    is_sentinel = (value["kind"] == "str") & value["text"].isin(fixed.SENTINELS)
-    return one_per_year.withColumn("parsed", number(value)).select(
-        "file_id",
-        "metric",
-        "pos",
-        "year",
-        F.when(is_sentinel, "sentinel").when(F.col("parsed").isNotNull(), "num").otherwise("raw").alias("kind"),
-        F.when(~is_sentinel, round_number(F.col("parsed"), fixed.METRIC_DECIMALS, exact_rounding)).alias("num"),
-        value["text"].alias("text"),
-    )
+        return F.filter(every, lambda p: p["value"].isNotNull())
 
+    pair = packed if align == "packed" else by_column
+    series = F.transform(
+        F.filter("metric_rows", lambda m: F.size(m["values"]) > 0),
+        lambda m: F.struct(m["metric"].alias("metric"), _let(pair(m["values"]), _last_per_year).alias("points")),
+    )
+    return records.withColumn("series", F.when(F.size(header) > 0, series))
 
-def metrics_documents(records: DataFrame, points: DataFrame) -> DataFrame:
-    """``file_id, credit_metrics``: years, metric -> year -> value, meaning of the sentinels.
 
-    Null for a sheet without year headers. Bounded per file: six metrics by the columns of a
-    sheet.
-    """
-    value = F.struct("kind", "text", "num")
-    in_order = F.array_sort(F.collect_list(F.struct("pos", "year", value.alias("value"))))
-    series = points.groupBy("file_id", "metric").agg(
-        F.map_from_entries(
-            F.transform(in_order, lambda p: F.struct(p["year"].alias("year"), p["value"].alias("value")))
-        ).alias("series")
+def metric_points(records: DataFrame, exact_rounding: bool = False) -> DataFrame:
+    """Long form of ``series``: ``file_id, metric, pos, year, kind, num, text``."""
+    # The outer form: the plain one infers a filter on the size of the array, below which the
+    # whole series would be worked out a second time.
+    points = (
+        records.select("file_id", F.inline_outer("series"))
+        .select("file_id", "metric", F.inline_outer("points"))
+        .filter(F.col("pos").isNotNull())
     )
-    metrics = series.groupBy("file_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("metric", "series"))).alias("metrics")
+    if exact_rounding:
+        again = round_exactly(F.coalesce(parse_float(F.col("text")), F.col("num")), fixed.METRIC_DECIMALS)
+        points = points.withColumn("num", F.when(F.col("kind") == "num", again))
+    return points
+
+
+def metrics_document() -> Column:
+    """``series`` and the year headers as one document: years, metric -> year -> value, meaning
+    of the sentinels. Null without year headers."""
+    metrics = F.map_from_entries(
+        F.transform(
+            "series",
+            lambda s: F.struct(
+                s["metric"].alias("metric"),
+                F.map_from_arrays(
+                    s["points"]["year"],
+                    F.transform(s["points"], lambda p: F.struct(p["kind"].alias("kind"), p["text"].alias("text"), p["num"].alias("num"))),
+                ).alias("values"),
+            ),
+        )
     )
-    headers = records.select("file_id", years(F.col("year_row")).alias("years")).filter("years is not null")
-    empty = F.create_map().cast("map<string,map<string,struct<kind:string,text:string,num:double>>>")
     sentinels = F.create_map(*[F.lit(x) for pair in fixed.SENTINEL_MEANINGS.items() for x in pair])
-    return headers.join(metrics, "file_id", "left").select(
-        "file_id",
-        F.struct("years", F.coalesce("metrics", empty).alias("metrics"), sentinels.alias("sentinels")).alias(
-            "credit_metrics"
+    return F.when(
+        F.col("series").isNotNull(),
+        F.struct(
+            years(F.col("year_values")).alias("years"),
+            metrics.cast(_DOCUMENT_METRICS).alias("metrics"),
+            sentinels.alias("sentinels"),
         ),
     )
 

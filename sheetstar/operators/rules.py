@@ -16,7 +16,6 @@ from sheetstar import fixed
 from sheetstar.functions.text import float_text
 
 ERROR, WARNING = "error", "warning"
-FINDING_COLUMNS = ["file_id", "seq", "rule", "field", "message", "severity"]
 
 
 def finding(broken: Column, rule: str, field: str | Column, message: str | Column, severity: str) -> Column:
@@ -198,89 +197,87 @@ AFTER_METRICS: list[Callable[[], list[Column]]] = [
 ]
 # Findings on metric values sit between the two groups; far apart so that any number of years
 # fits.
-METRIC_SEQ, AFTER_SEQ = 1_000, 1_000_000
+METRIC_SEQ, METRIC_STEP, AFTER_SEQ = 1_000, 20_000, 1_000_000
 
 
 def _numbered(rules: Iterable[Callable[[], list[Column]]], start: int) -> list[Column]:
     broken = [column for rule in rules for column in rule()]
     return [
-        F.when(column.isNotNull(), F.struct(F.lit(start + i).alias("seq"), column["rule"].alias("rule"),
-               column["field"].alias("field"), column["message"].alias("message"),
-               column["severity"].alias("severity")))
+        F.when(column.isNotNull(), F.struct(F.lit(start + i).alias("seq"), column.alias("f")))
         for i, column in enumerate(broken)
     ]
 
 
-def record_findings(records: DataFrame, extra_rules: Iterable[Callable[[], list[Column]]] = ()) -> DataFrame:
-    """Findings on the record itself, one pass and no shuffle.
+def _metric_findings() -> Column:
+    """A warning for each metric value that is neither a number nor a sentinel."""
 
-    The frame may say ``has_years`` and ``has_metrics`` itself; records from
-    :func:`sheetstar.operators.sheets.records` have them derived from the year row, under which
-    metrics exist only where years do.
-    """
-    if "has_years" not in records.columns:
-        has_years = F.coalesce(F.size("year_row.values") > 0, F.lit(False))
-        with_values = F.exists("metric_rows", lambda m: F.coalesce(F.size(m["values"]) > 0, F.lit(False)))
-        records = records.withColumns({"has_years": has_years, "has_metrics": has_years & with_values})
-    rules = _numbered(BEFORE_METRICS, 0) + _numbered([*AFTER_METRICS, *extra_rules], AFTER_SEQ)
-    return records.select(
-        "file_id", F.explode(F.filter(F.array(*rules), lambda f: f.isNotNull())).alias("f")
-    ).select("file_id", "f.*")
+    def of_metric(metric: Column, place: Column) -> Column:
+        def warning(point: Column) -> Column:
+            message = F.concat(
+                F.lit("Non-numeric value '"), point["text"], F.lit("' for year "), point["year"],
+                F.lit(" in '"), metric["metric"], F.lit("'"),
+            )
+            broken = finding(F.lit(True), "metric_value", metric["metric"], message, WARNING)
+            return F.struct((F.lit(METRIC_SEQ) + place * METRIC_STEP + point["pos"]).alias("seq"), broken.alias("f"))
 
+        return F.transform(F.filter(metric["points"], lambda p: p["kind"] == "raw"), warning)
 
-def metric_findings(points: DataFrame) -> DataFrame:
-    """A warning for each metric value that is neither a number nor a sentinel."""
-    message = F.concat(
-        F.lit("Non-numeric value '"), F.col("text"), F.lit("' for year "), F.col("year"),
-        F.lit(" in '"), F.col("metric"), F.lit("'"),
-    )
-    metric_order = F.create_map(*[x for i, m in enumerate(fixed.METRIC_LABELS) for x in (F.lit(m), F.lit(i))])
-    return points.filter(F.col("kind") == "raw").select(
-        "file_id",
-        (F.lit(METRIC_SEQ) + F.coalesce(metric_order[F.col("metric")], F.lit(len(fixed.METRIC_LABELS))) * 20_000
-         + F.col("pos")).alias("seq"),
-        F.lit("metric_value").alias("rule"),
-        F.col("metric").alias("field"),
-        message.alias("message"),
-        F.lit(WARNING).alias("severity"),
-    )
+    return F.flatten(F.transform("series", of_metric))
 
 
-def findings(records: DataFrame, points: DataFrame, extra_rules: Iterable[Callable[[], list[Column]]] = ()) -> DataFrame:
-    """All findings: ``file_id, seq, rule, field, message, severity``."""
-    return record_findings(records, extra_rules).unionByName(metric_findings(points)).select(*FINDING_COLUMNS)
+def with_findings(records: DataFrame, extra_rules: Iterable[Callable[[], list[Column]]] = ()) -> DataFrame:
+    """Add ``findings``, an array of ``seq`` and finding in rule order: one pass over the records
+    (with their ``series``), no shuffle.
+
+    The frame may say ``has_years`` and ``has_metrics`` itself; otherwise they come from the
+    series, under which metrics exist only where years do.
+    """
+    if "has_years" not in records.columns:
+        has_metrics = F.coalesce(F.size("series") > 0, F.lit(False))
+        records = records.withColumns({"has_years": F.col("series").isNotNull(), "has_metrics": has_metrics})
+    before = F.array_compact(F.array(*_numbered(BEFORE_METRICS, 0)))
+    after = F.array_compact(F.array(*_numbered([*AFTER_METRICS, *extra_rules], AFTER_SEQ)))
+    on_metrics = F.coalesce(_metric_findings(), F.slice(before, 1, 0))
+    return records.withColumn("findings", F.concat(before, on_metrics, after)).drop("has_years", "has_metrics")
+
+
+def findings(checked: DataFrame) -> DataFrame:
+    """Long form: ``file_id, seq, rule, field, message, severity``."""
+    # The outer form: the plain one infers a filter on the array and so evaluates all rules twice.
+    each = checked.select("file_id", F.inline_outer("findings"))
+    return each.filter(F.col("seq").isNotNull()).select("file_id", "seq", "f.*")
 
 
-def summaries(files: DataFrame, found: DataFrame) -> DataFrame:
-    """One report per file: counts, validity, scores, and the findings split by severity.
+def with_report(checked: DataFrame) -> DataFrame:
+    """Add the report to records with ``findings``: validity, counts, scores, and the findings
+    split by severity.
 
     ``present_fields`` counts down from a fixed number of fields by errors, for both scores.
     """
-    # Bounded per file: the rules, plus six metrics by the columns of a sheet.
-    per_file = found.groupBy("file_id").agg(
-        F.array_sort(F.collect_list(F.struct("seq", "field", "message", "severity"))).alias("all")
-    )
 
     def of(severity: str) -> Column:
-        chosen = F.filter(F.coalesce("all", F.array().cast("array<struct<seq:int,field:string,message:string,severity:string>>")),
-                          lambda f: f["severity"] == severity)
+        chosen = F.filter(F.col("findings")["f"], lambda f: f["severity"] == severity)
         return F.transform(
             chosen,
             lambda f: F.struct(f["field"].alias("field"), f["message"].alias("message"), f["severity"].alias("severity")),
         )
 
-    split = files.join(per_file, "file_id", "left").withColumns({"errors": of(ERROR), "warnings": of(WARNING)})
+    split = checked.withColumns({"errors": of(ERROR), "warnings": of(WARNING)})
     present = F.lit(fixed.SCORED_FIELDS) - F.size("errors")
     score = F.round(present / F.lit(fixed.SCORED_FIELDS), 3).cast("decimal(4,3)")
-    return split.select(
-        *files.columns,
-        (F.size("errors") == 0).alias("is_valid"),
-        F.size("errors").alias("error_count"),
-        F.size("warnings").alias("warning_count"),
-        F.lit(fixed.SCORED_FIELDS).alias("total_fields"),
-        present.alias("present_fields"),
-        score.alias("completeness_score"),
-        score.alias("validity_score"),
-        "errors",
-        "warnings",
+    return split.withColumns(
+        {
+            "is_valid": F.size("errors") == 0,
+            "error_count": F.size("errors"),
+            "warning_count": F.size("warnings"),
+            "total_fields": F.lit(fixed.SCORED_FIELDS),
+            "present_fields": present,
+            "completeness_score": score,
+            "validity_score": score,
+        }
     )
+
+
+def check(records: DataFrame, extra_rules: Iterable[Callable[[], list[Column]]] = ()) -> DataFrame:
+    """Records with ``findings`` and the report."""
+    return with_report(with_findings(records, extra_rules))

@@ -59,7 +59,7 @@ def _in_chunks(df, hot, key, order, number, following, hot_rows) -> DataFrame:
     # every evaluation draws the same one. It only places the limits; all rows are numbered.
     every = F.greatest(F.lit(1), F.floor(F.col("_n") / (chunks * SAMPLES_PER_CHUNK)))
     sampled = rows.filter(F.pmod(F.xxhash64(key, *order), every) == 0)
-    positions = sampled.groupBy(key).agg(F.array_sort(F.collect_list(position)).alias("_sorted"))
+    positions = sampled.groupBy(key).agg(F.sort_array(F.collect_list(position)).alias("_sorted"))
     limits = positions.select(
         key, F.filter("_sorted", lambda p, i: (i + 1) % SAMPLES_PER_CHUNK == 0).alias("_limits")
     ).withColumn("_coarse", F.filter("_limits", lambda p, i: i % SEARCH_STEP == 0))

@@ -33,44 +33,39 @@ def rows_from_cells(cells: DataFrame) -> DataFrame:
     return (
         cells.filter(F.col("text").isNotNull())
         .groupBy("file_id", "row_idx")
-        .agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+        .agg(F.sort_array(F.collect_list(cell)).alias("cells"))
     )
 
 
 def label_rows(rows: DataFrame) -> DataFrame:
     """Rows with a label: ``file_id, row_idx, label, values``.
 
-    Blank cells are not in ``cells``, so later values move left over a gap. ``columns`` keeps
-    where each value stood, for the column-aligned metrics option.
+    Blank cells are not in ``cells``, so later values move left over a gap; each value keeps
+    the column it stood in. Cells are in column order, so the label is one of the first two.
     """
-    label_cell = F.get(F.filter("cells", lambda c: c["col_idx"] == fixed.LABEL_COLUMN), F.lit(0))
-    value_cells = F.filter("cells", lambda c: c["col_idx"] > fixed.LABEL_COLUMN)
-    return (
-        rows.withColumn("label", strip(label_cell["text"]))
-        .filter(F.col("label").isNotNull())
-        .select(
-            "file_id",
-            "row_idx",
-            "label",
-            F.transform(
-                value_cells,
-                lambda c: F.struct(c["kind"].alias("kind"), c["text"].alias("text"), c["num"].alias("num")),
-            ).alias("values"),
-            F.transform(value_cells, lambda c: c["col_idx"]).alias("columns"),
-        )
+    cell, size = F.col("cells"), F.size("cells")
+    first, second = F.get(cell, F.lit(0)), F.get(cell, F.lit(1))
+    label = F.when(first["col_idx"] == fixed.LABEL_COLUMN, first["text"]).when(
+        second["col_idx"] == fixed.LABEL_COLUMN, second["text"]
     )
+    before_values = F.when(first["col_idx"] == fixed.LABEL_COLUMN, 1).otherwise(2)
+    return rows.select(
+        "file_id",
+        "row_idx",
+        strip(label).alias("label"),
+        F.slice(cell, before_values + 1, F.greatest(size - before_values, F.lit(0))).alias("values"),
+    ).filter(F.col("label").isNotNull())
 
 
 def sheet_rows(rows: DataFrame, labels: list[str] | None = None) -> DataFrame:
-    """``file_id, label, values, columns`` with the last row of a repeated label winning.
+    """``file_id, label, values`` with the last row of a repeated label winning.
 
     ``labels`` keeps only those labels, before the shuffle.
     """
     labelled = label_rows(rows)
     if labels is not None:
         labelled = labelled.filter(F.col("label").isin(labels))
-    last = F.max_by(F.struct("values", "columns"), "row_idx").alias("last")
-    return labelled.groupBy("file_id", "label").agg(last).select("file_id", "label", "last.values", "last.columns")
+    return labelled.groupBy("file_id", "label").agg(F.max_by("values", "row_idx").alias("values"))
 
 
 def single(values: Column) -> Column:
@@ -95,13 +90,13 @@ def records(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
     known = sheet_rows(rows, KNOWN_LABELS)
     # At most len(KNOWN_LABELS) entries per file.
     by_label = known.groupBy("file_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("label", F.struct("values", "columns")))).alias("sheet")
+        F.map_from_entries(F.collect_list(F.struct("label", "values"))).alias("sheet")
     )
     if files is not None:
         by_label = files.select("file_id").join(by_label, "file_id", "left")
 
     def values(label: str) -> Column:
-        return F.col("sheet")[label]["values"]
+        return F.col("sheet")[label]
 
     first_weight = F.get(values(fixed.WEIGHT_LABEL), F.lit(0))
     fields = [single(values(label)).alias(name) for name, label in fixed.SCALAR_LABELS.items()]
@@ -118,17 +113,10 @@ def records(rows: DataFrame, files: DataFrame | None = None) -> DataFrame:
         first_weight["text"].alias("industry_weight_text"),
         F.create_map(*sub_scores).alias("risk_sub_scores"),
         values(fixed.LIQUIDITY_LABEL).alias("liquidity_values"),
-        F.struct(
-            values(fixed.YEARS_LABEL).alias("values"),
-            F.col("sheet")[fixed.YEARS_LABEL]["columns"].alias("columns"),
-        ).alias("year_row"),
+        values(fixed.YEARS_LABEL).alias("year_values"),
         F.array(
             *[
-                F.struct(
-                    F.lit(label).alias("metric"),
-                    values(label).alias("values"),
-                    F.col("sheet")[label]["columns"].alias("columns"),
-                )
+                F.struct(F.lit(label).alias("metric"), values(label).alias("values"))
                 for label in fixed.METRIC_LABELS
             ]
         ).alias("metric_rows"),
@@ -152,7 +140,7 @@ def repaired_sub_scores(sub_scores: Column, liquidity_values: Column) -> Column:
 
 def raw_values(rows: DataFrame) -> DataFrame:
     """Full lineage in long form: ``file_id, label, values`` for every label."""
-    return sheet_rows(rows).select("file_id", "label", "values")
+    return sheet_rows(rows)
 
 
 def raw_document(raw: DataFrame, key: str = "file_id") -> DataFrame:

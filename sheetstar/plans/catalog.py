@@ -154,7 +154,9 @@ def snapshot_star(spark, sf_dir):
         {"country_id": F.col("country_name"), "currency_id": F.upper("currency_code")}
     )
     named = views.companies(spark, sf_dir)
-    reported = _summaries(spark, sf_dir).join(
+    reported = _checked(spark, sf_dir).select(
+        "file_id", "completeness_score", "validity_score", "error_count", "warning_count"
+    ).join(
         named.select(F.col("company_id").alias("file_id"), F.col("current_snapshot_id").alias("upload_id")), "file_id"
     )
     found = snapshots.star(
@@ -197,7 +199,7 @@ def upload_stats(spark, sf_dir):
 
 @query
 def file_fingerprint(spark, sf_dir):
-    return fingerprints.fingerprints(sheets.rows_from_cells(views.sheet_cells(spark, sf_dir)))
+    return fingerprints.fingerprints(_rows(spark, sf_dir))
 
 
 @query
@@ -255,18 +257,20 @@ def file_presence(spark, sf_dir):
 
 
 def _rows(spark, sf_dir) -> DataFrame:
-    return sheets.rows_from_cells(views.sheet_cells(spark, sf_dir))
+    return views.sheet_rows(spark, sf_dir)
 
 
 def _records(spark, sf_dir) -> DataFrame:
-    return sheets.records(_rows(spark, sf_dir))
+    return metrics.with_series(sheets.records(_rows(spark, sf_dir)))
 
 
 @query
 def sheet_rows(spark, sf_dir):
-    return sheets.sheet_rows(_rows(spark, sf_dir)).select(
+    """From the cell table; the other sheet queries start from scanned rows."""
+    rows = sheets.rows_from_cells(views.sheet_cells(spark, sf_dir))
+    return sheets.sheet_rows(rows).select(
         "file_id", "label", F.size("values").alias("n_values"),
-        F.array_join(F.transform("values", lambda v: v["text"]), "|").alias("texts"),
+        F.array_join(F.col("values")["text"], "|").alias("texts"),
     )
 
 
@@ -294,18 +298,19 @@ def metric_series(spark, sf_dir):
 
 @query
 def metric_series_by_column(spark, sf_dir):
-    return metrics.metric_points(_records(spark, sf_dir), align="column")
+    records = sheets.records(_rows(spark, sf_dir))
+    return metrics.metric_points(metrics.with_series(records, align="column"))
 
 
 @query
 def metrics_document(spark, sf_dir):
-    records = _records(spark, sf_dir)
-    documents = metrics.metrics_documents(records, metrics.metric_points(records))
+    documents = _records(spark, sf_dir).withColumn("credit_metrics", metrics.metrics_document())
+    documents = documents.filter(F.col("credit_metrics").isNotNull())
     values = F.flatten(F.transform(F.map_values("credit_metrics.metrics"), lambda m: F.map_values(m)))
     return documents.select(
         "file_id",
         F.array_join("credit_metrics.years", "|").alias("years"),
-        F.array_join(F.array_sort(F.map_keys("credit_metrics.metrics")), "|").alias("metrics"),
+        F.array_join(F.sort_array(F.map_keys("credit_metrics.metrics")), "|").alias("metrics"),
         F.size(values).alias("n_values"),
         F.size(F.filter(values, lambda v: v["kind"] == "sentinel")).alias("n_sentinels"),
         F.element_at("credit_metrics.sentinels", "Locked").alias("locked_means"),
@@ -330,33 +335,29 @@ def rows_extracted(spark, sf_dir):
 # -- validation ------------------------------------------------------------------------------
 
 
-def _summaries(spark, sf_dir) -> DataFrame:
-    records = _records(spark, sf_dir)
-    found = rules.findings(records, metrics.metric_points(records))
-    return rules.summaries(records.select("file_id"), found)
+def _checked(spark, sf_dir) -> DataFrame:
+    return rules.check(_records(spark, sf_dir))
 
 
 @query
 def findings(spark, sf_dir):
-    records = _records(spark, sf_dir)
-    found = rules.findings(records, metrics.metric_points(records))
-    return found.select("file_id", "rule", "field", "message", "severity")
+    return rules.findings(_checked(spark, sf_dir)).drop("seq")
 
 
 @query
 def finding_summary(spark, sf_dir):
     def messages(of):
-        return F.array_join(F.transform(of, lambda f: f["message"]), "\n")
+        return F.array_join(of["message"], "\n")
 
-    return _summaries(spark, sf_dir).select(
+    return _checked(spark, sf_dir).select(
         "file_id", "is_valid", "error_count", "warning_count",
-        messages("errors").alias("errors"), messages("warnings").alias("warnings"),
+        messages(F.col("errors")).alias("errors"), messages(F.col("warnings")).alias("warnings"),
     )
 
 
 @query
 def quality_scores(spark, sf_dir):
-    return _summaries(spark, sf_dir).select(
+    return _checked(spark, sf_dir).select(
         "file_id", "total_fields", "present_fields",
         F.col("completeness_score").cast("double").alias("completeness_score"),
         F.col("validity_score").cast("double").alias("validity_score"),
@@ -374,9 +375,8 @@ def load_failures(spark, sf_dir):
 def loaded_facts(spark, sf_dir):
     """Snapshot rows of the sheets that load."""
     records = _records(spark, sf_dir)
-    documents = metrics.metrics_documents(records, metrics.metric_points(records))
     loads = records.filter(loading.load_failure().isNull()).withColumn("upload_id", F.col("file_id").cast("string"))
-    return loading.facts(loads, documents, BATCH_AT).select(
+    return loading.facts(loads, BATCH_AT).select(
         "upload_id", "snapshot_id", "company_id", "country_id", "currency_id", "entity_name", "currency_code",
         F.col("industry_weight").cast("double").alias("industry_weight"),
         F.col("risk_sub_scores")["Liquidity"].alias("liquidity"),
@@ -433,7 +433,7 @@ def dim_currency(spark, sf_dir):
 
 @query
 def dim_year(spark, sf_dir):
-    records = _records(spark, sf_dir).withColumn("years", metrics.years(F.col("year_row")))
+    records = _records(spark, sf_dir).withColumn("years", metrics.years(F.col("year_values")))
     return dims.year_dates(records, "years", ["file_id"])
 
 

@@ -1,7 +1,7 @@
 """What one batch of sheets adds to each table, as plain DataFrames.
 
-``loads`` frames have one row per file that loads: ``file_id, upload_id, entity_name`` plus the
-record columns. All times are the batch time, handed in as a literal.
+``loads`` frames have one row per file that loads: ``file_id, upload_id`` and the columns of a
+checked record. All times are the batch time, handed in as a literal.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sheetstar import fixed
 from sheetstar.functions.ids import stable_id
 from sheetstar.operators import dims
+from sheetstar.operators.metrics import metrics_document
 from sheetstar.operators.sheets import label_rows, repaired_sub_scores
 
 
@@ -90,9 +91,9 @@ def load_log(loads: DataFrame, batch_at: datetime) -> DataFrame:
     )
 
 
-def facts(loads: DataFrame, documents: DataFrame, batch_at: datetime) -> DataFrame:
+def facts(loads: DataFrame, batch_at: datetime) -> DataFrame:
     """Snapshot rows. Dimension keys are derived from the natural keys, so no lookup joins."""
-    return loads.join(documents, "file_id", "left").select(
+    return loads.select(
         stable_id("snapshot", F.col("upload_id")).alias("snapshot_id"),
         stable_id("version", F.col("upload_id")).alias("version_id"),
         dims.company_id(F.col("rated_entity")).alias("company_id"),
@@ -113,27 +114,23 @@ def facts(loads: DataFrame, documents: DataFrame, batch_at: datetime) -> DataFra
         "business_risk_profile",
         "financial_risk_profile",
         repaired_sub_scores(F.col("risk_sub_scores"), F.col("liquidity_values")).alias("risk_sub_scores"),
-        "credit_metrics",
+        metrics_document().alias("credit_metrics"),
         F.lit(batch_at).alias("snapshot_at"),
     )
 
 
-def quality_reports(loads: DataFrame, summaries: DataFrame, batch_at: datetime) -> DataFrame:
-    return (
-        loads.select("file_id", "upload_id")
-        .join(summaries, "file_id")
-        .select(
-            stable_id("report", F.col("upload_id")).alias("report_id"),
-            "upload_id",
-            stable_id("snapshot", F.col("upload_id")).alias("snapshot_id"),
-            "completeness_score",
-            "validity_score",
-            "total_fields",
-            "present_fields",
-            "error_count",
-            "warning_count",
-            "errors",
-            "warnings",
-            F.lit(batch_at).alias("created_at"),
-        )
+def quality_reports(loads: DataFrame, batch_at: datetime) -> DataFrame:
+    return loads.select(
+        stable_id("report", F.col("upload_id")).alias("report_id"),
+        "upload_id",
+        stable_id("snapshot", F.col("upload_id")).alias("snapshot_id"),
+        "completeness_score",
+        "validity_score",
+        "total_fields",
+        "present_fields",
+        "error_count",
+        "warning_count",
+        "errors",
+        "warnings",
+        F.lit(batch_at).alias("created_at"),
     )

@@ -88,7 +88,7 @@ def snapshot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshots_with_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots with their metrics document."""
     by_snapshot = snapshot_points(spark, sf_dir).groupBy("snapshot_id").agg(
-        F.array_sort(F.collect_list(F.struct("year", "metric", "num"))).alias("points")
+        F.sort_array(F.collect_list(F.struct("year", "metric", "num"))).alias("points")
     )
 
     def series(points):
@@ -170,6 +170,17 @@ def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TEXT = "CAST(NULL AS DOUBLE)"
 
 
+def _sheet_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers by key, spread out before each becomes a whole sheet.
+
+    Moving the narrow rows once is a fraction of moving their cells later, and everything keyed
+    by sheet is then already in place. Keys are unique and sheets have one size, so the
+    partitions are even.
+    """
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, "customer").repartition(partitions, "c_custkey")
+
+
 def _row(row: int, label: str | None, *values: tuple[str, str, str]) -> list[tuple]:
     """Layout of one sheet row: cells as (row, column, kind, text, number) in SQL."""
     cells = [] if label is None else [(row, 1, "'str'", label, _TEXT)]
@@ -276,13 +287,37 @@ def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         ]
     )
     return (
-        table(spark, sf_dir, "customer")
+        _sheet_owners(spark, sf_dir)
         .select(F.col("c_custkey").alias("file_id"), F.explode(cells).alias("cell"))
         .select("file_id", "cell.*")
         .filter(F.col("text").isNotNull())
     )
 
 
+def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same sheets the way a workbook scan gives them: ``file_id, row_idx, cells``."""
+    by_row: dict[int, list] = {}
+    for row, column, kind, text, number in SHEET_LAYOUT:
+        cell = F.struct(
+            F.lit(column).alias("col_idx"),
+            F.expr(kind).alias("kind"),
+            F.expr(text).alias("text"),
+            F.expr(number).alias("num"),
+        )
+        by_row.setdefault(row, []).append(F.when(F.expr(text).isNotNull(), cell))
+    rows = F.array(
+        *[
+            F.struct(F.lit(row).alias("row_idx"), F.array_compact(F.array(*cells)).alias("cells"))
+            for row, cells in by_row.items()
+        ]
+    )
+    return (
+        _sheet_owners(spark, sf_dir)
+        .select(F.col("c_custkey").alias("file_id"), F.explode(rows).alias("row"))
+        .select("file_id", "row.*")
+    )
+
+
 def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as sheets of one column: each line of the text a row."""
     lines = F.posexplode(F.split("text", "\n"))

@@ -167,17 +167,13 @@ class Warehouse:
         readable = registered.join(rows.filter("row_idx = 0 and error is null").select("file_id"), "file_id")
         new_rows = rows.join(registered.select("file_id"), "file_id", "left_semi")
         records = sheets.records(new_rows, files=readable).join(registered, "file_id")
-        records = self._stage(batch_id, "records", records)
-        points = self._stage(batch_id, "points", metrics.metric_points(records, align))
-        summaries = rules.summaries(records.select("file_id"), rules.findings(records, points))
-        summaries = self._stage(batch_id, "summaries", summaries)
+        records = self._stage(batch_id, "records", rules.check(metrics.with_series(records, align)))
 
         failure = loading.load_failure()
-        judged = records.join(summaries.select("file_id", "is_valid", "error_count"), "file_id")
         if on_error == "quarantine":
             rejected = F.concat(F.lit("validation failed: errors "), F.col("error_count").cast("string"))
             failure = F.coalesce(failure, F.when(~F.col("is_valid"), rejected))
-        judged = judged.withColumn("error_message", failure)
+        judged = records.withColumn("error_message", failure)
         loads = judged.filter("error_message is null")
         failed = judged.filter("error_message is not null").select("upload_id", "error_message").unionByName(
             registered.join(rows.filter("error is not null"), "file_id").select(
@@ -189,11 +185,10 @@ class Warehouse:
         for name, key, incoming in self._dimension_rows(loads, batch_at):
             self._write(name, dims.new_members(incoming, self.stored(name), key), batch_id)
         self._write("load_log", loading.load_log(loads, batch_at), batch_id)
-        documents = metrics.metrics_documents(records, points)
-        self._write("snapshot_fact", loading.facts(loads, documents, batch_at), batch_id)
+        self._write("snapshot_fact", loading.facts(loads, batch_at), batch_id)
         lineage = sheets.raw_values(new_rows).join(loads.select("file_id", "upload_id"), "file_id")
         self._write("raw_values", lineage, batch_id)
-        self._write("data_quality_report", loading.quality_reports(loads, summaries, batch_at), batch_id)
+        self._write("data_quality_report", loading.quality_reports(loads, batch_at), batch_id)
         events = [
             pending,
             loading.mark_failed(failed, batch_at),
@@ -227,7 +222,7 @@ class Warehouse:
 
     def _dimension_rows(self, loads: DataFrame, batch_at: datetime):
         loads = loads.withColumns(
-            {"loaded_at": F.lit(batch_at), "years": metrics.years(F.col("year_row"))}
+            {"loaded_at": F.lit(batch_at), "years": metrics.years(F.col("year_values"))}
         )
         yield "dim_country", "country_id", dims.countries(loads, "country", "loaded_at")
         yield "dim_currency", "currency_id", dims.currencies(loads, "currency", "loaded_at")

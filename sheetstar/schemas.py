@@ -23,7 +23,9 @@ VALUE = T.StructType(
         T.StructField("num", T.DoubleType()),
     ]
 )
-VALUES = T.ArrayType(VALUE)
+# A cell, and a value of a sheet row with the column it stood in.
+CELL = T.StructType([T.StructField("col_idx", _I), *VALUE.fields])
+VALUES = T.ArrayType(CELL)
 FINDING = T.StructType(
     [
         T.StructField("field", _S),
@@ -47,9 +49,6 @@ SHEET_CELLS = _table(
     ("text", _S),
     ("num?", T.DoubleType()),
 )
-CELL = T.StructType(
-    [T.StructField("col_idx", _I), *VALUE.fields]
-)
 SHEET_ROWS = _table(
     ("file_id", _S),
     ("row_idx?", _I),
