@@ -22,9 +22,9 @@ def fingerprints(rows: DataFrame, stream_bytes: int = STREAM_BYTES) -> DataFrame
     the JVM. A hash is sequential by nature, so a larger file is read in order off the
     (spilling) sort and fed to the hash batch by batch: memory stays flat at any size.
     """
-    texts = rows.select(
+    texts = rows.filter(F.col("cells").isNotNull()).select(
         "file_id", "row_idx", F.array_join(F.col("cells")["text"], "").alias("row_text")
-    ).filter(F.col("row_text").isNotNull())
+    )
     sized = texts.withColumn("bytes", F.sum(F.octet_length("row_text")).over(W.partitionBy("file_id")))
     in_order = F.sort_array(F.collect_list(F.struct("row_idx", "row_text")))
     joined = F.array_join(in_order["row_text"], "")

@@ -131,7 +131,10 @@ class Warehouse:
         if found.isEmpty():
             return _result(0)
         scanned = workbooks.scan_sheet(found)
-        new = fingerprints.new_files(self._file_hashes(scanned), self._finished()).select("file_id")
+        hashes = fingerprints.fingerprints(scanned)
+        loaded = hashes.join(fingerprints.completed_hashes(self._finished()), "file_sha256", "left_semi")
+        # Off the listing, so that empty and unreadable files, which have no hash, are tried.
+        new = found.select(F.col("path").alias("file_id")).join(loaded, "file_id", "left_anti")
         some = [r.file_id for r in new.limit(NAMED_FILES + 1).collect()]
         if not some:
             return _result(0)
