@@ -141,7 +141,9 @@ def as_of(companies: DataFrame, versions: DataFrame, snapshots: DataFrame, day:
     All joins are on keys; the validity interval is a filter on versions below them.
     """
     valid_from_bound, valid_to_bound = day_end(versions, "valid_from", day), day_end(versions, "valid_to", day)
-    holding = wanted(versions, ids).filter(
+    # A list of ids filters versions below their numbering; a frame of ids does so in the join.
+    candidates = versions if isinstance(ids, DataFrame) else wanted(versions, ids)
+    holding = candidates.filter(
         (F.col("valid_from") <= valid_from_bound)
         & (F.col("valid_to").isNull() | (F.col("valid_to") > valid_to_bound))
     )

@@ -1,13 +1,14 @@
-"""Data-quality rules as columns.
+"""Data-quality rules as SQL expressions over the record.
 
-A rule is a function from the record frame's columns to finding structs that are null where the
-rule holds. Adding a rule is adding a function; nothing here needs a UDF. ``seq`` keeps findings
-in rule order: required fields, then types, then business rules.
+A rule is a function returning finding structs that are null where the rule holds. Adding a rule
+is adding a function; nothing here needs a UDF. Findings keep rule order: required fields, then
+types, then business rules.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from string import Formatter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,38 +17,51 @@ from sheetstar import fixed
 from sheetstar.functions.text import float_text
 
 ERROR, WARNING = "error", "warning"
+Rule = Callable[[], list[Column]]
 
 
-def finding(broken: Column, rule: str, field: str | Column, message: str | Column, severity: str) -> Column:
-    """Finding struct where ``broken`` is true, null elsewhere (also where it is unknown)."""
-    return F.when(
-        broken,
-        F.struct(
-            F.lit(rule).alias("rule"),
-            (F.lit(field) if isinstance(field, str) else field).alias("field"),
-            (F.lit(message) if isinstance(message, str) else message).alias("message"),
-            F.lit(severity).alias("severity"),
-        ),
+def quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _in(values: Iterable[str]) -> str:
+    return "(" + ", ".join(quoted(v) for v in values) + ")"
+
+
+def _concat(template: str) -> str:
+    """SQL of a message template; ``{column}`` stands for a text column."""
+    parts = []
+    for literal, column, _, _ in Formatter().parse(template):
+        parts += [quoted(literal)] if literal else []
+        parts += [column] if column else []
+    return f"concat({', '.join(parts)})"
+
+
+def _finding_sql(broken: str, rule: str, field_sql: str, message: str, severity: str) -> str:
+    return (
+        f"CASE WHEN {broken} THEN named_struct('rule', {quoted(rule)}, 'field', {field_sql}, "
+        f"'message', {_concat(message)}, 'severity', {quoted(severity)}) END"
     )
 
 
-def _empty(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit("")) == ""
+def finding(broken: str, rule: str, field: str, message: str, severity: str) -> Column:
+    """Finding struct where the SQL condition ``broken`` is true, null elsewhere (also where it
+    is unknown). ``message`` may mention text columns as ``{column}``."""
+    return F.expr(_finding_sql(broken, rule, quoted(field), message, severity))
 
 
-def _has_notch(text: Column) -> Column:
-    return F.lower(text).contains("notch")
+_NOTATIONS = _in(fixed.RATING_NOTATIONS)
 
 
 def required_fields() -> list[Column]:
     rules = []
     for name in fixed.REQUIRED_FIELDS:
         label = fixed.SCALAR_LABELS[name]
-        rules.append(finding(_empty(name), "required", label, f"Required field '{label}' is missing or empty", ERROR))
-    no_methodology = F.size(F.coalesce("rating_methodologies", F.array().cast("array<string>"))) == 0
+        message = f"Required field '{label}' is missing or empty"
+        rules.append(finding(f"coalesce({name}, '') = ''", "required", label, message, ERROR))
     rules.append(
         finding(
-            no_methodology,
+            "coalesce(size(rating_methodologies), 0) <= 0",
             "methodologies",
             fixed.METHODOLOGIES_LABEL,
             "At least one rating methodology must be specified",
@@ -55,196 +69,136 @@ def required_fields() -> list[Column]:
         )
     )
     for name, label in fixed.RECOMMENDED_FIELDS.items():
-        rules.append(
-            finding(F.col(name).isNull(), "recommended", label, f"Recommended field '{label}' is missing", WARNING)
-        )
+        message = f"Recommended field '{label}' is missing"
+        rules.append(finding(f"{name} IS NULL", "recommended", label, message, WARNING))
     return rules
 
 
 def currency() -> list[Column]:
-    code = F.col("currency")
-    message = F.concat(
-        F.lit("Invalid currency '"), code, F.lit(f"'. Must be one of {fixed.CURRENCIES}")
-    )
-    return [finding(~_empty("currency") & ~F.upper(code).isin(fixed.CURRENCIES), "currency", "currency", message, ERROR)]
+    broken = f"currency <> '' AND upper(currency) NOT IN {_in(fixed.CURRENCIES)}"
+    message = f"Invalid currency '{{currency}}'. Must be one of {fixed.CURRENCIES}"
+    return [finding(broken, "currency", "currency", message, ERROR)]
 
 
 def month() -> list[Column]:
-    value = F.col("business_year_end")
-    message = F.concat(
-        F.lit("Invalid month '"), value, F.lit("'. Must be a full month name e.g. 'December'")
-    )
-    broken = ~_empty("business_year_end") & ~value.isin(fixed.MONTHS)
+    broken = f"business_year_end <> '' AND business_year_end NOT IN {_in(fixed.MONTHS)}"
+    message = "Invalid month '{business_year_end}'. Must be a full month name e.g. 'December'"
     return [finding(broken, "month", "business_year_end", message, ERROR)]
 
 
 def weight_type() -> list[Column]:
-    written = F.col("industry_weight_text")
-    message = F.concat(F.lit("Industry weight must be numeric, got '"), written, F.lit("'"))
-    broken = written.isNotNull() & F.col("industry_weight").isNull()
+    broken = "industry_weight_text IS NOT NULL AND industry_weight IS NULL"
+    message = "Industry weight must be numeric, got '{industry_weight_text}'"
     return [finding(broken, "weight_type", "industry_weight", message, ERROR)]
 
 
 def profiles() -> list[Column]:
     rules = []
     for name in ("business_risk_profile", "financial_risk_profile"):
-        value = F.col(name)
-        unknown = ~value.isin(fixed.RATING_NOTATIONS)
-        quoted = F.concat(F.lit("'"), value, F.lit("'"))
-        notch = F.concat(quoted, F.lit(" is a notch adjustment — not a standard rating notation"))
-        invalid = F.concat(quoted, F.lit(" is not a valid rating notation"))
-        rules.append(finding(unknown & _has_notch(value), "profile_notch", name, notch, WARNING))
-        rules.append(finding(unknown & ~_has_notch(value), "profile", name, invalid, ERROR))
-    return rules
-
-
-def sub_scores() -> list[Column]:
-    rules = []
-    for label in fixed.SUB_SCORE_LABELS:
-        value = F.col("risk_sub_scores")[label]
-        message = F.concat(F.lit("Sub-score '"), value, F.lit("' is not standard notation"))
-        broken = ~value.isin(fixed.RATING_NOTATIONS) & ~_has_notch(value)
-        rules.append(finding(broken, "sub_score", label, message, WARNING))
+        unknown, notch = f"{name} NOT IN {_NOTATIONS}", f"contains(lower({name}), 'notch')"
+        adjusted = f"'{{{name}}}' is a notch adjustment — not a standard rating notation"
+        invalid = f"'{{{name}}}' is not a valid rating notation"
+        rules.append(finding(f"{unknown} AND {notch}", "profile_notch", name, adjusted, WARNING))
+        rules.append(finding(f"{unknown} AND NOT {notch}", "profile", name, invalid, ERROR))
     return rules
 
 
 def weight_range() -> list[Column]:
-    weight = F.col("industry_weight")
-    message = F.concat(
-        F.lit("Industry weight "), float_text(weight), F.lit(" is outside valid range [0, 1]")
-    )
-    outside = ~weight.between(fixed.WEIGHT_MIN, fixed.WEIGHT_MAX) | F.isnan(weight)
+    outside = f"(industry_weight NOT BETWEEN {fixed.WEIGHT_MIN} AND {fixed.WEIGHT_MAX} OR isnan(industry_weight))"
+    missing = "Industry weight is missing — cannot validate range"
+    message = "Industry weight {_weight} is outside valid range [0, 1]"
     return [
-        finding(
-            weight.isNull(),
-            "weight_missing",
-            "industry_weight",
-            "Industry weight is missing — cannot validate range",
-            WARNING,
-        ),
-        finding(weight.isNotNull() & outside, "weight_range", "industry_weight", message, ERROR),
+        finding("industry_weight IS NULL", "weight_missing", "industry_weight", missing, WARNING),
+        finding(f"industry_weight IS NOT NULL AND {outside}", "weight_range", "industry_weight", message, ERROR),
     ]
 
 
 def weight_sum() -> list[Column]:
-    weight = F.col("industry_weight")
-    deviation = F.abs(weight - 1.0)
-    message = F.concat(
-        F.lit("Industry weight "),
-        float_text(weight),
-        F.lit(" deviates from 1.0 by "),
-        F.when(F.abs(deviation) == float("inf"), "inf").otherwise(F.format_string("%.4f", deviation)),
-        F.lit(f" (tolerance: {fixed.WEIGHT_TOLERANCE})"),
-    )
     # NaN sorts above every number here, but deviates from nothing.
-    broken = (deviation > fixed.WEIGHT_TOLERANCE) & ~F.isnan(weight)
+    broken = f"abs(industry_weight - 1) > {fixed.WEIGHT_TOLERANCE}D AND NOT isnan(industry_weight)"
+    message = f"Industry weight {{_weight}} deviates from 1.0 by {{_deviation}} (tolerance: {fixed.WEIGHT_TOLERANCE})"
     return [finding(broken, "weight_sum", "industry_weight", message, WARNING)]
 
 
 def profile_pair() -> list[Column]:
-    business, financial = ~_empty("business_risk_profile"), ~_empty("financial_risk_profile")
+    business, financial = "coalesce(business_risk_profile, '')", "coalesce(financial_risk_profile, '')"
+    without_financial = "Business risk profile present but financial risk profile is missing"
+    without_business = "Financial risk profile present but business risk profile is missing"
     return [
-        finding(
-            business & ~financial,
-            "profile_pair",
-            "financial_risk_profile",
-            "Business risk profile present but financial risk profile is missing",
-            ERROR,
-        ),
-        finding(
-            financial & ~business,
-            "profile_pair",
-            "business_risk_profile",
-            "Financial risk profile present but business risk profile is missing",
-            ERROR,
-        ),
+        finding(f"{business} <> '' AND {financial} = ''", "profile_pair", "financial_risk_profile", without_financial, ERROR),
+        finding(f"{financial} <> '' AND {business} = ''", "profile_pair", "business_risk_profile", without_business, ERROR),
     ]
 
 
 def entity_name() -> list[Column]:
-    length = F.char_length("rated_entity")
-    message = F.concat(
-        F.lit("Entity name length "), length.cast("string"), F.lit(f" exceeds {fixed.ENTITY_NAME_MAX} characters")
-    )
-    return [finding(length > fixed.ENTITY_NAME_MAX, "entity_name", "rated_entity", message, WARNING)]
+    broken = f"char_length(rated_entity) > {fixed.ENTITY_NAME_MAX}"
+    message = f"Entity name length {{_name_length}} exceeds {fixed.ENTITY_NAME_MAX} characters"
+    return [finding(broken, "entity_name", "rated_entity", message, WARNING)]
 
 
 def metrics_present() -> list[Column]:
-    """On ``has_years`` and ``has_metrics``."""
+    none = "No credit metrics found in MASTER sheet"
+    no_years = "Credit metrics found but year headers are missing — time-series data cannot be interpreted"
     return [
-        finding(
-            ~F.col("has_years") & ~F.col("has_metrics"),
-            "metrics_missing",
-            "credit_metrics",
-            "No credit metrics found in MASTER sheet",
-            WARNING,
-        ),
-        finding(
-            F.col("has_metrics") & ~F.col("has_years"),
-            "metrics_years",
-            "credit_metrics",
-            "Credit metrics found but year headers are missing — time-series data cannot be interpreted",
-            ERROR,
-        ),
+        finding("NOT has_years AND NOT has_metrics", "metrics_missing", "credit_metrics", none, WARNING),
+        finding("has_metrics AND NOT has_years", "metrics_years", "credit_metrics", no_years, ERROR),
     ]
 
 
-BEFORE_METRICS: list[Callable[[], list[Column]]] = [
-    required_fields, currency, month, weight_type, profiles, sub_scores,
-]
-AFTER_METRICS: list[Callable[[], list[Column]]] = [
-    weight_range, weight_sum, profile_pair, entity_name, metrics_present,
-]
-# Findings on metric values sit between the two groups; far apart so that any number of years
-# fits.
-METRIC_SEQ, METRIC_STEP, AFTER_SEQ = 1_000, 20_000, 1_000_000
+def _sub_scores() -> Column:
+    """A warning for each sub-score that is neither a notation nor a notch text."""
+    labels = ", ".join(quoted(label) for label in fixed.SUB_SCORE_LABELS)
+    scores = f"transform(array({labels}), l -> named_struct('label', l, 'score', risk_sub_scores[l]))"
+    broken = f"s.score NOT IN {_NOTATIONS} AND NOT contains(lower(s.score), 'notch')"
+    warning = _finding_sql(broken, "sub_score", "s.label", "Sub-score '{s.score}' is not standard notation", WARNING)
+    return F.expr(f"transform({scores}, s -> {warning})")
 
 
-def _numbered(rules: Iterable[Callable[[], list[Column]]], start: int) -> list[Column]:
-    broken = [column for rule in rules for column in rule()]
-    return [
-        F.when(column.isNotNull(), F.struct(F.lit(start + i).alias("seq"), column.alias("f")))
-        for i, column in enumerate(broken)
-    ]
-
-
-def _metric_findings() -> Column:
+def _metric_values() -> Column:
     """A warning for each metric value that is neither a number nor a sentinel."""
+    message = "Non-numeric value '{p.text}' for year {p.year} in '{s.metric}'"
+    warning = _finding_sql("p.kind = 'raw'", "metric_value", "s.metric", message, WARNING)
+    return F.expr(
+        "flatten(transform(coalesce(series, array()), "
+        f"s -> transform(filter(s.points, p -> p.kind = 'raw'), p -> {warning})))"
+    )
 
-    def of_metric(metric: Column, place: Column) -> Column:
-        def warning(point: Column) -> Column:
-            message = F.concat(
-                F.lit("Non-numeric value '"), point["text"], F.lit("' for year "), point["year"],
-                F.lit(" in '"), metric["metric"], F.lit("'"),
-            )
-            broken = finding(F.lit(True), "metric_value", metric["metric"], message, WARNING)
-            return F.struct((F.lit(METRIC_SEQ) + place * METRIC_STEP + point["pos"]).alias("seq"), broken.alias("f"))
-
-        return F.transform(F.filter(metric["points"], lambda p: p["kind"] == "raw"), warning)
 
-    return F.flatten(F.transform("series", of_metric))
+BEFORE_METRICS: list[Rule] = [required_fields, currency, month, weight_type, profiles]
+AFTER_METRICS: list[Rule] = [weight_range, weight_sum, profile_pair, entity_name, metrics_present]
 
 
-def with_findings(records: DataFrame, extra_rules: Iterable[Callable[[], list[Column]]] = ()) -> DataFrame:
-    """Add ``findings``, an array of ``seq`` and finding in rule order: one pass over the records
-    (with their ``series``), no shuffle.
+def with_findings(records: DataFrame, extra_rules: Iterable[Rule] = ()) -> DataFrame:
+    """Add ``findings``, an array in rule order: one pass over the records (with their
+    ``series``), no shuffle.
 
     The frame may say ``has_years`` and ``has_metrics`` itself; otherwise they come from the
     series, under which metrics exist only where years do.
     """
-    if "has_years" not in records.columns:
-        has_metrics = F.coalesce(F.size("series") > 0, F.lit(False))
-        records = records.withColumns({"has_years": F.col("series").isNotNull(), "has_metrics": has_metrics})
-    before = F.array_compact(F.array(*_numbered(BEFORE_METRICS, 0)))
-    after = F.array_compact(F.array(*_numbered([*AFTER_METRICS, *extra_rules], AFTER_SEQ)))
-    on_metrics = F.coalesce(_metric_findings(), F.slice(before, 1, 0))
-    return records.withColumn("findings", F.concat(before, on_metrics, after)).drop("has_years", "has_metrics")
+    columns = records.columns
+    weight = F.col("industry_weight")
+    helpers = {
+        "_weight": float_text(weight),
+        "_deviation": F.expr(
+            "CASE WHEN abs(industry_weight) = double('inf') THEN 'inf' "
+            "ELSE format_string('%.4f', abs(industry_weight - 1)) END"
+        ),
+        "_name_length": F.expr("string(char_length(rated_entity))"),
+    }
+    if "has_years" not in columns:
+        helpers |= {"has_years": F.expr("series IS NOT NULL"), "has_metrics": F.expr("coalesce(size(series), 0) > 0")}
+
+    def all_of(rules: Iterable[Rule]) -> Column:
+        return F.array(*[column for rule in rules for column in rule()])
+
+    found = F.concat(all_of(BEFORE_METRICS), _sub_scores(), _metric_values(), all_of([*AFTER_METRICS, *extra_rules]))
+    return records.withColumns(helpers).select(*columns, F.array_compact(found).alias("findings"))
 
 
 def findings(checked: DataFrame) -> DataFrame:
     """Long form: ``file_id, seq, rule, field, message, severity``."""
     # The outer form: the plain one infers a filter on the array and so evaluates all rules twice.
-    each = checked.select("file_id", F.inline_outer("findings"))
+    each = checked.select("file_id", F.posexplode_outer("findings").alias("seq", "f"))
     return each.filter(F.col("seq").isNotNull()).select("file_id", "seq", "f.*")
 
 
@@ -256,28 +210,24 @@ def with_report(checked: DataFrame) -> DataFrame:
     """
 
     def of(severity: str) -> Column:
-        chosen = F.filter(F.col("findings")["f"], lambda f: f["severity"] == severity)
-        return F.transform(
-            chosen,
-            lambda f: F.struct(f["field"].alias("field"), f["message"].alias("message"), f["severity"].alias("severity")),
+        return F.expr(
+            f"transform(filter(findings, f -> f.severity = {quoted(severity)}), "
+            "f -> named_struct('field', f.field, 'message', f.message, 'severity', f.severity))"
         )
 
-    split = checked.withColumns({"errors": of(ERROR), "warnings": of(WARNING)})
-    present = F.lit(fixed.SCORED_FIELDS) - F.size("errors")
-    score = F.round(present / F.lit(fixed.SCORED_FIELDS), 3).cast("decimal(4,3)")
-    return split.withColumns(
-        {
-            "is_valid": F.size("errors") == 0,
-            "error_count": F.size("errors"),
-            "warning_count": F.size("warnings"),
-            "total_fields": F.lit(fixed.SCORED_FIELDS),
-            "present_fields": present,
-            "completeness_score": score,
-            "validity_score": score,
-        }
+    score = f"CAST(round(({fixed.SCORED_FIELDS} - size(errors)) / {fixed.SCORED_FIELDS}, 3) AS DECIMAL(4, 3))"
+    return checked.withColumns({"errors": of(ERROR), "warnings": of(WARNING)}).selectExpr(
+        "*",
+        "size(errors) = 0 AS is_valid",
+        "size(errors) AS error_count",
+        "size(warnings) AS warning_count",
+        f"{fixed.SCORED_FIELDS} AS total_fields",
+        f"{fixed.SCORED_FIELDS} - size(errors) AS present_fields",
+        f"{score} AS completeness_score",
+        f"{score} AS validity_score",
     )
 
 
-def check(records: DataFrame, extra_rules: Iterable[Callable[[], list[Column]]] = ()) -> DataFrame:
+def check(records: DataFrame, extra_rules: Iterable[Rule] = ()) -> DataFrame:
     """Records with ``findings`` and the report."""
     return with_report(with_findings(records, extra_rules))

@@ -54,12 +54,9 @@ _SNAPSHOTS = f"""snapshots AS (
   FROM orders JOIN customer ON c_custkey = o_custkey)"""
 
 _POINTS = """points AS (
-  SELECT snapshot_id, metric, year, num FROM (
-    SELECT l_orderkey AS snapshot_id, 'line ' || l_linenumber AS metric,
-           CAST(year(l_shipdate) AS VARCHAR) AS year, l_extendedprice AS num,
-           row_number() OVER (PARTITION BY l_orderkey, l_linenumber, year(l_shipdate)
-                              ORDER BY l_quantity DESC, l_extendedprice DESC) AS rn
-    FROM lineitem) WHERE rn = 1)"""
+  SELECT l_orderkey AS snapshot_id, 'line ' || l_linenumber AS metric,
+         CAST(year(l_shipdate) AS VARCHAR) AS year, max(l_extendedprice) AS num
+  FROM lineitem GROUP BY ALL)"""
 
 _UPLOADS = """uploads AS (
   SELECT o_orderkey AS upload_id, 'sheet_' || o_orderkey || '.xlsm' AS filename,

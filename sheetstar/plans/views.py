@@ -73,7 +73,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric values of a snapshot from its line items: metric by line number, year by ship date;
-    the largest (quantity, price) stands for a year met twice."""
+    the largest price stands for a year met twice."""
     lines = table(spark, sf_dir, "lineitem")
     return (
         lines.groupBy(
@@ -81,7 +81,7 @@ def snapshot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("metric"),
             F.year("l_shipdate").cast("string").alias("year"),
         )
-        .agg(F.max_by("l_extendedprice", F.struct("l_quantity", "l_extendedprice")).alias("num"))
+        .agg(F.max("l_extendedprice").alias("num"))
     )
 
 
@@ -271,51 +271,35 @@ SHEET_LAYOUT: list[tuple] = [
 ]
 
 
+def _cell_sql(column: int, kind: str, text: str, number: str) -> str:
+    return f"named_struct('col_idx', {column}, 'kind', {kind}, 'text', {text}, 'num', {number})"
+
+
 def sheet_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``file_id, row_idx, col_idx, kind, text, num`` of one sheet per customer; blank cells are
     left out. A narrow explode of each customer row."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(row).alias("row_idx"),
-                F.lit(column).alias("col_idx"),
-                F.expr(kind).alias("kind"),
-                F.expr(text).alias("text"),
-                F.expr(number).alias("num"),
-            )
-            for row, column, kind, text, number in SHEET_LAYOUT
-        ]
+    cells = ", ".join(
+        f"named_struct('row_idx', {row}, 'cell', {_cell_sql(*cell)})" for row, *cell in SHEET_LAYOUT
     )
     return (
         _sheet_owners(spark, sf_dir)
-        .select(F.col("c_custkey").alias("file_id"), F.explode(cells).alias("cell"))
-        .select("file_id", "cell.*")
+        .selectExpr("c_custkey AS file_id", f"inline(array({cells}))")
+        .select("file_id", "row_idx", "cell.*")
         .filter(F.col("text").isNotNull())
     )
 
 
 def sheet_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same sheets the way a workbook scan gives them: ``file_id, row_idx, cells``."""
-    by_row: dict[int, list] = {}
+    by_row: dict[int, list[str]] = {}
     for row, column, kind, text, number in SHEET_LAYOUT:
-        cell = F.struct(
-            F.lit(column).alias("col_idx"),
-            F.expr(kind).alias("kind"),
-            F.expr(text).alias("text"),
-            F.expr(number).alias("num"),
-        )
-        by_row.setdefault(row, []).append(F.when(F.expr(text).isNotNull(), cell))
-    rows = F.array(
-        *[
-            F.struct(F.lit(row).alias("row_idx"), F.array_compact(F.array(*cells)).alias("cells"))
-            for row, cells in by_row.items()
-        ]
-    )
-    return (
-        _sheet_owners(spark, sf_dir)
-        .select(F.col("c_custkey").alias("file_id"), F.explode(rows).alias("row"))
-        .select("file_id", "row.*")
+        cell = f"CASE WHEN {text} IS NOT NULL THEN {_cell_sql(column, kind, text, number)} END"
+        by_row.setdefault(row, []).append(cell)
+    rows = ", ".join(
+        f"named_struct('row_idx', {row}, 'cells', array_compact(array({', '.join(cells)})))"
+        for row, cells in by_row.items()
     )
+    return _sheet_owners(spark, sf_dir).selectExpr("c_custkey AS file_id", f"inline(array({rows}))")
 
 
 def document_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

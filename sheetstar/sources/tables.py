@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of the schema, in its order and types."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.selectExpr(*[f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema.fields])
 
 
 def write_batch(df: DataFrame, root: str, table: str, schema: T.StructType, batch_id: str) -> None:
