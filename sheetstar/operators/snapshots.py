@@ -82,19 +82,22 @@ def star(
     currencies: DataFrame,
     reports: DataFrame,
 ) -> DataFrame:
-    """The fact navigated to all its neighbours. Country, currency and report may be missing."""
+    """The fact navigated to all its neighbours. Country, currency and report may be missing.
+
+    The two joins on upload follow each other, so the fact moves once for both.
+    """
     return (
         snapshots.join(
             versions.select("version_id", "version_number", "valid_from", "valid_to", "is_current"), "version_id"
         )
         .join(uploads.select("upload_id", "filename", "status", "uploaded_at", "rows_extracted"), "upload_id")
-        .join(companies.select("company_id", "current_snapshot_id"), "company_id")
-        .join(countries.select("country_id", "iso_alpha2", "iso_alpha3", "region"), "country_id", "left")
-        .join(currencies.select("currency_id", "currency_name", "symbol"), "currency_id", "left")
         .join(
             reports.select("upload_id", "completeness_score", "validity_score", "error_count", "warning_count"),
             "upload_id",
             "left",
         )
+        .join(companies.select("company_id", "current_snapshot_id"), "company_id")
+        .join(countries.select("country_id", "iso_alpha2", "iso_alpha3", "region"), "country_id", "left")
+        .join(currencies.select("currency_id", "currency_name", "symbol"), "currency_id", "left")
         .withColumn("is_current_snapshot", F.col("snapshot_id") == F.col("current_snapshot_id"))
     )

@@ -74,15 +74,17 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metric values of a snapshot from its line items: metric by line number, year by ship date;
     the largest price stands for a year met twice."""
-    lines = table(spark, sf_dir, "lineitem")
-    return (
-        lines.groupBy(
-            F.col("l_orderkey").alias("snapshot_id"),
-            F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("metric"),
-            F.year("l_shipdate").cast("string").alias("year"),
-        )
+    largest = (
+        table(spark, sf_dir, "lineitem")
+        .groupBy("l_orderkey", "l_linenumber", F.year("l_shipdate").alias("year"))
         .agg(F.max("l_extendedprice").alias("num"))
     )
+    return largest.select(
+        F.col("l_orderkey").alias("snapshot_id"),
+        F.concat(F.lit("line "), F.col("l_linenumber").cast("string")).alias("metric"),
+        F.col("year").cast("string").alias("year"),
+        "num",
+    )
 
 
 def snapshots_with_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
