@@ -329,7 +329,7 @@ def raw_lineage(spark, sf_dir):
 
 @query
 def rows_extracted(spark, sf_dir):
-    return loading.rows_extracted(_rows(spark, sf_dir))
+    return loading.rows_extracted(sheets.raw_values(_rows(spark, sf_dir)))
 
 
 # -- validation ------------------------------------------------------------------------------

@@ -15,7 +15,7 @@ from sheetstar import fixed
 from sheetstar.functions.ids import stable_id
 from sheetstar.operators import dims
 from sheetstar.operators.metrics import metrics_document
-from sheetstar.operators.sheets import label_rows, repaired_sub_scores
+from sheetstar.operators.sheets import repaired_sub_scores
 
 
 def register_pending(files: DataFrame, batch_id: str, batch_at: datetime) -> DataFrame:
@@ -47,8 +47,8 @@ def _closing_event(uploads: DataFrame, status: str, at: datetime, rows: Column,
 
 
 def mark_completed(loads: DataFrame, extracted: DataFrame, at: datetime) -> DataFrame:
-    """``extracted``: file_id, rows_extracted."""
-    counted = loads.select("file_id", "upload_id").join(extracted, "file_id", "left")
+    """``extracted``: upload_id, rows_extracted."""
+    counted = loads.select("upload_id").join(extracted, "upload_id", "left")
     return _closing_event(
         counted, "completed", at, F.coalesce("rows_extracted", F.lit(0)), F.lit(None).cast("string")
     )
@@ -60,15 +60,9 @@ def mark_failed(failures: DataFrame, at: datetime) -> DataFrame:
     return _closing_event(failures, "failed", at, F.lit(None), message)
 
 
-def rows_extracted(rows: DataFrame) -> DataFrame:
-    """Number of different labels per file."""
-    return (
-        label_rows(rows)
-        .select("file_id", "label")
-        .distinct()
-        .groupBy("file_id")
-        .agg(F.count("*").alias("rows_extracted"))
-    )
+def rows_extracted(raw: DataFrame, key: str = "file_id") -> DataFrame:
+    """Number of different labels per file, off the lineage (one row per file and label)."""
+    return raw.groupBy(key).agg(F.count("*").alias("rows_extracted"))
 
 
 def load_failure() -> Column:

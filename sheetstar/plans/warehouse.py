@@ -192,10 +192,11 @@ class Warehouse:
         lineage = sheets.raw_values(new_rows).join(loads.select("file_id", "upload_id"), "file_id")
         self._write("raw_values", lineage, batch_id)
         self._write("data_quality_report", loading.quality_reports(loads, batch_at), batch_id)
+        extracted = loading.rows_extracted(self.stored_batch("raw_values", batch_id), "upload_id")
         events = [
             pending,
             loading.mark_failed(failed, batch_at),
-            loading.mark_completed(loads, loading.rows_extracted(new_rows), batch_at),
+            loading.mark_completed(loads, extracted, batch_at),
         ]
         self._write("upload_events", reduce(DataFrame.unionByName, events), batch_id)
         done = self.spark.createDataFrame([(batch_at,)], BATCHES)

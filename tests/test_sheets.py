@@ -106,7 +106,7 @@ def test_raw_document(spark):
     assert {k: [(v.col_idx, v.kind, v.text) for v in values] for k, values in document.items()} == {
         "A": [(2, "int", "1"), (4, "str", "x")], "B": [],
     }
-    assert loading.rows_extracted(rows).first().rows_extracted == 2
+    assert loading.rows_extracted(sheets.raw_values(rows)).first().rows_extracted == 2
 
 
 def test_gap_moves_values_left_unless_aligned(spark):

@@ -63,7 +63,7 @@ def test_missing_sheet_and_broken_file_are_reported(spark, landing):
 
 def test_load_and_query(spark, landing, warehouse):
     write_workbook(landing / "acme.xlsm", clean())
-    write_workbook(landing / "beta.xlsm", clean(Rated_entity=["Beta"], Reporting_Currency_Units=None, Country_of_origin=["Nowhere"]))
+    write_workbook(landing / "beta.xlsm", clean(**{"Rated entity": ["Beta"], "Reporting Currency/Units": None}, Country_of_origin=["Nowhere"]))
     write_workbook(landing / "nobody.xlsm", clean(Rated_entity=None))
     write_workbook(landing / "heavy.xlsm", clean(Rated_entity=["Heavy"], Industry_weight=[10.5]))
     write_workbook(landing / "other.xlsm", clean(), sheet="OTHER")
@@ -106,11 +106,13 @@ def test_load_and_query(spark, landing, warehouse):
     assert (stats.total_uploads, stats.completed, stats.failed) == (12, 3, 9)
     assert stats.success_rate == 0.25
 
+    labels = {r.filename: r.rows_extracted for r in warehouse.list_uploads().filter("status = 'completed'").collect()}
+    assert labels == {"acme.xlsm": len(clean()), "beta.xlsm": len(clean()) - 1}
     failed = warehouse.list_uploads().filter("filename = 'nobody.xlsm'").first()
     assert failed.status == "failed" and "entity_name" in failed.error_message
     assert warehouse.upload(failed.upload_id).count() == 1
     assert warehouse.latest_snapshots().count() == 2
-    assert warehouse.list_snapshots(currency="eur").count() == 3
+    assert warehouse.list_snapshots(currency="eur").count() == 2
     assert [r.entity_name for r in warehouse.list_companies(1, 1).collect()] == ["Beta"]
 
     star = {r.entity_name: r for r in warehouse.star().filter("is_current_snapshot").collect()}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from sheetstar.operators import audits, companies, dims, fingerprints, snapshots, uploads, versions
 from sheetstar.operators.sequence import number_rows
+from sheetstar.plans import loading
 
 DAY = datetime(2025, 1, 1)
 
@@ -198,3 +199,13 @@ def test_audits(spark):
     assert [r.status for r in audits.outside_domain(frame, "status").collect()] == ["done"]
     broken = audits.missing_or_unfit(frame, ["k"], {"w": (5, 4)}).collect()
     assert sorted(len(r.problems) for r in broken) == [1, 2]
+
+
+def test_events(spark):
+    failures = spark.createDataFrame([("u", "é" * 600)], "upload_id string, error_message string")
+    failed = loading.mark_failed(failures, DAY).first()
+    assert (failed.status, failed.error_message, failed.rows_extracted) == ("failed", "é" * 500, None)
+    files = spark.createDataFrame([("file:/in/a b.xlsm", "h")], "file_id string, file_sha256 string")
+    first, again, other = (loading.register_pending(files, batch, DAY).first() for batch in ("1", "1", "2"))
+    assert (first.filename, first.status, first.file_path) == ("a b.xlsm", "pending", "file:/in/a b.xlsm")
+    assert first.upload_id == again.upload_id != other.upload_id
