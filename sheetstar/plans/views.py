@@ -169,7 +169,7 @@ def uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- sheets ----------------------------------------------------------------------------------
 
-_TEXT = "CAST(NULL AS DOUBLE)"
+_NO_NUMBER = "CAST(NULL AS DOUBLE)"
 
 
 def _sheet_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,12 +185,12 @@ def _sheet_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _row(row: int, label: str | None, *values: tuple[str, str, str]) -> list[tuple]:
     """Layout of one sheet row: cells as (row, column, kind, text, number) in SQL."""
-    cells = [] if label is None else [(row, 1, "'str'", label, _TEXT)]
+    cells = [] if label is None else [(row, 1, "'str'", label, _NO_NUMBER)]
     return cells + [(row, 2 + i, *value) for i, value in enumerate(values) if value]
 
 
 def _s(sql: str) -> tuple[str, str, str]:
-    return ("'str'", sql, _TEXT)
+    return ("'str'", sql, _NO_NUMBER)
 
 
 def _f(text: str, number: str) -> tuple[str, str, str]:

@@ -5,7 +5,6 @@ import shutil
 from datetime import date, datetime, timedelta, timezone
 
 import pytest
-from pyspark.sql import functions as F
 
 from sheetstar import schemas
 from sheetstar.plans.warehouse import Warehouse
