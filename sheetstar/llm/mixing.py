@@ -142,7 +142,7 @@ def _extras(rated: DataFrame) -> DataFrame:
     spread = rated.join(per_class, ["_key", "_class"]).withColumn("_share", F.col("k") / F.nullif(F.sum("_part").over(whole), F.lit(0.0)))
     upto = F.round(F.sum("_part").over(before) * F.col("_share"), 6)
     after = spread.withColumn("_to", F.floor(upto + 0.5))
-    return after.withColumn("extra", F.coalesce(F.least(F.col("n"), F.col("_to") - F.coalesce(F.lag("_to").over(before), F.lit(0))), F.lit(0)).cast("bigint")).drop("_part", "_class", "k", "_share", "_to")
+    return after.withColumn("extra", F.least(F.col("n"), F.coalesce(F.col("_to") - F.coalesce(F.lag("_to").over(before), F.lit(0)), F.lit(0))).cast("bigint")).drop("_part", "_class", "k", "_share", "_to")
 
 
 def mix(documents: DataFrame, share: float = SHARE, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
