@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetstar.llm import mixing, secrets, sharding, url_filter
+from sheetstar.llm import mixing, secrets, set_join, sharding, url_filter
 from sheetstar.llm.common import Scratch, table
 from sheetstar.llm.sql import ORACLES  # noqa: F401
 
@@ -25,11 +25,15 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_versions(table(spark, sf_dir, "documents"), ledger))
 
 
+def op9_shingle_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.groups(table(spark, sf_dir, "documents"))
+
+
 def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return url_filter.judge(pages, url_filter.listed_pages(pages))
 
 
 QUERIES = {
-    f.__name__: f for f in (op3_entropy_mix, op4_shard_lookup, op6_secret_ledger, op10_url_verdicts)
+    f.__name__: f for f in (op3_entropy_mix, op4_shard_lookup, op6_secret_ledger, op9_shingle_groups, op10_url_verdicts)
 }
