@@ -5,11 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetstar.llm import mixing, secrets, set_join, sharding, url_filter
+from sheetstar.llm import contamination, mixing, secrets, set_join, sharding, token_files, url_filter
 from sheetstar.llm.common import Scratch, table
 from sheetstar.llm.sql import ORACLES  # noqa: F401
 
 
+def tokenizer_path() -> str:
+    """The public byte-level vocabulary that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op3_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -25,6 +32,17 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan_versions(table(spark, sf_dir, "documents"), ledger))
 
 
+def op7_window_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = contamination.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contamination.digest(scanned)
+
+
+def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = Scratch(spark, "token-files").path("ids")
+    token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer_path())
+    return token_files.digests(spark, folder)
+
+
 def op9_shingle_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return set_join.groups(table(spark, sf_dir, "documents"))
 
@@ -35,5 +53,5 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op3_entropy_mix, op4_shard_lookup, op6_secret_ledger, op9_shingle_groups, op10_url_verdicts)
+    f.__name__: f for f in (op3_entropy_mix, op4_shard_lookup, op6_secret_ledger, op7_window_automaton, op8_token_blocks, op9_shingle_groups, op10_url_verdicts)
 }

@@ -73,8 +73,28 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM texts LEFT JOIN lists USING (rid)
 """
 
+_WORDS = f"regexp_extract_all({_LOWER.format('text')}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+WINDOW_SQL = f"""
+WITH item_words AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT item, n, list_slice(w, i, i + n - 1) AS g
+  FROM (SELECT item, w, least(len(w), 13) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+doc_words AS (SELECT row_number() OVER () AS rid, doc_id, {_WORDS.replace("text", "coalesce(text, '')")} AS w FROM documents),
+doc_windows AS (
+  SELECT rid, i, n, list_slice(w, i, i + n - 1) AS g
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM doc_words, sizes WHERE len(w) >= n)),
+met AS (SELECT rid, i, n, item FROM doc_windows JOIN windows USING (n, g)),
+hits AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM met) GROUP BY rid),
+items AS (SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT rid, item FROM met) GROUP BY rid)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM doc_words LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
+"""
+
 ORACLES = {
     "op4_shard_lookup": SHARD_SQL,
     "op6_secret_ledger": SECRET_SQL,
+    "op7_window_automaton": WINDOW_SQL,
     "op10_url_verdicts": URL_SQL,
 }
