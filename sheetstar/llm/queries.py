@@ -5,11 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sheetstar.llm import contamination, language, mixing, secrets, set_join, sharding, token_files, url_filter
+from sheetstar.llm import contamination, language, mixing, near_vectors, secrets, set_join, sharding, token_files, url_filter
 from sheetstar.llm.common import Scratch, table
 from sheetstar.llm.sql import ORACLES  # noqa: F401
 
 
+def op1_projection_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_word_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
@@ -57,5 +61,5 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op2_word_backoff, op3_entropy_mix, op4_shard_lookup, op6_secret_ledger, op7_window_automaton, op8_token_blocks, op9_shingle_groups, op10_url_verdicts)
+    f.__name__: f for f in (op1_projection_neighbours, op2_word_backoff, op3_entropy_mix, op4_shard_lookup, op6_secret_ledger, op7_window_automaton, op8_token_blocks, op9_shingle_groups, op10_url_verdicts)
 }
