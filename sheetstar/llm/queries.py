@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from sheetstar.llm import contamination, language, mixing, near_vectors, secrets, set_join, sharding, token_files, url_filter
+from corpus_pipeline import run as pipeline
+from sheetstar.llm import contamination, language, mixing, near_vectors, secrets, set_join, sharding, token_files, toxicity, url_filter
 from sheetstar.llm.common import Scratch, table
 from sheetstar.llm.sql import ORACLES  # noqa: F401
 
@@ -18,13 +18,6 @@ def op2_word_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
-def tokenizer_path() -> str:
-    """The public byte-level vocabulary that the queries use."""
-    import public_tokenizers
-
-    return public_tokenizers.path("byte_bpe_50k.json")
-
-
 def op3_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies")
@@ -35,6 +28,11 @@ def op4_shard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.place(documents, "doc_id", sharding.query_shards())
 
 
+def op5_convolution_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.fit(documents, table(spark, sf_dir, "labels")))
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     ledger = secrets.Ledger(spark, Scratch(spark, "ledger").path("blobs"))
     return secrets.digest(secrets.scan_versions(table(spark, sf_dir, "documents"), ledger))
@@ -47,7 +45,7 @@ def op7_window_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = Scratch(spark, "token-files").path("ids")
-    token_files.write(table(spark, sf_dir, "documents"), folder, tokenizer_path())
+    token_files.write(table(spark, sf_dir, "documents"), folder, token_files.public_tokenizer())
     return token_files.digests(spark, folder)
 
 
@@ -61,5 +59,9 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
-    f.__name__: f for f in (op1_projection_neighbours, op2_word_backoff, op3_entropy_mix, op4_shard_lookup, op6_secret_ledger, op7_window_automaton, op8_token_blocks, op9_shingle_groups, op10_url_verdicts)
-}
+    f.__name__: f
+    for f in (
+        op1_projection_neighbours, op2_word_backoff, op3_entropy_mix, op4_shard_lookup, op5_convolution_toxicity,
+        op6_secret_ledger, op7_window_automaton, op8_token_blocks, op9_shingle_groups, op10_url_verdicts,
+    )
+} | {"pipeline": pipeline}

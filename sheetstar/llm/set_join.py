@@ -28,6 +28,8 @@ AT_LEAST, OF = 75, 100
 #: Shingles that one task of the exchange holds at once, and that a map task gathers before it packs them.
 GROUP_SHINGLES = 2_000_000
 PACK_SHINGLES = 1_000_000
+#: Rounds in which sets outside the largest component of a list ask one of its members.
+TURNS = 4
 
 
 def _pack(sorted_values: np.ndarray) -> bytes:
@@ -201,11 +203,25 @@ def _kept(shared: DataFrame, at_least: int, of: int) -> DataFrame:
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a, b`` with the sizes of both sets and their overlap."""
+    """``a, b`` with the sizes of both sets and their overlap; ``rest_b``: what b shares with others, but not with a."""
     a = sets.select(F.col("id").alias("a"), F.col("n").alias("n_a"), F.col("tokens").alias("t_a"))
     b = sets.select(F.col("id").alias("b"), F.col("n").alias("n_b"), F.col("tokens").alias("t_b"))
     both = F.size(F.array_intersect("t_a", "t_b")).cast("bigint").alias("both")
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", both)
+    counted = pairs.join(a, "a").join(b, "b").select("a", "b", "n_a", "n_b", both, F.size("t_b").cast("bigint").alias("shared_b"))
+    return counted.withColumn("rest_b", F.col("shared_b") - F.col("both")).drop("shared_b")
+
+
+def _towards_largest(index: DataFrame, named: DataFrame, turn: int) -> DataFrame:
+    """``a, b``: every set outside the largest component of one of its lists, with a member of that component.
+
+    The member differs by list and turn, so a set that belongs to a large group of copies soon meets
+    one that it links with; what is asked stays within the length of the lists.
+    """
+    entries = index.join(named.withColumnRenamed("node", "id"), "id", "left").select("token", "id", F.coalesce("component", "id").alias("component"))
+    parts = entries.groupBy("token", "component").agg(F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", "token", F.lit(turn))).alias("member"))
+    largest = parts.groupBy("token").agg(F.max_by(F.struct("component", "member"), F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+    met = entries.join(largest, "token").filter(F.col("component") != F.col("top.component"))
+    return met.select(F.col("top.member").alias("a"), F.col("id").alias("b")).distinct()
 
 
 def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, of: int = OF, group_shingles: int = GROUP_SHINGLES) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -234,16 +250,25 @@ def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     proposed = index.join(leaders, "token").filter("a <> id").select("a", F.col("id").alias("b")).distinct()
     led = scratch.keep(_overlaps(proposed, sets).filter(link), "led")
     first = scratch.keep(components(led, scratch), "first")
-    # The linked leader that a set has most in common with; what it lacks of it is ``extra``.
+    for turn in range(TURNS):
+        asked = scratch.keep(_towards_largest(index, first, turn), "asked")
+        more = scratch.keep(_overlaps(asked, sets).filter(link), "led")
+        if more.isEmpty():
+            break
+        led = led.unionByName(more)
+        first = scratch.keep(components(led.select("a", "b"), scratch), "first")
+    # The linked leader that a set has most in common with; ``extra`` counts what it shares with
+    # other sets but not with its leader: shingles of its own alone can't add to any overlap.
     best = led.groupBy(F.col("b").alias("id")).agg(
-        F.max_by(F.struct(F.col("a").alias("leader"), (F.col("n_b") - F.col("both")).alias("extra")), F.struct(F.col("both"), -F.col("a"))).alias("_l")
+        F.max_by(F.struct(F.col("a").alias("leader"), F.col("rest_b").alias("extra")), F.struct(F.col("both"), -F.col("a"))).alias("_l")
     ).select("id", F.col("_l.leader").alias("leader"), F.col("_l.extra").alias("extra"))
     best = scratch.keep(best, "best")
     sides = scratch.keep(sets.select("id", "n").join(best, "id", "left").join(first.withColumnRenamed("node", "id"), "id", "left").select(
         "id", F.coalesce("leader", "id").alias("leader"), F.coalesce("extra", F.lit(0)).alias("extra"), F.coalesce("component", "id").alias("component")
     ), "sides")
 
-    # A link of members x, s of leaders X, S needs |X and S| >= need(x) + need(s), all times (at_least + of).
+    # |x and s| <= |X and S| + extra(x) + extra(s) for members x, s of leaders X, S. So a link needs
+    # (at_least + of) * |X and S| >= need(x) + need(s).
     need = at_least * F.col("n") - (at_least + of) * F.col("extra")
     entries = scratch.keep(index.join(sides, "id").select("token", "id", "n", "pos", "leader", "component", need.alias("need")), "entries")
     block = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(of / at_least)))
@@ -265,12 +290,13 @@ def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     compared = scratch.keep(_overlaps(pairs.select("a", "b"), sets), "compared")
     across = compared.filter(link).select("a", "b")
     open_pairs = scratch.keep(compared.filter(~link).join(pairs, ["a", "b"]).filter((at_least + of) * F.col("both") >= F.col("need")).select("a", "b", F.col("both").alias("shared")), "open")
-    of_side = lambda side: entries.select(F.col("leader").alias(side), "token", F.col("id").alias(f"id_{side}"), F.col("n").alias(f"n_{side}"), F.col("need").alias(f"need_{side}"))
+    of_side = lambda side: entries.select(F.col("leader").alias(side), "token", F.col("id").alias(f"id_{side}"), F.col("n").alias(f"n_{side}"), F.col("pos").alias(f"pos_{side}"), F.col("need").alias(f"need_{side}"))
     members = open_pairs.join(of_side("a"), "a").join(of_side("b"), ["b", "token"]).filter(
         ((at_least + of) * F.col("shared") >= F.col("need_a") + F.col("need_b"))
         & (of * F.col("n_a") >= at_least * F.col("n_b")) & (of * F.col("n_b") >= at_least * F.col("n_a"))
+        & ((at_least + of) * F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= at_least * (F.col("n_a") + F.col("n_b")))
     ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
-    inner = _overlaps(members, sets).filter(link).select("a", "b")
+    inner = _overlaps(scratch.keep(members, "members"), sets).filter(link).select("a", "b")
     links = scratch.keep(led.select("a", "b").unionByName(across).unionByName(inner), "links")
     return rows, classes.select("key", "id"), links
 

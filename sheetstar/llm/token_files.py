@@ -91,6 +91,13 @@ def unpack(words: bytes, escapes: bytes = b"") -> np.ndarray:
     return out
 
 
+def public_tokenizer() -> str:
+    """The public byte-level vocabulary that the queries use."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _BREAK = r"\s!-/:-@\[-`{-~"
 #: Cuts after a letter before white space or ASCII punctuation, where the splitting rule of byte-level

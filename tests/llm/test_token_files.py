@@ -7,7 +7,6 @@ from hypothesis import strategies as st
 
 from sheetstar.llm import token_files
 from sheetstar.llm.common import Scratch
-from sheetstar.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -33,7 +32,7 @@ def test_escapes_keep_whole_numbers():
 def direct(texts):
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(tokenizer_path())
+    made = Tokenizer.from_file(token_files.public_tokenizer())
     return [made.encode(t or "", add_special_tokens=False).ids + [token_files.END_ID] for t in texts]
 
 
@@ -43,7 +42,7 @@ AWKWARD = ["", " ", "\n\n x", "it's they'll I'D", "a  b   c \t d ", "x²3 ½a _a
 @pytest.mark.parametrize("remembered", [0, 5, 400_000])
 def test_pieces_give_the_tokenizers_ids(monkeypatch, remembered):
     monkeypatch.setattr(token_files, "REMEMBERED", remembered)
-    encoder = token_files.TextEncoder(tokenizer_path())
+    encoder = token_files.TextEncoder(token_files.public_tokenizer())
     texts = AWKWARD * 2 + [" ".join(AWKWARD)]
     assert [np.frombuffer(encoder.encode(t), dtype="<u4").tolist() + [2] for t in texts] == direct(texts)
 
@@ -51,7 +50,7 @@ def test_pieces_give_the_tokenizers_ids(monkeypatch, remembered):
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.sampled_from("ab'st \n\t.,1²éÿĀ_-!ʼ "), max_size=30))
 def test_pieces_on_random_texts(text):
-    encoder = token_files.TextEncoder(tokenizer_path())
+    encoder = token_files.TextEncoder(token_files.public_tokenizer())
     assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == direct([text])[0][:-1]
 
 
@@ -66,7 +65,7 @@ def expected(rows):
 def test_documents_in_order_and_whole(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet").repartition(5)
     folder = Scratch(spark, "t").path("ids")
-    token_files.write(documents, folder, tokenizer_path(), block_ids=500)
+    token_files.write(documents, folder, token_files.public_tokenizer(), block_ids=500)
     rows = sorted((r.doc_id, r.text) for r in documents.collect())
     assert sorted(map(tuple, token_files.digests(spark, folder).collect())) == expected(rows)
     ids = {r.doc_id: r.ids for r in token_files.tokens(spark, folder).collect()}
@@ -77,9 +76,9 @@ def test_edge_cases(spark):
     rows = [(5, None), (5, None), (2, ""), (None, "x"), (9, "word " * 200_000)]
     df = spark.createDataFrame([(*r, 1, "c") for r in rows], "doc_id bigint, text string, start int, part string")
     folder = Scratch(spark, "t").path("ids")
-    token_files.write(df, folder, tokenizer_path())
+    token_files.write(df, folder, token_files.public_tokenizer())
     got = sorted(map(tuple, token_files.digests(spark, folder).collect()), key=lambda r: r[1])
     assert got == expected([(None, "x"), (2, ""), (5, None), (5, None), (9, "word " * 200_000)])
     folder = Scratch(spark, "t").path("ids")
-    token_files.write(df.limit(0), folder, tokenizer_path())
+    token_files.write(df.limit(0), folder, token_files.public_tokenizer())
     assert token_files.digests(spark, folder).collect() == []
