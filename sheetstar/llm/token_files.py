@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import json
 import re
+import sys
 import zlib
+from array import array
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +20,9 @@ END_ID = 2
 #: A block is closed at the first document end after so many ids.
 BLOCK_IDS = 65_536
 #: Pieces of text whose ids a task remembers; later new pieces are encoded without being remembered.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
+if array("I").itemsize != 4 or sys.byteorder != "little":
+    raise ImportError("32-bit little-endian integers are needed")
 
 #: Fixed values of the published coding: how many ids of how many bits a 64-bit word holds, by selector.
 SELECTORS = [(240, 0), (120, 0), (60, 1), (30, 2), (20, 3), (15, 4), (12, 5), (10, 6), (8, 7), (7, 8), (6, 10), (5, 12), (4, 15), (3, 20), (2, 30), (1, 60)]
@@ -100,9 +105,15 @@ def public_tokenizer() -> str:
 
 _LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 _BREAK = r"\s!-/:-@\[-`{-~"
-#: Cuts after a letter before white space or ASCII punctuation, where the splitting rule of byte-level
-#: models always ends a piece too. Pieces of the cut texts are thus encoded alike alone.
-_PIECES = re.compile(rf"[^{_LETTERS}]*[{_LETTERS}]+(?![^{_BREAK}])|.+?(?:(?<=[{_LETTERS}])(?=[{_BREAK}])|\Z)", re.S)
+#: Cuts where the splitting rule of byte-level models always ends a piece too, so that pieces are encoded alone
+#: as in their text: after a letter before white space or ASCII punctuation; after punctuation other than an
+#: apostrophe, or one line feed, before a word or a space and a word. All else stays in one piece up to such a place.
+_PIECES = re.compile(
+    rf" ?[{_LETTERS}]+(?![^{_BREAK}])"
+    rf"|(?:[!-&(-/:-@\[-`{{-~]+\n?|\n)(?= ?[{_LETTERS}])"
+    rf"|.+?(?:(?<=[{_LETTERS}])(?=[{_BREAK}])|\Z)",
+    re.S,
+)
 _WORD = re.compile(rf" ?[{_LETTERS}]+")
 
 
@@ -125,6 +136,7 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         with open(path, encoding="utf-8") as file:
             made = json.load(file)
         splitter, model = made.get("pre_tokenizer") or {}, made["model"]
@@ -138,26 +150,39 @@ class TextEncoder:
         self.known: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
         if not _WORD.fullmatch(piece):
             return self._whole(piece)
         # A single word needs no splitting: the model takes it as it is.
-        shown = piece.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(shown)], dtype="<u4").tobytes()
+        shown = piece.replace(" ", self.letters[32]) if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
     def encode(self, text: str) -> bytes:
         if not self.by_piece or any(a in text for a in self.added):
             return self._whole(text)
-        pieces, known = _PIECES.findall(text), self.known
-        try:
-            return b"".join([known[p] for p in pieces])
-        except KeyError:
-            extra = {}
-            for p in set(pieces).difference(known):
-                (known if len(known) < REMEMBERED else extra)[p] = self._piece(p)
-            return b"".join([known[p] if p in known else extra[p] for p in pieces])
+        pieces = _PIECES.findall(text)
+        known = self.known
+        coded = list(map(known.get, pieces))
+        if None in coded:
+            new: dict[str, bytes] = {}
+            for i, ids in enumerate(coded):
+                if ids is None:
+                    piece = pieces[i]
+                    ids = new.get(piece)
+                    if ids is None:
+                        ids = new[piece] = self._piece(piece)
+                    coded[i] = ids
+            if len(known) < REMEMBERED:
+                known.update(new)
+        return b"".join(coded)
+
+
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> TextEncoder:
+    """The encoder of a file, with what it remembers, for all tasks that a Python worker runs."""
+    return TextEncoder(path)
 
 
 _BLOCK = "part int, block bigint, start bigint, doc_ids array<bigint>, lengths array<bigint>, words binary, escapes binary"
@@ -174,7 +199,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int = END_I
     """
 
     def run(batches):
-        encoder, part = TextEncoder(tokenizer), TaskContext.get().partitionId()
+        encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4").tobytes()
         docs, lengths, ids, held, start, block = [], [], [], 0, 0, 0
 
@@ -207,10 +232,10 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int = END_I
 def read(spark: SparkSession, folder: str) -> DataFrame:
     """The blocks of a folder, with the number of ids before each: ``before``."""
     blocks = spark.read.schema(_BLOCK).parquet(folder)
-    # One row per file of a folder, not per block.
+    # One row per part, that is per task of the write: a few bytes each, so this small side is sent to all.
     parts = blocks.groupBy("part").agg(F.max(F.col("start") + F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, b: a + b)).alias("n"))
     before = F.coalesce(F.sum("n").over(W.orderBy("part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    return blocks.join(parts.select("part", before.alias("_before")), "part").withColumn("before", F.col("_before") + F.col("start")).drop("_before")
+    return blocks.join(F.broadcast(parts.select("part", before.alias("_before"))), "part").withColumn("before", F.col("_before") + F.col("start")).drop("_before")
 
 
 _DOCS = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
