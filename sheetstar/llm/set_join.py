@@ -211,17 +211,28 @@ def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return counted.withColumn("rest_b", F.col("shared_b") - F.col("both")).drop("shared_b")
 
 
-def _towards_largest(index: DataFrame, named: DataFrame, turn: int) -> DataFrame:
+def _may_link(at_least: int, of: int):
+    """Whether an entry (``n, pos``) and another (``m.n, m.pos``) of a list may be of linked sets, were this
+    the first shingle they share: by their sizes, and by what is left of both from there on."""
+    n, m = F.col("n"), F.col("m.n")
+    left = F.least(n - F.col("pos"), m - F.col("m.pos"))
+    return (of * n >= at_least * m) & (of * m >= at_least * n) & ((at_least + of) * left >= at_least * (n + m))
+
+
+def _towards_largest(index: DataFrame, named: DataFrame, turn: int, at_least: int, of: int) -> DataFrame:
     """``a, b``: every set outside the largest component of one of its lists, with a member of that component.
 
     The member differs by list and turn, so a set that belongs to a large group of copies soon meets
-    one that it links with; what is asked stays within the length of the lists.
+    one that it links with; what is asked stays within the length of the lists. Pairs whose sizes
+    or places in the list speak against a link aren't asked here.
     """
-    entries = index.join(named.withColumnRenamed("node", "id"), "id", "left").select("token", "id", F.coalesce("component", "id").alias("component"))
-    parts = entries.groupBy("token", "component").agg(F.count("*").alias("n"), F.min_by("id", F.xxhash64("id", "token", F.lit(turn))).alias("member"))
-    largest = parts.groupBy("token").agg(F.max_by(F.struct("component", "member"), F.struct("n", "component")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
-    met = entries.join(largest, "token").filter(F.col("component") != F.col("top.component"))
-    return met.select(F.col("top.member").alias("a"), F.col("id").alias("b")).distinct()
+    entries = index.join(named.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", F.coalesce("component", "id").alias("component"))
+    parts = entries.groupBy("token", "component").agg(F.count("*").alias("size"), F.min_by(F.struct("id", "n", "pos"), F.xxhash64("id", "token", F.lit(turn))).alias("m"))
+    largest = parts.groupBy("token").agg(F.max_by(F.struct("component", "m"), F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+    met = entries.join(largest.select("token", "top.component", "top.m").withColumnRenamed("component", "largest"), "token").filter(
+        (F.col("component") != F.col("largest")) & _may_link(at_least, of)
+    )
+    return met.select(F.col("m.id").alias("a"), F.col("id").alias("b")).distinct()
 
 
 def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, of: int = OF, group_shingles: int = GROUP_SHINGLES) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -245,13 +256,19 @@ def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     link = of * F.col("both") >= at_least * (F.col("n_a") + F.col("n_b") - F.col("both"))
 
     # One leader per list: its first set. Copies of one text propose the same few.
-    leaders = index.groupBy("token").agg(F.min("id").alias("a"))
+    leaders = index.groupBy("token").agg(F.min(F.struct("id", "n", "pos")).alias("m"))
     leaders = scratch.keep(leaders, "leaders")
-    proposed = index.join(leaders, "token").filter("a <> id").select("a", F.col("id").alias("b")).distinct()
+    proposed = index.join(leaders, "token").filter(F.col("m.id") != F.col("id")).filter(_may_link(at_least, of))
+    proposed = proposed.select(F.col("m.id").alias("a"), F.col("id").alias("b")).distinct()
     led = scratch.keep(_overlaps(proposed, sets).filter(link), "led")
     first = scratch.keep(components(led, scratch), "first")
+    before = None
     for turn in range(TURNS):
-        asked = scratch.keep(_towards_largest(index, first, turn), "asked")
+        asked = _towards_largest(index, first, turn, at_least, of)
+        if before is not None:
+            asked = asked.join(before, ["a", "b"], "left_anti")
+        asked = scratch.keep(asked, "asked")
+        before = asked if before is None else before.unionByName(asked)
         more = scratch.keep(_overlaps(asked, sets).filter(link), "led")
         if more.isEmpty():
             break
@@ -285,14 +302,19 @@ def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
         & (of * F.col("high_a") >= at_least * F.col("low_b")) & (of * F.col("high_b") >= at_least * F.col("low_a"))
         & ((at_least + of) * bound >= at_least * (F.col("low_a") + F.col("low_b")))
     )
+    met = scratch.keep(met.select("token", "leader_a", "leader_b", "need_a", "need_b"), "met")
     pairs = met.groupBy(F.col("leader_a").alias("a"), F.col("leader_b").alias("b")).agg(F.min(F.col("need_a") + F.col("need_b")).alias("need"))
     pairs = scratch.keep(pairs, "pairs")
     compared = scratch.keep(_overlaps(pairs.select("a", "b"), sets), "compared")
     across = compared.filter(link).select("a", "b")
-    open_pairs = scratch.keep(compared.filter(~link).join(pairs, ["a", "b"]).filter((at_least + of) * F.col("both") >= F.col("need")).select("a", "b", F.col("both").alias("shared")), "open")
-    of_side = lambda side: entries.select(F.col("leader").alias(side), "token", F.col("id").alias(f"id_{side}"), F.col("n").alias(f"n_{side}"), F.col("pos").alias(f"pos_{side}"), F.col("need").alias(f"need_{side}"))
-    members = open_pairs.join(of_side("a"), "a").join(of_side("b"), ["b", "token"]).filter(
-        ((at_least + of) * F.col("shared") >= F.col("need_a") + F.col("need_b"))
+    open_pairs = compared.filter(~link).join(pairs, ["a", "b"]).select("a", "b", ((at_least + of) * F.col("both")).alias("bound"), "need").filter("bound >= need")
+    # Members of open pairs, each where its own need leaves room for the other side's least.
+    spots = met.join(open_pairs.select(F.col("a").alias("leader_a"), F.col("b").alias("leader_b"), "bound"), ["leader_a", "leader_b"])
+    spots = scratch.keep(spots.filter("need_a + need_b <= bound").groupBy("token", "leader_a", "leader_b", "bound").agg(F.min("need_b").alias("least_b")), "spots")
+    side = lambda x: entries.select("token", *[F.col(c).alias(f"{c}_{x}") for c in ("leader", "id", "n", "pos", "need")])
+    half = scratch.keep(spots.join(side("a"), ["token", "leader_a"]).filter("need_a + least_b <= bound"), "half")
+    members = half.join(side("b"), ["token", "leader_b"]).filter(
+        (F.col("need_a") + F.col("need_b") <= F.col("bound"))
         & (of * F.col("n_a") >= at_least * F.col("n_b")) & (of * F.col("n_b") >= at_least * F.col("n_a"))
         & ((at_least + of) * F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) >= at_least * (F.col("n_a") + F.col("n_b")))
     ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
