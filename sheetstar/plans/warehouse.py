@@ -1,13 +1,14 @@
 """The warehouse: loading batches of workbooks, and the tables and queries over what is loaded.
 
-Tables are append-only Parquet, one partition per batch. A batch is visible once its row is in
-``batches``, which is written last; until then, and if a load dies half way, readers do not see
-any of it, and loading it again replaces what was written.
+Tables are append-only Parquet, one partition per attempt at a batch. The last write of an attempt
+appends a row to ``batches`` that names it; readers see each batch's latest named attempt. So a load
+that dies half way shows nothing, and one that is repeated replaces the batch in one step.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from datetime import date, datetime, timezone
 from functools import reduce
 
@@ -21,9 +22,12 @@ from sheetstar.plans import loading
 from sheetstar.session import shared_folder
 from sheetstar.sources import tables, workbooks
 
-BATCHES = T.StructType([T.StructField("completed_at", T.TimestampType())])
-# Up to this many new files are read again by name; beyond it the directory is scanned whole.
-NAMED_FILES = 10_000
+BATCHES = T.StructType([T.StructField("attempt", T.StringType()), T.StructField("completed_at", T.TimestampType())])
+#: Files whose content is loaded, as they were when seen: one that has not changed is not decoded again.
+SEEN = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
+    T.StructField("modificationTime", T.TimestampType()), T.StructField("file_sha256", T.StringType()),
+])
 
 
 class Warehouse:
@@ -35,11 +39,14 @@ class Warehouse:
 
     # -- stored and derived tables ---------------------------------------------------------
 
-    def stored(self, name: str) -> DataFrame:
-        """A stored table, completed batches only."""
+    def stored(self, name: str, besides: str | None = None) -> DataFrame:
+        """A stored table, completed batches only; without the batch ``besides``."""
         rows = tables.read_table(self.spark, self.root, name, schemas.STORED[name])
-        done = tables.read_table(self.spark, self.root, "batches", BATCHES).select("batch_id")
-        return rows.join(done, "batch_id", "left_semi").drop("batch_id")
+        done = tables.read_table(self.spark, self.root, "batches", BATCHES)
+        if besides is not None:
+            done = done.filter(F.col("batch_id") != besides)
+        latest = done.groupBy("batch_id").agg(F.max_by("attempt", F.struct("completed_at", "attempt")).alias("_latest"))
+        return rows.join(latest.select(F.col("_latest").alias("batch_id")), "batch_id", "left_semi").drop("batch_id")
 
     def table(self, name: str, company_ids=None) -> DataFrame:
         """A table of the star schema. ``company_ids`` limits the derived ones early, before
@@ -124,23 +131,16 @@ class Warehouse:
     def load_directory(self, directory: str, batch_at: datetime | None = None, **options) -> dict:
         """Find workbooks with content not loaded yet and load them as one batch.
 
-        Every file is decoded and fingerprinted each time, so a file overwritten in place is
-        noticed; only new ones are decoded again for loading.
+        Files that are as they were when their content was last found loaded are told by their listing.
+        All others are decoded, once: new ones, ones overwritten in place and ones that failed.
         """
         found = workbooks.workbook_files(self.spark, directory)
-        if found.isEmpty():
+        seen = tables.read_table(self.spark, self.root, "seen_files", SEEN).select("path", "length", "modificationTime")
+        unseen = found.join(seen.distinct(), ["path", "length", "modificationTime"], "left_anti")
+        if unseen.isEmpty():
             return _result(0)
-        scanned = workbooks.scan_sheet(found)
-        hashes = fingerprints.fingerprints(scanned)
-        loaded = hashes.join(fingerprints.completed_hashes(self._finished()), "file_sha256", "left_semi")
-        # Off the listing, so that empty and unreadable files, which have no hash, are tried.
-        new = found.select(F.col("path").alias("file_id")).join(loaded, "file_id", "left_anti")
-        some = [r.file_id for r in new.limit(NAMED_FILES + 1).collect()]
-        if not some:
-            return _result(0)
-        if len(some) <= NAMED_FILES:
-            scanned = workbooks.scan_sheet(workbooks.workbook_files(self.spark, some))
-        return self.load_rows(scanned, batch_at, **options)
+        listed = unseen.select("path", "length", "modificationTime")
+        return self.load_rows(workbooks.scan_sheet(unseen), batch_at, listed=listed, **options)
 
     def load_rows(
         self,
@@ -149,28 +149,40 @@ class Warehouse:
         batch_id: str | None = None,
         on_error: str = "load",
         align: str = "packed",
+        listed: DataFrame | None = None,
     ) -> dict:
-        """Load scanned sheet rows as one batch; content already loaded is left out.
+        """Load scanned sheet rows as one batch; content loaded by other batches is left out.
 
-        ``on_error="quarantine"`` fails files with error findings instead of loading them.
+        ``on_error="quarantine"`` fails files with error findings instead of loading them. ``listed``
+        (``path, length, modificationTime``) are the files as listed, to be remembered once loaded.
         """
         if on_error not in ("load", "quarantine"):
             raise ValueError(f"on_error must be 'load' or 'quarantine', not {on_error!r}")
         batch_at = batch_at or datetime.now(timezone.utc)
         batch_id = batch_id or batch_at.strftime("%Y%m%dT%H%M%S%f")
+        attempt = f"{batch_id}.{uuid.uuid4().hex}"
 
         # Decoding is the costly part and everything below reads it: keep it as a table.
-        rows = self._stage(batch_id, "rows", rows)
-        new = fingerprints.new_files(self._file_hashes(rows), self._finished())
-        pending = self._stage(batch_id, "pending", loading.register_pending(new, batch_id, batch_at))
+        rows = self._stage(attempt, "rows", rows)
+        hashes = self._stage(attempt, "hashes", self._file_hashes(rows))
+        new = fingerprints.new_files(hashes, self._finished(batch_id))
+        pending = self._stage(attempt, "pending", loading.register_pending(new, batch_id, batch_at))
+        result = _result(0)
+        if not pending.isEmpty():
+            result = self._load_pending(rows, pending, batch_id, attempt, batch_at, on_error, align)
+        if listed is not None:
+            loaded = hashes.join(fingerprints.completed_hashes(self._finished()), "file_sha256", "left_semi")
+            known = listed.join(loaded.withColumnRenamed("file_id", "path"), "path")
+            tables.write_batch(known, self.root, "seen_files", SEEN, attempt)
+        tables.remove(self.spark, f"{self.staging}/batch_id={attempt}")
+        return result
+
+    def _load_pending(self, rows, pending, batch_id, attempt, batch_at, on_error, align) -> dict:
         registered = pending.select("upload_id", F.col("file_path").alias("file_id"))
-        if pending.isEmpty():
-            return _result(0)
-
         readable = registered.join(rows.filter("row_idx = 0 and error is null").select("file_id"), "file_id")
         new_rows = rows.join(registered.select("file_id"), "file_id", "left_semi")
         records = sheets.records(new_rows, files=readable).join(registered, "file_id")
-        records = self._stage(batch_id, "records", rules.check(metrics.with_series(records, align)))
+        records = self._stage(attempt, "records", rules.check(metrics.with_series(records, align)))
 
         failure = loading.load_failure()
         if on_error == "quarantine":
@@ -186,28 +198,48 @@ class Warehouse:
 
         # Dimensions, then versions and facts, then the audit; the batch row makes them visible.
         for name, key, incoming in self._dimension_rows(loads, batch_at):
-            self._write(name, dims.new_members(incoming, self.stored(name), key), batch_id)
-        self._write("load_log", loading.load_log(loads, batch_at), batch_id)
-        self._write("snapshot_fact", loading.facts(loads, batch_at), batch_id)
+            self._write(name, dims.new_members(incoming, self.stored(name, besides=batch_id), key), attempt)
+        # In the order of reads by company and time, so that file statistics prune them.
+        by_company = lambda df, time: df.sortWithinPartitions("company_id", time)
+        self._write("load_log", by_company(loading.load_log(loads, batch_at), "loaded_at"), attempt)
+        self._write("snapshot_fact", by_company(loading.facts(loads, batch_at), "snapshot_at"), attempt)
         lineage = sheets.raw_values(new_rows).join(loads.select("file_id", "upload_id"), "file_id")
-        self._write("raw_values", lineage, batch_id)
-        self._write("data_quality_report", loading.quality_reports(loads, batch_at), batch_id)
-        extracted = loading.rows_extracted(self.stored_batch("raw_values", batch_id), "upload_id")
+        self._write("raw_values", lineage, attempt)
+        self._write("data_quality_report", loading.quality_reports(loads, batch_at), attempt)
+        extracted = loading.rows_extracted(self.stored_batch("raw_values", attempt), "upload_id")
         events = [
             pending,
             loading.mark_failed(failed, batch_at),
             loading.mark_completed(loads, extracted, batch_at),
         ]
-        self._write("upload_events", reduce(DataFrame.unionByName, events), batch_id)
-        done = self.spark.createDataFrame([(batch_at,)], BATCHES)
-        tables.write_batch(done, self.root, "batches", BATCHES, batch_id)
+        self._write("upload_events", reduce(DataFrame.unionByName, events), attempt)
+        done = self.spark.createDataFrame([(attempt, datetime.now(timezone.utc))], BATCHES)
+        tables.append(done, self.root, "batches", BATCHES, batch_id)
 
-        counts = {r.status: r["count"] for r in self.stored_batch("upload_events", batch_id).groupBy("status").count().collect()}
+        counts = {r.status: r["count"] for r in self.stored_batch("upload_events", attempt).groupBy("status").count().collect()}
         return _result(counts.get("pending", 0), counts.get("completed", 0), counts.get("failed", 0), batch_id)
 
-    def stored_batch(self, name: str, batch_id: str) -> DataFrame:
+    def compact(self, batch_id: str = "compacted") -> None:
+        """Rewrite all visible batches as one, facts and log in the order of company and time.
+
+        Its folders are complete before one row per former batch points away from the old ones. Nothing may
+        be loaded meanwhile; old folders stay until they are expired by age.
+        """
+        attempt = f"{batch_id}.{uuid.uuid4().hex}"
+        times = {"load_log": "loaded_at", "snapshot_fact": "snapshot_at"}
+        former = [r.batch_id for r in tables.read_table(self.spark, self.root, "batches", BATCHES).select("batch_id").distinct().collect()]
+        for name, schema in schemas.STORED.items():
+            rows = self.stored(name)
+            if name in times:
+                rows = rows.repartitionByRange("company_id", times[name]).sortWithinPartitions("company_id", times[name])
+            self._write(name, rows, attempt)
+        now = datetime.now(timezone.utc)
+        names = [(batch_id, attempt, now), *((b, f"{attempt}.none", now) for b in former if b != batch_id)]
+        tables.point(self.spark, self.root, "batches", BATCHES, names)
+
+    def stored_batch(self, name: str, attempt: str) -> DataFrame:
         return tables.read_table(self.spark, self.root, name, schemas.STORED[name]).filter(
-            F.col("batch_id") == batch_id
+            F.col("batch_id") == attempt
         )
 
     def _file_hashes(self, rows: DataFrame) -> DataFrame:
@@ -221,8 +253,8 @@ class Warehouse:
             "file_id", file_hash.alias("file_sha256")
         )
 
-    def _finished(self) -> DataFrame:
-        return self.table("upload_audit").select("status", "file_sha256")
+    def _finished(self, besides: str | None = None) -> DataFrame:
+        return uploads.current_uploads(self.stored("upload_events", besides)).select("status", "file_sha256")
 
     def _dimension_rows(self, loads: DataFrame, batch_at: datetime):
         loads = loads.withColumns(
@@ -232,11 +264,11 @@ class Warehouse:
         yield "dim_currency", "currency_id", dims.currencies(loads, "currency", "loaded_at")
         yield "dim_date", "date_id", dims.year_dates(loads, "years", ["upload_id"])
 
-    def _write(self, name: str, df: DataFrame, batch_id: str) -> None:
-        tables.write_batch(df, self.root, name, schemas.STORED[name], batch_id)
+    def _write(self, name: str, df: DataFrame, attempt: str) -> None:
+        tables.write_batch(df, self.root, name, schemas.STORED[name], attempt)
 
-    def _stage(self, batch_id: str, name: str, df: DataFrame) -> DataFrame:
-        path = f"{self.staging}/batch_id={batch_id}/{name}"
+    def _stage(self, attempt: str, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.staging}/batch_id={attempt}/{name}"
         df.write.mode("overwrite").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 

@@ -17,6 +17,23 @@ def write_batch(df: DataFrame, root: str, table: str, schema: T.StructType, batc
     conform(df, schema).write.mode("overwrite").parquet(f"{root}/{table}/batch_id={batch_id}")
 
 
+def append(df: DataFrame, root: str, table: str, schema: T.StructType, batch_id: str) -> None:
+    """Append rows beside the ones a batch already has."""
+    conform(df, schema).write.mode("append").parquet(f"{root}/{table}/batch_id={batch_id}")
+
+
+def point(spark: SparkSession, root: str, table: str, schema: T.StructType, rows: list[tuple]) -> None:
+    """Append ``(batch_id, *columns)`` rows of many batches in one write, and so in one step for readers."""
+    with_batch = T.StructType([T.StructField("batch_id", T.StringType()), *schema.fields])
+    made = spark.createDataFrame(rows, with_batch).coalesce(1)
+    made.write.mode("append").partitionBy("batch_id").parquet(f"{root}/{table}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
     """All batches of a table with their ``batch_id``; empty before the first one."""
     with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())])

@@ -8,20 +8,17 @@ from __future__ import annotations
 
 import io
 import posixpath
-import re
 import zipfile
 from collections.abc import Iterator
-from datetime import datetime, time, timedelta
+from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 Cell = tuple[int, str, str, float | None]  # column index from 0, kind, text, number
 
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
-_DATE_CODES = re.compile(r"(?<![_\\])[dmhys]", re.IGNORECASE)
-_NOT_CODES = re.compile(r'"[^"]*"|\[(?!hh?\]|mm?\]|ss?\])[^\]]*\]')
-_DURATION = re.compile(r"\[(hh?|mm?|ss?)\]")
-_BUILTIN_DATES = {14, 15, 16, 17, 18, 19, 20, 21, 22, 45, 47}
-_BUILTIN_DURATIONS = {46}
+#: Fixed values of the file format: built-in number formats that show a point in time, and the one that shows a duration.
+_BUILTIN = {i: "date" for i in (*range(14, 23), 45, 47)} | {46: "duration"}
+_DAY_MS = 86_400_000
 
 
 class SheetMissing(ValueError):
@@ -67,34 +64,65 @@ def _shared_strings(archive: zipfile.ZipFile) -> list[str]:
     return [_text(item) for item in _xml(archive, "xl/sharedStrings.xml") if _tag(item) == "si"]
 
 
+def _shown_as(code: str) -> str | None:
+    """What a number format makes of a number: ``duration``, ``date`` or None for neither.
+
+    Only the first section counts. Read left to right: text in quotes stands for itself, as does the
+    character after a backslash; an underscore or asterisk takes the next character as filling; square
+    brackets hold a run of one of h, m, s for elapsed time, or else a colour, condition or locale.
+    Of what is left, the letters of year, month, day, hour and second show a date.
+    """
+    is_date, at = False, 0
+    while at < len(code) and code[at] != ";":
+        char = code[at].lower()
+        if char == '"':
+            end = code.find('"', at + 1)
+            at = len(code) if end < 0 else end
+        elif char == "[":
+            end = code.find("]", at + 1)
+            inside = code[at + 1 : len(code) if end < 0 else end].lower()
+            if inside and len(inside) <= 2 and set(inside) in ({"h"}, {"m"}, {"s"}):
+                return "duration"
+            at = len(code) if end < 0 else end
+        elif char in "\\_*":
+            at += 1
+        elif char in "ymdhs":
+            is_date = True
+        at += 1
+    return "date" if is_date else None
+
+
 def _date_styles(archive: zipfile.ZipFile) -> dict[int, str]:
     """Cell style index -> ``date`` or ``duration``, for the styles that show one."""
     if "xl/styles.xml" not in archive.namelist():
         return {}
-    styles = _xml(archive, "xl/styles.xml")
-    kinds = {i: "date" for i in _BUILTIN_DATES} | {i: "duration" for i in _BUILTIN_DURATIONS}
-    for element in styles.iter():
-        if _tag(element) == "numFmt":
-            code = _NOT_CODES.sub("", element.get("formatCode", "").split(";")[0])
-            if _DURATION.search(code):
-                kinds[int(element.get("numFmtId"))] = "duration"
-            elif _DATE_CODES.search(code):
-                kinds[int(element.get("numFmtId"))] = "date"
-    formats = next((e for e in styles if _tag(e) == "cellXfs"), ())
-    numbered = ((i, kinds.get(int(xf.get("numFmtId", 0)))) for i, xf in enumerate(formats))
-    return {i: kind for i, kind in numbered if kind}
+    own, cell_formats = {}, []
+    for group in _xml(archive, "xl/styles.xml"):
+        if _tag(group) == "numFmts":
+            own = {int(f.get("numFmtId")): _shown_as(f.get("formatCode", "")) for f in group}
+        elif _tag(group) == "cellXfs":
+            cell_formats = [int(f.get("numFmtId", 0)) for f in group]
+    shown = {style: own.get(number, _BUILTIN.get(number)) for style, number in enumerate(cell_formats)}
+    return {style: kind for style, kind in shown.items() if kind}
 
 
 def _date_text(serial: float, kind: str, from_1904: bool) -> str:
-    span = timedelta(milliseconds=round(serial * 86_400_000))
+    """A serial number as text: whole days from the epoch of the workbook, and the part of a day.
+
+    In the 1900 system day 1 is 1 January 1900 and day 60 a 29 February that never was, so from there
+    on days count one less. Numbers from 0 to below 1 are a time of day.
+    """
+    days, within = divmod(round(serial * _DAY_MS), _DAY_MS)
+    part = timedelta(milliseconds=within)
     if kind == "duration":
-        return str(span)
-    if 0 <= serial < 1 and span.days == 0:
-        return str((datetime.min + span).time() if span else time(0))
+        return str(timedelta(days=days) + part)
+    if days == 0 and serial >= 0:
+        return str((datetime.min + part).time())
     if from_1904:
-        return str(datetime(1904, 1, 1) + span)
-    # Serials before the non-existing 29 February 1900 are one day short.
-    return str(datetime(1899, 12, 30) + span + timedelta(days=1 if 0 < serial < 60 else 0))
+        first = datetime(1904, 1, 1)
+    else:
+        first = datetime(1899, 12, 31) if 0 < days < 60 else datetime(1899, 12, 30)
+    return str(first + timedelta(days=days) + part)
 
 
 def _column(reference: str) -> int:
@@ -138,9 +166,13 @@ def read_rows(content: bytes, sheet: str) -> Iterator[tuple[int, list[Cell]]]:
     with zipfile.ZipFile(io.BytesIO(content)) as archive:
         part, from_1904 = _sheet_part(archive, sheet)
         strings, styles = _shared_strings(archive), _date_styles(archive)
-        row_idx = 0
+        row_idx, rows = 0, None
         with archive.open(part) as stream:
-            for _, element in ElementTree.iterparse(stream):
+            for event, element in ElementTree.iterparse(stream, events=("start", "end")):
+                if event == "start":
+                    if _tag(element) == "sheetData":
+                        rows = element
+                    continue
                 if _tag(element) != "row":
                     continue
                 row_idx = int(element.get("r", row_idx + 1))
@@ -152,6 +184,8 @@ def read_rows(content: bytes, sheet: str) -> Iterator[tuple[int, list[Cell]]]:
                     value = _value(cell, strings, styles, from_1904)
                     if value is not None:
                         cells.append((column, *value))
-                element.clear()
+                # Off the tree, so that memory doesn't grow with the rows.
+                if rows is not None:
+                    rows.remove(element)
                 if cells:
                     yield row_idx, cells

@@ -22,9 +22,9 @@ _ROW = pa.schema(
 )
 
 
-def workbook_files(spark: SparkSession, directory: str | list[str], glob: str = fixed.WORKBOOK_GLOB) -> DataFrame:
+def workbook_files(spark: SparkSession, directory: str, glob: str = fixed.WORKBOOK_GLOB) -> DataFrame:
     """Files of a directory (not of its sub-folders) matching the glob, case-sensitively; empty if
-    the directory is missing. ``directory`` may also be a list of file paths.
+    the directory is missing.
 
     The content is read only where a plan uses it.
     """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+import hashlib
 
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,8 +22,11 @@ def stream_directory(
     """Load files as they land, each path once; for folders whose files never change.
 
     Takes what is there and stops, or keeps going ``every`` interval. A micro-batch that is run
-    again after a failure gets the same batch id and replaces itself.
+    again after a failure gets the same batch id and replaces itself; other folders and other
+    checkpoints have other ids. For files overwritten in place, call ``Warehouse.load_directory``
+    from a scheduler.
     """
+    stream = hashlib.sha256(f"{directory}\n{checkpoint}".encode()).hexdigest()[:16]
     files = (
         warehouse.spark.readStream.format("binaryFile")
         .schema("path string, modificationTime timestamp, length bigint, content binary")
@@ -33,25 +36,7 @@ def stream_directory(
     )
 
     def load(batch, number: int) -> None:
-        warehouse.load_rows(scan_sheet(batch), batch_id=f"stream-{number:012d}", **options)
+        warehouse.load_rows(scan_sheet(batch), batch_id=f"stream-{stream}-{number:012d}", **options)
 
     writer = files.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
-
-
-def poll_directory(
-    warehouse: Warehouse, directory: str, checkpoint: str, every: str = "1 minute", **options
-) -> StreamingQuery:
-    """Look through the whole folder ``every`` interval, one run at a time and without catching
-    up on missed ones; notices files overwritten in place."""
-    ticks = warehouse.spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-
-    def load(_, number: int) -> None:
-        warehouse.load_directory(directory, batch_at=datetime.now(timezone.utc), **options)
-
-    return (
-        ticks.writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=every)
-        .start()
-    )

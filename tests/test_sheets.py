@@ -12,6 +12,7 @@ from sheetstar import fixed
 from sheetstar.functions.text import float_text, parse_float, parse_int, round_exactly, round_number, strip
 from sheetstar.operators import fingerprints, metrics, rules, sheets
 from sheetstar.plans import loading
+from sheetstar.sources import workbook_cells
 from tests.sheets import CELLS, cell_rows, cells, clean
 
 METRIC = fixed.METRIC_LABELS[0]
@@ -214,3 +215,20 @@ def test_large_files_hash_the_same_as_small_ones(spark):
     assert joined == streamed == mixed
     text = "".join(f"label {i}{i}ü" for i in range(3000))
     assert joined["a"] == hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("code, shown", [
+    ("yyyy-mm-dd", "date"), ("d/m/yy h:mm", "date"), ("[h]:mm:ss", "duration"), ("[mm]:ss", "duration"), ("[Red]0.00", None), ("[$-409]d-mmm", "date"),
+    ('0 "days"', None), (r"0\d", None), ("_d0", None), ("0.00E+00", None), ("General", None), ("0;[Red]d", None), ('"unclosed d', None), ("[unclosed d", None), ("", None),
+])
+def test_number_formats(code, shown):
+    assert workbook_cells._shown_as(code) == shown
+
+
+@pytest.mark.parametrize("serial, kind, from_1904, text", [
+    (45657.0, "date", False, "2024-12-31 00:00:00"), (1.0, "date", False, "1900-01-01 00:00:00"), (59.5, "date", False, "1900-02-28 12:00:00"),
+    (61.0, "date", False, "1900-03-01 00:00:00"), (0.25, "date", False, "06:00:00"), (0.0, "date", False, "00:00:00"), (0.9999999999, "date", False, "1900-01-01 00:00:00"),
+    (1.0, "date", True, "1904-01-02 00:00:00"), (44195.75, "date", True, "2024-12-31 18:00:00"), (1.5, "duration", False, "1 day, 12:00:00"),
+])
+def test_serial_numbers(serial, kind, from_1904, text):
+    assert workbook_cells._date_text(serial, kind, from_1904) == text

@@ -9,7 +9,7 @@ import pytest
 from sheetstar import schemas
 from sheetstar.plans.warehouse import Warehouse
 from sheetstar.sources.workbooks import scan_sheet, workbook_files
-from sheetstar.streaming.arrivals import poll_directory, stream_directory
+from sheetstar.streaming.arrivals import stream_directory
 from tests.sheets import clean, write_workbook
 
 T0 = datetime(2025, 1, 1, 12, tzinfo=timezone.utc)
@@ -201,17 +201,84 @@ def test_stream_loads_each_path_once(spark, landing, warehouse, tmp_path):
     assert warehouse.table("upload_audit").filter("status = 'completed'").count() == 2
 
 
-def test_polling_loads_on_each_tick(spark, landing, warehouse, tmp_path):
+def test_two_streams_load_into_one_warehouse(spark, landing, warehouse, tmp_path):
+    other = tmp_path / "other"
+    other.mkdir()
     write_workbook(landing / "a.xlsm", clean())
-    polling = poll_directory(warehouse, str(landing), str(tmp_path / "poll"), every="1 second")
-    try:
-        for _ in range(60):
-            polling.awaitTermination(1)
-            if polling.lastProgress and not warehouse.table("upload_audit").isEmpty():
-                break
-    finally:
-        polling.stop()
-    assert warehouse.table("company_versions").count() == 1
+    write_workbook(other / "b.xlsm", clean(metric=[4.0]))
+    stream_directory(warehouse, str(landing), str(tmp_path / "c1")).awaitTermination()
+    stream_directory(warehouse, str(other), str(tmp_path / "c2")).awaitTermination()
+    assert warehouse.table("snapshot_fact").count() == 2
+    # A new checkpoint of a folder takes its files again, and finds their content loaded.
+    stream_directory(warehouse, str(landing), str(tmp_path / "c3")).awaitTermination()
+    assert warehouse.table("snapshot_fact").count() == 2
+
+
+@pytest.mark.parametrize("name", ["report[1].xlsm", "a{b,c}.xlsm", "what?.xlsm", "star*.xlsm"])
+def test_names_are_no_patterns(spark, landing, warehouse, name):
+    write_workbook(landing / name, clean())
+    write_workbook(landing / "plain.xlsm", clean(metric=[4.0]))
+    assert warehouse.load_directory(str(landing), T0)["completed"] == 2
+
+
+def test_a_batch_run_twice_keeps_what_it_loaded(spark, landing, warehouse):
+    write_workbook(landing / "a.xlsm", clean())
+    (landing / "broken.xlsm").write_bytes(b"no workbook")
+    tables = ("snapshot_fact", "company_versions", "upload_audit", "dim_country", "dim_company")
+    warehouse.load_directory(str(landing), T0, batch_id="b1")
+    before = [warehouse.table(t).count() for t in tables]
+    again = Warehouse(spark, warehouse.root).load_rows(scan_sheet(workbook_files(spark, str(landing))), T0, batch_id="b1")
+    assert (again["completed"], again["failed"]) == (1, 1)
+    assert [warehouse.table(t).count() for t in tables] == before == [1, 1, 2, 1, 1]
+
+
+def test_a_repeated_batch_is_seen_whole_or_as_before(spark, landing, warehouse, monkeypatch):
+    write_workbook(landing / "a.xlsm", clean())
+    warehouse.load_directory(str(landing), T0, batch_id="b1")
+    write = Warehouse._write
+
+    def dies(self, name, df, attempt):
+        if name == "upload_events":
+            raise RuntimeError("executor lost")
+        write(self, name, df, attempt)
+
+    monkeypatch.setattr(Warehouse, "_write", dies)
+    with pytest.raises(RuntimeError):
+        warehouse.load_rows(scan_sheet(workbook_files(spark, str(landing))), T0, batch_id="b1")
+    assert warehouse.table("snapshot_fact").count() == 1
+
+
+def test_a_second_poll_decodes_only_what_changed(spark, landing, warehouse, monkeypatch):
+    write_workbook(landing / "a.xlsm", clean())
+    (landing / "broken.xlsm").write_bytes(b"no workbook")
+    warehouse.load_directory(str(landing), T0)
+    decoded = []
+    from sheetstar.plans import warehouse as module
+
+    def scan(files, *args):
+        decoded.append(sorted(r.path.rsplit("/", 1)[1] for r in files.select("path").collect()))
+        return scan_sheet(files, *args)
+
+    monkeypatch.setattr(module.workbooks, "scan_sheet", scan)
+    assert warehouse.load_directory(str(landing), T0 + timedelta(days=1))["failed"] == 1
+    write_workbook(landing / "a.xlsm", clean(metric=[9.0, 8.0]))
+    write_workbook(landing / "broken.xlsm", clean(metric=[5.0]))
+    assert warehouse.load_directory(str(landing), T0 + timedelta(days=2))["completed"] == 2
+    assert warehouse.load_directory(str(landing), T0 + timedelta(days=3))["new"] == 0
+    assert decoded == [["broken.xlsm"], ["a.xlsm", "broken.xlsm"]]
+
+
+def test_compaction_changes_no_result(spark, landing, warehouse):
+    for day in range(3):
+        write_workbook(landing / f"{day}.xlsm", clean(metric=[float(day)]))
+        warehouse.load_directory(str(landing), T0 + timedelta(days=day))
+    tables = ("snapshot_fact", "company_versions", "upload_audit", "dim_country", "dim_date", "data_quality_report", "raw_values")
+    before = [sorted(map(str, warehouse.table(t).collect())) for t in tables]
+    warehouse.compact()
+    assert [sorted(map(str, warehouse.table(t).collect())) for t in tables] == before
+    write_workbook(landing / "3.xlsm", clean(metric=[7.0]))
+    warehouse.load_directory(str(landing), T0 + timedelta(days=4))
+    assert warehouse.table("snapshot_fact").count() == 4
 
 
 def test_empty_sheet_fails_without_entity(spark, landing, warehouse):
