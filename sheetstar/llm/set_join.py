@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -78,30 +79,38 @@ def own_sets(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, _OWN)
 
 
-_PACKED = "part bigint, count bigint, tokens binary, docs binary, keys binary, sizes binary"
+_PACKED = "part bigint, pack bigint, count bigint, tokens binary, docs binary, repeats binary, repeat_keys binary, keys binary, sizes binary"
 
 
-def _packed(documents: DataFrame, width: int, parts: int) -> DataFrame:
-    """All sets' shingles by range of the hash, each set once per pack."""
+def _packed(documents: DataFrame, width: int, parts: int, repeated: np.ndarray) -> DataFrame:
+    """All sets' shingles by range of the hash, each set once per pack.
 
-    def flush(keys, sizes, sets):
+    A set is named by its pack and place; only sets that may have copies in other packs carry their
+    key in every range. The keys and sizes of a pack's sets travel with the first of its ranges.
+    """
+    sent = documents.sparkSession.sparkContext.broadcast(repeated)
+
+    def flush(pack, keys, sizes, sets):
         tokens = np.concatenate(sets)
         docs = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
         order = np.argsort(tokens)
         tokens, docs = tokens[order], docs[order]
         part = ((tokens >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
         cuts = np.flatnonzero(np.diff(part, prepend=np.uint64(parts + 1)))
-        head = [np.array(keys, dtype=np.uint64).tobytes(), np.array(sizes, dtype=np.uint32).tobytes()]
-        rows = [
-            (int(part[i]), int(j - i), _pack(tokens[i:j]), docs[i:j].tobytes(), *head)
-            for i, j in zip(cuts, [*cuts[1:], len(tokens)])
-        ]
-        names = ["part", "count", "tokens", "docs", "keys", "sizes"]
+        keys = np.array(keys, dtype=np.uint64)
+        several = sent.value[keys % np.uint64(len(sent.value))]
+        head, rows = (keys.tobytes(), np.array(sizes, dtype=np.uint32).tobytes()), []
+        for i, j in zip(cuts, [*cuts[1:], len(tokens)]):
+            repeats = np.unique(docs[i:j][several[docs[i:j]]])
+            rows.append((int(part[i]), pack, int(j - i), _pack(tokens[i:j]), docs[i:j].tobytes(), repeats.tobytes(), keys[repeats].tobytes(), *(head if i == 0 else (b"", b""))))
+        names = [c.split()[0] for c in _PACKED.split(", ")]
         for i in range(0, len(rows), 16):
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 16])], names)
 
     def run(batches):
         hasher = WordHasher()
+        # Unique over tasks, and the same when a task runs again.
+        pack = TaskContext.get().partitionId() << 20
         keys, sizes, sets, held, seen = [], [], [], 0, set()
         for batch in batches:
             for _, tokens in _sets(batch, hasher, width):
@@ -114,56 +123,79 @@ def _packed(documents: DataFrame, width: int, parts: int) -> DataFrame:
                 sets.append(tokens)
                 held += len(tokens)
                 if held >= PACK_SHINGLES or len(sets) == 65_535:
-                    yield from flush(keys, sizes, sets)
-                    keys, sizes, sets, held, seen = [], [], [], 0, set()
+                    yield from flush(pack, keys, sizes, sets)
+                    pack, keys, sizes, sets, held, seen = pack + 1, [], [], [], 0, set()
         if sets:
-            yield from flush(keys, sizes, sets)
+            yield from flush(pack, keys, sizes, sets)
 
     return documents.select("text").mapInArrow(run, _PACKED)
 
 
-_SHARED = "bucket bigint, keys binary, sizes binary, counts binary, tokens binary, frequencies binary"
+#: Slots of the table that tells which keys may be repeated. A full table only sends more keys along.
+REPEAT_SLOTS = 1 << 22
+
+
+def _repeated(classes: DataFrame) -> np.ndarray:
+    """Whether a slot holds the key of a set that several rows have; at most REPEAT_SLOTS / 32 numbers are collected."""
+    # The slot is the unsigned key modulo a power of two, that is its last bits.
+    slot = F.col("key").bitwiseAND(F.lit(REPEAT_SLOTS - 1))
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (slot % 32).cast("int"))
+    words = classes.filter("copies > 1").groupBy(F.floor(slot / 32).alias("word")).agg(F.bit_or(bit).alias("bits")).collect()
+    table = np.zeros(REPEAT_SLOTS // 32, dtype=np.uint32)
+    for r in words:
+        table[r["word"]] = r["bits"]
+    return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
+
+
+_SHARED = "pack bigint, docs binary, counts binary, tokens binary, frequencies binary, keys binary, sizes binary"
+_OWN_NAME = np.uint64(1 << 63)
 
 
-def _shared(packed: DataFrame, parts: int) -> DataFrame:
-    """Of each range of shingles, those in two sets or more, with their number of sets, by bucket of set."""
+def _shared(packed: DataFrame) -> DataFrame:
+    """Of each range of shingles, those in two sets or more, with their number of sets, by pack."""
 
     def run(table: pa.Table) -> pa.Table:
-        tokens, keys, sizes = [], [], []
+        tokens, places, names, heads = [], [], [], []
         for row in table.to_pylist():
             docs = np.frombuffer(row["docs"], dtype=np.uint16)
+            place = (np.uint64(row["pack"]) << np.uint64(16)) | docs.astype(np.uint64)
+            name = place | _OWN_NAME
+            repeats = np.frombuffer(row["repeats"], dtype=np.uint16)
+            if len(repeats):
+                at = np.minimum(np.searchsorted(repeats, docs), len(repeats) - 1)
+                name = np.where(repeats[at] == docs, np.frombuffer(row["repeat_keys"], dtype=np.uint64)[at] & ~_OWN_NAME, name)
             tokens.append(_unpack(row["tokens"], row["count"]))
-            keys.append(np.frombuffer(row["keys"], dtype=np.uint64)[docs])
-            sizes.append(np.frombuffer(row["sizes"], dtype=np.uint32)[docs])
-        tokens, keys, sizes = map(np.concatenate, (tokens, keys, sizes))
+            places.append(place)
+            names.append(name)
+            if row["keys"]:
+                heads.append((row["pack"], b"", b"", b"", b"", row["keys"], row["sizes"]))
+        tokens, places, names = map(np.concatenate, (tokens, places, names))
         order = np.argsort(tokens)
         tokens = tokens[order]
         twin = np.zeros(len(tokens) + 1, dtype=bool)
         twin[1:-1] = tokens[1:] == tokens[:-1]
         several = twin[1:] | twin[:-1]
-        tokens, keys, sizes = tokens[several], keys[order][several], sizes[order][several]
-        # Packs of different tasks may hold the same set.
-        order = np.lexsort((keys, tokens))
-        tokens, keys, sizes = tokens[order], keys[order], sizes[order]
+        tokens, places, names = tokens[several], places[order][several], names[order][several]
+        # A set that several packs hold counts once, at its first place: the same for all its shingles.
+        order = np.lexsort((places, names, tokens))
+        tokens, places, names = tokens[order], places[order], names[order]
         new = np.ones(len(tokens), dtype=bool)
-        new[1:] = (tokens[1:] != tokens[:-1]) | (keys[1:] != keys[:-1])
-        tokens, keys, sizes = tokens[new], keys[new], sizes[new]
+        new[1:] = (tokens[1:] != tokens[:-1]) | (names[1:] != names[:-1])
+        tokens, places = tokens[new], places[new]
         _, inverse, counts = np.unique(tokens, return_inverse=True, return_counts=True)
         frequency = counts[inverse].astype(np.uint32)
         kept = frequency > 1
-        tokens, keys, sizes, frequency = tokens[kept], keys[kept], sizes[kept], frequency[kept]
-        bucket = keys % np.uint64(parts)
-        order = np.lexsort((tokens, keys, bucket))
-        tokens, keys, sizes, frequency, bucket = (x[order] for x in (tokens, keys, sizes, frequency, bucket))
-        cuts = np.flatnonzero(np.diff(bucket, prepend=np.uint64(parts + 1))) if len(bucket) else []
-        rows = []
+        tokens, places, frequency = tokens[kept], places[kept], frequency[kept]
+        order = np.lexsort((tokens, places))
+        tokens, places, frequency = tokens[order], places[order], frequency[order]
+        pack = places >> np.uint64(16)
+        cuts = np.flatnonzero(np.append(True, pack[1:] != pack[:-1])) if len(pack) else []
+        rows = heads
         for i, j in zip(cuts, [*cuts[1:], len(tokens)]):
-            first = np.flatnonzero(np.diff(keys[i:j], prepend=keys[i] + np.uint64(1)))
-            counts = np.diff(np.append(first, j - i)).astype(np.uint32)
-            rows.append((int(bucket[i]), keys[i:j][first].tobytes(), sizes[i:j][first].tobytes(), counts.tobytes(), tokens[i:j].tobytes(), frequency[i:j].tobytes()))
-        names = ["bucket", "keys", "sizes", "counts", "tokens", "frequencies"]
-        schema = pa.schema([("bucket", pa.int64()), *[(n, pa.binary()) for n in names[1:]]])
-        return pa.table([list(c) for c in zip(*rows)] if rows else [[]] * 6, schema=schema)
+            docs, counts = np.unique(places[i:j], return_counts=True)
+            rows.append((int(pack[i]), docs.astype(np.uint16).tobytes(), counts.astype(np.uint32).tobytes(), tokens[i:j].tobytes(), frequency[i:j].tobytes(), b"", b""))
+        kinds = pa.schema([(c.split()[0], pa.int64() if c.endswith("bigint") else pa.binary()) for c in _SHARED.split(", ")])
+        return pa.table([list(c) for c in zip(*rows)] if rows else [[]] * 7, schema=kinds)
 
     return packed.groupBy("part").applyInArrow(run, _SHARED)
 
@@ -178,28 +210,32 @@ def _kept(shared: DataFrame, at_least: int, of: int) -> DataFrame:
     """
 
     def run(table: pa.Table) -> pa.Table:
-        parts = {n: [] for n in ("keys", "sizes", "tokens", "frequencies")}
+        parts, keys, sizes = {"docs": [], "tokens": [], "frequencies": []}, None, None
         for row in table.to_pylist():
-            counts = np.frombuffer(row["counts"], dtype=np.uint32)
-            for name, kind in (("keys", np.uint64), ("sizes", np.uint32)):
-                parts[name].append(np.repeat(np.frombuffer(row[name], dtype=kind), counts))
+            if row["keys"]:
+                keys, sizes = np.frombuffer(row["keys"], dtype=np.uint64), np.frombuffer(row["sizes"], dtype=np.uint32).astype(np.int64)
+                continue
+            parts["docs"].append(np.repeat(np.frombuffer(row["docs"], dtype=np.uint16), np.frombuffer(row["counts"], dtype=np.uint32)))
             parts["tokens"].append(np.frombuffer(row["tokens"], dtype=np.uint64))
             parts["frequencies"].append(np.frombuffer(row["frequencies"], dtype=np.uint32))
-        keys, sizes, tokens, frequency = (np.concatenate(parts[n]) for n in ("keys", "sizes", "tokens", "frequencies"))
-        order = np.lexsort((tokens, frequency, keys))
-        keys, sizes, tokens = keys[order], sizes[order], tokens[order]
-        first = np.flatnonzero(np.diff(keys, prepend=keys[0] + np.uint64(1)))
-        last = np.append(first[1:], len(keys))
-        n = sizes[first].astype(np.int64)
+        if not parts["docs"]:
+            empty = pa.array([], pa.int64())
+            return pa.table({"key": empty, "n": empty, "alone": empty, "tokens": pa.array([], pa.list_(pa.int64()))})
+        docs, tokens, frequency = (np.concatenate(parts[n]) for n in ("docs", "tokens", "frequencies"))
+        order = np.lexsort((tokens, frequency, docs))
+        docs, tokens = docs[order], tokens[order]
+        first = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
+        last = np.append(first[1:], len(docs))
+        n = sizes[docs[first]]
         alone = n - (last - first)
         prefix = n - (at_least * n + of - 1) // of + 1
         stay = np.flatnonzero(alone < prefix)
         lengths = (last - first)[stay]
         flat = np.concatenate([tokens[first[s] : last[s]] for s in stay]) if len(stay) else np.empty(0, dtype=np.uint64)
         lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), pa.array(flat.view(np.int64)))
-        return pa.table({"key": keys[first[stay]].view(np.int64), "n": n[stay], "alone": alone[stay], "tokens": lists})
+        return pa.table({"key": keys[docs[first[stay]]].view(np.int64), "n": n[stay], "alone": alone[stay], "tokens": lists})
 
-    return shared.groupBy("bucket").applyInArrow(run, _KEPT)
+    return shared.groupBy("pack").applyInArrow(run, _KEPT)
 
 
 def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -241,10 +277,10 @@ def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     all sets that any links connect. Not all links within a component are among them."""
     scratch = Scratch(documents.sparkSession, "sets")
     rows = scratch.keep(own_sets(documents, width), "rows")
-    classes = scratch.keep(rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n")), "classes")
+    classes = scratch.keep(rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.count("*").alias("copies")), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-total // group_shingles))
-    kept = _kept(_shared(_packed(documents, width, parts), parts), at_least, of)
+    kept = _kept(_shared(_packed(documents, width, parts, _repeated(classes))), at_least, of)
     # Sets seen under null ids only have no name to link by.
     sets = scratch.keep(kept.join(classes.select("key", "id").filter("id is not null"), "key").drop("key"), "sets")
 
