@@ -15,10 +15,7 @@ from pyspark.sql import functions as F
 from sheetstar import fixed
 from sheetstar.functions.times import day_end
 from sheetstar.operators.metrics import explode_document
-from sheetstar.operators.sequence import HOT_ROWS, number_rows
-
-# Pages ending further down than this are cut out of a numbered table instead of a top-k.
-TOP_K_ROWS = 100_000
+from sheetstar.operators.versions import held_versions
 
 VERSION_COLUMNS = [
     "version_id", "upload_id", "version_number", "valid_from", "valid_to", "is_current", "created_at",
@@ -40,23 +37,14 @@ def top_one(df: DataFrame, key: str, *order) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
 
 
-def list_companies(
-    companies: DataFrame, limit: int = fixed.PAGE_LIMIT_DEFAULT, offset: int = 0, hot_rows: int = HOT_ROWS
-) -> DataFrame:
-    """A page of companies by name."""
+def list_companies(companies: DataFrame, limit: int = fixed.PAGE_LIMIT_DEFAULT, offset: int = 0) -> DataFrame:
+    """A page of companies by name, then id. Each task keeps its first ``offset + limit`` rows."""
     if not 1 <= limit <= fixed.PAGE_LIMIT_MAX:
         raise ValueError(f"limit must be between 1 and {fixed.PAGE_LIMIT_MAX}, not {limit}")
     if offset < 0:
         raise ValueError(f"offset must not be negative, not {offset}")
     page = companies.select("company_id", "entity_name", "current_snapshot_id", "created_at")
-    if offset + limit <= TOP_K_ROWS:
-        return page.orderBy("entity_name").offset(offset).limit(limit)
-    numbered = number_rows(page.withColumn("_all", F.lit(0)), "_all", ["entity_name"], "_place", hot_rows=hot_rows)
-    return (
-        numbered.filter(F.col("_place").between(offset + 1, offset + limit))
-        .drop("_all", "_place")
-        .orderBy("entity_name")
-    )
+    return page.orderBy("entity_name", "company_id").offset(offset).limit(limit)
 
 
 def get_company(companies: DataFrame, company_id) -> DataFrame:
@@ -97,12 +85,12 @@ def list_snapshots_of(snapshots: DataFrame, ids=None) -> DataFrame:
     return wanted(snapshots, ids).orderBy("company_id", "snapshot_at", "version_id")
 
 
-def company_history(companies: DataFrame, versions: DataFrame, snapshots: DataFrame, ids=None) -> DataFrame:
-    """Snapshots of companies in time with their version number, 0 where the version is unknown."""
+def company_history(versions: DataFrame, snapshots: DataFrame, ids=None) -> DataFrame:
+    """Snapshots of companies in time with their version number, 0 where the version is unknown, and
+    their metrics, a missing document as an empty one. Names are the facts' own."""
     numbers = wanted(versions, ids).select("company_id", "version_id", "version_number")
-    names = wanted(companies, ids).select("company_id", "entity_name")
     return (
-        names.join(wanted(snapshots, ids).drop("entity_name"), "company_id")
+        with_empty_document(wanted(snapshots, ids))
         .join(numbers, ["company_id", "version_id"], "left")
         .select(
             "company_id",
@@ -118,15 +106,30 @@ def company_history(companies: DataFrame, versions: DataFrame, snapshots: DataFr
     )
 
 
-def latest_series(snapshots: DataFrame, ids=None) -> DataFrame:
-    """Metric series of each company's last snapshot in long form; no rows where it has none."""
+def with_empty_document(df: DataFrame, column: str = "credit_metrics") -> DataFrame:
+    """A null metrics document as one without years, metrics and sentinels."""
+    kind = df.schema[column].dataType
+    empty = F.struct(*[
+        (F.array() if f.dataType.typeName() == "array" else F.create_map()).cast(f.dataType).alias(f.name) for f in kind.fields
+    ])
+    return df.withColumn(column, F.coalesce(column, empty))
+
+
+def latest_documents(snapshots: DataFrame, ids=None) -> DataFrame:
+    """``company_id, snapshot_id, credit_metrics`` of each company's last snapshot: years, metrics and
+    sentinels, a missing document as an empty one."""
     last = top_one(
         wanted(snapshots, ids).select("company_id", "snapshot_id", "snapshot_at", "version_id", "credit_metrics"),
         "company_id",
         F.col("snapshot_at").desc(),
         F.col("version_id").desc(),
     )
-    return explode_document(last, ["company_id", "snapshot_id"])
+    return with_empty_document(last).select("company_id", "snapshot_id", "credit_metrics")
+
+
+def latest_series(snapshots: DataFrame, ids=None) -> DataFrame:
+    """The values of ``latest_documents`` in long form; no rows where there are none."""
+    return explode_document(latest_documents(snapshots, ids), ["company_id", "snapshot_id"])
 
 
 COMPARED_COLUMNS = [
@@ -135,30 +138,27 @@ COMPARED_COLUMNS = [
 ]
 
 
-def as_of(companies: DataFrame, versions: DataFrame, snapshots: DataFrame, day: date, ids=None) -> DataFrame:
-    """Companies with every version holding at the end of ``day`` (UTC) and its snapshots.
+def as_of(companies: DataFrame, log: DataFrame, snapshots: DataFrame, day: date, ids=None) -> DataFrame:
+    """Companies with the version holding at the end of ``day`` (UTC), off the log of loads, and its snapshots.
 
-    All joins are on keys; the validity interval is a filter on versions below them.
+    Zero-length versions of loads at one time hold never, so one version holds at most: the last load's.
     """
-    valid_from_bound, valid_to_bound = day_end(versions, "valid_from", day), day_end(versions, "valid_to", day)
-    # A list of ids filters versions below their numbering; a frame of ids does so in the join.
-    candidates = versions if isinstance(ids, DataFrame) else wanted(versions, ids)
-    holding = candidates.filter(
-        (F.col("valid_from") <= valid_from_bound)
-        & (F.col("valid_to").isNull() | (F.col("valid_to") > valid_to_bound))
-    )
+    candidates = wanted(log, ids)
+    holding = held_versions(candidates, day_end(log, "loaded_at", day))
+    kept = [c for c in COMPARED_COLUMNS if c in snapshots.columns]
+    facts = snapshots.select("version_id", *kept)
     return (
         wanted(companies, ids)
         .select("company_id", "entity_name")
         .join(holding.select("company_id", "version_id", "version_number"), "company_id")
-        .join(snapshots.select("version_id", *[c for c in COMPARED_COLUMNS if c in snapshots.columns]), "version_id")
+        .join(with_empty_document(facts) if "credit_metrics" in kept else facts, "version_id")
     )
 
 
-def as_of_pick(companies: DataFrame, versions: DataFrame, snapshots: DataFrame, day: date, ids=None) -> DataFrame:
+def as_of_pick(companies: DataFrame, log: DataFrame, snapshots: DataFrame, day: date, ids=None) -> DataFrame:
     """One row per company: highest version, then newest snapshot."""
     return top_one(
-        as_of(companies, versions, snapshots, day, ids),
+        as_of(companies, log, snapshots, day, ids),
         "company_id",
         F.col("version_number").desc(),
         F.col("snapshot_at").desc(),
@@ -173,10 +173,10 @@ def requested(companies: DataFrame, ids: list) -> DataFrame:
 
 
 def compare_companies(
-    request: DataFrame, companies: DataFrame, versions: DataFrame, snapshots: DataFrame, day: date
+    request: DataFrame, companies: DataFrame, log: DataFrame, snapshots: DataFrame, day: date
 ) -> DataFrame:
     """One row per entry of ``request`` (``pos, company_id``) in its order, with ``found``."""
-    picked = as_of_pick(companies, versions, snapshots, day, request).withColumn("found", F.lit(True))
+    picked = as_of_pick(companies, log, snapshots, day, request).withColumn("found", F.lit(True))
     return (
         request.select("pos", "company_id")
         .join(picked, "company_id", "left")
@@ -186,8 +186,8 @@ def compare_companies(
 
 
 def compare_not_found(
-    request: DataFrame, companies: DataFrame, versions: DataFrame, snapshots: DataFrame, day: date
+    request: DataFrame, companies: DataFrame, log: DataFrame, snapshots: DataFrame, day: date
 ) -> DataFrame:
     """Entries of ``request`` without a snapshot at ``day``, in request order."""
-    present = as_of(companies, versions, snapshots.select("version_id"), day, request)
+    present = as_of(companies, log, snapshots.select("version_id"), day, request)
     return request.select("pos", "company_id").join(present, "company_id", "left_anti").orderBy("pos")

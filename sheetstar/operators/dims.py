@@ -37,6 +37,16 @@ def company_id(entity_name: Column) -> Column:
     return stable_id("company", entity_name)
 
 
+def country_attributes(name: Column) -> Column:
+    """What is known of a country by its name, null for others."""
+    return _known(fixed.COUNTRIES, ["iso_alpha2", "iso_alpha3", "region"])[name]
+
+
+def currency_attributes(code: Column) -> Column:
+    """What is known of a currency by its code in any case, null for others."""
+    return _known(fixed.CURRENCY_NAMES, ["currency_name", "symbol"])[F.upper(code)]
+
+
 def countries(df: DataFrame, column: str, order: str) -> DataFrame:
     """Conformed countries of ``df[column]``, one row per name with the smallest ``order``; no row
     for a missing or empty name. Unlisted names are kept without attributes."""
@@ -45,7 +55,7 @@ def countries(df: DataFrame, column: str, order: str) -> DataFrame:
         .groupBy(F.col(column).alias("country_name"))
         .agg(F.min(order).alias("created_at"))
     )
-    known = _known(fixed.COUNTRIES, ["iso_alpha2", "iso_alpha3", "region"])[F.col("country_name")]
+    known = country_attributes(F.col("country_name"))
     return first.select(
         country_id(F.col("country_name")).alias("country_id"),
         "country_name",
@@ -63,7 +73,7 @@ def currencies(df: DataFrame, column: str, order: str) -> DataFrame:
         .groupBy(F.upper(column).alias("currency_code"))
         .agg(F.min(order).alias("created_at"))
     )
-    known = _known(fixed.CURRENCY_NAMES, ["currency_name", "symbol"])[F.col("currency_code")]
+    known = currency_attributes(F.col("currency_code"))
     return first.select(
         currency_id(F.col("currency_code")).alias("currency_id"),
         "currency_code",

@@ -1,100 +1,58 @@
 """Numbering rows within a key when one key may hold a large share of all rows.
 
-A window over such a key would sort all of its rows in one task. Here a key with more than
-``hot_rows`` rows is cut into chunks that follow the order, each chunk is numbered on its own,
-and the chunks' counts (one row per chunk) give the offsets. Results are the same as the plain
-window's.
+A window over such a key would sort all of its rows in one task. Here the order is cut into blocks:
+rows are numbered within (key, block), and the blocks' counts, one row each and combined before the
+shuffle, give what comes before. Results are the same as the plain window's, and building the plan
+runs no job. A block should be a stretch of the order that holds a bounded part of a key, such as a
+day of loads; rows with one value of the first order column are always in one block.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-HOT_ROWS = 5_000_000
-MAX_CHUNKS = 4096
-SAMPLES_PER_CHUNK = 32
-SEARCH_STEP = 64
+NUMBERS_PER_BLOCK = 1 << 16
+LETTERS_PER_BLOCK = 3
+
+
+def block_of(df: DataFrame, column: str) -> Column:
+    """A coarser value that never falls where ``column`` rises: the day, a range of numbers, the first letters."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.date_trunc("DAY", column)
+    if isinstance(kind, T.NumericType):
+        return F.floor(F.col(column) / NUMBERS_PER_BLOCK)
+    return F.substring(column, 1, LETTERS_PER_BLOCK) if isinstance(kind, T.StringType) else F.col(column)
 
 
 def number_rows(
-    df: DataFrame,
-    key: str,
-    order: list[str],
-    number: str,
-    following: dict[str, str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    df: DataFrame, key: str, order: list[str], number: str, following: dict[str, str] | None = None, block: Column | None = None
 ) -> DataFrame:
     """Add ``number`` (1, 2, … within ``key`` by ``order``) and, per ``following`` entry
     (new column -> source column), the source value of the next row of the key, null on the last.
 
-    ``order`` must be total within a key and free of nulls, as must the sources.
+    ``order`` must be total within a key and free of nulls, as must the sources. ``block`` cuts the
+    first column of the order; it must not fall where that rises.
     """
     following = following or {}
-    hot = df.groupBy(key).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-    # One narrow aggregation job decides whether any key needs cutting.
-    if hot.isEmpty():
-        return _plain(df, [key], order, number, following)
-    cold_part = _plain(df.join(F.broadcast(hot), key, "left_anti"), [key], order, number, following)
-    hot_part = _in_chunks(df, hot, key, order, number, following, hot_rows)
-    return cold_part.select(hot_part.columns).unionByName(hot_part)
-
-
-def _plain(df, keys, order, number, following) -> DataFrame:
-    w = W.partitionBy(*keys).orderBy(*order)
-    columns = {number: F.row_number().over(w).cast("bigint")}
-    columns.update({new: F.lead(source).over(w) for new, source in following.items()})
-    return df.withColumns(columns)
-
-
-def _in_chunks(df, hot, key, order, number, following, hot_rows) -> DataFrame:
-    # Everything broadcast here has at most rows / hot_rows rows or positions (a few hundred
-    # thousand for 10^12 rows); the rows themselves never move by the bare key.
-    columns = df.columns
+    placed = df.withColumn("_block", block_of(df, order[0]) if block is None else block)
     position = F.struct(*order)
-    rows = df.join(F.broadcast(hot), key)
-    chunks = F.least(F.lit(MAX_CHUNKS), F.ceil(F.col("_n") / hot_rows))
-    # Chunk limits come from a thin sample of positions, taken by hash of the position so that
-    # every evaluation draws the same one. It only places the limits; all rows are numbered.
-    every = F.greatest(F.lit(1), F.floor(F.col("_n") / (chunks * SAMPLES_PER_CHUNK)))
-    sampled = rows.filter(F.pmod(F.xxhash64(key, *order), every) == 0)
-    positions = sampled.groupBy(key).agg(F.sort_array(F.collect_list(position)).alias("_sorted"))
-    limits = positions.select(
-        key, F.filter("_sorted", lambda p, i: (i + 1) % SAMPLES_PER_CHUNK == 0).alias("_limits")
-    ).withColumn("_coarse", F.filter("_limits", lambda p, i: i % SEARCH_STEP == 0))
-
-    def passed(limits_array):
-        return F.coalesce(F.size(F.filter(limits_array, lambda p: p <= position)), F.lit(0))
-
-    # Two short scans instead of one over all limits.
-    block = F.col("_block")
-    placed = (
-        rows.join(F.broadcast(limits), key, "left")
-        .withColumn("_block", F.greatest(passed(F.col("_coarse")) - 1, F.lit(0)) * SEARCH_STEP)
-        .withColumn("_chunk", block + passed(F.slice("_limits", block + 1, F.lit(SEARCH_STEP))))
-        .select(*columns, "_chunk")
-    )
-    nexts = {f"_next_{new}": source for new, source in following.items()}
-    local = _plain(placed, [key, "_chunk"], order, "_local", nexts)
-    per_chunk = placed.groupBy(key, "_chunk").agg(
-        F.count("*").alias("_rows"),
-        *[F.min_by(source, position).alias(f"_first_{new}") for new, source in following.items()],
+    per_block = placed.groupBy(key, "_block").agg(
+        F.count("*").alias("_rows"), *[F.min_by(source, position).alias(f"_first_{new}") for new, source in following.items()]
     )
-    w = W.partitionBy(key).orderBy("_chunk")
-    offsets = per_chunk.select(
-        key,
-        "_chunk",
-        "_rows",
-        F.coalesce(F.sum("_rows").over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
-        *[F.lead(f"_first_{new}").over(w).alias(f"_after_{new}") for new in following],
+    blocks = W.partitionBy(key).orderBy("_block")
+    before = F.coalesce(F.sum("_rows").over(blocks.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = per_block.select(
+        key, "_block", before.alias("_before"), *[F.lead(f"_first_{new}").over(blocks).alias(f"_after_{new}") for new in following]
     )
-    last_in_chunk = F.col("_local") == F.col("_rows")
-    return local.join(F.broadcast(offsets), [key, "_chunk"]).select(
-        *columns,
-        (F.col("_local") + F.col("_before")).alias(number),
-        *[
-            F.when(last_in_chunk, F.col(f"_after_{new}")).otherwise(F.col(f"_next_{new}")).alias(new)
-            for new in following
-        ],
+    within = W.partitionBy(key, "_block").orderBy(*order)
+    local = placed.withColumn("_local", F.row_number().over(within))
+    local = local.withColumns({f"_next_{new}": F.lead(source).over(within) for new, source in following.items()}) if following else local
+    return local.join(offsets, [key, "_block"]).select(
+        *df.columns,
+        (F.col("_local") + F.col("_before")).cast("bigint").alias(number),
+        *[F.coalesce(f"_next_{new}", f"_after_{new}").alias(new) for new in following],
     )

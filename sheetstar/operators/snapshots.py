@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sheetstar.functions.times import day_end, day_start
-from sheetstar.operators.companies import top_one, wanted
+from sheetstar.operators.companies import top_one, wanted, with_empty_document
+from sheetstar.operators.dims import country_attributes, currency_attributes
 from sheetstar.operators.sheets import raw_document
 
 ITEM_COLUMNS = [
@@ -63,33 +64,19 @@ def snapshot_details(snapshots: DataFrame, ids=None, raw: DataFrame | None = Non
         if name in rows.columns:
             empty = F.create_map().cast(rows.schema[name].dataType)
             rows = rows.withColumn(name, F.coalesce(name, empty))
-    if "credit_metrics" in rows.columns:
-        kind = rows.schema["credit_metrics"].dataType
-        empty = F.struct(*[
-            (F.array() if f.dataType.typeName() == "array" else F.create_map()).cast(f.dataType).alias(f.name)
-            for f in kind.fields
-        ])
-        rows = rows.withColumn("credit_metrics", F.coalesce("credit_metrics", empty))
-    return rows
+    return with_empty_document(rows) if "credit_metrics" in rows.columns else rows
 
 
-def star(
-    snapshots: DataFrame,
-    companies: DataFrame,
-    versions: DataFrame,
-    uploads: DataFrame,
-    countries: DataFrame,
-    currencies: DataFrame,
-    reports: DataFrame,
-) -> DataFrame:
+def star(snapshots: DataFrame, companies: DataFrame, versions: DataFrame, uploads: DataFrame, reports: DataFrame) -> DataFrame:
     """The fact navigated to all its neighbours. Country, currency and report may be missing.
 
-    The two joins on upload follow each other, so the fact moves once for both.
+    A version belongs to one upload, as the fact does, so version, upload and report are met with one
+    move of the fact. What is known of countries and currencies comes from the fixed lists that the
+    dimensions hold, in the plan, so nothing is shuffled by these few and uneven values.
     """
+    country, currency = country_attributes(F.col("country_name")), currency_attributes(F.col("currency_code"))
     return (
-        snapshots.join(
-            versions.select("version_id", "version_number", "valid_from", "valid_to", "is_current"), "version_id"
-        )
+        snapshots.join(versions.select("upload_id", "version_number", "valid_from", "valid_to", "is_current"), "upload_id")
         .join(uploads.select("upload_id", "filename", "status", "uploaded_at", "rows_extracted"), "upload_id")
         .join(
             reports.select("upload_id", "completeness_score", "validity_score", "error_count", "warning_count"),
@@ -97,7 +84,6 @@ def star(
             "left",
         )
         .join(companies.select("company_id", "current_snapshot_id"), "company_id")
-        .join(countries.select("country_id", "iso_alpha2", "iso_alpha3", "region"), "country_id", "left")
-        .join(currencies.select("currency_id", "currency_name", "symbol"), "currency_id", "left")
+        .select("*", *[country[n].alias(n) for n in ("iso_alpha2", "iso_alpha3", "region")], *[currency[n].alias(n) for n in ("currency_name", "symbol")])
         .withColumn("is_current_snapshot", F.col("snapshot_id") == F.col("current_snapshot_id"))
     )

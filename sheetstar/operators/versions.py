@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetstar.operators.sequence import HOT_ROWS, number_rows
+from sheetstar.operators.sequence import number_rows
 
 
-def company_versions(load_log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def company_versions(load_log: DataFrame) -> DataFrame:
     """One version per load. Numbers count up per company in load order (time, then upload); a
     version ends where the next one starts, and the last is open and current.
 
@@ -21,7 +21,6 @@ def company_versions(load_log: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame
         ["valid_from", "upload_id"],
         "version_number",
         {"valid_to": "valid_from"},
-        hot_rows,
     )
     return numbered.select(
         "version_id",
@@ -66,12 +65,33 @@ def lookup_companies(entities: DataFrame, companies: DataFrame, load_log: DataFr
     )
 
 
-def next_versions(loads: DataFrame, lookup: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def next_versions(loads: DataFrame, lookup: DataFrame) -> DataFrame:
     """Version number each new load (``entity_name, loaded_at, upload_id``) will get: one above
-    the current version, counting up over the loads of the batch."""
-    numbered = number_rows(loads, "entity_name", ["loaded_at", "upload_id"], "_in_batch", hot_rows=hot_rows)
-    return (
-        numbered.join(lookup, "entity_name")
-        .withColumn("version_number", (F.col("version_number") + F.col("_in_batch")).cast("int"))
-        .drop("_in_batch")
+    the current version, counting up over the loads of the batch.
+
+    The lookup is joined first, so that numbering, which splits a hot entity, comes last.
+    """
+    known = loads.join(lookup, "entity_name")
+    numbered = number_rows(known, "entity_name", ["loaded_at", "upload_id"], "_in_batch")
+    return numbered.withColumn("version_number", (F.col("version_number") + F.col("_in_batch")).cast("int")).drop("_in_batch")
+
+
+def held_versions(load_log: DataFrame, until=None) -> DataFrame:
+    """``company_id, version_id, upload_id, version_number, valid_from`` of the version each company has
+    after its loads up to ``until`` (a literal; None for all): the last load, numbered by their count.
+
+    One aggregation that is combined before the shuffle, without numbering the other versions.
+    """
+    loads = load_log if until is None else load_log.filter(F.col("loaded_at") <= until)
+    last = F.max_by(F.struct("version_id", "upload_id", F.col("loaded_at").alias("valid_from")), F.struct("loaded_at", "upload_id"))
+    held = loads.groupBy("company_id").agg(last.alias("_last"), F.count("*").cast("int").alias("version_number"))
+    return held.select("company_id", "_last.version_id", "_last.upload_id", "version_number", "_last.valid_from")
+
+
+def current_versions(load_log: DataFrame) -> DataFrame:
+    """The open version of each company, in the columns of ``company_versions``."""
+    held = held_versions(load_log)
+    return held.select(
+        "version_id", "company_id", "upload_id", "version_number", "valid_from",
+        F.lit(None).cast(held.schema["valid_from"].dataType).alias("valid_to"), F.lit(True).alias("is_current"), F.col("valid_from").alias("created_at"),
     )

@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sheetstar import fixed
 from sheetstar.functions.times import instant
 from sheetstar.operators import (
     audits, companies, dims, fingerprints, metrics, rules, sheets, snapshots, uploads, versions,
@@ -29,6 +30,18 @@ def query(function: Query) -> Query:
     return function
 
 
+def _document_text(document) -> dict:
+    """A metrics document in plain columns: its years, every value (``metric:year:hundredths``) and its sentinels."""
+    def written(metric):
+        year = lambda y: F.concat_ws(":", metric["key"], y["key"], F.round(y["value"]["num"] * 100).cast("bigint").cast("string"))
+        return F.transform(F.map_entries(metric["value"]), year)
+
+    values = F.flatten(F.transform(F.map_entries(document["metrics"]), written))
+    meanings = F.transform(F.map_entries(document["sentinels"]), lambda s: F.concat_ws("=", s["key"], s["value"]))
+    texts = {"years": document["years"], "values": values, "sentinels": meanings}
+    return {name: F.array_join(F.array_sort(F.coalesce(x, F.array().cast("array<string>"))), "|") for name, x in texts.items()}
+
+
 # -- companies -------------------------------------------------------------------------------
 
 
@@ -39,8 +52,8 @@ def companies_page(spark, sf_dir):
 
 @query
 def company_detail(spark, sf_dir):
-    found = versions.company_versions(views.load_log(spark, sf_dir))
-    details = companies.company_details(views.companies(spark, sf_dir), found)
+    current_only = versions.current_versions(views.load_log(spark, sf_dir))
+    details = companies.company_details(views.companies(spark, sf_dir), current_only)
     current = F.col("current_version")
     return details.select(
         "company_id", "entity_name", "created_at", current["version_id"].alias("version_id"),
@@ -48,6 +61,13 @@ def company_detail(spark, sf_dir):
     )
 
 
+@query
+def company_by_id(spark, sf_dir):
+    """Each supplier's number asked for as a company id."""
+    asked = views.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("company_id"))
+    return companies.get_company(views.companies(spark, sf_dir), asked)
+
+
 @query
 def company_versions(spark, sf_dir):
     found = versions.company_versions(views.load_log(spark, sf_dir))
@@ -64,15 +84,9 @@ def company_snapshots(spark, sf_dir):
 @query
 def company_history(spark, sf_dir):
     history = companies.company_history(
-        views.companies(spark, sf_dir),
-        versions.company_versions(views.load_log(spark, sf_dir)),
-        views.snapshots_with_metrics(spark, sf_dir),
-    )
-    document = F.col("credit_metrics")
-    return history.select(
-        "company_id", "entity_name", "snapshot_id", "version_id", "version_number", "upload_id", "snapshot_at",
-        F.size(document["years"]).alias("n_years"), F.size(document["metrics"]).alias("n_metrics"),
+        versions.company_versions(views.load_log(spark, sf_dir)), views.snapshots_with_metrics(spark, sf_dir)
     )
+    return history.withColumns(_document_text(F.col("credit_metrics"))).drop("credit_metrics")
 
 
 @query
@@ -81,6 +95,13 @@ def company_series(spark, sf_dir):
     return series.select("company_id", "snapshot_id", "metric", "pos", "year", "num")
 
 
+@query
+def company_series_documents(spark, sf_dir):
+    """The same whole: years, values and sentinels of each company's last snapshot, empty where it has none."""
+    last = companies.latest_documents(views.snapshots_with_metrics(spark, sf_dir))
+    return last.select("company_id", "snapshot_id", *[c.alias(n) for n, c in _document_text(F.col("credit_metrics")).items()])
+
+
 def _request(spark, sf_dir) -> DataFrame:
     """Asks for every customer twice, and for a company that cannot exist per supplier."""
     customers = views.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("company_id"))
@@ -94,22 +115,21 @@ def _request(spark, sf_dir) -> DataFrame:
     )
 
 
-def _compared(spark, sf_dir, request) -> list[DataFrame]:
-    # The ids restrict the log before its versions are numbered: a join would stay above the window.
-    log = companies.wanted(views.load_log(spark, sf_dir), request)
-    return [views.companies(spark, sf_dir), versions.company_versions(log), views.snapshots(spark, sf_dir)]
+def _compared(spark, sf_dir, snapshots_of=views.snapshots) -> list[DataFrame]:
+    return [views.companies(spark, sf_dir), views.load_log(spark, sf_dir), snapshots_of(spark, sf_dir)]
 
 
 @query
 def compare_as_of(spark, sf_dir):
     request = _request(spark, sf_dir)
-    return companies.compare_companies(request, *_compared(spark, sf_dir, request), AS_OF)
+    compared = companies.compare_companies(request, *_compared(spark, sf_dir, views.snapshots_with_metrics), AS_OF)
+    return compared.withColumns(_document_text(F.col("credit_metrics"))).drop("credit_metrics")
 
 
 @query
 def compare_not_found(spark, sf_dir):
     request = _request(spark, sf_dir)
-    return companies.compare_not_found(request, *_compared(spark, sf_dir, request), AS_OF)
+    return companies.compare_not_found(request, *_compared(spark, sf_dir), AS_OF)
 
 
 # -- snapshots -------------------------------------------------------------------------------
@@ -135,24 +155,13 @@ def snapshots_filtered(spark, sf_dir):
 @query
 def snapshot_detail(spark, sf_dir):
     """Every snapshot with its documents; a snapshot without line items has empty ones."""
-    facts = views.snapshots_with_metrics(spark, sf_dir)
-    detail = snapshots.snapshot_details(facts)
-    document = F.col("credit_metrics")
-    return detail.select(
-        "snapshot_id", "entity_name", "corporate_sector", "country_name", "currency_code", "snapshot_at",
-        F.array_join(document["years"], "|").alias("years"),
-        F.aggregate(
-            F.map_values(document["metrics"]), F.lit(0), lambda total, series: total + F.size(series)
-        ).alias("n_values"),
-        F.size(document["sentinels"]).alias("n_sentinels"),
-    )
+    detail = snapshots.snapshot_details(views.snapshots_with_metrics(spark, sf_dir))
+    return detail.withColumns(_document_text(F.col("credit_metrics"))).drop("credit_metrics")
 
 
 @query
 def snapshot_star(spark, sf_dir):
-    facts = views.snapshots(spark, sf_dir).withColumns(
-        {"country_id": F.col("country_name"), "currency_id": F.upper("currency_code")}
-    )
+    facts = views.snapshots(spark, sf_dir)
     named = views.companies(spark, sf_dir)
     reported = _checked(spark, sf_dir).select(
         "file_id", "completeness_score", "validity_score", "error_count", "warning_count"
@@ -164,8 +173,6 @@ def snapshot_star(spark, sf_dir):
         named,
         versions.company_versions(views.load_log(spark, sf_dir)),
         views.uploads(spark, sf_dir),
-        dims.countries(facts, "country_name", "snapshot_at").withColumn("country_id", F.col("country_name")),
-        dims.currencies(facts, "currency_code", "snapshot_at").withColumn("currency_id", F.col("currency_code")),
         reported,
     )
     return found.select(
@@ -304,27 +311,23 @@ def metric_series_by_column(spark, sf_dir):
 
 @query
 def metrics_document(spark, sf_dir):
+    """Every value of every document; a document with years but no values has one row without."""
     documents = _records(spark, sf_dir).withColumn("credit_metrics", metrics.metrics_document())
     documents = documents.filter(F.col("credit_metrics").isNotNull())
-    values = F.flatten(F.transform(F.map_values("credit_metrics.metrics"), lambda m: F.map_values(m)))
-    return documents.select(
-        "file_id",
-        F.array_join("credit_metrics.years", "|").alias("years"),
-        F.array_join(F.sort_array(F.map_keys("credit_metrics.metrics")), "|").alias("metrics"),
-        F.size(values).alias("n_values"),
-        F.size(F.filter(values, lambda v: v["kind"] == "sentinel")).alias("n_sentinels"),
-        F.element_at("credit_metrics.sentinels", "Locked").alias("locked_means"),
-    )
+    years = F.array_join("credit_metrics.years", "|").alias("years")
+    locked = F.element_at("credit_metrics.sentinels", "Locked").alias("locked_means")
+    series = documents.select("file_id", years, locked, F.explode_outer("credit_metrics.metrics").alias("metric", "series"))
+    return series.select("file_id", "years", "locked_means", "metric", F.explode_outer("series").alias("year", "v")).select(
+        "file_id", "years", "locked_means", F.when(F.col("year").isNotNull(), F.col("metric")).alias("metric"), "year", "v.kind", "v.num", "v.text"
+    ).distinct()
 
 
 @query
 def raw_lineage(spark, sf_dir):
+    """Every value of every label; a label without values has one row without."""
     documents = sheets.raw_document(sheets.raw_values(_rows(spark, sf_dir)))
-    return documents.select(
-        "file_id",
-        F.size("raw_data").alias("n_labels"),
-        F.aggregate(F.map_values("raw_data"), F.lit(0), lambda n, v: n + F.size(v)).alias("n_values"),
-    )
+    labels = documents.select("file_id", F.explode("raw_data").alias("label", "values"))
+    return labels.select("file_id", "label", F.posexplode_outer("values").alias("pos", "v")).select("file_id", "label", "pos", "v.kind", "v.text", "v.num")
 
 
 @query
@@ -371,19 +374,37 @@ def load_failures(spark, sf_dir):
     return loading.mark_failed(failed, BATCH_AT).select("upload_id", "status", "error_message")
 
 
+def _loads(spark, sf_dir) -> DataFrame:
+    """Checked records of the sheets that load."""
+    return _checked(spark, sf_dir).filter(loading.load_failure().isNull()).withColumn("upload_id", F.col("file_id").cast("string"))
+
+
 @query
 def loaded_facts(spark, sf_dir):
-    """Snapshot rows of the sheets that load."""
-    records = _records(spark, sf_dir)
-    loads = records.filter(loading.load_failure().isNull()).withColumn("upload_id", F.col("file_id").cast("string"))
-    return loading.facts(loads, BATCH_AT).select(
-        "upload_id", "snapshot_id", "company_id", "country_id", "currency_id", "entity_name", "currency_code",
-        F.col("industry_weight").cast("double").alias("industry_weight"),
-        F.col("risk_sub_scores")["Liquidity"].alias("liquidity"),
-        F.array_join("credit_metrics.years", "|").alias("years"),
+    """Snapshot rows of the sheets that load, all columns; documents are compared by their own queries."""
+    stored = loading.facts(_loads(spark, sf_dir), BATCH_AT)
+    scores = F.array_join(F.transform(
+        F.array(*[F.lit(x) for x in fixed.SUB_SCORE_LABELS]), lambda x: F.concat_ws("=", x, F.element_at("risk_sub_scores", x))
+    ), "|")
+    return stored.select(
+        *[c for c in stored.columns if c not in ("rating_methodologies", "industry_weight", "risk_sub_scores", "credit_metrics")],
+        F.array_join("rating_methodologies", "|").alias("methodologies"), F.col("industry_weight").cast("double").alias("industry_weight"),
+        scores.alias("sub_scores"), F.array_join("credit_metrics.years", "|").alias("years"),
     )
 
 
+@query
+def quality_report_rows(spark, sf_dir):
+    reports = loading.quality_reports(_loads(spark, sf_dir), BATCH_AT)
+    return reports.drop("errors", "warnings").withColumns({c: F.col(c).cast("double") for c in ("completeness_score", "validity_score")})
+
+
+@query
+def completion_events(spark, sf_dir):
+    extracted = loading.rows_extracted(sheets.raw_values(_rows(spark, sf_dir))).select(F.col("file_id").cast("string").alias("upload_id"), "rows_extracted")
+    return loading.mark_completed(_loads(spark, sf_dir), extracted, BATCH_AT).select("upload_id", "status", "event_at", "rows_extracted")
+
+
 # -- audits ----------------------------------------------------------------------------------
 
 
@@ -437,6 +458,14 @@ def dim_year(spark, sf_dir):
     return dims.year_dates(records, "years", ["file_id"])
 
 
+@query
+def year_upsert(spark, sf_dir):
+    """All years met with the years that the even sheets stored before."""
+    records = _records(spark, sf_dir).withColumn("years", metrics.years(F.col("year_values")))
+    stored = dims.year_dates(records.filter("file_id % 2 = 0"), "years", ["file_id"])
+    return dims.upsert(dims.year_dates(records, "years", ["file_id"]), stored, "date_id")
+
+
 @query
 def dim_company(spark, sf_dir):
     return views.companies(spark, sf_dir)

@@ -58,6 +58,14 @@ _POINTS = """points AS (
          CAST(year(l_shipdate) AS VARCHAR) AS year, max(l_extendedprice) AS num
   FROM lineitem GROUP BY ALL)"""
 
+_DOCUMENTS = f"""documents AS (
+  SELECT snapshot_id, string_agg(DISTINCT year, '|' ORDER BY year) AS years,
+         string_agg(metric || ':' || year || ':' || CAST(round(num * 100) AS BIGINT), '|'
+                    ORDER BY metric || ':' || year || ':' || CAST(round(num * 100) AS BIGINT)) AS "values",
+         '{"|".join(sorted(f"{k}={v}" for k, v in fixed.SENTINEL_MEANINGS.items()))}' AS sentinels
+  FROM points GROUP BY snapshot_id)"""
+_DOCUMENT = "coalesce(d.years, '') AS years, coalesce(d.\"values\", '') AS \"values\", coalesce(d.sentinels, '') AS sentinels"
+
 _UPLOADS = """uploads AS (
   SELECT o_orderkey AS upload_id, 'sheet_' || o_orderkey || '.xlsm' AS filename,
          sha256(o_custkey || '|' || o_orderstatus) AS file_sha256,
@@ -280,30 +288,33 @@ ORACLES: dict[str, str] = {
     "company_detail": _with(_COMPANIES, _VERSIONS)
     + """SELECT c.company_id, c.entity_name, c.created_at, v.version_id, v.version_number, v.valid_from
 FROM companies c LEFT JOIN versions v ON v.company_id = c.company_id AND v.is_current""",
+    "company_by_id": _with(_COMPANIES) + "SELECT * FROM companies WHERE company_id IN (SELECT s_suppkey FROM supplier)",
     "company_versions": _with(_COMPANIES, _VERSIONS)
     + """SELECT c.company_id, c.entity_name, v.version_id, v.upload_id, v.version_number, v.valid_from, v.valid_to, v.is_current
 FROM companies c JOIN versions v ON v.company_id = c.company_id""",
     "company_snapshots": _with(_SNAPSHOTS)
     + "SELECT company_id, snapshot_id, version_id, upload_id, snapshot_at FROM snapshots",
-    "company_history": _with(_COMPANIES, _VERSIONS, _SNAPSHOTS, _POINTS)
-    + """SELECT c.company_id, c.entity_name, s.snapshot_id, s.version_id, coalesce(v.version_number, 0) AS version_number,
-       s.upload_id, s.snapshot_at, p.n_years, p.n_metrics
-FROM companies c JOIN snapshots s ON s.company_id = c.company_id
-LEFT JOIN versions v ON v.version_id = s.version_id AND v.company_id = s.company_id
-LEFT JOIN (SELECT snapshot_id, CAST(count(DISTINCT year) AS INTEGER) AS n_years,
-                  CAST(count(DISTINCT metric) AS INTEGER) AS n_metrics
-           FROM points GROUP BY snapshot_id) p ON p.snapshot_id = s.snapshot_id""",
+    "company_history": _with(_COMPANIES, _VERSIONS, _SNAPSHOTS, _POINTS, _DOCUMENTS)
+    + f"""SELECT s.company_id, s.entity_name, s.snapshot_id, s.version_id, coalesce(v.version_number, 0) AS version_number,
+       s.upload_id, s.snapshot_at, {_DOCUMENT}
+FROM snapshots s LEFT JOIN versions v ON v.version_id = s.version_id AND v.company_id = s.company_id
+LEFT JOIN documents d ON d.snapshot_id = s.snapshot_id""",
     "company_series": _with(_SNAPSHOTS, _POINTS)
     + """SELECT company_id, s.snapshot_id, metric,
        CAST(dense_rank() OVER (PARTITION BY s.snapshot_id ORDER BY year) - 1 AS INTEGER) AS pos, year, num
 FROM (SELECT company_id, snapshot_id FROM snapshots
       QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY snapshot_at DESC, version_id DESC) = 1) s
 JOIN points p ON p.snapshot_id = s.snapshot_id""",
-    "compare_as_of": _with(_COMPANIES, _VERSIONS, _SNAPSHOTS, _REQUEST)
-    + """SELECT r.pos, r.company_id, h.entity_name, h.version_number, h.version_id, h.snapshot_id, h.snapshot_at,
+    "company_series_documents": _with(_SNAPSHOTS, _POINTS, _DOCUMENTS)
+    + f"""SELECT s.company_id, s.snapshot_id, {_DOCUMENT}
+FROM (SELECT company_id, snapshot_id FROM snapshots
+      QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY snapshot_at DESC, version_id DESC) = 1) s
+LEFT JOIN documents d ON d.snapshot_id = s.snapshot_id""",
+    "compare_as_of": _with(_COMPANIES, _VERSIONS, _SNAPSHOTS, _REQUEST, _POINTS, _DOCUMENTS)
+    + f"""SELECT r.pos, r.company_id, h.entity_name, h.version_number, h.version_id, h.snapshot_id, h.snapshot_at,
        h.corporate_sector, h.country_name, h.currency_code, h.business_risk_profile, h.financial_risk_profile,
-       h.company_id IS NOT NULL AS found
-FROM request r LEFT JOIN held h ON h.company_id = r.company_id""",
+       h.company_id IS NOT NULL AS found, {_DOCUMENT}
+FROM request r LEFT JOIN held h ON h.company_id = r.company_id LEFT JOIN documents d ON d.snapshot_id = h.snapshot_id""",
     "compare_not_found": _with(_COMPANIES, _VERSIONS, _SNAPSHOTS, _REQUEST)
     + "SELECT pos, company_id FROM request WHERE company_id NOT IN (SELECT company_id FROM held)",
     "snapshots_latest": _with(_SNAPSHOTS)
@@ -313,13 +324,8 @@ QUALIFY row_number() OVER (PARTITION BY company_id ORDER BY snapshot_at DESC, sn
     + """SELECT * FROM snapshots
 WHERE snapshot_at >= TIMESTAMP '1996-01-01' AND snapshot_at < TIMESTAMP '2000-01-01'
   AND lower(corporate_sector) = 'machinery' AND lower(currency_code) = 'chf'""",
-    "snapshot_detail": _with(_SNAPSHOTS, _POINTS)
-    + """SELECT s.snapshot_id, s.entity_name, s.corporate_sector, s.country_name, s.currency_code, s.snapshot_at,
-       coalesce(p.years, '') AS years, coalesce(p.n_values, 0) AS n_values,
-       CASE WHEN p.snapshot_id IS NULL THEN 0 ELSE 2 END AS n_sentinels
-FROM snapshots s LEFT JOIN (
-  SELECT snapshot_id, string_agg(DISTINCT year, '|' ORDER BY year) AS years, CAST(count(*) AS INTEGER) AS n_values
-  FROM points GROUP BY snapshot_id) p ON p.snapshot_id = s.snapshot_id""",
+    "snapshot_detail": _with(_SNAPSHOTS, _POINTS, _DOCUMENTS)
+    + f"SELECT s.*, {_DOCUMENT} FROM snapshots s LEFT JOIN documents d ON d.snapshot_id = s.snapshot_id",
     "snapshot_star": _with(_COMPANIES, _VERSIONS, _SNAPSHOTS, _UPLOADS, _COUNTRIES, _CURRENCIES, _SUMMARY.replace("points", "sheet_points"))
     + """SELECT s.snapshot_id, s.entity_name, v.version_number, v.is_current, u.filename, u.status, u.rows_extracted,
        k.iso_alpha2, k.region, m.currency_name, m.symbol, s.snapshot_id = c.current_snapshot_id AS is_current_snapshot,
@@ -363,17 +369,12 @@ FROM scores s LEFT JOIN liquidity q ON q.file_id = s.file_id""",
     "metric_series": _with(_SHEET, _PACKED) + "SELECT * FROM points",
     "metric_series_by_column": _with(_SHEET, _BY_COLUMN) + "SELECT * FROM points",
     "metrics_document": _with(_SHEET, _PACKED)
-    + f"""SELECT y.file_id, y.years, coalesce(p.metrics, '') AS metrics, coalesce(p.n_values, 0) AS n_values,
-       coalesce(p.n_sentinels, 0) AS n_sentinels, '{fixed.SENTINEL_MEANINGS["Locked"]}' AS locked_means
+    + f"""SELECT y.file_id, y.years, '{fixed.SENTINEL_MEANINGS["Locked"]}' AS locked_means, p.metric, p.year, p.kind, p.num, p.text
 FROM (SELECT file_id, string_agg(year, '|' ORDER BY pos) AS years FROM years GROUP BY file_id) y
-LEFT JOIN (SELECT file_id, string_agg(DISTINCT metric, '|' ORDER BY metric) AS metrics,
-                  CAST(count(*) AS INTEGER) AS n_values,
-                  CAST(count(*) FILTER (WHERE kind = 'sentinel') AS INTEGER) AS n_sentinels
-           FROM points GROUP BY file_id) p ON p.file_id = y.file_id""",
+LEFT JOIN points p ON p.file_id = y.file_id""",
     "raw_lineage": _with(_SHEET)
-    + """SELECT l.file_id, CAST(l.n AS INTEGER) AS n_labels, CAST(coalesce(v.n, 0) AS INTEGER) AS n_values
-FROM (SELECT file_id, count(*) AS n FROM last_rows GROUP BY file_id) l
-LEFT JOIN (SELECT file_id, count(*) AS n FROM vals GROUP BY file_id) v ON v.file_id = l.file_id""",
+    + """SELECT l.file_id, l.label, CAST(v.i - 1 AS INTEGER) AS pos, v.kind, v.text, v.num
+FROM last_rows l LEFT JOIN vals v ON v.file_id = l.file_id AND v.label = l.label""",
     "rows_extracted": _with(_SHEET) + "SELECT file_id, count(*) AS rows_extracted FROM last_rows GROUP BY file_id",
     "findings": _with(_FINDINGS) + "SELECT file_id, rule, field, message, severity FROM found",
     "finding_summary": _with(_SUMMARY)
@@ -386,15 +387,25 @@ FROM summary""",
     + f"""SELECT file_id AS upload_id, 'failed' AS status, {_LOAD_ERROR} AS error_message FROM wide
 WHERE {_LOAD_ERROR} IS NOT NULL""",
     "loaded_facts": _with(_WIDE, _SCORES, _PACKED)
-    + f"""SELECT CAST(w.file_id AS VARCHAR) AS upload_id, {_key('snapshot', 'w.file_id')} AS snapshot_id,
-       {_key('company', 'w.rated_entity')} AS company_id, {_key('country', 'w.country')} AS country_id,
-       {_key('currency', 'upper(w.currency)')} AS currency_id, w.rated_entity AS entity_name, w.currency AS currency_code,
-       CAST(CAST(w.industry_weight AS DECIMAL(5, 4)) AS DOUBLE) AS industry_weight,
-       nullif(coalesce(q.text, s.parsed), 'None') AS liquidity, y.years
-FROM wide w JOIN scores s ON s.file_id = w.file_id AND s.label = '{fixed.LIQUIDITY_LABEL}'
-LEFT JOIN liquidity q ON q.file_id = w.file_id
+    + f"""SELECT CAST(w.file_id AS VARCHAR) AS upload_id, {_key('snapshot', 'w.file_id')} AS snapshot_id, {_key('version', 'w.file_id')} AS version_id,
+       {_key('company', 'w.rated_entity')} AS company_id, CASE WHEN w.country <> '' THEN {_key('country', 'w.country')} END AS country_id,
+       CASE WHEN w.currency <> '' THEN {_key('currency', 'upper(w.currency)')} END AS currency_id, w.rated_entity AS entity_name, w.corporate_sector,
+       w.country AS country_name, w.currency AS currency_code, w.accounting_principles, w.business_year_end, w.industry_risk AS industry_risk_name,
+       w.industry_risk_score, w.segmentation_criteria, w.business_risk_profile, w.financial_risk_profile, TIMESTAMP '2026-01-01' AS snapshot_at,
+       w.methodologies, CAST(CAST(w.industry_weight AS DECIMAL(5, 4)) AS DOUBLE) AS industry_weight, s.sub_scores, y.years
+FROM wide w JOIN (
+  SELECT s.file_id, string_agg(concat_ws('=', s.label, nullif(CASE WHEN s.label = '{fixed.LIQUIDITY_LABEL}' THEN coalesce(q.text, s.parsed) ELSE s.parsed END, 'None')), '|' ORDER BY s.ord) AS sub_scores
+  FROM scores s LEFT JOIN liquidity q ON q.file_id = s.file_id GROUP BY s.file_id) s ON s.file_id = w.file_id
 LEFT JOIN (SELECT file_id, string_agg(year, '|' ORDER BY pos) AS years FROM years GROUP BY file_id) y ON y.file_id = w.file_id
 WHERE {_LOAD_ERROR} IS NULL""",
+    "quality_report_rows": _with(_SUMMARY)
+    + f"""SELECT {_key('report', 'w.file_id')} AS report_id, CAST(w.file_id AS VARCHAR) AS upload_id, {_key('snapshot', 'w.file_id')} AS snapshot_id,
+       round((12 - error_count) / 12, 3) AS completeness_score, round((12 - error_count) / 12, 3) AS validity_score,
+       12 AS total_fields, 12 - error_count AS present_fields, error_count, warning_count, TIMESTAMP '2026-01-01' AS created_at
+FROM wide w JOIN summary s ON s.file_id = w.file_id WHERE {_LOAD_ERROR} IS NULL""",
+    "completion_events": _with(_WIDE)
+    + f"""SELECT CAST(w.file_id AS VARCHAR) AS upload_id, 'completed' AS status, TIMESTAMP '2026-01-01' AS event_at, CAST(n AS INTEGER) AS rows_extracted
+FROM wide w JOIN (SELECT file_id, count(*) AS n FROM last_rows GROUP BY file_id) l ON l.file_id = w.file_id WHERE {_LOAD_ERROR} IS NULL""",
     "integrity_unique": 'SELECT l_orderkey, l_linenumber, count(*) AS "rows" FROM lineitem GROUP BY ALL HAVING count(*) > 1',
     "integrity_fk": "SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)",
     "integrity_domain": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus NOT IN ('F', 'O')",
@@ -415,6 +426,12 @@ LEFT JOIN known_currencies k ON k.currency_code = s.currency_code""",
        CASE WHEN NOT ends_with(year_value, 'E') THEN TRY_CAST(year_value AS INTEGER) END AS calendar_year,
        ends_with(year_value, 'E') AS is_estimate, CAST(first(i - 1 ORDER BY file_id, i) AS INTEGER) AS sort_order
 FROM (SELECT file_id, i, text AS year_value FROM vals WHERE label = '{fixed.YEARS_LABEL}') GROUP BY year_value""",
+    "year_upsert": _with(_SHEET)
+    + f"""SELECT {_key('date', 'year_value')} AS date_id, year_value,
+       CASE WHEN NOT ends_with(year_value, 'E') THEN TRY_CAST(year_value AS INTEGER) END AS calendar_year,
+       ends_with(year_value, 'E') AS is_estimate, sort_order FROM (
+  SELECT year_value, CAST(coalesce(first(i - 1 ORDER BY file_id, i) FILTER (file_id % 2 = 0), first(i - 1 ORDER BY file_id, i)) AS INTEGER) AS sort_order
+  FROM (SELECT file_id, i, text AS year_value FROM vals WHERE label = '{fixed.YEARS_LABEL}') GROUP BY year_value)""",
     "dim_company": _with(_COMPANIES) + "SELECT * FROM companies",
     "company_lookup": _with(_CUSTOMER_LOADS)
     + """SELECT n.entity_name, k.company_id IS NULL AS is_new_company, k.company_id, coalesce(k.version_number, 0) AS version_number

@@ -89,35 +89,16 @@ def snapshot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def snapshots_with_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Snapshots with their metrics document."""
-    by_snapshot = snapshot_points(spark, sf_dir).groupBy("snapshot_id").agg(
-        F.sort_array(F.collect_list(F.struct("year", "metric", "num"))).alias("points")
+    value = F.struct(F.lit("num").alias("kind"), F.lit(None).cast("string").alias("text"), F.col("num").alias("num"))
+    series = snapshot_points(spark, sf_dir).groupBy("snapshot_id", "metric").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct("year", value.alias("value"))))).alias("values")
     )
-
-    def series(points):
-        value = lambda p: F.struct(F.lit("num").alias("kind"), F.lit(None).cast("string").alias("text"), p["num"].alias("num"))
-        names = F.array_distinct(F.transform(points, lambda p: p["metric"]))
-        return F.map_from_entries(
-            F.transform(
-                names,
-                lambda name: F.struct(
-                    name,
-                    F.map_from_entries(
-                        F.transform(
-                            F.filter(points, lambda p: p["metric"] == name),
-                            lambda p: F.struct(p["year"], value(p)),
-                        )
-                    ),
-                ),
-            )
-        )
-
-    documents = by_snapshot.select(
-        "snapshot_id",
+    documents = series.groupBy("snapshot_id").agg(
         F.struct(
-            F.array_distinct(F.transform("points", lambda p: p["year"])).alias("years"),
-            series(F.col("points")).alias("metrics"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("values"))))).alias("years"),
+            F.map_from_entries(F.collect_list(F.struct("metric", "values"))).alias("metrics"),
             F.create_map(*[F.lit(x) for pair in fixed.SENTINEL_MEANINGS.items() for x in pair]).alias("sentinels"),
-        ).alias("credit_metrics"),
+        ).alias("credit_metrics")
     )
     return snapshots(spark, sf_dir).join(documents, "snapshot_id", "left")
 

@@ -66,7 +66,8 @@ class Warehouse:
         return companies.list_companies(self.table("dim_company"), limit, offset)
 
     def company(self, company_id) -> DataFrame:
-        return companies.company_details(*self._tables(company_id, "dim_company", "company_versions"))
+        log = companies.wanted(self.stored("load_log"), company_id)
+        return companies.company_details(versions.companies(log), versions.current_versions(log), company_id)
 
     def company_versions(self, company_id) -> DataFrame:
         return companies.list_versions(*self._tables(company_id, "dim_company", "company_versions"))
@@ -75,9 +76,7 @@ class Warehouse:
         return companies.list_snapshots_of(self.table("snapshot_fact", company_id))
 
     def company_history(self, company_id) -> DataFrame:
-        return companies.company_history(
-            *self._tables(company_id, "dim_company", "company_versions", "snapshot_fact")
-        )
+        return companies.company_history(*self._tables(company_id, "company_versions", "snapshot_fact"))
 
     def company_series(self, company_id) -> DataFrame:
         return companies.latest_series(self.table("snapshot_fact", company_id))
@@ -114,8 +113,7 @@ class Warehouse:
         return workbooks.file_presence(self.table("upload_audit"), workbooks.workbook_files(self.spark, directory))
 
     def star(self) -> DataFrame:
-        names = ["snapshot_fact", "dim_company", "company_versions", "upload_audit", "dim_country",
-                 "dim_currency", "data_quality_report"]
+        names = ["snapshot_fact", "dim_company", "company_versions", "upload_audit", "data_quality_report"]
         return snapshots.star(*[self.table(n) for n in names])
 
     def _tables(self, company_ids, *names: str) -> list[DataFrame]:
@@ -124,7 +122,8 @@ class Warehouse:
     def _comparison(self, request) -> tuple[DataFrame, list[DataFrame]]:
         if not isinstance(request, DataFrame):
             request = companies.requested(self.table("dim_company"), request)
-        return request, self._tables(request, "dim_company", "company_versions", "snapshot_fact")
+        log = self.stored("load_log")
+        return request, [versions.companies(log), log, companies.wanted(self.table("snapshot_fact"), request)]
 
     # -- loading ---------------------------------------------------------------------------
 

@@ -20,31 +20,42 @@ def log(spark, *loads):
     )
 
 
-@pytest.mark.parametrize("hot_rows", [7, 40, 1000])
-def test_hot_keys_number_like_cold_ones(spark, hot_rows):
-    rng = random.Random(hot_rows)
+@pytest.mark.parametrize("block", [None, 1, 7])
+def test_numbering_in_blocks_is_the_plain_one(spark, block):
+    rng = random.Random(5)
     rows = [("hot" if rng.random() < 0.6 else f"k{rng.randrange(20)}", rng.randrange(30), i) for i in range(3000)]
     rows += [("burst", 5, i) for i in range(3000, 3700)]  # one time for all
     df = spark.createDataFrame(rows, "k string, t int, id int").repartition(8)
-    args = (df, "k", ["t", "id"], "n", {"after": "t", "after_id": "id"})
-    plain = {(r.k, r.id): (r.n, r.after, r.after_id) for r in number_rows(*args).collect()}
-    cut = [((r.k, r.id), (r.n, r.after, r.after_id)) for r in number_rows(*args, hot_rows=hot_rows).collect()]
-    assert len(cut) == len(rows) and dict(cut) == plain
+    cut = None if block is None else F.floor(F.col("t") / block)
+    numbered = number_rows(df, "k", ["t", "id"], "n", {"after": "t", "after_id": "id"}, cut)
+    got = {(r.k, r.id): (r.n, r.after, r.after_id) for r in numbered.collect()}
     expected = {}
     for key in {r[0] for r in rows}:
         ordered = sorted((t, i) for k, t, i in rows if k == key)
         for n, (t, i) in enumerate(ordered, 1):
             expected[(key, i)] = (n, *(ordered[n] if n < len(ordered) else (None, None)))
-    assert plain == expected
+    assert got == expected
 
 
-def test_no_hot_task_in_chunked_numbering(spark):
+def test_no_hot_task_in_numbering_by_blocks(spark):
     df = spark.range(20000).select(F.lit("hot").alias("k"), F.col("id").alias("t"), F.col("id"))
-    sizes = number_rows(df, "k", ["t", "id"], "n", hot_rows=1000)
+    sizes = number_rows(df, "k", ["t", "id"], "n", block=F.floor(F.col("t") / 500))
     per_task = sizes.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
     assert per_task < 20000 / 2
 
 
+def test_building_plans_runs_no_job(spark):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("plans", "none")
+    loads = log(spark, ("1", "a", 0), ("2", "a", 5))
+    numbered = versions.company_versions(loads)
+    found = versions.companies(loads)
+    versions.next_versions(loads.select("entity_name", "loaded_at", "upload_id"), versions.lookup_companies(loads, found, loads))
+    companies.company_details(found, versions.current_versions(loads))
+    companies.list_versions(found, numbered)
+    assert not tracker.getJobIdsForGroup("plans")
+
+
 def test_versions(spark):
     found = versions.company_versions(log(spark, ("1", "a", 0), ("2", "a", 5), ("3", "a", 9), ("4", "b", 1)))
     rows = found.filter("company_id = 'a'").orderBy("version_number").collect()
@@ -66,13 +77,17 @@ def _tables(spark, *loads):
 @pytest.mark.parametrize("day, version", [(-1, None), (0, 1), (4, 1), (5, 2), (8, 2), (9, 4), (99, 4)])
 def test_as_of_edges(spark, day, version):
     # Two loads at one time: the first of them never holds.
-    tables = _tables(spark, ("1", "a", 0), ("2", "a", 5), ("3", "a", 9), ("4", "a", 9))
+    loads = [("1", "a", 0), ("2", "a", 5), ("3", "a", 9), ("4", "a", 9)]
+    found, _, facts = _tables(spark, *loads)
+    tables = (found, log(spark, *loads), facts)
     found = companies.as_of_pick(*tables, (DAY + timedelta(days=day)).date(), ["a"]).collect()
     assert [r.version_number for r in found] == ([version] if version else [])
 
 
 def test_comparison_keeps_request_order(spark):
-    tables = _tables(spark, ("1", "a", 0), ("2", "b", 0))
+    loads = [("1", "a", 0), ("2", "b", 0)]
+    found, _, facts = _tables(spark, *loads)
+    tables = (found, log(spark, *loads), facts)
     request = companies.requested(tables[0], ["b", "x", "a", "b"])
     found = companies.compare_companies(request, *tables, date(2025, 1, 2)).collect()
     assert [(r.company_id, r.found) for r in found] == [("b", True), ("x", False), ("a", True), ("b", True)]
@@ -88,7 +103,7 @@ def test_company_queries(spark):
     assert companies.company_details(found, numbered.filter("false"), "a").first().current_version is None
     assert companies.list_versions(found, numbered, "x").count() == 0
     assert [r.snapshot_id for r in companies.list_snapshots_of(facts, "a").collect()] == ["s1", "s2"]
-    history = companies.company_history(found, numbered.filter("version_number = 1"), facts.withColumn("credit_metrics", F.lit(None)), "a")
+    history = companies.company_history(numbered.filter("version_number = 1"), facts.withColumn("credit_metrics", F.lit(None).cast("struct<years: array<string>, metrics: map<string, string>, sentinels: map<string, string>>")), "a")
     assert [r.version_number for r in history.collect()] == [1, 0]
 
 
@@ -105,14 +120,11 @@ def test_pages(spark):
             companies.list_companies(frame, **bad)
 
 
-def test_deep_page_equals_shallow_one(spark, monkeypatch):
-    frame = spark.range(500).select(
-        F.col("id").alias("company_id"), F.sha2(F.col("id").cast("string"), 256).alias("entity_name"),
-        F.lit(None).cast("string").alias("current_snapshot_id"), F.lit(DAY).alias("created_at"),
-    )
-    shallow = companies.list_companies(frame, 20, 300).collect()
-    monkeypatch.setattr(companies, "TOP_K_ROWS", 100)
-    assert companies.list_companies(frame, 20, 300, hot_rows=50).collect() == shallow
+def test_pages_of_equal_names_follow_the_id(spark):
+    frame = spark.range(50).select(
+        F.col("id").alias("company_id"), F.lit("same").alias("entity_name"), F.lit(None).cast("string").alias("current_snapshot_id"), F.lit(DAY).alias("created_at")
+    ).repartition(7)
+    assert [r.company_id for r in companies.list_companies(frame, 10, 20).collect()] == list(range(20, 30))
 
 
 def test_snapshot_filters(spark):
