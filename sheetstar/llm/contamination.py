@@ -181,7 +181,8 @@ def clean(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW, share
         texts = documents.select(sha.alias("_sha"), "text").dropDuplicates(["_sha"]).withColumn("doc_id", F.monotonically_increasing_id())
         texts = Scratch(documents.sparkSession, "texts").keep(texts, "texts")
         bad = scan(texts, benchmark, width, share, block_chars).filter("contaminated").select("doc_id")
-        return documents.join(texts.join(bad, "doc_id").select("_sha"), sha == F.col("_sha"), "left_anti")
+        shas = texts.join(bad, "doc_id").select("_sha")
+        return documents.join(shas, sha == shas["_sha"], "left_anti")
     items, at = blocks[0], documents.columns.index("text")
 
     def run(batches):

@@ -192,8 +192,13 @@ def mix(documents: DataFrame, share: float = SHARE, weights=WEIGHTS, cap: float
 def repeat(documents: DataFrame, **options) -> DataFrame:
     """``documents`` with each row as often as the mix takes it, all columns kept."""
     decided = mix(documents, **options).select(
-        F.col("doc_id").alias("_id"), _key(F.col("source")).alias("_from"), F.col("size").alias("_size"), "copies"
+        F.col("doc_id").alias("id"), _key(F.col("source")).alias("key"), "size", "copies"
     ).filter("copies > 0").distinct()
-    sized = documents.withColumn("_from", _key(F.col("source"))).withColumn("_size", size_of(F.col("text"))).withColumn("_id", F.col("doc_id"))
-    same = sized["_id"].eqNullSafe(decided["_id"]) & (sized["_from"] == decided["_from"]) & (sized["_size"] == decided["_size"])
-    return sized.join(decided, same).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select(*[documents[c] for c in documents.columns])
+    # Whole rows in one column, so that no name of theirs can clash.
+    rows = documents.select(
+        F.struct(*[documents[c] for c in documents.columns]).alias("row"), documents["doc_id"].alias("row_id"),
+        _key(documents["source"]).alias("row_key"), size_of(documents["text"]).alias("row_size"),
+    )
+    same = F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key")) & (F.col("row_size") == F.col("size"))
+    each = rows.join(decided, same).select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return each.select("row.*")
