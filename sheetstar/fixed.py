@@ -115,3 +115,25 @@ UPLOAD_STATUSES = ["pending", "processing", "completed", "failed"]
 
 PAGE_LIMIT_DEFAULT = 50
 PAGE_LIMIT_MAX = 500
+
+#: Fixed texts of the findings; names in braces stand for values.
+MESSAGES = {
+    "required": "Required field '{label}' is missing or empty",
+    "methodologies": "At least one rating methodology must be specified",
+    "recommended": "Recommended field '{label}' is missing",
+    "currency": f"Invalid currency '{{currency}}'. Must be one of {CURRENCIES}",
+    "month": "Invalid month '{business_year_end}'. Must be a full month name e.g. 'December'",
+    "weight_type": "Industry weight must be numeric, got '{industry_weight_text}'",
+    "profile_notch": "'{profile}' is a notch adjustment — not a standard rating notation",
+    "profile": "'{profile}' is not a valid rating notation",
+    "weight_missing": "Industry weight is missing — cannot validate range",
+    "weight_range": "Industry weight {_weight} is outside valid range [0, 1]",
+    "weight_sum": f"Industry weight {{_weight}} deviates from 1.0 by {{_deviation}} (tolerance: {WEIGHT_TOLERANCE})",
+    "without_financial": "Business risk profile present but financial risk profile is missing",
+    "without_business": "Financial risk profile present but business risk profile is missing",
+    "entity_name": f"Entity name length {{_name_length}} exceeds {ENTITY_NAME_MAX} characters",
+    "metrics_missing": "No credit metrics found in MASTER sheet",
+    "metrics_years": "Credit metrics found but year headers are missing — time-series data cannot be interpreted",
+    "sub_score": "Sub-score '{s.score}' is not standard notation",
+    "metric_value": "Non-numeric value '{p.text}' for year {p.year} in '{s.metric}'",
+}

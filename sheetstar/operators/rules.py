@@ -57,38 +57,38 @@ def required_fields() -> list[Column]:
     rules = []
     for name in fixed.REQUIRED_FIELDS:
         label = fixed.SCALAR_LABELS[name]
-        message = f"Required field '{label}' is missing or empty"
+        message = fixed.MESSAGES["required"].format(label=label)
         rules.append(finding(f"coalesce({name}, '') = ''", "required", label, message, ERROR))
     rules.append(
         finding(
             "coalesce(size(rating_methodologies), 0) <= 0",
             "methodologies",
             fixed.METHODOLOGIES_LABEL,
-            "At least one rating methodology must be specified",
+            fixed.MESSAGES["methodologies"],
             ERROR,
         )
     )
     for name, label in fixed.RECOMMENDED_FIELDS.items():
-        message = f"Recommended field '{label}' is missing"
+        message = fixed.MESSAGES["recommended"].format(label=label)
         rules.append(finding(f"{name} IS NULL", "recommended", label, message, WARNING))
     return rules
 
 
 def currency() -> list[Column]:
     broken = f"currency <> '' AND upper(currency) NOT IN {_in(fixed.CURRENCIES)}"
-    message = f"Invalid currency '{{currency}}'. Must be one of {fixed.CURRENCIES}"
+    message = fixed.MESSAGES["currency"]
     return [finding(broken, "currency", "currency", message, ERROR)]
 
 
 def month() -> list[Column]:
     broken = f"business_year_end <> '' AND business_year_end NOT IN {_in(fixed.MONTHS)}"
-    message = "Invalid month '{business_year_end}'. Must be a full month name e.g. 'December'"
+    message = fixed.MESSAGES["month"]
     return [finding(broken, "month", "business_year_end", message, ERROR)]
 
 
 def weight_type() -> list[Column]:
     broken = "industry_weight_text IS NOT NULL AND industry_weight IS NULL"
-    message = "Industry weight must be numeric, got '{industry_weight_text}'"
+    message = fixed.MESSAGES["weight_type"]
     return [finding(broken, "weight_type", "industry_weight", message, ERROR)]
 
 
@@ -96,8 +96,7 @@ def profiles() -> list[Column]:
     rules = []
     for name in ("business_risk_profile", "financial_risk_profile"):
         unknown, notch = f"{name} NOT IN {_NOTATIONS}", f"contains(lower({name}), 'notch')"
-        adjusted = f"'{{{name}}}' is a notch adjustment — not a standard rating notation"
-        invalid = f"'{{{name}}}' is not a valid rating notation"
+        adjusted, invalid = (fixed.MESSAGES[m].format(profile=f"{{{name}}}") for m in ("profile_notch", "profile"))
         rules.append(finding(f"{unknown} AND {notch}", "profile_notch", name, adjusted, WARNING))
         rules.append(finding(f"{unknown} AND NOT {notch}", "profile", name, invalid, ERROR))
     return rules
@@ -105,8 +104,7 @@ def profiles() -> list[Column]:
 
 def weight_range() -> list[Column]:
     outside = f"(industry_weight NOT BETWEEN {fixed.WEIGHT_MIN} AND {fixed.WEIGHT_MAX} OR isnan(industry_weight))"
-    missing = "Industry weight is missing — cannot validate range"
-    message = "Industry weight {_weight} is outside valid range [0, 1]"
+    missing, message = fixed.MESSAGES["weight_missing"], fixed.MESSAGES["weight_range"]
     return [
         finding("industry_weight IS NULL", "weight_missing", "industry_weight", missing, WARNING),
         finding(f"industry_weight IS NOT NULL AND {outside}", "weight_range", "industry_weight", message, ERROR),
@@ -116,14 +114,13 @@ def weight_range() -> list[Column]:
 def weight_sum() -> list[Column]:
     # NaN sorts above every number here, but deviates from nothing.
     broken = f"abs(industry_weight - 1) > {fixed.WEIGHT_TOLERANCE}D AND NOT isnan(industry_weight)"
-    message = f"Industry weight {{_weight}} deviates from 1.0 by {{_deviation}} (tolerance: {fixed.WEIGHT_TOLERANCE})"
+    message = fixed.MESSAGES["weight_sum"]
     return [finding(broken, "weight_sum", "industry_weight", message, WARNING)]
 
 
 def profile_pair() -> list[Column]:
     business, financial = "coalesce(business_risk_profile, '')", "coalesce(financial_risk_profile, '')"
-    without_financial = "Business risk profile present but financial risk profile is missing"
-    without_business = "Financial risk profile present but business risk profile is missing"
+    without_financial, without_business = fixed.MESSAGES["without_financial"], fixed.MESSAGES["without_business"]
     return [
         finding(f"{business} <> '' AND {financial} = ''", "profile_pair", "financial_risk_profile", without_financial, ERROR),
         finding(f"{financial} <> '' AND {business} = ''", "profile_pair", "business_risk_profile", without_business, ERROR),
@@ -132,13 +129,12 @@ def profile_pair() -> list[Column]:
 
 def entity_name() -> list[Column]:
     broken = f"char_length(rated_entity) > {fixed.ENTITY_NAME_MAX}"
-    message = f"Entity name length {{_name_length}} exceeds {fixed.ENTITY_NAME_MAX} characters"
+    message = fixed.MESSAGES["entity_name"]
     return [finding(broken, "entity_name", "rated_entity", message, WARNING)]
 
 
 def metrics_present() -> list[Column]:
-    none = "No credit metrics found in MASTER sheet"
-    no_years = "Credit metrics found but year headers are missing — time-series data cannot be interpreted"
+    none, no_years = fixed.MESSAGES["metrics_missing"], fixed.MESSAGES["metrics_years"]
     return [
         finding("NOT has_years AND NOT has_metrics", "metrics_missing", "credit_metrics", none, WARNING),
         finding("has_metrics AND NOT has_years", "metrics_years", "credit_metrics", no_years, ERROR),
@@ -150,13 +146,13 @@ def _sub_scores() -> Column:
     labels = ", ".join(quoted(label) for label in fixed.SUB_SCORE_LABELS)
     scores = f"transform(array({labels}), l -> named_struct('label', l, 'score', risk_sub_scores[l]))"
     broken = f"s.score NOT IN {_NOTATIONS} AND NOT contains(lower(s.score), 'notch')"
-    warning = _finding_sql(broken, "sub_score", "s.label", "Sub-score '{s.score}' is not standard notation", WARNING)
+    warning = _finding_sql(broken, "sub_score", "s.label", fixed.MESSAGES["sub_score"], WARNING)
     return F.expr(f"transform({scores}, s -> {warning})")
 
 
 def _metric_values() -> Column:
     """A warning for each metric value that is neither a number nor a sentinel."""
-    message = "Non-numeric value '{p.text}' for year {p.year} in '{s.metric}'"
+    message = fixed.MESSAGES["metric_value"]
     warning = _finding_sql("p.kind = 'raw'", "metric_value", "s.metric", message, WARNING)
     return F.expr(
         "flatten(transform(coalesce(series, array()), "

