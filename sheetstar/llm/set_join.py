@@ -79,30 +79,42 @@ def own_sets(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, _OWN)
 
 
-_PACKED = "part bigint, pack bigint, count bigint, tokens binary, docs binary, repeats binary, repeat_keys binary, keys binary, sizes binary"
+_PACKED = (
+    "part bigint, pack bigint, count bigint, tokens binary, counts binary, docs binary, repeats binary, repeat_keys binary, "
+    "keys binary, sizes binary, n_held bigint, held_tokens binary, held_counts binary, held_docs binary"
+)
+#: Stands for the several sets of a pack that hold a shingle.
+_SEVERAL = np.uint16(65_535)
 
 
 def _packed(documents: DataFrame, width: int, parts: int, repeated: np.ndarray) -> DataFrame:
-    """All sets' shingles by range of the hash, each set once per pack.
+    """All sets' shingles by range of the hash, each shingle once per pack, however many sets share it.
 
-    A set is named by its pack and place; only sets that may have copies in other packs carry their
-    key in every range. The keys and sizes of a pack's sets travel with the first of its ranges.
+    A set is named by its pack and place. A shingle of one set of the pack carries that place; of several, their
+    number: which ones stays with the pack, whose keys, sizes and shared shingles travel with the first of its
+    ranges. Only sets that may have copies in other packs carry their key in every range.
     """
     sent = documents.sparkSession.sparkContext.broadcast(repeated)
 
     def flush(pack, keys, sizes, sets):
         tokens = np.concatenate(sets)
         docs = np.repeat(np.arange(len(sets), dtype=np.uint16), sizes)
-        order = np.argsort(tokens)
+        order = np.argsort(tokens, kind="stable")
         tokens, docs = tokens[order], docs[order]
+        first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+        counts = np.diff(np.append(first, len(tokens))).astype(np.uint16)
+        shared = counts > 1
+        held = _pack(tokens[first[shared]]), counts[shared].tobytes(), docs[np.repeat(shared, counts)].tobytes()
+        tokens, docs = tokens[first], np.where(shared, _SEVERAL, docs[first])
         part = ((tokens >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-        cuts = np.flatnonzero(np.diff(part, prepend=np.uint64(parts + 1)))
+        cuts = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
         keys = np.array(keys, dtype=np.uint64)
-        several = sent.value[keys % np.uint64(len(sent.value))]
-        head, rows = (keys.tobytes(), np.array(sizes, dtype=np.uint32).tobytes()), []
+        marked = np.append(sent.value[keys % np.uint64(len(sent.value))], np.zeros(65_536 - len(keys), dtype=bool))
+        head, rows = (keys.tobytes(), np.array(sizes, dtype=np.uint32).tobytes(), int(shared.sum()), *held), []
         for i, j in zip(cuts, [*cuts[1:], len(tokens)]):
-            repeats = np.unique(docs[i:j][several[docs[i:j]]])
-            rows.append((int(part[i]), pack, int(j - i), _pack(tokens[i:j]), docs[i:j].tobytes(), repeats.tobytes(), keys[repeats].tobytes(), *(head if i == 0 else (b"", b""))))
+            repeats = np.unique(docs[i:j][marked[docs[i:j]]])
+            own = int(part[i]), pack, int(j - i), _pack(tokens[i:j]), counts[i:j].tobytes(), docs[i:j].tobytes(), repeats.tobytes(), keys[repeats].tobytes()
+            rows.append((*own, *(head if i == 0 else (b"", b"", 0, b"", b"", b""))))
         names = [c.split()[0] for c in _PACKED.split(", ")]
         for i in range(0, len(rows), 16):
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows[i : i + 16])], names)
@@ -122,7 +134,7 @@ def _packed(documents: DataFrame, width: int, parts: int, repeated: np.ndarray)
                 sizes.append(len(tokens))
                 sets.append(tokens)
                 held += len(tokens)
-                if held >= PACK_SHINGLES or len(sets) == 65_535:
+                if held >= PACK_SHINGLES or len(sets) == 65_000:
                     yield from flush(pack, keys, sizes, sets)
                     pack, keys, sizes, sets, held, seen = pack + 1, [], [], [], 0, set()
         if sets:
@@ -147,55 +159,56 @@ def _repeated(classes: DataFrame) -> np.ndarray:
     return np.unpackbits(table.view(np.uint8), bitorder="little").astype(bool)
 
 
-_SHARED = "pack bigint, docs binary, counts binary, tokens binary, frequencies binary, keys binary, sizes binary"
+_HEAD = "keys binary, sizes binary, n_held bigint, held_tokens binary, held_counts binary, held_docs binary"
+_SHARED = f"pack bigint, docs binary, tokens binary, frequencies binary, {_HEAD}"
 _OWN_NAME = np.uint64(1 << 63)
 
 
+def _arrow(schema: str) -> pa.Schema:
+    return pa.schema([(c.split()[0], pa.int64() if c.endswith("bigint") else pa.binary()) for c in schema.split(", ")])
+
+
 def _shared(packed: DataFrame) -> DataFrame:
     """Of each range of shingles, those in two sets or more, with their number of sets, by pack."""
 
     def run(table: pa.Table) -> pa.Table:
-        tokens, places, names, heads = [], [], [], []
+        columns, rows = {n: [] for n in ("tokens", "counts", "packs", "docs", "names")}, []
+        head = [c.split()[0] for c in _HEAD.split(", ")]
         for row in table.to_pylist():
             docs = np.frombuffer(row["docs"], dtype=np.uint16)
-            place = (np.uint64(row["pack"]) << np.uint64(16)) | docs.astype(np.uint64)
-            name = place | _OWN_NAME
+            name = (np.uint64(row["pack"]) << np.uint64(16)) | docs.astype(np.uint64) | _OWN_NAME
             repeats = np.frombuffer(row["repeats"], dtype=np.uint16)
             if len(repeats):
                 at = np.minimum(np.searchsorted(repeats, docs), len(repeats) - 1)
                 name = np.where(repeats[at] == docs, np.frombuffer(row["repeat_keys"], dtype=np.uint64)[at] & ~_OWN_NAME, name)
-            tokens.append(_unpack(row["tokens"], row["count"]))
-            places.append(place)
-            names.append(name)
+            counts = np.frombuffer(row["counts"], dtype=np.uint16)
+            packs = np.full(len(docs), row["pack"], dtype=np.int64)
+            for column, value in zip(columns.values(), (_unpack(row["tokens"], row["count"]), counts, packs, docs, name)):
+                column.append(value)
             if row["keys"]:
-                heads.append((row["pack"], b"", b"", b"", b"", row["keys"], row["sizes"]))
-        tokens, places, names = map(np.concatenate, (tokens, places, names))
+                rows.append((row["pack"], b"", b"", b"", *(row[n] for n in head)))
+        tokens, counts, packs, docs, names = map(np.concatenate, columns.values())
         order = np.argsort(tokens)
-        tokens = tokens[order]
         twin = np.zeros(len(tokens) + 1, dtype=bool)
-        twin[1:-1] = tokens[1:] == tokens[:-1]
-        several = twin[1:] | twin[:-1]
-        tokens, places, names = tokens[several], places[order][several], names[order][several]
-        # A set that several packs hold counts once, at its first place: the same for all its shingles.
-        order = np.lexsort((places, names, tokens))
-        tokens, places, names = tokens[order], places[order], names[order]
-        new = np.ones(len(tokens), dtype=bool)
-        new[1:] = (tokens[1:] != tokens[:-1]) | (names[1:] != names[:-1])
-        tokens, places = tokens[new], places[new]
-        _, inverse, counts = np.unique(tokens, return_inverse=True, return_counts=True)
-        frequency = counts[inverse].astype(np.uint32)
-        kept = frequency > 1
-        tokens, places, frequency = tokens[kept], places[kept], frequency[kept]
-        order = np.lexsort((tokens, places))
-        tokens, places, frequency = tokens[order], places[order], frequency[order]
-        pack = places >> np.uint64(16)
-        cuts = np.flatnonzero(np.append(True, pack[1:] != pack[:-1])) if len(pack) else []
-        rows = heads
-        for i, j in zip(cuts, [*cuts[1:], len(tokens)]):
-            docs, counts = np.unique(places[i:j], return_counts=True)
-            rows.append((int(pack[i]), docs.astype(np.uint16).tobytes(), counts.astype(np.uint32).tobytes(), tokens[i:j].tobytes(), frequency[i:j].tobytes(), b"", b""))
-        kinds = pa.schema([(c.split()[0], pa.int64() if c.endswith("bigint") else pa.binary()) for c in _SHARED.split(", ")])
-        return pa.table([list(c) for c in zip(*rows)] if rows else [[]] * 7, schema=kinds)
+        twin[1:-1] = tokens[order][1:] == tokens[order][:-1]
+        stay = order[twin[1:] | twin[:-1] | (counts[order] > 1)]
+        tokens, counts, packs, docs, names = (x[stay] for x in (tokens, counts, packs, docs, names))
+        # A set that several packs hold counts once.
+        order = np.lexsort((names, tokens))
+        tokens, counts, packs, docs, names = (x[order] for x in (tokens, counts, packs, docs, names))
+        if len(tokens):
+            new = np.append(True, tokens[1:] != tokens[:-1])
+            other = new | np.append(True, names[1:] != names[:-1])
+            group = np.cumsum(new) - 1
+            frequency = np.bincount(group, weights=np.where(counts > 1, counts, other))[group].astype(np.uint32)
+            kept = frequency > 1
+            order = np.flatnonzero(kept)[np.argsort(packs[kept], kind="stable")]
+            tokens, packs, docs, frequency = tokens[order], packs[order], docs[order], frequency[order]
+            cuts = np.flatnonzero(np.append(True, packs[1:] != packs[:-1])) if len(packs) else []
+            for i, j in zip(cuts, [*cuts[1:], len(tokens)]):
+                rows.append((int(packs[i]), docs[i:j].tobytes(), tokens[i:j].tobytes(), frequency[i:j].tobytes(), b"", b"", 0, b"", b"", b""))
+        kinds = _arrow(_SHARED)
+        return pa.table([list(c) for c in zip(*rows)] if rows else [[]] * len(kinds), schema=kinds)
 
     return packed.groupBy("part").applyInArrow(run, _SHARED)
 
@@ -206,22 +219,32 @@ _KEPT = "key bigint, n bigint, alone bigint, tokens array<bigint>"
 def _kept(shared: DataFrame, at_least: int, of: int) -> DataFrame:
     """Sets with a shared shingle in their prefix; ``tokens`` are the shared ones, rarest first.
 
-    ``alone`` counts the set's other shingles, which come before these in the order.
+    ``alone`` counts the set's other shingles, which come before these in the order. A set that
+    several packs hold comes from each of them alike.
     """
 
     def run(table: pa.Table) -> pa.Table:
-        parts, keys, sizes = {"docs": [], "tokens": [], "frequencies": []}, None, None
+        docs, tokens, frequency, head = [], [], [], None
         for row in table.to_pylist():
             if row["keys"]:
-                keys, sizes = np.frombuffer(row["keys"], dtype=np.uint64), np.frombuffer(row["sizes"], dtype=np.uint32).astype(np.int64)
+                head = row
                 continue
-            parts["docs"].append(np.repeat(np.frombuffer(row["docs"], dtype=np.uint16), np.frombuffer(row["counts"], dtype=np.uint32)))
-            parts["tokens"].append(np.frombuffer(row["tokens"], dtype=np.uint64))
-            parts["frequencies"].append(np.frombuffer(row["frequencies"], dtype=np.uint32))
-        if not parts["docs"]:
+            docs.append(np.frombuffer(row["docs"], dtype=np.uint16))
+            tokens.append(np.frombuffer(row["tokens"], dtype=np.uint64))
+            frequency.append(np.frombuffer(row["frequencies"], dtype=np.uint32))
+        if not docs:
             empty = pa.array([], pa.int64())
             return pa.table({"key": empty, "n": empty, "alone": empty, "tokens": pa.array([], pa.list_(pa.int64()))})
-        docs, tokens, frequency = (np.concatenate(parts[n]) for n in ("docs", "tokens", "frequencies"))
+        keys, sizes = np.frombuffer(head["keys"], dtype=np.uint64), np.frombuffer(head["sizes"], dtype=np.uint32).astype(np.int64)
+        docs, tokens, frequency = map(np.concatenate, (docs, tokens, frequency))
+        # Shingles of several sets of the pack: each comes back once, with its number of sets, and goes to all of them.
+        several = docs == _SEVERAL
+        if several.any():
+            held, counts = _unpack(head["held_tokens"], head["n_held"]), np.frombuffer(head["held_counts"], dtype=np.uint16)
+            order = np.argsort(tokens[several])
+            docs = np.concatenate([docs[~several], np.frombuffer(head["held_docs"], dtype=np.uint16)])
+            frequency = np.concatenate([frequency[~several], np.repeat(frequency[several][order], counts)])
+            tokens = np.concatenate([tokens[~several], np.repeat(held, counts)])
         order = np.lexsort((tokens, frequency, docs))
         docs, tokens = docs[order], tokens[order]
         first = np.flatnonzero(np.append(True, docs[1:] != docs[:-1]))
@@ -282,7 +305,7 @@ def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     parts = max(1, -(-total // group_shingles))
     kept = _kept(_shared(_packed(documents, width, parts, _repeated(classes))), at_least, of)
     # Sets seen under null ids only have no name to link by.
-    sets = scratch.keep(kept.join(classes.select("key", "id").filter("id is not null"), "key").drop("key"), "sets")
+    sets = scratch.keep(kept.dropDuplicates(["key"]).join(classes.select("key", "id").filter("id is not null"), "key").drop("key"), "sets")
 
     reach = F.col("n") - F.ceil(F.col("n") * at_least / of) + 1 - F.col("alone")
     index = sets.select("id", "n", "alone", F.posexplode(F.slice("tokens", F.lit(1), F.greatest(reach, F.lit(0)).cast("int")))).select(
