@@ -47,6 +47,13 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_memory() -> None:
+    """Give back what Arrow keeps in a Python worker from the tasks that ran there before."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -16,11 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from sheetstar.llm.common import release_memory
+
 END_ID = 2
 #: A block is closed at the first document end after so many ids.
 BLOCK_IDS = 65_536
 #: Pieces of text whose ids a task remembers; later new pieces are encoded without being remembered.
-REMEMBERED = 800_000
+REMEMBERED = 300_000
 if array("I").itemsize != 4 or sys.byteorder != "little":
     raise ImportError("32-bit little-endian integers are needed")
 
@@ -199,6 +201,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int = END_I
     """
 
     def run(batches):
+        release_memory()
         encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4").tobytes()
         docs, lengths, ids, held, start, block = [], [], [], 0, 0, 0
