@@ -20,15 +20,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetstar.llm.common import Scratch, components
+from sheetstar.llm.common import Scratch, components, release_memory
 from sheetstar.llm.words import WordHasher, chunks, mixed, shingles, text_buffers
 
 WIDTH = 5
 #: Sets link when OF * |both| >= AT_LEAST * |either|.
 AT_LEAST, OF = 75, 100
 #: Shingles that one task of the exchange holds at once, and that a map task gathers before it packs them.
-GROUP_SHINGLES = 2_000_000
-PACK_SHINGLES = 1_000_000
+GROUP_SHINGLES = 1_000_000
+PACK_SHINGLES = 500_000
 #: Rounds in which sets outside the largest component of a list ask one of its members.
 TURNS = 4
 
@@ -172,6 +172,7 @@ def _shared(packed: DataFrame) -> DataFrame:
     """Of each range of shingles, those in two sets or more, with their number of sets, by pack."""
 
     def run(table: pa.Table) -> pa.Table:
+        release_memory()
         columns, rows = {n: [] for n in ("tokens", "counts", "packs", "docs", "names")}, []
         head = [c.split()[0] for c in _HEAD.split(", ")]
         for row in table.to_pylist():
@@ -224,6 +225,7 @@ def _kept(shared: DataFrame, at_least: int, of: int) -> DataFrame:
     """
 
     def run(table: pa.Table) -> pa.Table:
+        release_memory()
         docs, tokens, frequency, head = [], [], [], None
         for row in table.to_pylist():
             if row["keys"]:
