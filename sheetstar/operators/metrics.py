@@ -129,6 +129,11 @@ def metrics_document() -> Column:
     )
 
 
+def document_json(document: str = "credit_metrics") -> Column:
+    """A metrics document as JSON text, null values written out; null for no document."""
+    return F.to_json(document, {"ignoreNullFields": "false"})
+
+
 def explode_document(df: DataFrame, keys: list[str], document: str = "credit_metrics") -> DataFrame:
     """Long form of a metrics document: ``keys, metric, pos, year, kind, num, text``."""
     doc = F.col(document)

@@ -1,6 +1,7 @@
 """Parsing and validation on hand-built sheets."""
 
 import hashlib
+import json
 import math
 
 import pytest
@@ -232,3 +233,13 @@ def test_number_formats(code, shown):
 ])
 def test_serial_numbers(serial, kind, from_1904, text):
     assert workbook_cells._date_text(serial, kind, from_1904) == text
+
+
+def test_documents_as_json(spark):
+    rows = spark.createDataFrame(cell_rows("f", clean(metric=[1.5, "Locked"])), CELLS)
+    records = metrics.with_series(sheets.records(sheets.rows_from_cells(rows))).withColumn("credit_metrics", metrics.metrics_document())
+    row = records.select("credit_metrics", metrics.document_json().alias("text")).first()
+    read = json.loads(row.text)
+    assert read["years"] == row.credit_metrics["years"] and read["sentinels"] == row.credit_metrics["sentinels"]
+    values = {m: {y: v.asDict() for y, v in s.items()} for m, s in row.credit_metrics["metrics"].items()}
+    assert read["metrics"] == values and values
