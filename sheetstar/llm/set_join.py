@@ -280,16 +280,23 @@ def _may_link(at_least: int, of: int):
     return (of * n >= at_least * m) & (of * m >= at_least * n) & ((at_least + of) * left >= at_least * (n + m))
 
 
-def _towards_largest(index: DataFrame, named: DataFrame, turn: int, at_least: int, of: int) -> DataFrame:
+def _undecided(index: DataFrame, named: DataFrame) -> DataFrame:
+    """``token, id, n, pos, component`` of the lists that sets of more than one component share."""
+    entries = index.select("token", "id", "n", "pos").join(named.withColumnRenamed("node", "id"), "id", "left")
+    entries = entries.withColumn("component", F.coalesce("component", "id"))
+    mixed_lists = entries.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
+    return entries.join(mixed_lists.select("token"), "token", "left_semi")
+
+
+def _towards_largest(entries: DataFrame, turn: int, at_least: int, of: int) -> DataFrame:
     """``a, b``: every set outside the largest component of one of its lists, with a member of that component.
 
     The member differs by list and turn, so a set that belongs to a large group of copies soon meets
     one that it links with; what is asked stays within the length of the lists. Pairs whose sizes
     or places in the list speak against a link aren't asked here.
     """
-    entries = index.join(named.withColumnRenamed("node", "id"), "id", "left").select("token", "id", "n", "pos", F.coalesce("component", "id").alias("component"))
     parts = entries.groupBy("token", "component").agg(F.count("*").alias("size"), F.min_by(F.struct("id", "n", "pos"), F.xxhash64("id", "token", F.lit(turn))).alias("m"))
-    largest = parts.groupBy("token").agg(F.max_by(F.struct("component", "m"), F.struct("size", "component")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+    largest = parts.groupBy("token").agg(F.max_by(F.struct("component", "m"), F.struct("size", "component")).alias("top"))
     met = entries.join(largest.select("token", "top.component", "top.m").withColumnRenamed("component", "largest"), "token").filter(
         (F.col("component") != F.col("largest")) & _may_link(at_least, of)
     )
@@ -313,19 +320,19 @@ def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     index = sets.select("id", "n", "alone", F.posexplode(F.slice("tokens", F.lit(1), F.greatest(reach, F.lit(0)).cast("int")))).select(
         "id", "n", F.col("col").alias("token"), (F.col("pos") + F.col("alone")).alias("pos")
     )
-    index = scratch.keep(index, "index")
     link = of * F.col("both") >= at_least * (F.col("n_a") + F.col("n_b") - F.col("both"))
 
-    # One leader per list: its first set. Copies of one text propose the same few.
-    leaders = index.groupBy("token").agg(F.min(F.struct("id", "n", "pos")).alias("m"))
-    leaders = scratch.keep(leaders, "leaders")
-    proposed = index.join(leaders, "token").filter(F.col("m.id") != F.col("id")).filter(_may_link(at_least, of))
+    # One leader per list: its first set. Copies of one text propose the same few. Lists of one are done.
+    leaders = index.groupBy("token").agg(F.min(F.struct("id", "n", "pos")).alias("m"), F.count("*").alias("length")).filter("length > 1")
+    index = scratch.keep(index.join(leaders.drop("length"), "token"), "index")
+    proposed = index.filter(F.col("m.id") != F.col("id")).filter(_may_link(at_least, of))
     proposed = proposed.select(F.col("m.id").alias("a"), F.col("id").alias("b")).distinct()
     led = scratch.keep(_overlaps(proposed, sets).filter(link), "led")
     first = scratch.keep(components(led, scratch), "first")
-    before = None
+    before, index = None, index.drop("m")
     for turn in range(TURNS):
-        asked = _towards_largest(index, first, turn, at_least, of)
+        index = scratch.keep(_undecided(index, first), "undecided")
+        asked = _towards_largest(index, turn, at_least, of)
         if before is not None:
             asked = asked.join(before, ["a", "b"], "left_anti")
         asked = scratch.keep(asked, "asked")
@@ -348,7 +355,7 @@ def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     # |x and s| <= |X and S| + extra(x) + extra(s) for members x, s of leaders X, S. So a link needs
     # (at_least + of) * |X and S| >= need(x) + need(s).
     need = at_least * F.col("n") - (at_least + of) * F.col("extra")
-    entries = scratch.keep(index.join(sides, "id").select("token", "id", "n", "pos", "leader", "component", need.alias("need")), "entries")
+    entries = scratch.keep(_undecided(index, first).drop("component").join(sides, "id").select("token", "id", "n", "pos", "leader", "component", need.alias("need")), "entries")
     block = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(of / at_least)))
     lists = entries.groupBy("token", "leader", "component", block(F.col("n")).alias("block")).agg(
         F.min("need").alias("need"), F.min("n").alias("low"), F.max("n").alias("high"), F.min("pos").alias("pos")
