@@ -92,9 +92,46 @@ SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items,
 FROM doc_words LEFT JOIN hits USING (rid) LEFT JOIN items USING (rid)
 """
 
+def _closed(rows: str, edges: str) -> str:
+    """CTEs ``reached (rid, other)``: all rows that links connect, from ``edges (a, b)`` between rids."""
+    return f"""
+both_ways AS (SELECT a, b FROM {edges} UNION ALL SELECT b, a FROM {edges}),
+reached AS (SELECT rid, rid AS other FROM {rows} UNION SELECT r.rid, e.b FROM reached r JOIN both_ways e ON e.a = r.other)"""
+
+
+VECTOR_SQL = f"""
+WITH RECURSIVE vectors AS (SELECT row_number() OVER () AS rid, vec_id, label, [CAST(x AS DOUBLE) FOR x IN embedding] AS v FROM embeddings),
+usable AS (
+  SELECT * FROM vectors WHERE label IS NOT NULL AND v IS NOT NULL AND len(v) > 0
+    AND len([x FOR x IN v IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN v IF x <> 0]) > 0),
+links AS (
+  SELECT a.rid AS a, b.rid AS b FROM usable a JOIN usable b ON a.label = b.label AND a.rid < b.rid AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.98),{_closed("vectors", "links")},
+parts AS (SELECT r.rid, min(o.vec_id) AS component_id FROM reached r JOIN vectors o ON o.rid = r.other GROUP BY r.rid),
+degrees AS (SELECT a AS rid, count(*) AS n FROM both_ways GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors JOIN parts USING (rid) LEFT JOIN degrees USING (rid)
+"""
+
+_SHINGLE_WORDS = f"regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+')"
+SHINGLE_SQL = f"""
+WITH RECURSIVE texts AS (SELECT row_number() OVER () AS rid, doc_id, {_SHINGLE_WORDS} AS w FROM documents),
+runs AS (
+  SELECT DISTINCT rid, list_slice(w, i, i + 4) AS run
+  FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM texts WHERE len(w) > 0)),
+sizes AS (SELECT rid, count(*) AS n FROM runs GROUP BY rid),
+shared AS (SELECT a.rid AS a, b.rid AS b, count(*) AS common FROM runs a JOIN runs b ON a.run = b.run AND a.rid < b.rid GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.rid = a JOIN sizes y ON y.rid = b WHERE 100 * common >= 75 * (x.n + y.n - common)),{_closed("texts", "links")},
+parts AS (SELECT r.rid, min(o.doc_id) AS component_id FROM reached r JOIN texts o ON o.rid = r.other GROUP BY r.rid)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM texts JOIN parts USING (rid) LEFT JOIN sizes USING (rid)
+"""
+
 ORACLES = {
+    "op1_projection_neighbours": VECTOR_SQL,
     "op4_shard_lookup": SHARD_SQL,
     "op6_secret_ledger": SECRET_SQL,
     "op7_window_automaton": WINDOW_SQL,
+    "op9_shingle_groups": SHINGLE_SQL,
     "op10_url_verdicts": URL_SQL,
 }
