@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetstar.llm.common import Scratch
+from sheetstar.llm.common import Scratch, release_memory
 
 WINDOW = 13
 #: A document is contaminated from one hit word in this many on.
@@ -88,6 +88,7 @@ def _scan(documents: DataFrame, items: list, width: int) -> DataFrame:
     def run(batches):
         windows = Windows(items, width)
         for batch in batches:
+            release_memory()
             columns = [[] for _ in range(8)]
             for row, doc, text in zip(batch.column("row").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text")):
                 text = text.as_py() or ""
@@ -188,6 +189,7 @@ def clean(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW, share
     def run(batches):
         windows = Windows(items, width)
         for batch in batches:
+            release_memory()
             keep = []
             for text in batch.column(at):
                 words = words_of(text.as_py())

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetstar.llm.common import held_out
+from sheetstar.llm.common import held_out, release_memory
 
 UNDETERMINED = "und"
 #: Bounds of the fit: labelled documents per language, languages (the most frequent), words, n-grams of each length.
@@ -118,6 +118,7 @@ def _counts(batches):
             yield pa.RecordBatch.from_pydict({"lang": [k[0] for k, _ in part], "length": pa.array([k[1] for k, _ in part], pa.int32()), "gram": [k[2] for k, _ in part], "n": [n for _, n in part]})
 
     for batch in batches:
+        release_memory()
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text")):
             for word in words_of(text.as_py() or ""):
                 words[lang, word] += 1
@@ -177,6 +178,7 @@ def predict(documents: DataFrame, model: Model, columns: list[str]) -> DataFrame
     def run(batches):
         scorer = Scorer(sent.value)
         for batch in batches:
+            release_memory()
             found = [scorer.score(text.as_py()) for text in batch.column(batch.num_columns - 1)]
             out = batch.columns[:-1] + [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(out, [*columns, "lang_pred", "score"])
@@ -205,6 +207,7 @@ def accepted(documents: DataFrame, least: float = 0.5, folds: int = 4, fold: int
     def run(batches):
         scorer = Scorer(sent.value)
         for batch in batches:
+            release_memory()
             found = [scorer.score(text.as_py()) for text in batch.column(at)]
             yield batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in found], pa.bool_()))
 

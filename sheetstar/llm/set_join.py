@@ -69,6 +69,7 @@ def own_sets(documents: DataFrame, width: int = WIDTH) -> DataFrame:
     def run(batches):
         hasher = WordHasher()
         for batch in batches:
+            release_memory()
             keys, sizes = np.zeros(batch.num_rows, dtype=np.uint64), np.zeros(batch.num_rows, dtype=np.int64)
             for row, tokens in _sets(batch, hasher, width):
                 keys[row], sizes[row] = _key(tokens), len(tokens)
@@ -125,6 +126,7 @@ def _packed(documents: DataFrame, width: int, parts: int, repeated: np.ndarray)
         pack = TaskContext.get().partitionId() << 20
         keys, sizes, sets, held, seen = [], [], [], 0, set()
         for batch in batches:
+            release_memory()
             for _, tokens in _sets(batch, hasher, width):
                 key = _key(tokens)
                 if key in seen:

@@ -22,7 +22,7 @@ END_ID = 2
 #: A block is closed at the first document end after so many ids.
 BLOCK_IDS = 65_536
 #: Pieces of text whose ids a task remembers; later new pieces are encoded without being remembered.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 if array("I").itemsize != 4 or sys.byteorder != "little":
     raise ImportError("32-bit little-endian integers are needed")
 
@@ -201,7 +201,6 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int = END_I
     """
 
     def run(batches):
-        release_memory()
         encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
         end = np.array([end_id], dtype="<u4").tobytes()
         docs, lengths, ids, held, start, block = [], [], [], 0, 0, 0
@@ -213,6 +212,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int = END_I
             )
 
         for batch in batches:
+            release_memory()
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 coded = encoder.encode(text.as_py() or "") + end
                 docs.append(doc)
@@ -250,6 +250,7 @@ def digests(spark: SparkSession, folder: str) -> DataFrame:
 
     def run(batches):
         for batch in batches:
+            release_memory()
             for row in batch.to_pylist():
                 ids = unpack(row["words"], row["escapes"]).astype("<u4")
                 lengths = np.array(row["lengths"], dtype=np.int64)
