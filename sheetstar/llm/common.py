@@ -47,6 +47,20 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: Rows of texts that go to a Python worker at once.
+BATCH_ROWS = 1_000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand whole texts to Python in batches of at most ``BATCH_ROWS``, for the session from now on.
+
+    A batch is held several times over, on both sides; at Spark's own 10,000 rows that is hundreds of megabytes.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def release_memory() -> None:
     """Give back what Arrow keeps in a Python worker from the tasks that ran there before."""
     import pyarrow as pa

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetstar.llm.common import Scratch, release_memory
+from sheetstar.llm.common import Scratch, release_memory, small_batches
 
 WINDOW = 13
 #: A document is contaminated from one hit word in this many on.
@@ -106,6 +106,7 @@ def _scan(documents: DataFrame, items: list, width: int) -> DataFrame:
 
 def _blocks(benchmark: DataFrame, block_chars: int) -> list[list]:
     """The items in blocks of about ``block_chars`` characters, each collected on its own."""
+    small_batches(benchmark.sparkSession)
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id is not null and text is not null")
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-chars // block_chars))

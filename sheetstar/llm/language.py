@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetstar.llm.common import held_out, release_memory
+from sheetstar.llm.common import held_out, release_memory, small_batches
 
 UNDETERMINED = "und"
 #: Bounds of the fit: labelled documents per language, languages (the most frequent), words, n-grams of each length.
@@ -133,6 +133,7 @@ def fit(labelled: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE) -> Mode
 
     Rows with null lang or text don't count. What is collected is bounded by the parameters above.
     """
+    small_batches(labelled.sparkSession)
     labelled = labelled.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
     sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     languages = sorted(r["lang"] for r in sizes)
@@ -172,6 +173,7 @@ def predict(documents: DataFrame, model: Model, columns: list[str]) -> DataFrame
     ``und`` and 0 for a null text and one without letters. No row moves.
     """
     spark = documents.sparkSession
+    small_batches(spark)
     sent = spark.sparkContext.broadcast(model)
     kept = documents.select(*columns, F.col("text").alias("_text"))
 

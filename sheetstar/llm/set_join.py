@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetstar.llm.common import Scratch, components, release_memory
+from sheetstar.llm.common import Scratch, components, release_memory, small_batches
 from sheetstar.llm.words import WordHasher, chunks, mixed, shingles, text_buffers
 
 WIDTH = 5
@@ -309,6 +309,7 @@ def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     """(rows, classes, links): ``doc_id, key, n_shingles`` per row of ``documents``; ``key, id`` with the
     smallest doc_id of every distinct set; and ``a, b`` between ids of different sets that connect
     all sets that any links connect. Not all links within a component are among them."""
+    small_batches(documents.sparkSession)
     scratch = Scratch(documents.sparkSession, "sets")
     rows = scratch.keep(own_sets(documents, width), "rows")
     classes = scratch.keep(rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.count("*").alias("copies")), "classes")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from sheetstar.llm.common import release_memory
+from sheetstar.llm.common import release_memory, small_batches
 
 END_ID = 2
 #: A block is closed at the first document end after so many ids.
@@ -226,6 +226,7 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int = END_I
         if docs:
             yield closed()
 
+    small_batches(documents.sparkSession)
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     order = [F.col("doc_id"), F.xxhash64("text")]
     blocks = texts.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, _BLOCK)
