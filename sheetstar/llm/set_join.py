@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sheetstar.llm.common import Scratch, components, release_memory, small_batches
+from sheetstar.llm.common import SPACES, Scratch, components, release_memory, small_batches
 from sheetstar.llm.words import WordHasher, chunks, mixed, shingles, text_buffers
 
 WIDTH = 5
@@ -60,11 +60,11 @@ def _key(tokens: np.ndarray) -> np.uint64:
         return mixed(np.array([mixed(tokens).sum() + np.uint64(len(tokens))], dtype=np.uint64))[0]
 
 
-_OWN = "doc_id bigint, key bigint, n_shingles bigint"
+_OWN = "doc_id bigint, text_hash bigint, key bigint, n_shingles bigint"
 
 
 def own_sets(documents: DataFrame, width: int = WIDTH) -> DataFrame:
-    """``doc_id, key, n_shingles`` per row; equal keys mean equal sets; no words: null key and 0."""
+    """``doc_id, text_hash, key, n_shingles`` per row; equal keys mean equal sets; no words: null key and 0."""
 
     def run(batches):
         hasher = WordHasher()
@@ -74,10 +74,11 @@ def own_sets(documents: DataFrame, width: int = WIDTH) -> DataFrame:
             for row, tokens in _sets(batch, hasher, width):
                 keys[row], sizes[row] = _key(tokens), len(tokens)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(keys.view(np.int64), mask=sizes == 0), pa.array(sizes)], ["doc_id", "key", "n_shingles"]
+                [batch.column("doc_id"), batch.column("text_hash"), pa.array(keys.view(np.int64), mask=sizes == 0), pa.array(sizes)],
+                ["doc_id", "text_hash", "key", "n_shingles"],
             )
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, _OWN)
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").mapInArrow(run, _OWN)
 
 
 _PACKED = (
@@ -306,18 +307,22 @@ def _towards_largest(entries: DataFrame, turn: int, at_least: int, of: int) -> D
 
 
 def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, of: int = OF, group_shingles: int = GROUP_SHINGLES) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(rows, classes, links): ``doc_id, key, n_shingles`` per row of ``documents``; ``key, id`` with the
-    smallest doc_id of every distinct set; and ``a, b`` between ids of different sets that connect
-    all sets that any links connect. Not all links within a component are among them."""
+    """(rows, classes, links): ``doc_id, text_hash, key, n_shingles`` per row of ``documents``; ``key, id, first``
+    of every distinct set, with a number of its own and the ``(no_id, doc_id, text_hash)`` of its row with the smallest doc_id,
+    null only where all its rows have none; and ``a, b`` between numbers of different sets that connect all sets that any
+    links connect. Not all links within a component are among them."""
     small_batches(documents.sparkSession)
     scratch = Scratch(documents.sparkSession, "sets")
     rows = scratch.keep(own_sets(documents, width), "rows")
-    classes = scratch.keep(rows.filter("key is not null").groupBy("key").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("n"), F.count("*").alias("copies")), "classes")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    classes = rows.filter("key is not null").groupBy("key").agg(F.min(first).alias("first"), F.max("n_shingles").alias("n"), F.count("*").alias("copies"))
+    # Numbers in the order of doc_ids: a list's leader is then its oldest set. Two sets under one doc_id have a number each.
+    classes = scratch.keep(classes.orderBy("first", "key").withColumn("id", F.monotonically_increasing_id()), "classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-total // group_shingles))
     kept = _kept(_shared(_packed(documents, width, parts, _repeated(classes))), at_least, of)
     # Sets seen under null ids only have no name to link by.
-    sets = scratch.keep(kept.dropDuplicates(["key"]).join(classes.select("key", "id").filter("id is not null"), "key").drop("key"), "sets")
+    sets = scratch.keep(kept.dropDuplicates(["key"]).join(classes.filter("not first.no_id").select("key", "id"), "key").drop("key"), "sets")
 
     reach = F.col("n") - F.ceil(F.col("n") * at_least / of) + 1 - F.col("alone")
     index = sets.select("id", "n", "alone", F.posexplode(F.slice("tokens", F.lit(1), F.greatest(reach, F.lit(0)).cast("int")))).select(
@@ -391,7 +396,15 @@ def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     ).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")).distinct()
     inner = _overlaps(scratch.keep(members, "members"), sets).filter(link).select("a", "b")
     links = scratch.keep(led.select("a", "b").unionByName(across).unionByName(inner), "links")
-    return rows, classes.select("key", "id"), links
+    return rows, classes.select("key", "id", "first"), links
+
+
+def _parts(classes: DataFrame, links: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """``key, part`` of every set, and ``part, first`` of every component: its row with the smallest doc_id."""
+    named = scratch.keep(components(links, scratch), "components")
+    parts = classes.join(named.withColumnRenamed("node", "id"), "id", "left").select("key", "first", F.coalesce("component", "id").alias("part"))
+    parts = scratch.keep(parts, "parts")
+    return parts.select("key", "part"), scratch.keep(parts.groupBy("part").agg(F.min("first").alias("first")), "names")
 
 
 def groups(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, of: int = OF, **options) -> DataFrame:
@@ -406,17 +419,30 @@ def groups(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     """
     rows, classes, links = linked(documents, width, at_least, of, **options)
     scratch = Scratch(documents.sparkSession, "groups")
-    named = scratch.keep(components(links, scratch), "components")
-    known = scratch.keep(
-        classes.join(named.withColumnRenamed("node", "id"), "id", "left").select("key", F.coalesce("component", "id").alias("component_id")), "known"
-    )
+    parts, names = _parts(classes, links, scratch)
+    known = scratch.keep(parts.join(names, "part").select("key", F.col("first.doc_id").alias("component_id")), "known")
     joined = rows.join(known, "key", "left")
     own = F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return joined.select("doc_id", "n_shingles", own.alias("component_id"))
 
 
 def one_of_each(documents: DataFrame, **options) -> DataFrame:
-    """The documents with the smallest id of their component, all columns kept; a repeated id stays once."""
-    chosen = groups(documents, **options).filter("doc_id = component_id").select(F.col("doc_id").alias("_chosen")).distinct()
-    stay = documents.join(chosen, documents["doc_id"] == chosen["_chosen"], "left_semi")
-    return stay.dropDuplicates(["doc_id"])
+    """One row of each component, all columns kept: that with the smallest doc_id, or any where none has one.
+
+    Only rows of one component ever stand for each other: rows under one doc_id, or under none, stay if their texts
+    belong to different components. Rows without words are alike to nothing and all stay. Rows of equal
+    doc_id are told apart by a 64-bit hash of their text.
+    """
+    _, classes, links = linked(documents, **options)
+    _, names = _parts(classes, links, Scratch(documents.sparkSession, "one-of-each"))
+    # Null ids as two columns, so that the join and the last step share one exchange.
+    place = ["_no_id", "_id", "_hash"]
+    chosen = names.select(F.col("first.no_id").alias("_no_id"), F.coalesce("first.doc_id", F.lit(0)).alias("_id"), F.col("first.text_hash").alias("_hash"))
+    worded = F.coalesce(F.col("text").rlike(f"[^{SPACES}]"), F.lit(False))
+    # Whole rows in one column, so that no name of theirs can clash.
+    rows = documents.filter(worded).select(
+        F.struct(*[documents[c] for c in documents.columns]).alias("_row"), documents["doc_id"].isNull().alias("_no_id"),
+        F.coalesce(documents["doc_id"].cast("bigint"), F.lit(0)).alias("_id"), F.xxhash64(documents["text"]).alias("_hash"),
+    )
+    stay = rows.join(chosen, place, "left_semi").dropDuplicates(place).select("_row.*")
+    return stay.unionByName(documents.filter(~worded))

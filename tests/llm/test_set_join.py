@@ -98,3 +98,19 @@ def test_edge_cases(spark):
 def test_one_of_each_keeps_all_columns(spark):
     df = spark.createDataFrame([(1, "a b c d e f", "p"), (2, "a b c d e f", "q"), (3, None, "r")], "doc_id bigint, text string, key string")
     assert sorted(map(tuple, set_join.one_of_each(df).collect())) == [(1, "a b c d e f", "p"), (3, None, "r")]
+
+
+def test_one_of_each_drops_only_near_copies(spark):
+    text = lambda name, n=20: " ".join(f"{name}{i}" for i in range(n))
+    rows = [(None, text("alone")), (None, text("twin")), (None, text("twin")), (5, text("twin")), (7, text("a")), (7, text("b")), (7, text("b")),
+            (8, text("a") + " end"), (3, text("b") + " end"), (None, text("n")), (None, text("n")), (9, ""), (None, None), (None, " ")]
+    df = spark.createDataFrame([(*r, "x") for r in rows], "doc_id bigint, text string, _id string")
+    kept = set_join.one_of_each(df)
+    assert kept.columns == df.columns
+    want = [(None, text("alone")), (5, text("twin")), (7, text("a")), (3, text("b") + " end"), (None, text("n")), (9, ""), (None, None), (None, " ")]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_sets_under_one_id_keep_their_own_components(spark):
+    text = lambda name, n=20: " ".join(f"{name}{i}" for i in range(n))
+    assert got(spark, [(7, text("a")), (7, text("b")), (3, text("a") + " end")]) == [(3, 17, 3), (7, 16, 3), (7, 16, 7)]
