@@ -321,8 +321,7 @@ def linked(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     total = classes.agg(F.sum("n")).first()[0] or 0
     parts = max(1, -(-total // group_shingles))
     kept = _kept(_shared(_packed(documents, width, parts, _repeated(classes))), at_least, of)
-    # Sets seen under null ids only have no name to link by.
-    sets = scratch.keep(kept.dropDuplicates(["key"]).join(classes.filter("not first.no_id").select("key", "id"), "key").drop("key"), "sets")
+    sets = scratch.keep(kept.dropDuplicates(["key"]).join(classes.select("key", "id"), "key").drop("key"), "sets")
 
     reach = F.col("n") - F.ceil(F.col("n") * at_least / of) + 1 - F.col("alone")
     index = sets.select("id", "n", "alone", F.posexplode(F.slice("tokens", F.lit(1), F.greatest(reach, F.lit(0)).cast("int")))).select(
@@ -413,8 +412,8 @@ def groups(documents: DataFrame, width: int = WIDTH, at_least: int = AT_LEAST, o
     Words are ``[^ \\t-\\r]+`` with A-Z lower-cased, of whole texts; a set holds the distinct runs of
     ``width`` words, or the whole sequence where there are fewer. Sets link when ``of * |both| >= at_least * |either|``.
     component_id is the smallest doc_id reachable. Null and empty texts have the empty set and link
-    with nothing: their component is their own id. Repeated rows and ids keep their rows. A row with a
-    null id gets its class's component, null where all of the class have none. Other columns aren't
+    with nothing: their component is their own id. Repeated rows and ids keep their rows. Rows with null ids
+    link like others but name no component; it is null where all of its rows have none. Other columns aren't
     read; an empty table gives no rows.
     """
     rows, classes, links = linked(documents, width, at_least, of, **options)

@@ -114,3 +114,15 @@ def test_one_of_each_drops_only_near_copies(spark):
 def test_sets_under_one_id_keep_their_own_components(spark):
     text = lambda name, n=20: " ".join(f"{name}{i}" for i in range(n))
     assert got(spark, [(7, text("a")), (7, text("b")), (3, text("a") + " end")]) == [(3, 17, 3), (7, 16, 3), (7, 16, 7)]
+
+
+def test_null_ids_link(spark):
+    text = lambda *changed: " ".join(f"x{i}" if i in changed else f"w{i}" for i in range(104))
+    # Each differs in one place from the one in the middle, and in two places that break 10 of 100 shingles each from the other.
+    rows = [(4, text(20, 60)), (None, text(20)), (2, text(20, 40)), (None, "p q r s t u v"), (None, "p q r s t u v")]
+    options = {"at_least": 90, "of": 100}
+    assert got(spark, rows[:1] + rows[2:3], **options) == [(2, 100, 2), (4, 100, 4)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = sorted(map(tuple, set_join.groups(df, **options).collect()), key=repr)
+    assert found == sorted([(4, 100, 2), (None, 100, 2), (2, 100, 2), (None, 3, None), (None, 3, None)], key=repr)
+    assert sorted(((r.doc_id, r.text) for r in set_join.one_of_each(df, **options).collect()), key=repr) == sorted([rows[2], rows[3]], key=repr)
