@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
@@ -15,7 +16,7 @@ WINDOW = 13
 #: A document is contaminated from one hit word in this many on.
 SHARE = 20
 #: Benchmark text, in characters, that one automaton holds; a larger benchmark takes several scans.
-#: It bounds what is collected and sent to the tasks.
+#: It bounds what is collected and sent to the tasks at once; only a single item may be longer.
 BLOCK_CHARS = 8_000_000
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
@@ -104,14 +105,29 @@ def _scan(documents: DataFrame, items: list, width: int) -> DataFrame:
     return documents.mapInArrow(run, _SCANNED)
 
 
-def _blocks(benchmark: DataFrame, block_chars: int) -> list[list]:
-    """The items in blocks of about ``block_chars`` characters, each collected on its own."""
-    small_batches(benchmark.sparkSession)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id is not null and text is not null")
+def _blocks(benchmark: DataFrame, block_chars: int) -> tuple[int, Iterator[list]]:
+    """The number of blocks of about ``block_chars`` characters, and the items of one block after the other.
+
+    A block is collected when it is asked for. Several are split beforehand, in one exchange.
+    """
+    spark = benchmark.sparkSession
+    small_batches(spark)
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").filter("item_id is not null and text is not null").distinct()
     chars = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = max(1, -(-chars // block_chars))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n))
-    return [[(r.item_id, r.text) for r in items.filter(block == i).collect()] for i in range(n)]
+
+    def collected():
+        if n == 1:
+            yield [(r.item_id, r.text) for r in items.collect()]
+            return
+        folder = Scratch(spark, "benchmark").path("blocks")
+        split = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
+        split.repartition("block").write.partitionBy("block").parquet(folder)
+        kept = spark.read.schema(split.schema).parquet(folder)
+        for i in range(n):
+            yield [(r.item_id, r.text) for r in kept.filter(F.col("block") == i).select("item_id", "text").collect()]
+
+    return n, collected()
 
 
 def scan(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: int = SHARE, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -124,16 +140,19 @@ def scan(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW, share:
     count once, repeated rows keep their rows; other columns aren't read; empty tables are fine.
     """
     # A benchmark that fits one automaton is one pass; further blocks are merged by row.
-    blocks = _blocks(benchmark, block_chars)
+    n_blocks, blocks = _blocks(benchmark, block_chars)
     rows = documents.select(F.lit(0).cast("bigint").alias("row"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    if len(blocks) == 1:
-        scanned = _scan(rows, blocks[0], width)
+    if n_blocks == 1:
+        scanned = _scan(rows, next(blocks), width)
         ranges = F.arrays_zip("starts", "ends")
         return _judged(scanned.select("doc_id", "n_words", "items", ranges.alias("ranges"), F.arrays_zip(F.col("char_starts").alias("start"), F.col("char_ends").alias("end")).alias("spans")), share)
-    rows = Scratch(documents.sparkSession, "windows").keep(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    scratch = Scratch(documents.sparkSession, "windows")
+    rows = scratch.keep(rows.withColumn("row", F.monotonically_increasing_id()), "rows")
+    # Each block's scan is written before the next block is collected. The first has every row, the others those they hit.
     every = None
     for items in blocks:
         one = _scan(rows, items, width)
+        one = scratch.keep(one if every is None else one.filter(F.size("items") > 0), "scanned")
         every = one if every is None else every.unionByName(one)
     gathered = every.groupBy("row").agg(
         F.first("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
@@ -177,15 +196,15 @@ def clean(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW, share
     A row's verdict depends on its text alone. With one automaton, texts are judged where they lie and
     never move; with several, each text is scanned once by each and the verdict joined by the text's hash.
     """
-    blocks = _blocks(benchmark, block_chars)
-    if len(blocks) > 1:
+    n_blocks, blocks = _blocks(benchmark, block_chars)
+    if n_blocks > 1:
         sha = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
         texts = documents.select(sha.alias("_sha"), "text").dropDuplicates(["_sha"]).withColumn("doc_id", F.monotonically_increasing_id())
         texts = Scratch(documents.sparkSession, "texts").keep(texts, "texts")
         bad = scan(texts, benchmark, width, share, block_chars).filter("contaminated").select("doc_id")
         shas = texts.join(bad, "doc_id").select("_sha")
         return documents.join(shas, sha == shas["_sha"], "left_anti")
-    items, at = blocks[0], documents.columns.index("text")
+    items, at = next(blocks), documents.columns.index("text")
 
     def run(batches):
         windows = Windows(items, width)

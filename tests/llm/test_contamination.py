@@ -63,3 +63,22 @@ def test_empty_tables(spark):
     assert contamination.scan(docs.limit(0), bench).collect() == []
     assert contamination.clean(docs, bench.limit(0)).count() == len(DOCUMENTS)
     assert {r.contaminated for r in contamination.scan(docs, bench.limit(0)).collect()} == {False}
+
+
+def test_one_block_at_a_time(spark, monkeypatch):
+    docs = spark.createDataFrame(DOCUMENTS, "doc_id bigint, text string")
+    bench = spark.createDataFrame(ITEMS, "item_id bigint, text string")
+    seen, kind = [], type(docs)
+    collect, scanned, keep = kind.collect, contamination._scan, contamination.Scratch.keep
+    monkeypatch.setattr(kind, "collect", lambda self: seen.append("collect") or collect(self))
+    monkeypatch.setattr(contamination, "_scan", lambda *a: seen.append("scan") or scanned(*a))
+    monkeypatch.setattr(contamination.Scratch, "keep", lambda *a: (keep(*a), seen.append("write"))[0])
+    contamination.scan(docs, bench, block_chars=40)
+    events = [e for e in seen[seen.index("scan") - 1 :]]
+    assert len(events) > 6 and events == ["collect", "scan", "write"] * (len(events) // 3)
+
+
+def test_repeated_items_are_one(spark):
+    bench = spark.createDataFrame([(1, "alpha beta gamma")] * 50, "item_id bigint, text string")
+    n, blocks = contamination._blocks(bench, 40)
+    assert n == 1 and list(blocks) == [[("1", "alpha beta gamma")]]
