@@ -79,3 +79,12 @@ def test_stages_stand_odd_rows(spark):
         for _, stage in corpus_pipeline.STAGES:
             out = scratch.keep(stage(spark, frame, SF), "odd")
             assert out.columns == df.columns or out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
+
+
+def test_short_texts_that_languages_share_stay(spark):
+    shared = ["a", "re", "de"]
+    rows = [(i, f"{shared[i // 6 % 3]} word{i % 7}{lang}", lang) for i, lang in enumerate(["en", "fr", "de", "nl", "it", "es"] * 40)]
+    rows += [(1_000, "A.", None), (1_001, "Re.", None), (1_002, "...", None), (1_003, None, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    kept = corpus_pipeline.identified(spark, df, SF)
+    assert sorted(r.doc_id for r in kept.collect()) == [*range(240), 1_000, 1_001]
