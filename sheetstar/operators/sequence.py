@@ -1,58 +1,81 @@
 """Numbering rows within a key when one key may hold a large share of all rows.
 
-A window over such a key would sort all of its rows in one task. Here the order is cut into blocks:
-rows are numbered within (key, block), and the blocks' counts, one row each and combined before the
-shuffle, give what comes before. Results are the same as the plain window's, and building the plan
-runs no job. A block should be a stretch of the order that holds a bounded part of a key, such as a
-day of loads; rows with one value of the first order column are always in one block.
+A plain window sorts a key in one task. That is right for keys of bounded size; rows of larger ones are
+dealt into ranges of the whole order, numbered within (key, range), and the ranges' counts, one row
+each, give what comes before. Rows that share their time are split like any others.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-NUMBERS_PER_BLOCK = 1 << 16
-LETTERS_PER_BLOCK = 3
 
+from sheetstar.session import shared_folder
 
-def block_of(df: DataFrame, column: str) -> Column:
-    """A coarser value that never falls where ``column`` rises: the day, a range of numbers, the first letters."""
-    kind = df.schema[column].dataType
-    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_trunc("DAY", column)
-    if isinstance(kind, T.NumericType):
-        return F.floor(F.col(column) / NUMBERS_PER_BLOCK)
-    return F.substring(column, 1, LETTERS_PER_BLOCK) if isinstance(kind, T.StringType) else F.col(column)
+#: Rows of one key that a task may sort; and rows of a larger key that are dealt into one range.
+HOT_ROWS = 250_000
+RANGE_ROWS = 16_384
+#: Spark's running ids hold the partition above this bit.
+_PARTITION_BIT = 33
 
 
 def number_rows(
-    df: DataFrame, key: str, order: list[str], number: str, following: dict[str, str] | None = None, block: Column | None = None
+    df: DataFrame, key: str, order: list[str], number: str, following: dict[str, str] | None = None,
+    hot_rows: int = HOT_ROWS, range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add ``number`` (1, 2, … within ``key`` by ``order``) and, per ``following`` entry
     (new column -> source column), the source value of the next row of the key, null on the last.
 
-    ``order`` must be total within a key and free of nulls, as must the sources. ``block`` cuts the
-    first column of the order; it must not fall where that rises.
+    ``order`` must be total within a key, but for rows equal in all columns, and free of nulls, as must
+    the sources. Building the plan counts rows by key in one job that combines before its shuffle; keys above ``hot_rows``
+    are written to the shared folder in ranges of about ``range_rows``. Results are the plain window's in any case.
     """
     following = following or {}
-    placed = df.withColumn("_block", block_of(df, order[0]) if block is None else block)
-    position = F.struct(*order)
-    per_block = placed.groupBy(key, "_block").agg(
-        F.count("*").alias("_rows"), *[F.min_by(source, position).alias(f"_first_{new}") for new, source in following.items()]
+    counts = df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
+    hot = counts.agg(F.count("*").alias("keys"), F.sum("_rows").alias("rows")).first()
+    if not hot["keys"]:
+        return _in_window(df, key, order, number, following)
+    counts = counts.select(key)
+    large = df.join(counts, df[key].eqNullSafe(counts[key]), "left_semi")
+    small = df.join(counts, df[key].eqNullSafe(counts[key]), "left_anti")
+    ranged = _in_ranges(large, key, order, number, following, -(-hot["rows"] // range_rows))
+    return _in_window(small, key, order, number, following).unionByName(ranged)
+
+
+def _in_window(df: DataFrame, key: str, order: list[str], number: str, following: dict[str, str]) -> DataFrame:
+    in_order = W.partitionBy(key).orderBy(*order)
+    return df.select(
+        "*", F.row_number().over(in_order).cast("bigint").alias(number),
+        *[F.lead(source).over(in_order).alias(new) for new, source in following.items()],
+    )
+
+
+def _in_ranges(df: DataFrame, key: str, order: list[str], number: str, following: dict[str, str], ranges: int) -> DataFrame:
+    spark = df.sparkSession
+    folder = shared_folder(spark, spark.conf.get("spark.sql.warehouse.dir") + "/_ranges").rstrip("/")
+    path = f"{folder}/ranges-{uuid.uuid4().hex}"
+    dealt = df.repartitionByRange(ranges, key, *order).sortWithinPartitions(key, *order)
+    # Written, as another run of the same plan may draw other borders.
+    dealt.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path).withColumn("_range", F.shiftright("_at", _PARTITION_BIT))
+    each = placed.groupBy(key, "_range").agg(
+        F.count("*").alias("_rows"), F.min("_at").alias("_first"), *[F.min_by(source, "_at").alias(f"_first_{new}") for new, source in following.items()]
     )
-    blocks = W.partitionBy(key).orderBy("_block")
-    before = F.coalesce(F.sum("_rows").over(blocks.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    offsets = per_block.select(
-        key, "_block", before.alias("_before"), *[F.lead(f"_first_{new}").over(blocks).alias(f"_after_{new}") for new in following]
+    in_order = W.partitionBy(key).orderBy("_range")
+    before = F.coalesce(F.sum("_rows").over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    offsets = each.select(
+        F.col(key).alias("_key"), F.col("_range").alias("_in"), "_first", before.alias("_before"),
+        *[F.lead(f"_first_{new}").over(in_order).alias(f"_after_{new}") for new in following],
     )
-    within = W.partitionBy(key, "_block").orderBy(*order)
-    local = placed.withColumn("_local", F.row_number().over(within))
-    local = local.withColumns({f"_next_{new}": F.lead(source).over(within) for new, source in following.items()}) if following else local
-    return local.join(offsets, [key, "_block"]).select(
-        *df.columns,
-        (F.col("_local") + F.col("_before")).cast("bigint").alias(number),
+    if following:
+        within = W.partitionBy(key, "_range").orderBy("_at")
+        placed = placed.withColumns({f"_next_{new}": F.lead(source).over(within) for new, source in following.items()})
+    joined = placed.join(offsets, (F.col("_range") == F.col("_in")) & placed[key].eqNullSafe(F.col("_key")))
+    return joined.select(
+        *[placed[c] for c in df.columns],
+        (F.col("_at") - F.col("_first") + 1 + F.col("_before")).cast("bigint").alias(number),
         *[F.coalesce(f"_next_{new}", f"_after_{new}").alias(new) for new in following],
     )

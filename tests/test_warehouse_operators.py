@@ -20,14 +20,15 @@ def log(spark, *loads):
     )
 
 
-@pytest.mark.parametrize("block", [None, 1, 7])
-def test_numbering_in_blocks_is_the_plain_one(spark, block):
+@pytest.mark.parametrize("hot_rows, range_rows", [(250_000, 16_384), (500, 100), (0, 37)])
+def test_numbering_is_the_plain_one(spark, hot_rows, range_rows):
     rng = random.Random(5)
     rows = [("hot" if rng.random() < 0.6 else f"k{rng.randrange(20)}", rng.randrange(30), i) for i in range(3000)]
     rows += [("burst", 5, i) for i in range(3000, 3700)]  # one time for all
+    rows += [(None, 1, i) for i in range(3700, 3710)]
     df = spark.createDataFrame(rows, "k string, t int, id int").repartition(8)
-    cut = None if block is None else F.floor(F.col("t") / block)
-    numbered = number_rows(df, "k", ["t", "id"], "n", {"after": "t", "after_id": "id"}, cut)
+    numbered = number_rows(df, "k", ["t", "id"], "n", {"after": "t", "after_id": "id"}, hot_rows, range_rows)
+    assert numbered.columns == ["k", "t", "id", "n", "after", "after_id"]
     got = {(r.k, r.id): (r.n, r.after, r.after_id) for r in numbered.collect()}
     expected = {}
     for key in {r[0] for r in rows}:
@@ -37,23 +38,53 @@ def test_numbering_in_blocks_is_the_plain_one(spark, block):
     assert got == expected
 
 
-def test_no_hot_task_in_numbering_by_blocks(spark):
-    df = spark.range(20000).select(F.lit("hot").alias("k"), F.col("id").alias("t"), F.col("id"))
-    sizes = number_rows(df, "k", ["t", "id"], "n", block=F.floor(F.col("t") / 500))
-    per_task = sizes.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
-    assert per_task < 20000 / 2
+def test_numbering_of_nothing_and_of_equal_rows(spark):
+    empty = spark.createDataFrame([], "k string, t int")
+    assert number_rows(empty, "k", ["t"], "n", {"after": "t"}).collect() == []
+    same = spark.createDataFrame([("a", 1)] * 50, "k string, t int")
+    assert sorted(r.n for r in number_rows(same, "k", ["t"], "n", hot_rows=10, range_rows=7).collect()) == list(range(1, 51))
 
 
-def test_building_plans_runs_no_job(spark):
+def test_a_million_loads_of_one_company_at_one_instant(spark):
+    loads = spark.range(1_000_000).select(
+        F.lit("c").alias("company_id"), F.concat(F.lit("v"), "id").alias("version_id"), F.sha2(F.col("id").cast("string"), 256).alias("upload_id"),
+        F.lit(DAY).alias("loaded_at"),
+    )
+    found = versions.company_versions(loads)
+    per_task = found.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n"), F.count_if("is_current").alias("open"), F.max("version_number").alias("last"), F.sum(F.col("version_number").cast("bigint")).alias("sum"))
+    rows = per_task.collect()
+    assert sum(r.n for r in rows) == max(r["last"] for r in rows) == 1_000_000
+    assert sum(r["sum"] for r in rows) == 1_000_000 * 1_000_001 // 2 and sum(r.open for r in rows) == 1
+
+
+def test_no_range_holds_more_than_a_fiftieth(spark):
+    df = spark.range(400_000).select(F.lit("hot").alias("k"), F.lit(1).alias("t"), F.xxhash64("id").alias("id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = number_rows(df, "k", ["t", "id"], "n", range_rows=4_000).select("n", F.spark_partition_id().alias("p"))
+        # What one task sorts, and what one range holds, is a stretch of numbers.
+        dealt = df.repartitionByRange(100, "k", "t", "id").groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert dealt < 400_000 / 50
+        assert placed.agg(F.count_distinct("n")).first()[0] == 400_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_building_plans_runs_no_job_but_for_the_counts(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("plans", "none")
     loads = log(spark, ("1", "a", 0), ("2", "a", 5))
-    numbered = versions.company_versions(loads)
     found = versions.companies(loads)
-    versions.next_versions(loads.select("entity_name", "loaded_at", "upload_id"), versions.lookup_companies(loads, found, loads))
+    lookup = versions.lookup_companies(loads, found, loads)
     companies.company_details(found, versions.current_versions(loads))
-    companies.list_versions(found, numbered)
     assert not tracker.getJobIdsForGroup("plans")
+    # Numbering looks for keys that are too large for one task.
+    numbered = versions.company_versions(loads)
+    versions.next_versions(loads.select("entity_name", "loaded_at", "upload_id"), lookup)
+    counted = len(tracker.getJobIdsForGroup("plans"))
+    companies.list_versions(found, numbered)
+    assert len(tracker.getJobIdsForGroup("plans")) == counted
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_versions(spark):
