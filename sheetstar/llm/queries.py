@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpus_pipeline import run as pipeline
-from sheetstar.llm import contamination, language, mixing, near_vectors, secrets, set_join, sharding, token_files, toxicity, url_filter
+from sheetstar.llm import contamination, language, mixing, near_vectors, piece_tokens, prefix_trie, secrets, set_join, sharding, token_files, toxicity, url_filter, word_runs
 from sheetstar.llm.common import Scratch, table
 from sheetstar.llm.sql import ORACLES  # noqa: F401
 
@@ -58,10 +58,23 @@ def op10_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, url_filter.listed_pages(pages))
 
 
+def op11_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.digest(word_runs.find(word_runs.planted(table(spark, sf_dir, "documents"))))
+
+
+def op12_prefix_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_tokens.digests(table(spark, sf_dir, "documents"), piece_tokens.public_model())
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.build(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_projection_neighbours, op2_word_backoff, op3_entropy_mix, op4_shard_lookup, op5_convolution_toxicity,
         op6_secret_ledger, op7_window_automaton, op8_token_blocks, op9_shingle_groups, op10_url_verdicts,
+        op11_word_runs, op12_prefix_pieces, op13_prefix_trie,
     )
 } | {"pipeline": pipeline}

@@ -127,6 +127,33 @@ parts AS (SELECT r.rid, min(o.doc_id) AS component_id FROM reached r JOIN texts
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id FROM texts JOIN parts USING (rid) LEFT JOIN sizes USING (rid)
 """
 
+# CRC-32 of a decimal number's digits, bit by bit with the reversed polynomial.
+_CRC = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST({} AS VARCHAR), ''), lambda ch: CAST(ord(ch) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"""
+TRIE_SQL = f"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+lists AS (SELECT conv_id, list(said ORDER BY pos) AS turns, {_CRC.format("conv_id")} % 9 AS h FROM own GROUP BY conv_id),
+paths AS (
+  SELECT a.conv_id, list_concat(coalesce(b.turns[1:a.h], []), a.turns[a.h + 1:]) AS path
+  FROM lists a LEFT JOIN lists b ON b.conv_id = a.conv_id - a.conv_id % 5),
+prefixes AS (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS depth FROM paths),
+nodes AS (
+  SELECT path[1:depth] AS p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (depth = len(path)), '')) AS ends_sha256
+  FROM prefixes GROUP BY ALL),
+kids AS (SELECT p[1:depth - 1] AS p, depth - 1 AS depth, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+counted AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN n.depth = 0 THEN 0 ELSE (n_convs - 1) * octet_length(encode(n.p[n.depth].text)) END AS own
+  FROM nodes n LEFT JOIN kids k ON k.p = n.p AND k.depth = n.depth),
+above AS (SELECT p, own, n_children, unnest(range(0, depth + 1)) AS d FROM counted),
+totals AS (SELECT p[1:d] AS p, d AS depth, count(*) FILTER (n_children = 0) AS n_leaves, CAST(sum(own) AS BIGINT) AS saved_tokens FROM above GROUP BY ALL)
+SELECT c.conv_id, c.depth, u.conv_id AS parent_conv_id, c.n_convs, c.n_children, n_leaves, saved_tokens, c.ends_sha256
+FROM counted c JOIN totals t ON t.p = c.p AND t.depth = c.depth LEFT JOIN nodes u ON u.depth = c.depth - 1 AND u.p = c.p[1:c.depth - 1]
+"""
+
 ORACLES = {
     "op1_projection_neighbours": VECTOR_SQL,
     "op4_shard_lookup": SHARD_SQL,
@@ -134,4 +161,5 @@ ORACLES = {
     "op7_window_automaton": WINDOW_SQL,
     "op9_shingle_groups": SHINGLE_SQL,
     "op10_url_verdicts": URL_SQL,
+    "op13_prefix_trie": TRIE_SQL,
 }

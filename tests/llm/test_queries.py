@@ -20,7 +20,7 @@ def duck():
 
 def test_all_are_registered():
     assert [n for n in QUERIES if n.startswith("op")] == sorted((n for n in QUERIES if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
-    assert len(QUERIES) == 11 and "pipeline" in QUERIES
+    assert len(QUERIES) == 14 and "pipeline" in QUERIES
     assert QUERIES.items() <= contract.queries().items() and ORACLES.items() <= contract.oracle_sql().items()
 
 
@@ -42,6 +42,8 @@ CONTRACTS = {
     "op3_entropy_mix": {"doc_id": "bigint", "size": "bigint", "source_size": "bigint", "target": "double", "taken": "bigint"},
     "op5_convolution_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op8_token_blocks": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
+    "op11_word_runs": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
+    "op12_prefix_pieces": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
     "op9_shingle_groups": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
 }
 
