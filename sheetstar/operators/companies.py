@@ -6,6 +6,7 @@ None for all companies.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -115,21 +116,32 @@ def with_empty_document(df: DataFrame, column: str = "credit_metrics") -> DataFr
     return df.withColumn(column, F.coalesce(column, empty))
 
 
-def latest_documents(snapshots: DataFrame, ids=None) -> DataFrame:
+#: Gives the wide rows of the snapshots whose ids it gets (``snapshot_id``).
+Fetch = Callable[[DataFrame], DataFrame]
+
+
+def _fetched(picked: DataFrame, snapshots: DataFrame, columns: list[str], fetch: Fetch | None) -> DataFrame:
+    """``picked`` with ``columns`` of its snapshots: wide rows are read for picked ids only, after all ranking."""
+    wide = snapshots if fetch is None else fetch(picked.select("snapshot_id"))
+    return picked.join(wide.select("snapshot_id", *columns), "snapshot_id")
+
+
+def latest_documents(snapshots: DataFrame, ids=None, fetch: Fetch | None = None) -> DataFrame:
     """``company_id, snapshot_id, credit_metrics`` of each company's last snapshot: years, metrics and
-    sentinels, a missing document as an empty one."""
-    last = top_one(
-        wanted(snapshots, ids).select("company_id", "snapshot_id", "snapshot_at", "version_id", "credit_metrics"),
-        "company_id",
-        F.col("snapshot_at").desc(),
-        F.col("version_id").desc(),
+    sentinels, a missing document as an empty one.
+
+    The last snapshot is an aggregate of three narrow columns, combined before the shuffle; documents are
+    joined to it afterwards, or come from ``fetch``, so none is sorted or moved for the choice.
+    """
+    last = wanted(snapshots, ids).groupBy("company_id").agg(
+        F.max_by("snapshot_id", F.struct("snapshot_at", "version_id")).alias("snapshot_id")
     )
-    return with_empty_document(last).select("company_id", "snapshot_id", "credit_metrics")
+    return with_empty_document(_fetched(last, snapshots, ["credit_metrics"], fetch)).select("company_id", "snapshot_id", "credit_metrics")
 
 
-def latest_series(snapshots: DataFrame, ids=None) -> DataFrame:
+def latest_series(snapshots: DataFrame, ids=None, fetch: Fetch | None = None) -> DataFrame:
     """The values of ``latest_documents`` in long form; no rows where there are none."""
-    return explode_document(latest_documents(snapshots, ids), ["company_id", "snapshot_id"])
+    return explode_document(latest_documents(snapshots, ids, fetch), ["company_id", "snapshot_id"])
 
 
 COMPARED_COLUMNS = [
@@ -155,15 +167,23 @@ def as_of(companies: DataFrame, log: DataFrame, snapshots: DataFrame, day: date,
     )
 
 
-def as_of_pick(companies: DataFrame, log: DataFrame, snapshots: DataFrame, day: date, ids=None) -> DataFrame:
-    """One row per company: highest version, then newest snapshot."""
-    return top_one(
-        as_of(companies, log, snapshots, day, ids),
+def as_of_pick(
+    companies: DataFrame, log: DataFrame, snapshots: DataFrame, day: date, ids=None, fetch: Fetch | None = None
+) -> DataFrame:
+    """One row per company: highest version, then newest snapshot.
+
+    Chosen on ids and times alone; all else of a snapshot is joined to the choice, or comes from ``fetch``.
+    """
+    picked = top_one(
+        as_of(companies, log, snapshots.select("version_id", "snapshot_id", "snapshot_at"), day, ids),
         "company_id",
         F.col("version_number").desc(),
         F.col("snapshot_at").desc(),
         F.col("snapshot_id").desc(),
     )
+    kept = [c for c in COMPARED_COLUMNS if c in snapshots.columns and c not in picked.columns]
+    found = _fetched(picked, snapshots, kept, fetch)
+    return with_empty_document(found) if "credit_metrics" in kept else found
 
 
 def requested(companies: DataFrame, ids: list) -> DataFrame:
@@ -173,10 +193,10 @@ def requested(companies: DataFrame, ids: list) -> DataFrame:
 
 
 def compare_companies(
-    request: DataFrame, companies: DataFrame, log: DataFrame, snapshots: DataFrame, day: date
+    request: DataFrame, companies: DataFrame, log: DataFrame, snapshots: DataFrame, day: date, fetch: Fetch | None = None
 ) -> DataFrame:
     """One row per entry of ``request`` (``pos, company_id``) in its order, with ``found``."""
-    picked = as_of_pick(companies, log, snapshots, day, request).withColumn("found", F.lit(True))
+    picked = as_of_pick(companies, log, snapshots, day, request, fetch).withColumn("found", F.lit(True))
     return (
         request.select("pos", "company_id")
         .join(picked, "company_id", "left")

@@ -89,16 +89,21 @@ def company_history(spark, sf_dir):
     return history.withColumns(_document_text(F.col("credit_metrics"))).drop("credit_metrics")
 
 
+def _wide(spark, sf_dir):
+    """Wide rows of chosen snapshots: documents are made for these alone."""
+    return lambda chosen: views.snapshots_with_metrics(spark, sf_dir, chosen)
+
+
 @query
 def company_series(spark, sf_dir):
-    series = companies.latest_series(views.snapshots_with_metrics(spark, sf_dir))
+    series = companies.latest_series(views.snapshots_with_metrics(spark, sf_dir), fetch=_wide(spark, sf_dir))
     return series.select("company_id", "snapshot_id", "metric", "pos", "year", "num")
 
 
 @query
 def company_series_documents(spark, sf_dir):
     """The same whole: years, values and sentinels of each company's last snapshot, empty where it has none."""
-    last = companies.latest_documents(views.snapshots_with_metrics(spark, sf_dir))
+    last = companies.latest_documents(views.snapshots_with_metrics(spark, sf_dir), fetch=_wide(spark, sf_dir))
     return last.select("company_id", "snapshot_id", *[c.alias(n) for n, c in _document_text(F.col("credit_metrics")).items()])
 
 
@@ -122,7 +127,7 @@ def _compared(spark, sf_dir, snapshots_of=views.snapshots) -> list[DataFrame]:
 @query
 def compare_as_of(spark, sf_dir):
     request = _request(spark, sf_dir)
-    compared = companies.compare_companies(request, *_compared(spark, sf_dir, views.snapshots_with_metrics), AS_OF)
+    compared = companies.compare_companies(request, *_compared(spark, sf_dir, views.snapshots_with_metrics), AS_OF, _wide(spark, sf_dir))
     return compared.withColumns(_document_text(F.col("credit_metrics"))).drop("credit_metrics")
 
 

@@ -48,7 +48,9 @@ def companies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return versions.companies(load_log(spark, sf_dir)).join(names, "company_id")
 
 
-def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def snapshots(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    """Snapshots, all or those with an id in ``only`` (``snapshot_id``)."""
+    orders = _only(table(spark, sf_dir, "orders"), "o_orderkey", only)
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"),
         F.col("c_name").alias("entity_name"),
@@ -56,7 +58,7 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.expr(COUNTRY_SQL).alias("country_name"),
         F.expr(CURRENCY_SQL).alias("currency_code"),
     )
-    return table(spark, sf_dir, "orders").join(customers, "o_custkey").select(
+    return orders.join(customers, "o_custkey").select(
         F.col("o_orderkey").alias("snapshot_id"),
         F.col("o_orderkey").alias("version_id"),
         F.col("o_custkey").alias("company_id"),
@@ -71,11 +73,15 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def snapshot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _only(rows: DataFrame, key: str, ids: DataFrame | None) -> DataFrame:
+    return rows if ids is None else rows.join(ids.select(F.col("snapshot_id").alias(key)), key, "left_semi")
+
+
+def snapshot_points(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
     """Metric values of a snapshot from its line items: metric by line number, year by ship date;
     the largest price stands for a year met twice."""
     largest = (
-        table(spark, sf_dir, "lineitem")
+        _only(table(spark, sf_dir, "lineitem"), "l_orderkey", only)
         .groupBy("l_orderkey", "l_linenumber", F.year("l_shipdate").alias("year"))
         .agg(F.max("l_extendedprice").alias("num"))
     )
@@ -87,10 +93,10 @@ def snapshot_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def snapshots_with_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Snapshots with their metrics document."""
+def snapshots_with_metrics(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    """Snapshots with their metrics document; with ``only``, no others' documents are made."""
     value = F.struct(F.lit("num").alias("kind"), F.lit(None).cast("string").alias("text"), F.col("num").alias("num"))
-    series = snapshot_points(spark, sf_dir).groupBy("snapshot_id", "metric").agg(
+    series = snapshot_points(spark, sf_dir, only).groupBy("snapshot_id", "metric").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("year", value.alias("value"))))).alias("values")
     )
     documents = series.groupBy("snapshot_id").agg(
@@ -100,7 +106,7 @@ def snapshots_with_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.create_map(*[F.lit(x) for pair in fixed.SENTINEL_MEANINGS.items() for x in pair]).alias("sentinels"),
         ).alias("credit_metrics")
     )
-    return snapshots(spark, sf_dir).join(documents, "snapshot_id", "left")
+    return snapshots(spark, sf_dir, only).join(documents, "snapshot_id", "left")
 
 
 def upload_events(spark: SparkSession, sf_dir: str) -> DataFrame:

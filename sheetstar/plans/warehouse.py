@@ -130,16 +130,16 @@ class Warehouse:
     def load_directory(self, directory: str, batch_at: datetime | None = None, **options) -> dict:
         """Find workbooks with content not loaded yet and load them as one batch.
 
-        Files that are as they were when their content was last found loaded are told by their listing.
-        All others are decoded, once: new ones, ones overwritten in place and ones that failed.
+        Files that are as they were when their content was last found loaded are told by their listing and
+        not opened. All others are read and decoded, once: new ones, ones overwritten in place and ones that failed.
         """
         found = workbooks.workbook_files(self.spark, directory)
-        seen = tables.read_table(self.spark, self.root, "seen_files", SEEN).select("path", "length", "modificationTime")
-        unseen = found.join(seen.distinct(), ["path", "length", "modificationTime"], "left_anti")
-        if unseen.isEmpty():
+        seen = tables.read_table(self.spark, self.root, "seen_files", SEEN).select(*workbooks.LISTED)
+        unseen = found.select(*workbooks.LISTED).join(seen.distinct(), workbooks.LISTED, "left_anti")
+        content = workbooks.file_contents(found, unseen)
+        if content is None:
             return _result(0)
-        listed = unseen.select("path", "length", "modificationTime")
-        return self.load_rows(workbooks.scan_sheet(unseen), batch_at, listed=listed, **options)
+        return self.load_rows(workbooks.scan_sheet(content), batch_at, listed=unseen, **options)
 
     def load_rows(
         self,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -15,6 +16,9 @@ from sheetstar.sources.workbook_cells import read_rows
 # Rows per Arrow batch handed back by a scan task.
 ROWS_PER_BATCH = 2_000
 
+# Up to so many files are opened by their paths; the paths pass the driver, as every listing does.
+PATHS_AT_ONCE = 10_000
+LISTED = ["path", "length", "modificationTime"]
 _FILES = "path string, modificationTime timestamp, length bigint, content binary"
 _CELL = pa.struct([("col_idx", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("num", pa.float64())])
 _ROW = pa.schema(
@@ -37,6 +41,28 @@ def workbook_files(spark: SparkSession, directory: str, glob: str = fixed.WORKBO
         return spark.createDataFrame([], _FILES)
 
 
+def file_contents(listing: DataFrame, chosen: DataFrame, at_once: int = PATHS_AT_ONCE) -> DataFrame | None:
+    """Content of the ``chosen`` files (``path, length, modificationTime``) of a listing, as they are listed; None if there are none.
+
+    No other file is opened: up to ``at_once`` files are scanned by path, which needs no second listing of
+    the folder. For more, the folder is scanned between the bounds of their times and lengths, which the source checks
+    before it opens a file; within these bounds, files that aren't chosen are left out after the scan. A file that has
+    changed since it was listed comes with a later listing.
+    """
+    time = F.unix_micros("modificationTime")
+    bounds = chosen.agg(F.count("*").alias("n"), F.min(time).alias("first"), F.max(time).alias("last"), F.min("length").alias("least"), F.max("length").alias("most")).first()
+    if not bounds["n"]:
+        return None
+    scan = listing
+    if bounds["n"] <= at_once:
+        # A path is read as a pattern unless what has a meaning in patterns is marked.
+        paths = [re.sub(r"([\\*?\[\]{}])", r"\\\1", r["path"]) for r in chosen.select("path").collect()]
+        scan = listing.sparkSession.read.format("binaryFile").load(paths)
+    scan = scan.filter(F.col("modificationTime").between(F.timestamp_micros(F.lit(bounds["first"])), F.timestamp_micros(F.lit(bounds["last"]))))
+    scan = scan.filter(F.col("length").between(bounds["least"], bounds["most"]))
+    return scan if bounds["n"] <= at_once else scan.join(chosen.select(*LISTED), LISTED, "left_semi")
+
+
 def scan_sheet(files: DataFrame, sheet: str = fixed.SHEET_NAME) -> DataFrame:
     """Sheet rows of each file (``path, content``): ``file_id, row_idx, cells, error``.
 

@@ -1,6 +1,7 @@
 """Workbooks on disk to answered queries."""
 
 import hashlib
+import os
 import shutil
 from datetime import date, datetime, timedelta, timezone
 
@@ -8,6 +9,7 @@ import pytest
 
 from sheetstar import schemas
 from sheetstar.plans.warehouse import Warehouse
+from sheetstar.sources import workbooks
 from sheetstar.sources.workbooks import scan_sheet, workbook_files
 from sheetstar.streaming.arrivals import stream_directory
 from tests.sheets import clean, write_workbook
@@ -268,6 +270,43 @@ def test_a_second_poll_decodes_only_what_changed(spark, landing, warehouse, monk
     assert decoded == [["broken.xlsm"], ["a.xlsm", "broken.xlsm"]]
 
 
+@pytest.mark.parametrize("at_once", [10_000, 0])
+def test_a_poll_opens_only_what_is_new(spark, landing, warehouse, monkeypatch, at_once):
+    """A loaded file larger than the source may read is no trouble to later polls: nothing of it is read."""
+    monkeypatch.setattr(workbooks.file_contents, "__defaults__", (at_once,))
+    write_workbook(landing / "large.xlsm", clean() + [[f"row {i}", hashlib.sha256(b"%d" % i).hexdigest()] for i in range(4_000)])
+    assert warehouse.load_directory(str(landing), T0)["completed"] == 1
+    write_workbook(landing / "small.xlsm", clean(metric=[4.0]))
+    sizes = {p.name: p.stat().st_size for p in landing.iterdir()}
+    most = (sizes["small.xlsm"] + sizes["large.xlsm"]) // 2
+    assert sizes["small.xlsm"] < most < sizes["large.xlsm"]
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", most)
+    try:
+        assert warehouse.load_directory(str(landing), T0 + timedelta(days=1))["completed"] == 1
+        # A small old file that arrives late is loaded too.
+        write_workbook(landing / "late.xlsm", clean(metric=[5.0]))
+        os.utime(landing / "late.xlsm", (1_000_000_000, 1_000_000_000))
+        assert warehouse.load_directory(str(landing), T0 + timedelta(days=2))["completed"] == 1
+    finally:
+        spark.conf.unset("spark.sql.sources.binaryFile.maxLength")
+    assert warehouse.table("snapshot_fact").count() == 3
+
+
+@pytest.mark.parametrize("at_once", [10_000, 1])
+def test_bounds_reach_the_scan_of_content(spark, landing, at_once):
+    for name in ("a", "b", "c[1]", "d{x}"):
+        write_workbook(landing / f"{name}.xlsm", clean())
+    listing = workbook_files(spark, str(landing))
+    chosen = listing.filter("path not like '%a.xlsm'").select("path", "length", "modificationTime")
+    content = workbooks.file_contents(listing, chosen, at_once)
+    plan = spark._jvm.PythonSQLUtils.explainString(content._jdf.queryExecution(), "formatted")
+    scan = next(part for part in plan.split("\n\n") if "Scan binaryFile" in part and "content" in part and "PushedFilters" in part)
+    pushed = next(line for line in scan.splitlines() if "PushedFilters" in line)
+    assert "GreaterThanOrEqual(modificationTime" in pushed and "LessThanOrEqual(length" in pushed
+    assert sorted(r.path[-9:] for r in content.collect()) == sorted(r.path[-9:] for r in chosen.collect())
+    assert workbooks.file_contents(listing, chosen.limit(0)) is None
+
+
 def test_compaction_changes_no_result(spark, landing, warehouse):
     for day in range(3):
         write_workbook(landing / f"{day}.xlsm", clean(metric=[float(day)]))

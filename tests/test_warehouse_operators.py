@@ -126,6 +126,32 @@ def test_comparison_keeps_request_order(spark):
     assert [(r.pos, r.company_id) for r in missing] == [(1, "x")]
 
 
+DOCUMENT = "struct<years: array<string>, metrics: map<string, string>, sentinels: map<string, string>>"
+
+
+def test_documents_are_joined_to_the_choice(spark):
+    """No document is moved or sorted below the choice of the snapshot."""
+    loads = [("1", "a", 0), ("2", "a", 5), ("3", "b", 9)]
+    found, _, facts = _tables(spark, *loads)
+    facts = facts.withColumn("credit_metrics", F.expr(f"cast(named_struct('years', array(snapshot_id), 'metrics', map(), 'sentinels', map()) as {DOCUMENT})"))
+    request = companies.requested(found, ["b", "a"])
+    asked = []
+
+    def fetch(chosen):
+        asked.append(sorted(r.snapshot_id for r in chosen.collect()))
+        return facts.join(chosen, "snapshot_id", "left_semi")
+
+    for way in (None, fetch):
+        compared = companies.compare_companies(request, found, log(spark, *loads), facts, date(2025, 1, 7), way)
+        assert [(r.company_id, r.found, r.credit_metrics and r.credit_metrics.years) for r in compared.collect()] == [("b", False, None), ("a", True, ["s2"])]
+        last = companies.latest_documents(facts, fetch=way)
+        assert {r.company_id: r.credit_metrics.years for r in last.collect()} == {"a": ["s2"], "b": ["s3"]}
+    assert asked == [["s2"], ["s2", "s3"]]
+    plan = spark._jvm.PythonSQLUtils.explainString(companies.as_of_pick(found, log(spark, *loads), facts, date(2025, 1, 7))._jdf.queryExecution(), "formatted")
+    ranks = [part for part in plan.split("\n\n") if "Window" in part.split("\n")[0]]
+    assert ranks and not any("credit_metrics" in part for part in ranks)
+
+
 def test_company_queries(spark):
     found, numbered, facts = _tables(spark, ("1", "a", 0), ("2", "a", 5), ("3", "b", 9))
     assert companies.get_company(found, "a").count() == 1 and companies.get_company(found, "x").count() == 0
