@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 from sheetstar.llm.common import held_out, release_memory, small_batches
 
 UNDETERMINED = "und"
-#: Bounds of the fit: labelled documents per language, languages (the most frequent), words, n-grams of each length.
+#: Bounds of the fit: labelled documents per language, words, n-grams of each length. All labelled languages are learned.
 DOCUMENTS_PER_LANGUAGE = 4_000
-LANGUAGES = 128
 WORDS = 40_000
 GRAMS = 20_000
 #: Lengths of n-grams, longest first; a word is marked at both ends.
 LENGTHS = (5, 4, 3, 2, 1)
-#: Scores of unseen words that a task remembers.
+#: Scores of unseen words that a task remembers, at most so many words and so many numbers.
 REMEMBERED = 200_000
+REMEMBERED_NUMBERS = 3_200_000
 SMOOTHING = 0.5
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -58,7 +58,8 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self.known = dict(model.words)
-        self.lines = np.zeros((len(model.scores) + REMEMBERED, len(model.languages)))
+        remembered = min(REMEMBERED, REMEMBERED_NUMBERS // max(1, len(model.languages)))
+        self.lines = np.zeros((len(model.scores) + remembered, len(model.languages)))
         self.lines[: len(model.scores)] = model.scores
         self.used = len(model.scores)
 
@@ -131,11 +132,12 @@ def _counts(batches):
 def fit(labelled: DataFrame, per_language: int = DOCUMENTS_PER_LANGUAGE) -> Model:
     """Fit on ``labelled (doc_id, text, lang)``: up to about ``per_language`` documents of each language, by hash of the id.
 
-    Rows with null lang or text don't count. What is collected is bounded by the parameters above.
+    Rows with null lang or text don't count. What is collected is bounded by the parameters above times the number of
+    languages. The draw is by id: rows that share one are drawn together or not at all.
     """
     small_batches(labelled.sparkSession)
     labelled = labelled.filter("lang is not null and text is not null").select("doc_id", "text", "lang")
-    sizes = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    sizes = labelled.groupBy("lang").count().collect()
     languages = sorted(r["lang"] for r in sizes)
     if not languages:
         return Model([], {}, {}, np.zeros((0, 0)), np.zeros(0))
@@ -201,16 +203,29 @@ def identify(documents: DataFrame, folds: int = 4, fold: int = 2, per_language:
     return predict(documents.select("doc_id", "text", out.alias("held_out")), model, ["doc_id", "held_out"])
 
 
-def accepted(documents: DataFrame, least: float = 0.5, folds: int = 4, fold: int = 2) -> DataFrame:
-    """``documents`` without those of undetermined language or a score below ``least``, all columns kept."""
+def accepted(documents: DataFrame, folds: int = 4, fold: int = 2) -> DataFrame:
+    """``documents`` without those that get no language, a null ``lang`` replaced by the predicted one; all columns kept.
+
+    Only texts without any letter get none: a score falls with the number of languages and for short texts, however
+    clean, so no least score is asked for. Where no row is labelled nothing can be predicted: texts with a letter
+    stay, with their null ``lang``.
+    """
     model = fit(documents.filter(~held_out(F.col("doc_id"), folds, fold)))
-    sent, at, schema = documents.sparkSession.sparkContext.broadcast(model), documents.columns.index("text"), documents.schema
+    sent, schema = documents.sparkSession.sparkContext.broadcast(model), documents.schema
+    text_at, lang_at = documents.columns.index("text"), documents.columns.index("lang")
 
     def run(batches):
         scorer = Scorer(sent.value)
+        learned = bool(sent.value.languages)
         for batch in batches:
             release_memory()
-            found = [scorer.score(text.as_py()) for text in batch.column(at)]
-            yield batch.filter(pa.array([lang != UNDETERMINED and score >= least for lang, score in found], pa.bool_()))
+            langs, keep = batch.column(lang_at).to_pylist(), []
+            for i, text in enumerate(batch.column(text_at)):
+                told, _ = scorer.score(text.as_py()) if learned else (UNDETERMINED, 0.0)
+                keep.append(told != UNDETERMINED if learned else bool(words_of(text.as_py() or "")))
+                if langs[i] is None and told != UNDETERMINED:
+                    langs[i] = told
+            batch = batch.set_column(lang_at, batch.schema.field(lang_at), pa.array(langs, batch.schema.field(lang_at).type))
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
     return documents.mapInArrow(run, schema)

@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sheetstar.llm.common import SPACES, Scratch
+from sheetstar.operators.sequence import number_rows
 
 #: Weights of the sources in order, repeated; the share of all words that the mix takes.
 WEIGHTS = (3.0, 1.0, 2.0)
@@ -23,7 +24,10 @@ SHARE = 1.5
 CAP = 2.0
 #: A multiplier is found when its source's words are off by less than this share.
 TOLERANCE = 1e-8
-MAX_ROUNDS = 60
+#: The bracket halves whenever a Newton step leaves it, so fewer rounds do; beyond these the mix fails rather than miss a target.
+MAX_ROUNDS = 200
+#: Rows that share id, source and size are numbered in ranges of so many.
+SHARED_ROWS = 16_384
 #: Ids of a cell are ranked in chunks of about this many.
 CHUNK = 128
 #: Size classes for each doubling of the size; they bound what is rounded in sequence.
@@ -80,9 +84,11 @@ def multipliers(cells: DataFrame, wanted: DataFrame, scratch: Scratch, cap: floa
         ),
         "multipliers",
     )
-    for _ in range(MAX_ROUNDS):
-        if state.filter("not done").isEmpty():
-            break
+    rounds = 0
+    while not state.filter("not done").isEmpty():
+        rounds += 1
+        if rounds > MAX_ROUNDS:
+            raise RuntimeError(f"multipliers not found in {MAX_ROUNDS} rounds: {[r['_key'] for r in state.filter('not done').select('_key').limit(10).collect()]}")
         x, m = F.col("size") / F.col("scale"), F.col("multiplier")
         rate, words = _rate(m, x, cap), F.col("n") * F.col("size")
         taken = cells.join(state.filter("not done").select("_key", "scale", "multiplier"), "_key").groupBy("_key").agg(
@@ -145,19 +151,44 @@ def _extras(rated: DataFrame) -> DataFrame:
     return after.withColumn("extra", F.least(F.col("n"), F.coalesce(F.col("_to") - F.coalesce(F.lag("_to").over(before), F.lit(0)), F.lit(0))).cast("bigint")).drop("_part", "_class", "k", "_share", "_to")
 
 
+def _numbered(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """``rows (doc_id, _key, size, _text)`` with ``_nth``, from 1 on among rows that share id, source and size, by text hash.
+
+    Rows that also share their text are interchangeable, so another run may swap them and gives the same table.
+    """
+    shared_by = F.xxhash64("doc_id", "_key", "size")
+    rows = rows.withColumn("_shared", shared_by)
+    shared = scratch.keep(rows.groupBy("_shared").agg(F.count("*").alias("_rows")).filter("_rows > 1").select("_shared"), "shared")
+    if shared.isEmpty():
+        return rows.drop("_shared").withColumn("_nth", F.lit(1).cast("bigint"))
+    alone = rows.join(shared, "_shared", "left_anti").withColumn("_nth", F.lit(1).cast("bigint"))
+    numbered = number_rows(rows.join(shared, "_shared", "left_semi"), "_shared", ["_text"], "_nth", hot_rows=SHARED_ROWS, range_rows=SHARED_ROWS)
+    return alone.unionByName(numbered).drop("_shared")
+
+
 def mix(documents: DataFrame, share: float = SHARE, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` for every row of ``documents``.
 
     Sources are ordered by code point, null last, and weigh ``weights`` in turn; together they take
     ``share`` of all words, none more than ``cap`` times its own. A null text has size 0 and is
-    taken once; a null source is a source. Rows with equal id, source and size get equal copies, so
-    repeated rows stay equal and reruns agree. Other columns aren't read; an empty table gives no rows.
+    taken once; a null source is a source. Rows that share id, source and size are told apart by a number in the
+    order of their texts' hashes, so targets are met however many share an id, and reruns agree: equal rows may
+    get different copies, the same ones each time. Other columns aren't read; an empty table gives no rows.
     """
-    spark = documents.sparkSession
-    scratch = Scratch(spark, "mixing")
-    sized = scratch.keep(
-        documents.select("doc_id", "source", _key(F.col("source")).alias("_key"), size_of(F.col("text")).alias("size")), "sizes"
-    )
+    decided = _decided(documents, Scratch(documents.sparkSession, "mixing"), share, weights, cap)
+    return decided.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+
+
+def rates(documents: DataFrame, share: float = SHARE, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
+    """``source, size, n, rate``: the rate of every (source, size) cell, before rounding to copies."""
+    scratch = Scratch(documents.sparkSession, "mixing")
+    sized = scratch.keep(documents.select("source", _key(F.col("source")).alias("_key"), size_of(F.col("text")).alias("size")), "sizes")
+    cells, _, rated = _rated(sized, scratch, share, weights, cap)
+    return rated.join(cells.select("_key", "size", "source"), ["_key", "size"]).select("source", "size", "n", "rate")
+
+
+def _rated(sized: DataFrame, scratch: Scratch, share: float, weights, cap: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Cells ``_key, source, size, n``, targets by source, and ``_key, size, n, rate``."""
     cells = scratch.keep(sized.groupBy("_key", "source", "size").agg(F.count("*").alias("n")), "cells")
     words, squares = F.sum(F.col("n") * F.col("size")), F.sum(F.col("n") * F.col("size") * F.col("size"))
     sources = cells.groupBy("_key", "source").agg(words.alias("words"), (squares / F.nullif(words, F.lit(0))).alias("scale"))
@@ -166,12 +197,22 @@ def mix(documents: DataFrame, share: float = SHARE, weights=WEIGHTS, cap: float
     full = F.when(F.col("words") > 0, F.lit(cap)).otherwise(F.lit(1.0))
     rate = F.when(F.col("size") == 0, F.lit(1.0)).otherwise(F.coalesce(_rate(F.col("multiplier"), F.col("size") / F.col("scale"), cap), full))
     rated = cells.select("_key", "size", "n").join(wanted.select("_key", "words"), "_key").join(found, "_key", "left").select("_key", "size", "n", rate.alias("rate"))
+    return cells, wanted, rated
+
+
+def _decided(documents: DataFrame, scratch: Scratch, share: float, weights, cap: float) -> DataFrame:
+    """Each row's ``doc_id, source, _key, size, _nth, copies, source_size, target``."""
+    sized = scratch.keep(
+        documents.select("doc_id", "source", _key(F.col("source")).alias("_key"), size_of(F.col("text")).alias("size"), F.xxhash64("text").alias("_text")), "sizes"
+    )
+    _, wanted, rated = _rated(sized, scratch, share, weights, cap)
     empty = rated.filter("size = 0").withColumn("extra", F.lit(0).cast("bigint"))
     plan = scratch.keep(_extras(rated.filter("size > 0")).select(empty.columns).unionByName(empty), "plan")
     # Which ids of a cell get the extra copy: the lowest hashes, in chunks so that no large cell meets in one task.
     chunks = F.ceil(F.col("n") / CHUNK)
-    order = F.xxhash64("doc_id", F.lit("extra"))
-    placed = sized.join(plan, ["_key", "size"]).withColumn("_chunk", F.pmod(F.xxhash64("doc_id", F.lit("chunk")), chunks)).withColumn("_hash", order)
+    turn = lambda use: F.when(F.col("_nth") == 1, F.xxhash64("doc_id", F.lit(use))).otherwise(F.xxhash64("doc_id", F.lit(use), "_nth"))
+    numbered = _numbered(sized, scratch).drop("_text")
+    placed = numbered.join(plan, ["_key", "size"]).withColumn("_chunk", F.pmod(turn("chunk"), chunks)).withColumn("_hash", turn("extra"))
     counts = placed.filter("extra > 0 and extra < n").groupBy("_key", "size", "_chunk", "n", "extra").agg(F.count("*").alias("_in"), F.sort_array(F.collect_set("_hash")).alias("_hashes"))
     upto = F.floor(F.sum("_in").over(W.partitionBy("_key", "size").orderBy("_chunk")) * F.col("extra") / F.col("n") + 0.5)
     # try_element_at would read from the end for 0, so that case is told apart.
@@ -185,20 +226,21 @@ def mix(documents: DataFrame, share: float = SHARE, weights=WEIGHTS, cap: float
     one_more = F.when(F.col("extra") == 0, F.lit(0)).otherwise(one_more)
     decided = placed.join(limits, ["_key", "size", "_chunk"], "left").withColumn("copies", (F.floor("rate") + one_more).cast("bigint"))
     return decided.join(wanted.select("_key", F.col("words").alias("source_size"), "target"), "_key").select(
-        "doc_id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
+        "doc_id", "source", "_key", "size", "_nth", "copies", "source_size", "target"
     )
 
 
-def repeat(documents: DataFrame, **options) -> DataFrame:
+def repeat(documents: DataFrame, share: float = SHARE, weights=WEIGHTS, cap: float = CAP) -> DataFrame:
     """``documents`` with each row as often as the mix takes it, all columns kept."""
-    decided = mix(documents, **options).select(
-        F.col("doc_id").alias("id"), _key(F.col("source")).alias("key"), "size", "copies"
-    ).filter("copies > 0").distinct()
+    scratch = Scratch(documents.sparkSession, "mixing")
+    decided = _decided(documents, scratch, share, weights, cap).filter("copies > 0").select(
+        F.col("doc_id").alias("id"), F.col("_key").alias("key"), F.col("size").alias("of_size"), F.col("_nth").alias("nth"), "copies"
+    )
     # Whole rows in one column, so that no name of theirs can clash.
     rows = documents.select(
-        F.struct(*[documents[c] for c in documents.columns]).alias("row"), documents["doc_id"].alias("row_id"),
-        _key(documents["source"]).alias("row_key"), size_of(documents["text"]).alias("row_size"),
+        F.struct(*[documents[c] for c in documents.columns]).alias("row"), documents["doc_id"].alias("doc_id"),
+        _key(documents["source"]).alias("_key"), size_of(documents["text"]).alias("size"), F.xxhash64(documents["text"]).alias("_text"),
     )
-    same = F.col("row_id").eqNullSafe(F.col("id")) & (F.col("row_key") == F.col("key")) & (F.col("row_size") == F.col("size"))
-    each = rows.join(decided, same).select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    same = F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_key") == F.col("key")) & (F.col("size") == F.col("of_size")) & (F.col("_nth") == F.col("nth"))
+    each = _numbered(rows, scratch).join(decided, same).select("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
     return each.select("row.*")

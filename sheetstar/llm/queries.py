@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from corpus_pipeline import run as pipeline
 from sheetstar.llm import contamination, language, mixing, near_vectors, piece_tokens, prefix_trie, secrets, set_join, sharding, token_files, toxicity, url_filter, word_runs
 from sheetstar.llm.common import Scratch, table
+from sheetstar.llm.pipeline import run as pipeline
 from sheetstar.llm.sql import ORACLES  # noqa: F401
 
 

@@ -62,9 +62,25 @@ def spans_of(text: Column, rule: Rule, place: int) -> Column:
     )
     # The gap after the last match has no match beside it.
     matches = F.filter(lengths, lambda one: one["len"].isNotNull())
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.expr(f"cast(array() as {SPAN})").alias("spans"))
-    spans = F.aggregate(matches, start, step)["spans"]
-    return F.when(text.rlike(rule.hint), spans).otherwise(F.expr(f"cast(array() as {SPAN})"))
+    nothing = F.expr(f"cast(array() as {SPAN})")
+    # Every step of a fold copies what it has gathered, so matches are folded in parts, after the parts' own offsets.
+    named = lambda value, use: F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def in_parts(found):
+        size = F.ceil(F.cbrt(F.size(found))).cast("int")
+        places = lambda at: F.sequence(at, F.least(at + size, F.size(found)) - 1)
+        parts = F.transform(F.sequence(F.lit(0), F.size(found) - 1, size), lambda at: F.transform(places(at), lambda i: F.get(found, i)))
+        return F.when(F.size(found) > 0, named(parts, lambda parts: named(offsets(parts), lambda at: folded(parts, at))))
+
+    def offsets(parts):
+        after = lambda at, part: F.aggregate(part, at, lambda at, one: at + one["gap"] + one["len"])
+        return F.aggregate(parts, F.array(F.lit(0).cast("bigint")), lambda done, part: F.array_append(done, after(F.element_at(done, -1), part)))
+
+    def folded(parts, at):
+        start = lambda i: F.struct(F.get(at, i).alias("at"), nothing.alias("spans"))
+        return F.flatten(F.transform(parts, lambda part, i: F.aggregate(part, start(i), step)["spans"]))
+
+    return F.when(text.rlike(rule.hint), F.coalesce(named(matches, in_parts), nothing)).otherwise(nothing)
 
 
 def scan(blobs: DataFrame, rules=RULES) -> DataFrame:

@@ -166,3 +166,24 @@ def test_pooling_sees_each_text_alone():
     together = made.logits(np.concatenate(ids), at)
     alone = [float(made.logits(i, np.array([0, len(i)]))[0]) for i in ids]
     assert np.allclose(together, alone, atol=1e-4)
+
+
+def test_more_languages_than_any_fixed_number(spark):
+    rows = [(i, " ".join(f"w{i % 200}x{k}".translate(str.maketrans("0123456789", "abcdefghij")) for k in range(5)), f"l{i % 200}") for i in range(1_000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = language.identify(df).collect()
+    assert len({r.lang_pred for r in found}) == 200
+    assert sum(r.lang_pred == f"l{r.doc_id % 200}" for r in found) > 950
+
+
+def test_rows_that_share_a_drawn_id_send_one(spark, monkeypatch):
+    """What the fit collects is one row per drawn id, with a bounded number of words."""
+    monkeypatch.setattr(toxicity, "SAMPLE_WORDS", 10)
+    seen = []
+    monkeypatch.setattr(toxicity, "train", lambda train, cut, n: seen.append((train, cut)))
+    docs = spark.createDataFrame([(1, f"word{i} " * 500, "en") for i in range(300)] + [(2, "b c", None), (2, "b c", "en"), (3, "d", "de")], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in (1, 2, 3)], "doc_id bigint, quality int, toxic int")
+    for shuffled in (docs.repartition(7), docs.repartition(3)):
+        toxicity.fit(shuffled, labels, folds=10**9, fold=5)
+    rows = [[(w.tolist(), toxic, lang) for part in both for w, toxic, lang in part] for both in seen]
+    assert rows[0] == rows[1] and len(rows[0]) == 3 and max(len(w) for w, _, _ in rows[0]) == 20

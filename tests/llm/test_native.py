@@ -4,6 +4,7 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from sheetstar.llm import mixing, secrets, sharding, url_filter
@@ -68,6 +69,55 @@ def test_mix_with_a_hot_source_equal_sizes_and_edge_cases(spark):
     assert mixing.mix(df.limit(0)).collect() == []
 
 
+def shared_ids(spark):
+    """Three sources of equal words; in one all ids are null, in one all are 7, in one each is its own."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, " ".join(["w"] * (10 + i % 5)), "abc"[i % 3]) for i in range(3_000)]
+    rows += [(7, "same words here", "b")] * 200
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(6)
+
+
+@pytest.mark.parametrize("numbered_in", [16_384, 50])
+def test_targets_are_met_where_rows_share_an_id(spark, monkeypatch, numbered_in):
+    monkeypatch.setattr(mixing, "SHARED_ROWS", numbered_in)
+    rows = mixing.mix(shared_ids(spark)).collect()
+    assert len(rows) == 3_200
+    held(rows, 0)
+    again = mixing.mix(shared_ids(spark).repartition(3)).collect()
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.source, r.size, r.copies)
+    assert sorted(map(key, rows)) == sorted(map(key, again))
+    repeated = mixing.repeat(shared_ids(spark)).collect()
+    words = Counter()
+    for r in repeated:
+        words[r.source] += len(r.text.split())
+    taken = Counter()
+    for r in rows:
+        taken[r.source] += r.taken
+    assert words == taken
+
+
+def test_rates_are_the_exponential_tilt(spark):
+    """Against a dual solved by bisection: rates of a source are min(2, exp(l * size)) and meet its target."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    cells = defaultdict(list)
+    for r in mixing.rates(documents).collect():
+        cells[r.source].append((r["size"], r.n, r.rate))
+    want = shares({k: sum(s * n for s, n, _ in own) for k, own in cells.items()})
+    for source, own in cells.items():
+        size, n, rate = (np.array(c, dtype=float) for c in zip(*own))
+        tilted = lambda l: np.minimum(2, np.exp(np.minimum(l * size, 50)))  # noqa: B023, E731, E741
+        low, high = -50.0, 50.0
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if (n * size * tilted(mid)).sum() < want[source] else (low, mid)
+        assert np.abs(tilted(low) - rate)[size > 0].max() < 1e-6
+
+
+def test_a_mix_that_does_not_converge_fails(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "MAX_ROUNDS", 1)
+    with pytest.raises(RuntimeError, match="not found in 1 rounds"):
+        mixing.mix(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
+
+
 def test_repeat_takes_whole_rows(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     copies = {r.doc_id: r.copies for r in mixing.mix(documents).collect()}
@@ -157,6 +207,25 @@ def test_secret_spans(spark):
     assert secrets.digest(secrets.scan_versions(df.limit(0), ledger)).collect() == []
 
 
+def test_very_many_findings_in_one_text(spark):
+    n = 20_000
+    text = "".join(f'key {i} token = "abcdefgh{i}" short: token=abc AKIA{i:016d}\n' for i in range(n))
+    spans = secrets.scan(spark.createDataFrame([("x", text)], "sha256 string, text string")).first().spans
+    assert len(spans) == 2 * n
+    want = sorted(
+        [(m.start(), m.end(), "assign") for m in re.finditer(r'token ?= ?"?([A-Za-z0-9+/_.=-]+)', text) if len(m[1]) >= 8]
+        + [(m.start(), m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]{12,}", text)]
+    )
+    assert [tuple(s) for s in spans] == want
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 8, 9, 26, 27, 28, 65])
+def test_spans_in_parts_of_any_size(spark, n):
+    text = "é" + " ".join(f"secret: abcdefgh{i}" for i in range(n)) + " token=x"
+    spans = secrets.scan(spark.createDataFrame([("x", text)], "sha256 string, text string")).first().spans
+    assert [(s.start, s.end) for s in spans] == [m.span() for m in re.finditer("secret: abcdefgh[0-9]+", text)]
+
+
 def test_ledger_scans_only_unseen_blobs(spark):
     ledger = secrets.Ledger(spark, Scratch(spark, "t").path("ledger"))
     first = spark.createDataFrame([("a.txt", "token=abcdefgh1"), ("b.txt", "nothing")], "path string, text string")

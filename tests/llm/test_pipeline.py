@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-import corpus_pipeline
+from sheetstar.llm import pipeline as corpus_pipeline
 from sheetstar.llm import language, mixing, token_files
 from sheetstar.llm.common import Scratch
 from tests.llm.test_contamination import brute as contaminated
@@ -35,7 +35,7 @@ def test_all_but_the_last_return_documents(kept):
 def test_language_rejects_only_what_cannot_be_told(spark, kept):
     model = language.fit(kept[0].filter("crc32(cast(cast(doc_id as string) as binary)) % 4 <> 2"))
     scorer = language.Scorer(model)
-    want = [r.doc_id for r in kept[0].collect() if scorer.score(r.text)[0] != "und" and scorer.score(r.text)[1] >= corpus_pipeline.LEAST_SCORE]
+    want = [r.doc_id for r in kept[0].collect() if scorer.score(r.text)[0] != "und"]
     assert sorted(r.doc_id for r in kept[1].collect()) == sorted(want)
 
 
@@ -88,3 +88,21 @@ def test_short_texts_that_languages_share_stay(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     kept = corpus_pipeline.identified(spark, df, SF)
     assert sorted(r.doc_id for r in kept.collect()) == [*range(240), 1_000, 1_001]
+
+
+def test_without_labels_no_corpus_is_lost(spark):
+    rows = [(i, f"some words {i}" if i % 10 else "123 ...", None, "s") for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    kept = corpus_pipeline.identified(spark, df, SF).collect()
+    assert sorted(r.doc_id for r in kept) == [i for i in range(50) if i % 10]
+    assert all(r.lang is None for r in kept)
+
+
+def test_a_missing_language_is_filled_in(spark):
+    """One label, and several: rows without a language get the predicted one, others keep theirs."""
+    text = {"en": "the house and the dog", "de": "das haus und der hund"}
+    rows = [(i, text["de" if i % 2 else "en"], None if i % 5 == 0 else "de" if i % 2 else "en") for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    assert {(r.doc_id, r.lang) for r in corpus_pipeline.identified(spark, df, SF).collect()} == {(i, "de" if i % 2 else "en") for i in range(200)}
+    one = df.filter("lang is null or lang = 'en'")
+    assert {r.lang for r in corpus_pipeline.identified(spark, one, SF).collect()} == {"en"}
