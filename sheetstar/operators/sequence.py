@@ -34,8 +34,8 @@ def number_rows(
     are written to the shared folder in ranges of about ``range_rows``. Results are the plain window's in any case.
     """
     following = following or {}
-    counts = df.groupBy(key).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > hot_rows)
-    hot = counts.agg(F.count("*").alias("keys"), F.sum("_rows").alias("rows")).first()
+    counts = df.groupBy(key).agg(F.count("*").alias("__seq_rows")).filter(F.col("__seq_rows") > hot_rows)
+    hot = counts.agg(F.count("*").alias("keys"), F.sum("__seq_rows").alias("rows")).first()
     if not hot["keys"]:
         return _in_window(df, key, order, number, following)
     counts = counts.select(key)
@@ -59,23 +59,23 @@ def _in_ranges(df: DataFrame, key: str, order: list[str], number: str, following
     path = f"{folder}/ranges-{uuid.uuid4().hex}"
     dealt = df.repartitionByRange(ranges, key, *order).sortWithinPartitions(key, *order)
     # Written, as another run of the same plan may draw other borders.
-    dealt.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
-    placed = spark.read.parquet(path).withColumn("_range", F.shiftright("_at", _PARTITION_BIT))
-    each = placed.groupBy(key, "_range").agg(
-        F.count("*").alias("_rows"), F.min("_at").alias("_first"), *[F.min_by(source, "_at").alias(f"_first_{new}") for new, source in following.items()]
+    dealt.withColumn("__seq_at", F.monotonically_increasing_id()).write.parquet(path)
+    placed = spark.read.parquet(path).withColumn("__seq_range", F.shiftright("__seq_at", _PARTITION_BIT))
+    each = placed.groupBy(key, "__seq_range").agg(
+        F.count("*").alias("__seq_rows"), F.min("__seq_at").alias("__seq_first"), *[F.min_by(source, "__seq_at").alias(f"__seq_first_{new}") for new, source in following.items()]
     )
-    in_order = W.partitionBy(key).orderBy("_range")
-    before = F.coalesce(F.sum("_rows").over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    in_order = W.partitionBy(key).orderBy("__seq_range")
+    before = F.coalesce(F.sum("__seq_rows").over(in_order.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     offsets = each.select(
-        F.col(key).alias("_key"), F.col("_range").alias("_in"), "_first", before.alias("_before"),
-        *[F.lead(f"_first_{new}").over(in_order).alias(f"_after_{new}") for new in following],
+        F.col(key).alias("__seq_key"), F.col("__seq_range").alias("__seq_in"), "__seq_first", before.alias("__seq_before"),
+        *[F.lead(f"__seq_first_{new}").over(in_order).alias(f"__seq_after_{new}") for new in following],
     )
     if following:
-        within = W.partitionBy(key, "_range").orderBy("_at")
-        placed = placed.withColumns({f"_next_{new}": F.lead(source).over(within) for new, source in following.items()})
-    joined = placed.join(offsets, (F.col("_range") == F.col("_in")) & placed[key].eqNullSafe(F.col("_key")))
+        within = W.partitionBy(key, "__seq_range").orderBy("__seq_at")
+        placed = placed.withColumns({f"__seq_next_{new}": F.lead(source).over(within) for new, source in following.items()})
+    joined = placed.join(offsets, (F.col("__seq_range") == F.col("__seq_in")) & placed[key].eqNullSafe(F.col("__seq_key")))
     return joined.select(
         *[placed[c] for c in df.columns],
-        (F.col("_at") - F.col("_first") + 1 + F.col("_before")).cast("bigint").alias(number),
-        *[F.coalesce(f"_next_{new}", f"_after_{new}").alias(new) for new in following],
+        (F.col("__seq_at") - F.col("__seq_first") + 1 + F.col("__seq_before")).cast("bigint").alias(number),
+        *[F.coalesce(f"__seq_next_{new}", f"__seq_after_{new}").alias(new) for new in following],
     )
