@@ -28,6 +28,10 @@ SEEN = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
     T.StructField("modificationTime", T.TimestampType()), T.StructField("file_sha256", T.StringType()),
 ])
+#: Keys of the tables in which the row stored first stays, whatever batches wrote theirs at the same time.
+FIRST_STAYS = {"dim_country": "country_id", "dim_currency": "currency_id", "dim_date": "date_id"}
+#: Hashes of loaded content, in folders by their first two digits, so that a batch reads only those of its own.
+HASHES = T.StructType([T.StructField("file_sha256", T.StringType())])
 
 
 class Warehouse:
@@ -42,11 +46,19 @@ class Warehouse:
     def stored(self, name: str, besides: str | None = None) -> DataFrame:
         """A stored table, completed batches only; without the batch ``besides``."""
         rows = tables.read_table(self.spark, self.root, name, schemas.STORED[name])
+        if name not in FIRST_STAYS:
+            return rows.join(self._visible(besides), "batch_id", "left_semi").drop("batch_id")
+        columns = [f.name for f in schemas.STORED[name].fields]
+        first = F.min_by(F.struct(*columns), F.struct("completed_at", "batch_id")).alias("row")
+        return rows.join(self._visible(besides), "batch_id").groupBy(FIRST_STAYS[name]).agg(first).select("row.*")
+
+    def _visible(self, besides: str | None = None) -> DataFrame:
+        """``batch_id`` (the latest named attempt of each batch), ``completed_at``; without the batch ``besides``."""
         done = tables.read_table(self.spark, self.root, "batches", BATCHES)
         if besides is not None:
             done = done.filter(F.col("batch_id") != besides)
-        latest = done.groupBy("batch_id").agg(F.max_by("attempt", F.struct("completed_at", "attempt")).alias("_latest"))
-        return rows.join(latest.select(F.col("_latest").alias("batch_id")), "batch_id", "left_semi").drop("batch_id")
+        latest = done.groupBy("batch_id").agg(F.max(F.struct("completed_at", "attempt")).alias("latest"))
+        return latest.select(F.col("latest.attempt").alias("batch_id"), "latest.completed_at")
 
     def table(self, name: str, company_ids=None) -> DataFrame:
         """A table of the star schema. ``company_ids`` limits the derived ones early, before
@@ -164,13 +176,14 @@ class Warehouse:
         # Decoding is the costly part and everything below reads it: keep it as a table.
         rows = self._stage(attempt, "rows", rows)
         hashes = self._stage(attempt, "hashes", self._file_hashes(rows))
-        new = fingerprints.new_files(hashes, self._finished(batch_id))
+        self._keep_former_hashes()
+        new = fingerprints.new_files(hashes, self._completed(hashes, batch_id))
         pending = self._stage(attempt, "pending", loading.register_pending(new, batch_id, batch_at))
         result = _result(0)
         if not pending.isEmpty():
             result = self._load_pending(rows, pending, batch_id, attempt, batch_at, on_error, align)
         if listed is not None:
-            loaded = hashes.join(fingerprints.completed_hashes(self._finished()), "file_sha256", "left_semi")
+            loaded = hashes.join(fingerprints.completed_hashes(self._completed(hashes)), "file_sha256", "left_semi")
             known = listed.join(loaded.withColumnRenamed("file_id", "path"), "path")
             tables.write_batch(known, self.root, "seen_files", SEEN, attempt)
         tables.remove(self.spark, f"{self.staging}/batch_id={attempt}")
@@ -212,6 +225,7 @@ class Warehouse:
             loading.mark_completed(loads, extracted, batch_at),
         ]
         self._write("upload_events", reduce(DataFrame.unionByName, events), attempt)
+        self._keep_hashes(pending.join(loads.select("upload_id"), "upload_id").select("file_sha256").distinct().withColumn("batch_id", F.lit(attempt)))
         done = self.spark.createDataFrame([(attempt, datetime.now(timezone.utc))], BATCHES)
         tables.append(done, self.root, "batches", BATCHES, batch_id)
 
@@ -224,6 +238,7 @@ class Warehouse:
         Its folders are complete before one row per former batch points away from the old ones. Nothing may
         be loaded meanwhile; old folders stay until they are expired by age.
         """
+        self._keep_former_hashes()
         attempt = f"{batch_id}.{uuid.uuid4().hex}"
         times = {"load_log": "loaded_at", "snapshot_fact": "snapshot_at"}
         former = [r.batch_id for r in tables.read_table(self.spark, self.root, "batches", BATCHES).select("batch_id").distinct().collect()]
@@ -232,6 +247,8 @@ class Warehouse:
             if name in times:
                 rows = rows.repartitionByRange("company_id", times[name]).sortWithinPartitions("company_id", times[name])
             self._write(name, rows, attempt)
+        hashes = tables.read_table(self.spark, self.root, "loaded_hashes", HASHES).join(self._visible(), "batch_id", "left_semi")
+        self._keep_hashes(hashes.select("file_sha256").distinct().withColumn("batch_id", F.lit(attempt)))
         now = datetime.now(timezone.utc)
         names = [(batch_id, attempt, now), *((b, f"{attempt}.none", now) for b in former if b != batch_id)]
         tables.point(self.spark, self.root, "batches", BATCHES, names)
@@ -252,8 +269,28 @@ class Warehouse:
             "file_id", file_hash.alias("file_sha256")
         )
 
-    def _finished(self, besides: str | None = None) -> DataFrame:
-        return uploads.current_uploads(self.stored("upload_events", besides)).select("status", "file_sha256")
+    def _completed(self, hashes: DataFrame, besides: str | None = None) -> DataFrame:
+        """``file_sha256, status`` of the content loaded so far, as far as it may be in ``hashes``.
+
+        Only folders of digits that ``hashes`` begin with are listed and read: of a batch of few files a small
+        part of the history, however long that is.
+        """
+        digits = [r["digits"] for r in hashes.select(F.substring("file_sha256", 1, 2).alias("digits")).distinct().collect()]
+        found = tables.read_parts(self.spark, self.root, "loaded_hashes", HASHES, "digits", digits)
+        return found.join(self._visible(besides), "batch_id", "left_semi").select("file_sha256", F.lit("completed").alias("status"))
+
+    def _keep_hashes(self, hashes: DataFrame) -> None:
+        """Append ``file_sha256, batch_id`` of loaded content; of attempts that are never named no reader sees them."""
+        by_digits = hashes.withColumn("digits", F.substring("file_sha256", 1, 2)).repartition("digits")
+        by_digits.write.mode("append").partitionBy("digits", "batch_id").parquet(f"{self.root}/loaded_hashes")
+
+    def _keep_former_hashes(self) -> None:
+        """Hashes of a warehouse that was begun before they had a table of their own."""
+        if tables.exists(self.spark, f"{self.root}/loaded_hashes") or not tables.exists(self.spark, f"{self.root}/batches"):
+            return
+        events = tables.read_table(self.spark, self.root, "upload_events", schemas.STORED["upload_events"])
+        ended = events.groupBy("upload_id", "batch_id").agg(F.max("file_sha256").alias("file_sha256"), F.max(F.col("status") == "completed").alias("completed"))
+        self._keep_hashes(ended.filter("completed").select("file_sha256", "batch_id").distinct())
 
     def _dimension_rows(self, loads: DataFrame, batch_at: datetime):
         loads = loads.withColumns(

@@ -34,6 +34,20 @@ def remove(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def read_parts(spark: SparkSession, root: str, table: str, schema: T.StructType, part: str, values: list[str]) -> DataFrame:
+    """The batches in the folders ``part=value`` of a table alone; other folders aren't even listed."""
+    with_batch = T.StructType([*schema.fields, T.StructField(part, T.StringType()), T.StructField("batch_id", T.StringType())])
+    paths = [p for p in (f"{root}/{table}/{part}={value}" for value in sorted(values)) if exists(spark, p)]
+    if not paths:
+        return spark.createDataFrame([], with_batch)
+    return spark.read.schema(with_batch).option("basePath", f"{root}/{table}").parquet(*paths)
+
+
 def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
     """All batches of a table with their ``batch_id``; empty before the first one."""
     with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())])

@@ -326,3 +326,56 @@ def test_empty_sheet_fails_without_entity(spark, landing, warehouse):
     assert (result["new"], result["failed"]) == (1, 1)
     upload = warehouse.list_uploads().first()
     assert upload.file_sha256 == hashlib.sha256(b"").hexdigest()
+
+
+def test_batches_at_once_give_one_row_a_key(spark, landing, warehouse, tmp_path, monkeypatch):
+    """Two attempts that both see a country as new: the row stored first stays, as with an upsert."""
+    write_workbook(landing / "a.xlsm", clean())
+    other = tmp_path / "other"
+    other.mkdir()
+    write_workbook(other / "b.xlsm", clean(metric=[4.0]))
+    write, inner = Warehouse._write, []
+
+    def second_in_between(self, name, df, attempt):
+        if name == "dim_country" and not inner:
+            inner.append(True)
+            # The first attempt has looked for known countries; another batch loads meanwhile.
+            known = df.collect()
+            Warehouse(self.spark, self.root).load_directory(str(other), T0 + timedelta(days=1))
+            df = self.spark.createDataFrame(known, df.schema)
+        write(self, name, df, attempt)
+
+    monkeypatch.setattr(Warehouse, "_write", second_in_between)
+    warehouse.load_directory(str(landing), T0)
+    country = spark.read.parquet(f"{warehouse.root}/dim_country")
+    assert country.count() == 2 and country.select("country_id").distinct().count() == 1
+    rows = warehouse.table("dim_country").collect()
+    assert len(rows) == 1 and rows[0].created_at.day == 2  # the batch that was complete first
+    for name in ("dim_currency", "dim_date", "dim_company"):
+        key = warehouse.table(name).columns[0]
+        assert warehouse.table(name).count() == warehouse.table(name).select(key).distinct().count() > 0
+    assert warehouse.table("snapshot_fact").count() == 2
+
+
+def test_a_poll_reads_the_hashes_of_its_own_digits(spark, landing, warehouse):
+    for i in range(6):
+        write_workbook(landing / f"{i}.xlsm", clean(metric=[float(i)]))
+    warehouse.load_directory(str(landing), T0)
+    loaded = spark.read.parquet(f"{warehouse.root}/loaded_hashes")
+    assert loaded.count() == 6
+    one = loaded.select("file_sha256").limit(1)
+    read = warehouse._completed(one)
+    assert {f.rsplit("/digits=", 1)[1][:2] for f in read.inputFiles() if "/digits=" in f} == {one.first()[0][:2]}
+    assert one.first()[0] in {r.file_sha256 for r in read.collect()}
+    assert warehouse._completed(one, besides=T0.strftime("%Y%m%dT%H%M%S%f")).isEmpty()
+
+
+def test_a_warehouse_without_a_table_of_hashes_gets_one(spark, landing, warehouse):
+    write_workbook(landing / "a.xlsm", clean())
+    (landing / "broken.xlsm").write_bytes(b"no workbook")
+    warehouse.load_directory(str(landing), T0)
+    shutil.rmtree(f"{warehouse.root}/loaded_hashes")
+    shutil.copy(landing / "a.xlsm", landing / "copy.xlsm")
+    again = warehouse.load_directory(str(landing), T0 + timedelta(days=1))
+    assert (again["new"], again["completed"]) == (1, 0)
+    assert spark.read.parquet(f"{warehouse.root}/loaded_hashes").count() == 1
