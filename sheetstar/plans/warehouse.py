@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +22,11 @@ from sheetstar.plans import loading
 from sheetstar.session import shared_folder
 from sheetstar.sources import tables, workbooks
 
-BATCHES = T.StructType([T.StructField("attempt", T.StringType()), T.StructField("completed_at", T.TimestampType())])
+#: A compaction adds a row for each folder that it ``replaces``: an attempt, or ``seen_files/`` and an attempt.
+BATCHES = T.StructType([
+    T.StructField("attempt", T.StringType()), T.StructField("completed_at", T.TimestampType()),
+    T.StructField("replaces", T.StringType()), T.StructField("replaced_at", T.TimestampType()),
+])
 #: Files whose content is loaded, as they were when seen: one that has not changed is not decoded again.
 SEEN = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
@@ -45,20 +49,26 @@ class Warehouse:
 
     def stored(self, name: str, besides: str | None = None) -> DataFrame:
         """A stored table, completed batches only; without the batch ``besides``."""
-        rows = tables.read_table(self.spark, self.root, name, schemas.STORED[name])
         if name not in FIRST_STAYS:
+            rows = tables.read_table(self.spark, self.root, name, schemas.STORED[name])
             return rows.join(self._visible(besides), "batch_id", "left_semi").drop("batch_id")
-        columns = [f.name for f in schemas.STORED[name].fields]
-        first = F.min_by(F.struct(*columns), F.struct("completed_at", "batch_id")).alias("row")
+        return self._first_rows(name, besides).drop("batch_id")
+
+    def _first_rows(self, name: str, besides: str | None = None) -> DataFrame:
+        """Of each key of a dimension the row stored first, with the ``batch_id`` that holds it."""
+        rows = tables.read_table(self.spark, self.root, name, schemas.STORED[name])
+        first = F.min_by(F.struct(*rows.columns), F.struct("completed_at", "batch_id")).alias("row")
         return rows.join(self._visible(besides), "batch_id").groupBy(FIRST_STAYS[name]).agg(first).select("row.*")
 
     def _visible(self, besides: str | None = None) -> DataFrame:
-        """``batch_id`` (the latest named attempt of each batch), ``completed_at``; without the batch ``besides``."""
+        """``batch_id`` (the latest named attempt of each batch, unless replaced), ``completed_at``; without the batch ``besides``."""
         done = tables.read_table(self.spark, self.root, "batches", BATCHES)
+        replaced = done.filter("replaces is not null").select(F.col("replaces").alias("batch_id"))
         if besides is not None:
             done = done.filter(F.col("batch_id") != besides)
         latest = done.groupBy("batch_id").agg(F.max(F.struct("completed_at", "attempt")).alias("latest"))
-        return latest.select(F.col("latest.attempt").alias("batch_id"), "latest.completed_at")
+        named = latest.select(F.col("latest.attempt").alias("batch_id"), "latest.completed_at")
+        return named.join(replaced, "batch_id", "left_anti")
 
     def table(self, name: str, company_ids=None) -> DataFrame:
         """A table of the star schema. ``company_ids`` limits the derived ones early, before
@@ -226,32 +236,99 @@ class Warehouse:
         ]
         self._write("upload_events", reduce(DataFrame.unionByName, events), attempt)
         self._keep_hashes(pending.join(loads.select("upload_id"), "upload_id").select("file_sha256").distinct().withColumn("batch_id", F.lit(attempt)))
-        done = self.spark.createDataFrame([(attempt, datetime.now(timezone.utc))], BATCHES)
+        done = self.spark.createDataFrame([(attempt, datetime.now(timezone.utc), None, None)], BATCHES)
         tables.append(done, self.root, "batches", BATCHES, batch_id)
 
         counts = {r.status: r["count"] for r in self.stored_batch("upload_events", attempt).groupBy("status").count().collect()}
         return _result(counts.get("pending", 0), counts.get("completed", 0), counts.get("failed", 0), batch_id)
 
-    def compact(self, batch_id: str = "compacted") -> None:
-        """Rewrite all visible batches as one, facts and log in the order of company and time.
+    def compact(self, batch_id: str | None = None, max_loads: int | None = None) -> int:
+        """Rewrite visible batches as one, facts and log in the order of company and time; returns how many.
 
-        Its folders are complete before one row per former batch points away from the old ones. Nothing may
-        be loaded meanwhile; old folders stay until they are expired by age.
+        ``max_loads``: only batches of at most so many loads are merged, larger ones stay as they are. Once its
+        folders are complete, one file names the new batch and those that it replaces, so readers see either the former
+        ones or the new one. Other batches may be loaded meanwhile; the merged ones mustn't be repeated, and one
+        compaction runs at a time. ``expire`` removes the old folders. Names of batches pass the driver, rows don't.
         """
         self._keep_former_hashes()
+        visible = self._visible()
+        if max_loads is not None:
+            loads = tables.read_table(self.spark, self.root, "load_log", schemas.STORED["load_log"]).groupBy("batch_id").count()
+            visible = visible.join(loads, "batch_id", "left").filter(F.coalesce("count", F.lit(0)) <= max_loads)
+        merged = {r.batch_id: r.completed_at for r in visible.select("batch_id", F.unix_micros("completed_at").alias("completed_at")).collect()}
+        if len(merged) < (1 if max_loads is None else 2):
+            return 0
+        now = datetime.now(timezone.utc)
+        batch_id = batch_id or f"compacted-{now.strftime('%Y%m%dT%H%M%S%f')}"
+        taken = tables.read_table(self.spark, self.root, "batches", BATCHES).filter(F.col("batch_id") == batch_id)
+        if not taken.isEmpty():
+            raise ValueError(f"there is a batch {batch_id!r} already")
         attempt = f"{batch_id}.{uuid.uuid4().hex}"
+        of_merged = F.col("batch_id").isin(list(merged))
         times = {"load_log": "loaded_at", "snapshot_fact": "snapshot_at"}
-        former = [r.batch_id for r in tables.read_table(self.spark, self.root, "batches", BATCHES).select("batch_id").distinct().collect()]
         for name, schema in schemas.STORED.items():
-            rows = self.stored(name)
+            # Of dimensions only the rows that readers see go over: the new batch counts as complete as early as its first.
+            rows = self._first_rows(name) if name in FIRST_STAYS else tables.read_table(self.spark, self.root, name, schema)
+            rows = rows.filter(of_merged)
             if name in times:
                 rows = rows.repartitionByRange("company_id", times[name]).sortWithinPartitions("company_id", times[name])
             self._write(name, rows, attempt)
-        hashes = tables.read_table(self.spark, self.root, "loaded_hashes", HASHES).join(self._visible(), "batch_id", "left_semi")
+        hashes = tables.read_table(self.spark, self.root, "loaded_hashes", HASHES).filter(of_merged)
         self._keep_hashes(hashes.select("file_sha256").distinct().withColumn("batch_id", F.lit(attempt)))
-        now = datetime.now(timezone.utc)
-        names = [(batch_id, attempt, now), *((b, f"{attempt}.none", now) for b in former if b != batch_id)]
-        tables.point(self.spark, self.root, "batches", BATCHES, names)
+        # What is known of files holds whatever their batch: all of it becomes one folder.
+        known = tables.folders(self.spark, f"{self.root}/seen_files")
+        if known:
+            seen = tables.read_table(self.spark, self.root, "seen_files", SEEN).filter(F.col("batch_id").isin(known))
+            tables.write_batch(seen.drop("batch_id").distinct(), self.root, "seen_files", SEEN, attempt)
+        replaced = [None, *merged, *(f"seen_files/{name}" for name in known)]
+        rows = self.spark.createDataFrame([(attempt, r, now) for r in replaced], "attempt string, replaces string, replaced_at timestamp")
+        rows = rows.withColumn("completed_at", F.timestamp_micros(F.lit(min(merged.values()))))
+        tables.append(rows.coalesce(1), self.root, "batches", BATCHES, batch_id)
+        return len(merged)
+
+    def expire(self, older_than: timedelta = timedelta(days=7)) -> int:
+        """Remove folders that no reader has needed for ``older_than``; returns how many.
+
+        These are folders of attempts that were replaced or repeated so long ago, and of attempts that were never
+        named and whose newest file is so old. No load and no read may take as long as ``older_than``. Rows of
+        ``batches`` go after what they hide, so an expiry that dies half way changes no result and is run again.
+        """
+        cutoff = datetime.now(timezone.utc) - older_than
+        done = tables.read_table(self.spark, self.root, "batches", BATCHES)
+        micros = [F.unix_micros(c).alias(c) for c in ("completed_at", "replaced_at")]
+        # One row a batch, as the listing of folders has.
+        pointers = done.select("batch_id", "attempt", "replaces", *micros).collect()
+        visible = {r.batch_id for r in self._visible().select("batch_id").collect()}
+        last, ended = {}, {}
+        for p in pointers:
+            last[p.batch_id] = max(last.get(p.batch_id, (0, "")), (p.completed_at, p.attempt))
+        for p in pointers:
+            if p.attempt != last[p.batch_id][1]:
+                ended[p.attempt] = last[p.batch_id][0]
+        ended |= {p.replaces: p.replaced_at for p in pointers if p.replaces}
+        named = {p.attempt for p in pointers}
+        limit = int(cutoff.timestamp() * 1_000_000)
+
+        def over(path: str, attempt: str) -> bool:
+            if attempt in visible:
+                return False
+            if attempt in ended or attempt in named:
+                return ended.get(attempt, limit) < limit
+            newest = tables.newest_file(self.spark, path)
+            return newest is not None and newest < limit
+
+        places = [f"{self.root}/{name}" for name in schemas.STORED]
+        hashes = f"{self.root}/loaded_hashes"
+        places += [f"{hashes}/digits={d}" for d in tables.folders(self.spark, hashes, "digits")]
+        gone = [f"{at}/batch_id={a}" for at in (*places, self.staging) for a in tables.folders(self.spark, at) if over(f"{at}/batch_id={a}", a)]
+        seen = f"{self.root}/seen_files"
+        gone += [f"{seen}/batch_id={a}" for a in tables.folders(self.spark, seen) if ended.get(f"seen_files/{a}", limit) < limit]
+        # A batch's row is hidden by the one that replaced it, which thus goes later.
+        hidden = sorted((ended[a], b) for b, (_, a) in last.items() if ended.get(a, limit) < limit)
+        gone += [f"{self.root}/batches/batch_id={b}" for _, b in hidden]
+        for path in gone:
+            tables.remove(self.spark, path)
+        return len(gone)
 
     def stored_batch(self, name: str, attempt: str) -> DataFrame:
         return tables.read_table(self.spark, self.root, name, schemas.STORED[name]).filter(

@@ -22,13 +22,6 @@ def append(df: DataFrame, root: str, table: str, schema: T.StructType, batch_id:
     conform(df, schema).write.mode("append").parquet(f"{root}/{table}/batch_id={batch_id}")
 
 
-def point(spark: SparkSession, root: str, table: str, schema: T.StructType, rows: list[tuple]) -> None:
-    """Append ``(batch_id, *columns)`` rows of many batches in one write, and so in one step for readers."""
-    with_batch = T.StructType([T.StructField("batch_id", T.StringType()), *schema.fields])
-    made = spark.createDataFrame(rows, with_batch).coalesce(1)
-    made.write.mode("append").partitionBy("batch_id").parquet(f"{root}/{table}")
-
-
 def remove(spark: SparkSession, path: str) -> None:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
@@ -39,6 +32,25 @@ def exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def folders(spark: SparkSession, path: str, part: str = "batch_id") -> list[str]:
+    """Values of the partition folders ``part=value`` right below a path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not exists(spark, path):
+        return []
+    names = [s.getPath().getName() for s in place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)]
+    return sorted(n.removeprefix(f"{part}=") for n in names if n.startswith(f"{part}="))
+
+
+def newest_file(spark: SparkSession, path: str) -> int | None:
+    """Time of the newest file at any depth below a path, in microseconds; None without files."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(place, True)
+    newest = None
+    while files.hasNext():
+        newest = max(newest or 0, files.next().getModificationTime() * 1000)
+    return newest
+
+
 def read_parts(spark: SparkSession, root: str, table: str, schema: T.StructType, part: str, values: list[str]) -> DataFrame:
     """The batches in the folders ``part=value`` of a table alone; other folders aren't even listed."""
     with_batch = T.StructType([*schema.fields, T.StructField(part, T.StringType()), T.StructField("batch_id", T.StringType())])

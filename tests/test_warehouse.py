@@ -379,3 +379,92 @@ def test_a_warehouse_without_a_table_of_hashes_gets_one(spark, landing, warehous
     again = warehouse.load_directory(str(landing), T0 + timedelta(days=1))
     assert (again["new"], again["completed"]) == (1, 0)
     assert spark.read.parquet(f"{warehouse.root}/loaded_hashes").count() == 1
+
+
+def _rows_of(warehouse):
+    tables = ("snapshot_fact", "company_versions", "upload_audit", "dim_country", "dim_date", "data_quality_report", "raw_values")
+    return [sorted(map(str, warehouse.table(t).collect())) for t in tables]
+
+
+def _folders(warehouse, table):
+    return sorted(name for name in os.listdir(f"{warehouse.root}/{table}") if name.startswith("batch_id="))
+
+
+def test_small_batches_are_merged_and_old_folders_expire(spark, landing, warehouse):
+    for i in range(3):
+        write_workbook(landing / f"big{i}.xlsm", clean(metric=[50.0 + i]))
+    warehouse.load_directory(str(landing), T0)
+    big = _folders(warehouse, "snapshot_fact")
+    for day in range(3):
+        write_workbook(landing / f"{day}.xlsm", clean(metric=[float(day)]))
+        warehouse.load_directory(str(landing), T0 + timedelta(days=day + 1))
+    before = _rows_of(warehouse)
+    # A reader from before has its files listed.
+    early = warehouse.table("snapshot_fact")
+    early_files = early.inputFiles()
+    assert warehouse.compact(max_loads=2) == 3
+    assert _rows_of(warehouse) == before
+    assert warehouse.compact(max_loads=2) == 0 or _rows_of(warehouse) == before
+    assert warehouse.expire(timedelta(days=1)) == 0  # replaced only now
+    assert early.count() == 6 and all(os.path.exists(f.removeprefix("file://")) for f in early_files)
+
+    # An attempt that died long ago has no name; one that runs has young files.
+    for name, age in (("died", 3), ("runs", 0)):
+        folder = f"{warehouse.root}/snapshot_fact/batch_id={name}.1"
+        shutil.copytree(f"{warehouse.root}/snapshot_fact/{big[0]}", folder)
+        for file in os.listdir(folder):
+            if age:
+                os.utime(f"{folder}/{file}", (T0.timestamp(), T0.timestamp()))
+    assert warehouse.expire(timedelta(days=1)) == 1
+    assert "batch_id=runs.1" in _folders(warehouse, "snapshot_fact")
+    assert "batch_id=died.1" not in _folders(warehouse, "snapshot_fact")
+
+    assert warehouse.expire(timedelta(0)) > 0
+    assert _rows_of(warehouse) == before
+    left = _folders(warehouse, "snapshot_fact")
+    assert len(left) == 2 and big[0] in left
+    assert len(_folders(warehouse, "batches")) == 2 and len(_folders(warehouse, "seen_files")) == 1
+    assert warehouse.expire(timedelta(0)) == 0
+    # Content and files stay known.
+    write_workbook(landing / "more.xlsm", clean(metric=[9.0]))
+    shutil.copy(landing / "0.xlsm", landing / "copy.xlsm")
+    assert warehouse.load_directory(str(landing), T0 + timedelta(days=9))["new"] == 1
+    assert warehouse.load_directory(str(landing), T0 + timedelta(days=10))["new"] == 0
+    assert warehouse.compact() == 3 and warehouse.expire(timedelta(0)) > 0
+    assert len(_folders(warehouse, "batches")) == 1 and warehouse.table("snapshot_fact").count() == 7
+
+
+def test_a_compaction_is_named_by_one_file(spark, landing, warehouse):
+    for day in range(2):
+        write_workbook(landing / f"{day}.xlsm", clean(metric=[float(day)]))
+        warehouse.load_directory(str(landing), T0 + timedelta(days=day))
+    warehouse.compact("merged")
+    files = [f for f in os.listdir(f"{warehouse.root}/batches/batch_id=merged") if f.endswith(".parquet")]
+    assert len(files) == 1
+    with pytest.raises(ValueError, match="merged"):
+        warehouse.compact("merged")
+    assert Warehouse(spark, f"{warehouse.root}-new").compact() == 0
+    assert Warehouse(spark, f"{warehouse.root}-new").expire() == 0
+
+
+def test_a_merged_dimension_keeps_the_row_stored_first(spark, landing, warehouse):
+    """The middle batch isn't merged and holds the first row of a key that the last one also wrote."""
+    row = schemas.STORED["dim_country"]
+    for i, (batch, names) in enumerate([("a", ["Aland"]), ("b", ["Beland"]), ("c", ["Beland", "Celand"])]):
+        made = [(n.lower(), n, batch, None, None, T0 + timedelta(days=i)) for n in names]
+        columns = ["country_id", "country_name", "iso_alpha2", "iso_alpha3", "region", "created_at"]
+        warehouse._write("dim_country", spark.createDataFrame(made, row).select(*columns), f"{batch}.1")
+        loads = [(f"{batch}{j}", "x", "x", "x", "x", T0) for j in range(5 if batch == "b" else 1)]
+        names_of = ["upload_id", "company_id", "entity_name", "version_id", "snapshot_id", "loaded_at"]
+        warehouse._write("load_log", spark.createDataFrame(loads, names_of), f"{batch}.1")
+        done = spark.createDataFrame([(f"{batch}.1", T0 + timedelta(days=i), None, None)], "attempt string, completed_at timestamp, replaces string, replaced_at timestamp")
+        from sheetstar.sources import tables
+        tables.append(done, warehouse.root, "batches", done.schema, batch)
+    for name in schemas.STORED:
+        if name not in ("dim_country", "load_log"):
+            warehouse._write(name, spark.createDataFrame([], schemas.STORED[name]), "a.1")
+    spark.createDataFrame([("h", "00", "a.1")], "file_sha256 string, digits string, batch_id string").write.partitionBy("digits", "batch_id").parquet(f"{warehouse.root}/loaded_hashes")
+    before = sorted(map(str, warehouse.table("dim_country").collect()))
+    assert warehouse.compact(max_loads=2) == 2
+    assert sorted(map(str, warehouse.table("dim_country").collect())) == before
+    assert {r.iso_alpha2 for r in warehouse.table("dim_country").filter("country_name = 'Beland'").collect()} == {"b"}
