@@ -14,7 +14,7 @@ def _rules() -> str:
 
 URL_SQL = f"""
 WITH parts AS (
-  SELECT row_number() OVER () AS rid, page_id,
+  SELECT row_number() OVER () AS rid, page_id, length(html) - length(replace(html, '<a ', '')) AS links, length(html) - length(replace(html, '<p>', '')) AS paragraphs,
     {_LOWER.format(f"regexp_extract({_AFTER}, '^[^/?#]*')")} AS host,
     regexp_extract({_AFTER}, '^[^/?#]*([^?#]*)', 1) AS path
   FROM pages),
@@ -26,7 +26,7 @@ fitting AS (
   SELECT rid, arg_max(rule_host || rule_path, length(rule_host || rule_path)) AS rule, arg_max(kind, length(rule_host || rule_path)) AS kind
   FROM named JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
   GROUP BY rid),
-listed AS (SELECT DISTINCT canonical FROM named WHERE regexp_matches(host, '{url_filter.LISTED_HOSTS}'))
+listed AS (SELECT DISTINCT canonical FROM named WHERE links > 0 AND links >= {url_filter.LINKS_PER_PARAGRAPH} * paragraphs)
 SELECT page_id, host, path, rule,
   coalesce(kind, CASE WHEN l.canonical IS NOT NULL AND n.canonical <> '' THEN 'block' ELSE 'allow' END) AS verdict, n.canonical
 FROM named n LEFT JOIN fitting USING (rid) LEFT JOIN listed l ON l.canonical = n.canonical

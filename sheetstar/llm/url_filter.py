@@ -14,8 +14,8 @@ WORDS = 4
 BITS_PER_KEY = 16
 #: The filter is sent to all tasks only below this size; beyond it, it is joined by block.
 BROADCAST_BYTES = 32 << 20
-#: Hosts whose pages make up the list of the query.
-LISTED_HOSTS = "casino|poker|betting"
+#: Pages with so many links for each paragraph make up the list of the query.
+LINKS_PER_PARAGRAPH = 3
 
 
 def _after_scheme(url: Column) -> Column:
@@ -83,13 +83,8 @@ def build_filter(listed: DataFrame, column: str) -> tuple[DataFrame, int]:
     return made.groupBy("_block").agg(*[F.bit_or(f"_b{i}").alias(f"_w{i}") for i in range(WORDS)]), blocks
 
 
-def listed_keys(keys: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
-    """The rows of ``keys`` (a column of distinct or repeated keys) that the list holds.
-
-    The Bloom filter drops nearly all others before anything of theirs moves; what it lets through
-    meets the list in a join on the whole key, which removes false positives. Null and empty keys
-    are on no list. Extra columns of ``keys`` stay; those of ``listed`` aren't read.
-    """
+def possible_keys(keys: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
+    """The rows of ``keys`` that the Bloom filter passes: all that the list holds, and few others."""
     bloom, blocks = build_filter(listed, listed_column)
     if blocks * 8 * (WORDS + 1) <= BROADCAST_BYTES:
         bloom = F.broadcast(bloom)
@@ -97,7 +92,17 @@ def listed_keys(keys: DataFrame, column: str, listed: DataFrame, listed_column:
     passed = probe.join(bloom, "_block")
     for i, bit in enumerate(_bits(F.col(column))):
         passed = passed.filter(F.col(f"_w{i}").bitwiseAND(bit) != 0)
-    passed = passed.filter(F.col(column) != "").select(*[F.col(c) for c in keys.columns])
+    return passed.filter(F.col(column) != "").select(*[F.col(c) for c in keys.columns])
+
+
+def listed_keys(keys: DataFrame, column: str, listed: DataFrame, listed_column: str) -> DataFrame:
+    """The rows of ``keys`` (a column of distinct or repeated keys) that the list holds.
+
+    The Bloom filter drops nearly all others before anything of theirs moves; what it lets through
+    meets the list in a join on the whole key, which removes false positives. Null and empty keys
+    are on no list. Extra columns of ``keys`` stay; those of ``listed`` aren't read.
+    """
+    passed = possible_keys(keys, column, listed, listed_column)
     exact = listed.select(F.col(listed_column).alias(column)).filter(F.col(column) != "").distinct()
     return passed.join(exact, column, "left_semi")
 
@@ -122,11 +127,20 @@ def judge(pages: DataFrame, listed: DataFrame, listed_column: str = "canonical",
     )
 
 
+def _occurrences(text: Column, part: str) -> Column:
+    return (F.length(text) - F.length(F.replace(text, F.lit(part)))) / len(part)
+
+
 def listed_pages(pages: DataFrame) -> DataFrame:
-    """The list of the query: canonical URLs of the pages on hosts with a word of ``LISTED_HOSTS``."""
-    url = F.col("url")
+    """The list of the query: canonical URLs of link farms, pages whose html has ``LINKS_PER_PARAGRAPH`` links or more a paragraph.
+
+    No URL tells which these are. Every other page of the same canonical URL (another scheme, query,
+    ``www.`` or ``m.``) is listed with them. Pages without html or links list nothing.
+    """
+    url, html = F.col("url"), F.col("html")
+    links, paragraphs = _occurrences(html, "<a "), _occurrences(html, "<p>")
     return (
-        pages.select(host_of(url).alias("host"), path_of(url).alias("path"))
-        .filter(F.col("host").rlike(LISTED_HOSTS))
+        pages.filter((links > 0) & (links >= LINKS_PER_PARAGRAPH * paragraphs))
+        .select(host_of(url).alias("host"), path_of(url).alias("path"))
         .select(canonical(F.col("host"), F.col("path")).alias("canonical"))
     )

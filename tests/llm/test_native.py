@@ -281,3 +281,26 @@ def test_bloom_filter_passes_all_listed_and_few_others(spark):
     assert url_filter.listed_keys(asked, "k", listed, "k").count() == 5_000
     bloom, blocks = url_filter.build_filter(listed, "k")
     assert bloom.count() <= blocks
+
+
+def test_list_of_the_query_comes_from_html_alone(spark):
+    farm, text = "<a href=1>x</a><a href=2>y</a><a href=3>z</a><p>one", "<a href=1>x</a><p>one<p>two"
+    rows = [
+        (1, "http://a.net/x.html", farm), (2, "https://www.a.org/x", text), (3, "http://m.b.org/y?q", farm), (4, "https://b.org/y/", text), (5, "http://c.org/", text),
+        (6, "http://d.org/", None), (7, None, farm), (8, "http://e.org/fr/z", farm), (9, "http://f.org/", "<p>"), (10, "http://g.org/", ""), (3, "http://m.b.org/y?q", farm),
+    ]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    listed = url_filter.listed_pages(pages)
+    assert sorted(r.canonical for r in listed.collect()) == ["", "a.net/x", "b.org/y", "b.org/y", "e.org/fr/z"]
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages, listed).collect()}
+    assert got[4] == (None, "block") and got[3] == (None, "block")  # same URL, seen as a farm elsewhere
+    assert got[1] == ("net/", "block") and got[8] == ("org/fr/", "allow")  # rules come first
+    assert all(got[i] == (None, "allow") for i in (2, 5, 6, 7, 9, 10))
+
+
+def test_join_removes_what_the_filter_lets_through(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "BITS_PER_KEY", 1)  # so full a filter passes many that aren't listed
+    listed = spark.range(2_000).selectExpr("concat('k', id) AS k")
+    asked = spark.range(2_000, 6_000).selectExpr("concat('k', id) AS k")
+    assert url_filter.listed_keys(asked, "k", listed, "k").isEmpty()
+    assert url_filter.possible_keys(asked, "k", listed, "k").count() > 100
