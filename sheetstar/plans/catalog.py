@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,8 @@ from sheetstar.operators import (
     audits, companies, dims, fingerprints, metrics, rules, sheets, snapshots, uploads, versions,
 )
 from sheetstar.plans import loading, views
+from sheetstar.plans.warehouse import Warehouse
+from sheetstar.session import shared_folder
 from sheetstar.sources import workbooks
 
 AS_OF = date(1997, 6, 30)
@@ -421,6 +424,41 @@ def completion_events(spark, sf_dir):
     return loading.mark_completed(_loads(spark, sf_dir), extracted, BATCH_AT).select("upload_id", "status", "event_at", "rows_extracted")
 
 
+def _scanned(rows: DataFrame) -> DataFrame:
+    """Sheets as a scan of their workbooks gives them: with paths, and a row of its own for each file."""
+    path = F.concat(F.lit("/landing/sheet_"), "file_id", F.lit(".xlsm")).alias("file_id")
+    cells = rows.select(path, F.col("row_idx").cast("int").alias("row_idx"), "cells", F.lit(None).cast("string").alias("error"))
+    heads = cells.select("file_id").distinct().selectExpr("file_id", "0 AS row_idx", "NULL AS cells", "NULL AS error")
+    return cells.unionByName(heads)
+
+
+def _revised(rows: DataFrame) -> DataFrame:
+    """The sheets of odd number with one more row."""
+    added = rows.filter("file_id % 2 = 1").select("file_id").distinct()
+    cell = "named_struct('col_idx', {}, 'kind', 'str', 'text', '{}', 'num', CAST(NULL AS DOUBLE))"
+    return rows.select("file_id", "row_idx", "cells").unionByName(
+        added.selectExpr("file_id", "1000 AS row_idx", f"array({cell.format(1, 'Revision')}, {cell.format(2, 'second')}) AS cells")
+    )
+
+
+@query
+def loaded_warehouse(spark, sf_dir):
+    """All sheets loaded into a warehouse as one batch; then all again, half of them revised, as a second; read back as
+    uploads with their star. The second batch finds what is unchanged by its content, and tries again what failed.
+    The warehouse is left in the shared folder."""
+    root = shared_folder(spark, spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    warehouse = Warehouse(spark, f"{root}/loaded-warehouse-{uuid.uuid4().hex}")
+    rows = _rows(spark, sf_dir)
+    warehouse.load_rows(_scanned(rows), BATCH_AT, "b1")
+    warehouse.load_rows(_scanned(_revised(rows)), BATCH_AT + timedelta(days=1), "b2")
+    star = warehouse.star().select(
+        "upload_id", "snapshot_id", "company_id", "entity_name", "version_number", "valid_from", "valid_to", "is_current", "iso_alpha2", "currency_name",
+        "error_count", "warning_count", "is_current_snapshot", F.get_json_object(metrics.document_json(), "$.years").alias("years"),
+    )
+    uploaded = warehouse.table("upload_audit").drop("file_path", "created_at")
+    return uploaded.join(star, "upload_id", "left")
+
+
 # -- audits ----------------------------------------------------------------------------------
 
 

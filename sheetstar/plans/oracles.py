@@ -410,6 +410,31 @@ FROM wide w JOIN summary s ON s.file_id = w.file_id WHERE {_LOAD_ERROR} IS NULL"
     "completion_events": _with(_WIDE)
     + f"""SELECT CAST(w.file_id AS VARCHAR) AS upload_id, 'completed' AS status, TIMESTAMP '2026-01-01' AS event_at, CAST(n AS INTEGER) AS rows_extracted
 FROM wide w JOIN (SELECT file_id, count(*) AS n FROM last_rows GROUP BY file_id) l ON l.file_id = w.file_id WHERE {_LOAD_ERROR} IS NULL""",
+    "loaded_warehouse": _with(_SUMMARY, _COUNTRIES, _CURRENCIES)
+    + f""", contents AS (
+  SELECT file_id, string_agg(text, '' ORDER BY row_idx, col_idx) AS content FROM cells GROUP BY file_id),
+judged AS (
+  SELECT w.*, content, n, {_LOAD_ERROR} AS error_message
+  FROM wide w JOIN contents USING (file_id) JOIN (SELECT file_id, count(*) AS n FROM last_rows GROUP BY file_id) USING (file_id)),
+arrived AS (
+  SELECT *, 'b1' AS batch, TIMESTAMP '2026-01-01' AS loaded, sha256(content) AS file_sha256 FROM judged
+  UNION ALL SELECT * REPLACE (n + file_id % 2 AS n), 'b2', TIMESTAMP '2026-01-02', sha256(content || CASE WHEN file_id % 2 = 1 THEN 'Revisionsecond' ELSE '' END) FROM judged),
+uploads AS (
+  SELECT *, 'sheet_' || file_id || '.xlsm' AS filename, {_key('upload', "('/landing/sheet_' || file_id || '.xlsm')", 'batch')} AS upload_id
+  FROM arrived WHERE batch = 'b1' OR file_sha256 NOT IN (SELECT file_sha256 FROM arrived WHERE batch = 'b1' AND error_message IS NULL)),
+loads AS (
+  SELECT *, CAST(row_number() OVER w AS INTEGER) AS version_number, lead(loaded) OVER w AS valid_to, lead(loaded) OVER w IS NULL AS is_current
+  FROM uploads WHERE error_message IS NULL WINDOW w AS (PARTITION BY rated_entity ORDER BY loaded, upload_id))
+SELECT u.upload_id, u.filename, u.file_sha256, CASE WHEN u.error_message IS NULL THEN 'completed' ELSE 'failed' END AS status,
+       u.loaded AS uploaded_at, u.loaded AS processed_at, CASE WHEN u.error_message IS NULL THEN CAST(u.n AS INTEGER) END AS rows_extracted, u.error_message,
+       CASE WHEN l.upload_id IS NOT NULL THEN {_key('snapshot', 'l.upload_id')} END AS snapshot_id,
+       {_key('company', 'l.rated_entity')} AS company_id, l.rated_entity AS entity_name, l.version_number, CASE WHEN l.upload_id IS NOT NULL THEN l.loaded END AS valid_from,
+       l.valid_to, l.is_current, k.iso_alpha2, m.currency_name, CASE WHEN l.upload_id IS NOT NULL THEN q.error_count END AS error_count,
+       CASE WHEN l.upload_id IS NOT NULL THEN q.warning_count END AS warning_count, l.is_current AS is_current_snapshot,
+       CASE WHEN l.upload_id IS NOT NULL THEN y.years END AS years
+FROM uploads u LEFT JOIN loads l ON l.upload_id = u.upload_id LEFT JOIN summary q ON q.file_id = u.file_id
+LEFT JOIN known_countries k ON k.country_name = l.country LEFT JOIN known_currencies m ON m.currency_code = upper(l.currency)
+LEFT JOIN (SELECT file_id, CAST(to_json(list(year ORDER BY pos)) AS VARCHAR) AS years FROM years GROUP BY file_id) y ON y.file_id = u.file_id""",
     "integrity_unique": 'SELECT l_orderkey, l_linenumber, count(*) AS "rows" FROM lineitem GROUP BY ALL HAVING count(*) > 1',
     "integrity_fk": "SELECT event_id, user_id FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier)",
     "integrity_domain": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus NOT IN ('F', 'O')",
