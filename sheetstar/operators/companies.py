@@ -38,13 +38,23 @@ def top_one(df: DataFrame, key: str, *order) -> DataFrame:
     return df.withColumn("_rank", F.row_number().over(w)).filter("_rank = 1").drop("_rank")
 
 
-def list_companies(companies: DataFrame, limit: int = fixed.PAGE_LIMIT_DEFAULT, offset: int = 0) -> DataFrame:
-    """A page of companies by name, then id. Each task keeps its first ``offset + limit`` rows."""
+def list_companies(
+    companies: DataFrame, limit: int = fixed.PAGE_LIMIT_DEFAULT, offset: int = 0, after: tuple | None = None
+) -> DataFrame:
+    """A page of companies by name, then id. Each task keeps its first ``offset + limit`` rows.
+
+    ``after``: name and id of the last row of the page before. The page then starts behind it, by a range of
+    names that reaches the scan, so a page however deep costs what the first one does.
+    """
     if not 1 <= limit <= fixed.PAGE_LIMIT_MAX:
         raise ValueError(f"limit must be between 1 and {fixed.PAGE_LIMIT_MAX}, not {limit}")
     if offset < 0:
         raise ValueError(f"offset must not be negative, not {offset}")
     page = companies.select("company_id", "entity_name", "current_snapshot_id", "created_at")
+    if after is not None:
+        name, company_id = after
+        behind = (F.col("entity_name") > name) | (F.col("company_id") > company_id)
+        page = page.filter((F.col("entity_name") >= name) & behind)
     return page.orderBy("entity_name", "company_id").offset(offset).limit(limit)
 
 

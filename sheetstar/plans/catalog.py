@@ -53,6 +53,12 @@ def companies_page(spark, sf_dir):
     return companies.list_companies(views.companies(spark, sf_dir), limit=50, offset=20)
 
 
+@query
+def companies_after(spark, sf_dir):
+    """The page behind a company, told by its name and id."""
+    return companies.list_companies(views.companies(spark, sf_dir), limit=50, after=("Customer#000000070", 70))
+
+
 @query
 def company_detail(spark, sf_dir):
     current_only = versions.current_versions(views.load_log(spark, sf_dir))
@@ -550,3 +556,20 @@ def next_versions(spark, sf_dir):
 @query
 def scd2_versions(spark, sf_dir):
     return versions.company_versions(views.load_log(spark, sf_dir))
+
+
+@query
+def merged_states(spark, sf_dir):
+    """Companies and their open versions off states that were made month by month."""
+    log = views.load_log(spark, sf_dir).withColumn("month", F.trunc("loaded_at", "month")).withColumn("entity_name", F.lit(None).cast("string"))
+    merged = versions.merged_states(versions.company_states(log, "month"))
+    found = versions.companies_of(merged).drop("entity_name")
+    return found.join(versions.current_versions_of(merged).drop("created_at", "valid_to"), "company_id")
+
+
+@query
+def batch_versions(spark, sf_dir):
+    """Versions opened and closed by the loads after a day, on the states of the loads before."""
+    log = views.load_log(spark, sf_dir).withColumn("entity_name", F.lit(None).cast("string"))
+    earlier = F.col("loaded_at") < instant(log, "loaded_at", datetime.combine(AS_OF, datetime.min.time()))
+    return versions.batch_versions(log.filter(~earlier), versions.merged_states(versions.company_states(log.filter(earlier))))

@@ -285,6 +285,9 @@ def _with(*ctes: str) -> str:
 ORACLES: dict[str, str] = {
     "companies_page": _with(_COMPANIES)
     + "SELECT company_id, entity_name, current_snapshot_id, created_at FROM companies ORDER BY entity_name LIMIT 50 OFFSET 20",
+    "companies_after": _with(_COMPANIES)
+    + """SELECT company_id, entity_name, current_snapshot_id, created_at FROM companies
+WHERE (entity_name, company_id) > ('Customer#000000070', 70) ORDER BY entity_name, company_id LIMIT 50""",
     "company_detail": _with(_COMPANIES, _VERSIONS)
     + """SELECT c.company_id, c.entity_name, c.created_at, v.version_id, v.version_number, v.valid_from
 FROM companies c LEFT JOIN versions v ON v.company_id = c.company_id AND v.is_current""",
@@ -472,4 +475,10 @@ LEFT JOIN known k ON k.entity_name = n.entity_name""",
          AS version_number
 FROM events JOIN customer ON c_custkey = user_id LEFT JOIN known k ON k.entity_name = c_name""",
     "scd2_versions": _with(_VERSIONS) + "SELECT * FROM versions",
+    "merged_states": _with(_COMPANIES, _VERSIONS)
+    + """SELECT c.company_id, c.current_snapshot_id, c.created_at, v.version_id, v.upload_id, v.version_number, v.valid_from, v.is_current
+FROM companies c JOIN versions v ON v.company_id = c.company_id AND v.is_current""",
+    "batch_versions": _with(_VERSIONS)
+    + """SELECT * REPLACE (is_current AND valid_from >= DATE '1997-06-30' AS is_current) FROM versions
+WHERE valid_from >= DATE '1997-06-30' OR valid_to >= DATE '1997-06-30'""",
 }

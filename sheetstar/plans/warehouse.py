@@ -75,21 +75,42 @@ class Warehouse:
         their versions are numbered."""
         if name == "upload_audit":
             return uploads.current_uploads(self.stored("upload_events"))
-        if name in ("dim_company", "company_versions"):
-            log = companies.wanted(self.stored("load_log"), company_ids)
-            return versions.companies(log) if name == "dim_company" else versions.company_versions(log)
+        if name == "dim_company":
+            return versions.companies_of(self.company_states(company_ids))
+        if name == "company_versions":
+            return versions.company_versions(companies.wanted(self.stored("load_log"), company_ids))
         if name == "snapshot_fact":
             return companies.wanted(self.stored(name), company_ids)
         return self.stored(name)
 
+    def company_states(self, company_ids=None) -> DataFrame:
+        """One row per company off the batches' states: loads so far, first time, last load. The log of loads
+        is read only of batches that were stored before there were states."""
+        return versions.merged_states(companies.wanted(self._states(self._visible()), company_ids))
+
+    def _states(self, batches: DataFrame) -> DataFrame:
+        """States of ``batches``, with ``batch_id``; their rows must have been listed before this is called."""
+        kept = tables.folders(self.spark, f"{self.root}/company_states")
+        states = tables.read_batches(self.spark, self.root, "company_states", schemas.COMPANY_STATES, kept)
+        without = sorted(set(tables.folders(self.spark, f"{self.root}/load_log")) - set(kept))
+        if without:
+            log = tables.read_batches(self.spark, self.root, "load_log", schemas.LOAD_LOG, without)
+            states = states.unionByName(versions.company_states(log, "batch_id"))
+        return states.join(batches.select("batch_id"), "batch_id", "left_semi")
+
     # -- queries ---------------------------------------------------------------------------
 
-    def list_companies(self, limit: int = fixed.PAGE_LIMIT_DEFAULT, offset: int = 0) -> DataFrame:
-        return companies.list_companies(self.table("dim_company"), limit, offset)
+    def list_companies(self, limit: int = fixed.PAGE_LIMIT_DEFAULT, offset: int = 0, after: tuple | None = None) -> DataFrame:
+        """``after``: name and id of the last row of the page before."""
+        states = self._states(self._visible())
+        if after is not None:
+            # A company's name never changes, as its id derives from it: names before the page aren't merged.
+            states = states.filter(F.col("entity_name") >= after[0])
+        return companies.list_companies(versions.companies_of(versions.merged_states(states)), limit, offset, after)
 
     def company(self, company_id) -> DataFrame:
-        log = companies.wanted(self.stored("load_log"), company_id)
-        return companies.company_details(versions.companies(log), versions.current_versions(log), company_id)
+        states = self.company_states(company_id)
+        return companies.company_details(versions.companies_of(states), versions.current_versions_of(states), company_id)
 
     def company_versions(self, company_id) -> DataFrame:
         return companies.list_versions(*self._tables(company_id, "dim_company", "company_versions"))
@@ -145,7 +166,7 @@ class Warehouse:
         if not isinstance(request, DataFrame):
             request = companies.requested(self.table("dim_company"), request)
         log = self.stored("load_log")
-        return request, [versions.companies(log), log, companies.wanted(self.table("snapshot_fact"), request)]
+        return request, [self.table("dim_company", request), log, companies.wanted(self.table("snapshot_fact"), request)]
 
     # -- loading ---------------------------------------------------------------------------
 
@@ -223,7 +244,9 @@ class Warehouse:
             self._write(name, dims.new_members(incoming, self.stored(name, besides=batch_id), key), attempt)
         # In the order of reads by company and time, so that file statistics prune them.
         by_company = lambda df, time: df.sortWithinPartitions("company_id", time)
-        self._write("load_log", by_company(loading.load_log(loads, batch_at), "loaded_at"), attempt)
+        log = loading.load_log(loads, batch_at)
+        self._write("load_log", by_company(log, "loaded_at"), attempt)
+        self._write("company_states", by_company(versions.company_states(log), "last_at"), attempt)
         self._write("snapshot_fact", by_company(loading.facts(loads, batch_at), "snapshot_at"), attempt)
         lineage = sheets.raw_values(new_rows).join(loads.select("file_id", "upload_id"), "file_id")
         self._write("raw_values", lineage, attempt)
@@ -265,11 +288,13 @@ class Warehouse:
             raise ValueError(f"there is a batch {batch_id!r} already")
         attempt = f"{batch_id}.{uuid.uuid4().hex}"
         of_merged = F.col("batch_id").isin(list(merged))
-        times = {"load_log": "loaded_at", "snapshot_fact": "snapshot_at"}
+        times = {"load_log": "loaded_at", "snapshot_fact": "snapshot_at", "company_states": "last_at"}
         for name, schema in schemas.STORED.items():
             # Of dimensions only the rows that readers see go over: the new batch counts as complete as early as its first.
             rows = self._first_rows(name) if name in FIRST_STAYS else tables.read_table(self.spark, self.root, name, schema)
             rows = rows.filter(of_merged)
+            if name == "company_states":
+                rows = versions.merged_states(self._states(visible))
             if name in times:
                 rows = rows.repartitionByRange("company_id", times[name]).sortWithinPartitions("company_id", times[name])
             self._write(name, rows, attempt)

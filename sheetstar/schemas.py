@@ -179,6 +179,17 @@ LOAD_LOG = _table(
     ("snapshot_id", _S),
     ("loaded_at", _TS),
 )
+# Of each batch: one row per company that it loads. They merge over batches.
+COMPANY_STATES = _table(
+    ("company_id", _S),
+    ("entity_name", _S),
+    ("loads", T.LongType()),
+    ("first_at", _TS),
+    ("last_at", _TS),
+    ("version_id", _S),
+    ("upload_id", _S),
+    ("snapshot_id", _S),
+)
 RAW_VALUES = _table(
     ("upload_id", _S),
     ("label", _S),
@@ -189,6 +200,7 @@ FACT_STORED = T.StructType([f for f in SNAPSHOT_FACT.fields if f.name != "raw_da
 STORED = {
     "upload_events": UPLOAD_EVENTS,
     "load_log": LOAD_LOG,
+    "company_states": COMPANY_STATES,
     "raw_values": RAW_VALUES,
     "snapshot_fact": FACT_STORED,
     "data_quality_report": DATA_QUALITY_REPORT,

@@ -60,6 +60,15 @@ def read_parts(spark: SparkSession, root: str, table: str, schema: T.StructType,
     return spark.read.schema(with_batch).option("basePath", f"{root}/{table}").parquet(*paths)
 
 
+def read_batches(spark: SparkSession, root: str, table: str, schema: T.StructType, attempts: list[str]) -> DataFrame:
+    """The named folders of a table alone, as they were listed: one that is added meanwhile isn't read."""
+    with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())])
+    if not attempts:
+        return spark.createDataFrame([], with_batch)
+    paths = [f"{root}/{table}/batch_id={a}" for a in attempts]
+    return spark.read.schema(with_batch).option("basePath", f"{root}/{table}").parquet(*paths)
+
+
 def read_table(spark: SparkSession, root: str, table: str, schema: T.StructType) -> DataFrame:
     """All batches of a table with their ``batch_id``; empty before the first one."""
     with_batch = T.StructType([*schema.fields, T.StructField("batch_id", T.StringType())])

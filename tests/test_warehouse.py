@@ -468,3 +468,38 @@ def test_a_merged_dimension_keeps_the_row_stored_first(spark, landing, warehouse
     assert warehouse.compact(max_loads=2) == 2
     assert sorted(map(str, warehouse.table("dim_country").collect())) == before
     assert {r.iso_alpha2 for r in warehouse.table("dim_country").filter("country_name = 'Beland'").collect()} == {"b"}
+
+
+def test_companies_come_off_the_states_of_batches(spark, landing, warehouse):
+    """Also with a batch repeated, one from before there were states, and after a merger."""
+    from sheetstar.operators import versions
+
+    for day in range(4):
+        for name in ("Alpha", "Beta")[: 1 + day % 2]:
+            write_workbook(landing / f"{name}{day}.xlsm", clean(Rated_entity=[name], metric=[float(day)]))
+        warehouse.load_directory(str(landing), T0 + timedelta(days=day), batch_id=f"b{day}")
+    rows = scan_sheet(workbook_files(spark, str(landing))).filter("file_id like '%Beta3%'")
+    warehouse.load_rows(rows, T0 + timedelta(days=9), batch_id="b3")
+
+    def same():
+        log = warehouse.stored("load_log")
+        found = sorted(map(str, warehouse.table("dim_company").collect()))
+        assert found == sorted(map(str, versions.companies(log).select(warehouse.table("dim_company").columns).collect()))
+        current = versions.current_versions_of(warehouse.company_states())
+        assert sorted(map(str, current.collect())) == sorted(map(str, versions.current_versions(log).select(current.columns).collect()))
+        return found
+
+    before = same()
+    assert len(before) == 2
+    files = warehouse.table("dim_company").inputFiles()
+    assert files and not any("/load_log/" in f for f in files)
+    # A warehouse from before: the log stands in for what has no states.
+    named = [f for f in _folders(warehouse, "company_states") if f.startswith("batch_id=b1.")]
+    shutil.rmtree(f"{warehouse.root}/company_states/{named[0]}")
+    assert same() == before
+    assert any("/load_log/" in f for f in warehouse.table("dim_company").inputFiles())
+    assert warehouse.compact() == 4 and same() == before
+    assert warehouse.expire(timedelta(0)) > 0 and same() == before
+    assert not any("/load_log/" in f for f in warehouse.table("dim_company").inputFiles())
+    first = warehouse.list_companies(1).first()
+    assert [r.entity_name for r in warehouse.list_companies(5, after=(first.entity_name, first.company_id)).collect()] == ["Beta"]

@@ -278,3 +278,48 @@ def test_events(spark):
     first, again, other = (loading.register_pending(files, batch, DAY).first() for batch in ("1", "1", "2"))
     assert (first.filename, first.status, first.file_path) == ("a b.xlsm", "pending", "file:/in/a b.xlsm")
     assert first.upload_id == again.upload_id != other.upload_id
+
+
+def test_states_merge_to_what_the_log_gives(spark):
+    rng = random.Random(3)
+    loads = log(spark, *[(str(i), f"c{rng.randrange(12)}", rng.randrange(6)) for i in range(200)])
+    batches = loads.withColumn("batch", F.col("upload_id").cast("int") % 7)
+    states = versions.company_states(batches, "batch")
+    once = versions.merged_states(states.filter("batch < 4"))
+    merged = versions.merged_states(once.unionByName(states.filter("batch >= 4").select(once.columns)))
+    same = lambda a, b: sorted(map(str, a.collect())) == sorted(map(str, b.select(a.columns).collect()))
+    assert same(versions.companies_of(merged), versions.companies(loads))
+    assert same(versions.current_versions_of(merged), versions.current_versions(loads))
+    nothing = versions.merged_states(versions.company_states(loads.filter("false")))
+    assert nothing.isEmpty() and versions.current_versions_of(nothing).isEmpty()
+
+
+def test_versions_batch_by_batch_are_those_of_the_log(spark):
+    """Ten batches, times that loads share within a batch, companies that come and go."""
+    rng = random.Random(4)
+    rows = [(f"{i:03d}", f"c{rng.randrange(9)}", i // 12) for i in range(120)]
+    loads = log(spark, *rows).cache()
+    kept = {}
+    for batch in range(10):
+        at = F.lit(DAY + timedelta(days=batch)).cast("timestamp_ntz")
+        merged = versions.merged_states(versions.company_states(loads.filter(F.col("loaded_at") < at)))
+        for r in versions.batch_versions(loads.filter(F.col("loaded_at") == at), merged).collect():
+            kept[r.version_id] = r
+    loads.unpersist()
+    assert kept == {r.version_id: r for r in versions.company_versions(loads).collect()}
+
+
+def test_pages_behind_a_row_are_the_offset_ones(spark, tmp_path):
+    frame = spark.range(60).select(
+        F.format_string("%02d", "id").alias("company_id"), F.concat(F.lit("n"), (F.col("id") % 9).cast("string")).alias("entity_name"),
+        F.lit(None).cast("string").alias("current_snapshot_id"), F.lit(DAY).alias("created_at"),
+    )
+    path = str(tmp_path / "companies")
+    frame.write.parquet(path)
+    stored, after = spark.read.parquet(path), None
+    for offset in range(0, 70, 10):
+        page = companies.list_companies(stored, 10, after=after)
+        assert page.collect() == companies.list_companies(stored, 10, offset).collect()
+        after = tuple(page.collect()[-1][c] for c in ("entity_name", "company_id")) if offset < 60 else after
+    plan = page._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(entity_name,n8)" in plan
