@@ -63,3 +63,9 @@ def test_overlaps_follow_from_differences(monkeypatch, columns):
         made.append([({"id": i, "n": len(m), "copies": 1, "minus": sorted(leader - m), "plus": sorted(m - leader)}, m) for i, m in enumerate(members)])
     found = set_answers._derived(len(leaders[0] & leaders[1]), *map(sorted, leaders), *[[d for d, _ in side] for side in made])
     assert np.array_equal(found, [[len(x & y) for _, y in made[1]] for _, x in made[0]])
+
+
+def test_given_documents_whole(spark):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in documents.select("doc_id", "text").collect()]
+    assert sorted(map(tuple, set_answers.link_counts(documents).collect())) == brute(rows)
