@@ -187,3 +187,35 @@ def test_rows_that_share_a_drawn_id_send_one(spark, monkeypatch):
         toxicity.fit(shuffled, labels, folds=10**9, fold=5)
     rows = [[(w.tolist(), toxic, lang) for part in both for w, toxic, lang in part] for both in seen]
     assert rows[0] == rows[1] and len(rows[0]) == 3 and max(len(w) for w, _, _ in rows[0]) == 20
+
+
+def test_all_labelled_documents_are_learned_from(spark, monkeypatch):
+    """Toxic words that hardly any drawn document has are found all the same, far inside texts too."""
+    for name in ("TRAIN_TOXIC", "TRAIN_CLEAN", "CALIBRATE", "SAMPLE_WORDS"):
+        monkeypatch.setattr(toxicity, name, 20)
+    r = np.random.default_rng(1)
+    rows = []
+    for i in range(3_000):
+        words = [f"w{k}" for k in r.integers(0, 200, 60)]
+        if i % 3 == 0:
+            words[30] = f"bad{i // 3 % 40}"
+        rows.append((i, " ".join(words), "en", int(i % 3 == 0)))
+    documents = spark.createDataFrame([w[:3] for w in rows], "doc_id bigint, text string, lang string")
+    labels = spark.createDataFrame([(w[0], w[3]) for w in rows], "doc_id bigint, toxic int")
+    got = {w.doc_id: w for w in toxicity.score(documents, toxicity.fit(documents, labels)).collect()}
+    out = [w for w in rows if got[w[0]].held_out]
+    assert sum(got[w[0]].predicted == w[3] for w in out) >= 0.95 * len(out)
+
+
+def test_winning_windows_of_long_texts_are_found_in_steps(monkeypatch):
+    """A text of many steps passes the gradients that it passes when worked on at once."""
+    r = np.random.default_rng(2)
+    p = {"e": r.normal(size=(12, toxicity.DIMENSIONS)), "o": r.normal(size=toxicity.FILTERS * 3), "b": np.zeros(1)}
+    p["e"][[0, -1]] = 0
+    for width in toxicity.WIDTHS:
+        p[f"w{width}"], p[f"c{width}"] = r.normal(size=(width, toxicity.DIMENSIONS, toxicity.FILTERS)), r.normal(size=toxicity.FILTERS)
+    ids, at, y = r.integers(0, 11, 130), np.array([0, 100, 100, 130]), np.array([1, 0, 1])
+    whole = toxicity._gradients(p, ids, at, y, np.ones(3), np.random.default_rng(3))
+    monkeypatch.setattr(toxicity, "STEP_WORDS", 7)
+    steps = toxicity._gradients(p, ids, at, y, np.ones(3), np.random.default_rng(3))
+    assert all(np.allclose(whole[k], steps[k]) for k in p)
