@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -96,25 +96,34 @@ def list_snapshots_of(snapshots: DataFrame, ids=None) -> DataFrame:
     return wanted(snapshots, ids).orderBy("company_id", "snapshot_at", "version_id")
 
 
-def company_history(versions: DataFrame, snapshots: DataFrame, ids=None) -> DataFrame:
+def company_history(
+    versions: DataFrame, snapshots: DataFrame, ids=None, documents: DataFrame | None = None,
+    written: Callable[[Column], dict[str, Column]] | None = None,
+) -> DataFrame:
     """Snapshots of companies in time with their version number, 0 where the version is unknown, and
-    their metrics, a missing document as an empty one. Names are the facts' own."""
+    their metrics, a missing document as an empty one. Names are the facts' own.
+
+    ``documents`` (``snapshot_id, credit_metrics``, one row per snapshot) are met after the numbers, so that only
+    narrow rows move for these; without them ``snapshots`` hold them. ``written`` gives plain columns that stand for the
+    document, made before rows are moved into order.
+    """
     numbers = wanted(versions, ids).select("company_id", "version_id", "version_number")
-    return (
-        with_empty_document(wanted(snapshots, ids))
-        .join(numbers, ["company_id", "version_id"], "left")
-        .select(
-            "company_id",
-            "entity_name",
-            "snapshot_id",
-            "version_id",
-            F.coalesce("version_number", F.lit(0)).alias("version_number"),
-            "upload_id",
-            "snapshot_at",
-            "credit_metrics",
-        )
-        .orderBy("company_id", "snapshot_at", "version_id")
+    found = wanted(snapshots, ids).join(numbers, ["company_id", "version_id"], "left")
+    if documents is not None:
+        found = found.join(documents.select("snapshot_id", "credit_metrics"), "snapshot_id", "left")
+    history = with_empty_document(found).select(
+        "company_id",
+        "entity_name",
+        "snapshot_id",
+        "version_id",
+        F.coalesce("version_number", F.lit(0)).alias("version_number"),
+        "upload_id",
+        "snapshot_at",
+        "credit_metrics",
     )
+    if written is not None:
+        history = history.withColumns(written(F.col("credit_metrics"))).drop("credit_metrics")
+    return history.orderBy("company_id", "snapshot_at", "version_id")
 
 
 def with_empty_document(df: DataFrame, column: str = "credit_metrics") -> DataFrame:

@@ -92,10 +92,10 @@ def company_snapshots(spark, sf_dir):
 
 @query
 def company_history(spark, sf_dir):
-    history = companies.company_history(
-        versions.company_versions(views.load_log(spark, sf_dir)), views.snapshots_with_metrics(spark, sf_dir)
+    return companies.company_history(
+        versions.company_versions(views.load_log(spark, sf_dir)), views.snapshots(spark, sf_dir),
+        documents=views.metric_documents(spark, sf_dir), written=_document_text,
     )
-    return history.withColumns(_document_text(F.col("credit_metrics"))).drop("credit_metrics")
 
 
 def _wide(spark, sf_dir):

@@ -93,20 +93,25 @@ def snapshot_points(spark: SparkSession, sf_dir: str, only: DataFrame | None = N
     )
 
 
-def snapshots_with_metrics(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
-    """Snapshots with their metrics document; with ``only``, no others' documents are made."""
+def metric_documents(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    """``snapshot_id, credit_metrics`` of snapshots with points. These are moved to their snapshot once, narrow, and
+    series and documents are made where they then lie."""
     value = F.struct(F.lit("num").alias("kind"), F.lit(None).cast("string").alias("text"), F.col("num").alias("num"))
-    series = snapshot_points(spark, sf_dir, only).groupBy("snapshot_id", "metric").agg(
+    series = snapshot_points(spark, sf_dir, only).repartition("snapshot_id").groupBy("snapshot_id", "metric").agg(
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("year", value.alias("value"))))).alias("values")
     )
-    documents = series.groupBy("snapshot_id").agg(
+    return series.groupBy("snapshot_id").agg(
         F.struct(
             F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.map_keys("values"))))).alias("years"),
             F.map_from_entries(F.collect_list(F.struct("metric", "values"))).alias("metrics"),
             F.create_map(*[F.lit(x) for pair in fixed.SENTINEL_MEANINGS.items() for x in pair]).alias("sentinels"),
         ).alias("credit_metrics")
     )
-    return snapshots(spark, sf_dir, only).join(documents, "snapshot_id", "left")
+
+
+def snapshots_with_metrics(spark: SparkSession, sf_dir: str, only: DataFrame | None = None) -> DataFrame:
+    """Snapshots with their metrics document; with ``only``, no others' documents are made."""
+    return snapshots(spark, sf_dir, only).join(metric_documents(spark, sf_dir, only), "snapshot_id", "left")
 
 
 def upload_events(spark: SparkSession, sf_dir: str) -> DataFrame:

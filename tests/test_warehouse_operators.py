@@ -323,3 +323,24 @@ def test_pages_behind_a_row_are_the_offset_ones(spark, tmp_path):
         after = tuple(page.collect()[-1][c] for c in ("entity_name", "company_id")) if offset < 60 else after
     plan = page._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(entity_name,n8)" in plan
+
+
+def test_points_move_to_their_snapshot_once_and_documents_only_into_order(spark, tmp_path):
+    """Series and documents are made where the points of a snapshot lie; their text is what is sorted."""
+    from sheetstar.plans import catalog, views
+
+    tables = {
+        "orders": ("o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string, o_orderstatus string", [(1, 7, datetime(2024, 1, 1), "p", "F"), (2, 7, datetime(2024, 1, 2), "p", "F"), (2, 7, datetime(2024, 1, 3), "p", "F")]),
+        "customer": ("c_custkey long, c_name string, c_mktsegment string, c_nationkey long, c_acctbal double", [(7, "seven", "m", 1, 1.0)]),
+        "lineitem": ("l_orderkey long, l_linenumber int, l_shipdate timestamp, l_extendedprice double", [(2, 1, datetime(2024, 5, 1), 1.5), (2, 1, datetime(2024, 6, 1), 2.5), (2, 2, datetime(2025, 6, 1), 3.0), (None, 1, datetime(2024, 6, 1), 9.0)]),
+    }
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    plan = views.metric_documents(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    history = catalog.company_history(spark, str(tmp_path))
+    sort = history._jdf.queryExecution().executedPlan().toString().split("Exchange rangepartitioning")
+    assert len(sort) == 2 and "credit_metrics" not in sort[0]
+    got = [(r.snapshot_id, r.version_number, r.years, r["values"]) for r in history.collect()]
+    assert got[0] == (1, 1, "", "") and len(got) == 5
+    assert {g[2:] for g in got[1:]} == {("2024|2025", "line 1:2024:250|line 2:2025:300")}
