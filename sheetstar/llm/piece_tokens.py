@@ -301,6 +301,14 @@ def encode(documents: DataFrame, model: str) -> DataFrame:
     return texts.mapInArrow(run, f"doc_id {texts.schema['doc_id'].dataType.simpleString()}, ids array<int>")
 
 
+def _lists(column: pa.ListArray):
+    """The lists of a column as Python's, null ones as empty; numbers are turned into Python's a whole list at once."""
+    ends, values = column.offsets.to_pylist(), column.values.to_numpy(zero_copy_only=False)
+    there = column.is_valid().to_pylist()
+    for i, j, ok in zip(ends, ends[1:], there):
+        yield values[i:j].tolist() if ok else []
+
+
 def decode(encoded: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns and the ``text`` of the ids of every row of ``encoded (ids)``; null ids give an empty text."""
     small_batches(encoded.sparkSession)
@@ -309,7 +317,7 @@ def decode(encoded: DataFrame, model: str, keep: tuple[str, ...] = ("doc_id",))
         decoder = decoder_of(model)
         for batch in batches:
             release_memory()
-            texts = [decoder.decode(ids.as_py() or []) for ids in batch.column("ids")]
+            texts = [decoder.decode(ids) for ids in _lists(batch.column("ids"))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], [*keep, "text"])
 
     rows = encoded.select(*keep, "ids")

@@ -110,3 +110,13 @@ def test_odd_rows(spark, library):
     back = piece_tokens.decode(coded, piece_tokens.public_model())
     assert {r.doc_id: r.text for r in back.collect()} == {None if i == 3 else i: t or "" for i, t in enumerate(texts)}
     assert piece_tokens.digests(df.limit(0), piece_tokens.public_model()).collect() == []
+
+
+def test_lists_of_ids_are_read_from_their_offsets():
+    """Slices, null and empty lists too."""
+    import pyarrow as pa
+
+    column = pa.array([[9, 9], [1, 2, 3], None, [], [4]], pa.list_(pa.int32()))
+    assert list(piece_tokens._lists(column.slice(1))) == [[1, 2, 3], [], [], [4]]
+    assert all(type(i) is int for ids in piece_tokens._lists(column) for i in ids)
+    assert list(piece_tokens._lists(column.slice(0, 0))) == []
