@@ -32,6 +32,8 @@ SEEN = T.StructType([
     T.StructField("path", T.StringType()), T.StructField("length", T.LongType()),
     T.StructField("modificationTime", T.TimestampType()), T.StructField("file_sha256", T.StringType()),
 ])
+#: Records that a task checks and lays out, and tasks that write the folders of hashes.
+RECORDS_PER_TASK, HASH_TASKS = 1_000, 16
 #: Keys of the tables in which the row stored first stays, whatever batches wrote theirs at the same time.
 FIRST_STAYS = {"dim_country": "country_id", "dim_currency": "currency_id", "dim_date": "date_id"}
 #: Hashes of loaded content, in folders by their first two digits, so that a batch reads only those of its own.
@@ -224,7 +226,9 @@ class Warehouse:
         registered = pending.select("upload_id", F.col("file_path").alias("file_id"))
         readable = registered.join(rows.filter("row_idx = 0 and error is null").select("file_id"), "file_id")
         new_rows = rows.join(registered.select("file_id"), "file_id", "left_semi")
-        records = sheets.records(new_rows, files=readable).join(registered, "file_id")
+        # Records are small but costly to check and to lay out as facts: they are spread by their number, not their size.
+        tasks = -(-pending.count() // RECORDS_PER_TASK)
+        records = sheets.records(new_rows, files=readable).join(registered, "file_id").repartition(tasks, "file_id")
         records = self._stage(attempt, "records", rules.check(metrics.with_series(records, align)))
 
         failure = loading.load_failure()
@@ -383,7 +387,7 @@ class Warehouse:
 
     def _keep_hashes(self, hashes: DataFrame) -> None:
         """Append ``file_sha256, batch_id`` of loaded content; of attempts that are never named no reader sees them."""
-        by_digits = hashes.withColumn("digits", F.substring("file_sha256", 1, 2)).repartition("digits")
+        by_digits = hashes.withColumn("digits", F.substring("file_sha256", 1, 2)).repartition(HASH_TASKS, "digits")
         by_digits.write.mode("append").partitionBy("digits", "batch_id").parquet(f"{self.root}/loaded_hashes")
 
     def _keep_former_hashes(self) -> None:
