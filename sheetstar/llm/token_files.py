@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import json
 import re
+import string
 import sys
 import zlib
 from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -23,6 +26,10 @@ END_ID = 2
 BLOCK_IDS = 65_536
 #: Pieces of text whose ids a task remembers; later new pieces are encoded without being remembered.
 REMEMBERED = 200_000
+#: Longer pieces aren't remembered.
+REMEMBERED_BYTES = 64
+#: Bytes of texts that are cut and looked up at once, up to one text more.
+TEXT_BYTES = 4_000_000
 if array("I").itemsize != 4 or sys.byteorder != "little":
     raise ImportError("32-bit little-endian integers are needed")
 
@@ -105,18 +112,71 @@ def public_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
-_BREAK = r"\s!-/:-@\[-`{-~"
-#: Cuts where the splitting rule of byte-level models always ends a piece too, so that pieces are encoded alone
-#: as in their text: after a letter before white space or ASCII punctuation; after punctuation other than an
-#: apostrophe, or one line feed, before a word or a space and a word. All else stays in one piece up to such a place.
-_PIECES = re.compile(
-    rf" ?[{_LETTERS}]+(?![^{_BREAK}])"
-    rf"|(?:[!-&(-/:-@\[-`{{-~]+\n?|\n)(?= ?[{_LETTERS}])"
-    rf"|.+?(?:(?<=[{_LETTERS}])(?=[{_BREAK}])|\Z)",
-    re.S,
-)
-_WORD = re.compile(rf" ?[{_LETTERS}]+")
+#: Kinds of bytes: others, letters (also both bytes of À to ÿ without × and ÷), digits, ASCII punctuation, apostrophes,
+#: spaces, and other ASCII white space. Cuts are only made beside characters of known kinds.
+_OTHER, _LETTER, _DIGIT, _MARK, _APOSTROPHE, _SPACE, _BLANK = range(7)
+_KINDS = np.full(256, _OTHER, dtype=np.uint8)
+for _kind, _chars in ((_LETTER, string.ascii_letters), (_DIGIT, string.digits), (_MARK, string.punctuation), (_APOSTROPHE, "'"), (_SPACE, " "), (_BLANK, "\t\n\v\f\r")):
+    _KINDS[list(_chars.encode())] = _kind
+#: The first byte of À to ÿ, and second bytes that give × and ÷.
+_ACCENTED, _SIGNS = 0xC3, (0x97, 0xB7)
+
+
+def _pairs() -> np.ndarray:
+    """What stands between two kinds (8 * left + right): 1 a cut, 2 one if a known non-blank follows the right, 3 one if the
+    left is a piece of its own, 0 none.
+
+    The splitting rule of byte-level models always ends a piece before white space, and where letters, digits and punctuation
+    meet, except for an apostrophe before letters ('ll). Of white space before something else, the last one is parted
+    from those before; a space then begins the next piece, any other is a piece.
+    """
+    out = np.zeros(64, dtype=np.uint8)
+    solid = (_LETTER, _DIGIT, _MARK, _APOSTROPHE)
+    for left in solid:
+        out[[8 * left + _SPACE, 8 * left + _BLANK]] = 1
+        for right in solid:
+            same = left == right or {left, right} == {_MARK, _APOSTROPHE}
+            out[8 * left + right] = not same and (left, right) != (_APOSTROPHE, _LETTER)
+        out[8 * _BLANK + left] = 3
+    for left in (_SPACE, _BLANK):
+        out[[8 * left + _SPACE, 8 * left + _BLANK]] = 2
+    return out
+
+
+_PAIRS = _pairs()
+
+
+def _kinds(text: np.ndarray) -> np.ndarray:
+    kinds = _KINDS[text]
+    lead = np.flatnonzero(text[:-1] == _ACCENTED)
+    lead = lead[~np.isin(text[lead + 1], _SIGNS)]
+    kinds[lead] = kinds[lead + 1] = _LETTER
+    return kinds
+
+
+def cuts(text: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where pieces begin in the UTF-8 bytes of texts that begin at ``starts`` (texts without bytes have none): places that no
+    token spans, so that pieces are encoded alone as in their text."""
+    kinds = _kinds(text)
+    first = np.zeros(len(text) + 1, dtype=bool)
+    first[starts] = first[-1] = True
+    between = _PAIRS[kinds[:-1] << 3 | kinds[1:]]
+    begins = first[:-1].copy()
+    begins[1:] |= between == 1
+    # The last blank of several; what follows it is of the same text.
+    last = np.flatnonzero(between == 2) + 1
+    last = last[~first[last + 1] & ~first[last]]
+    following = kinds[last + 1]
+    begins[last[(following >= _LETTER) & (following <= _APOSTROPHE)]] = True
+    # Behind a blank that is cut off from what stands before it.
+    behind = np.flatnonzero(between == 3) + 1
+    begins[behind[begins[behind - 1]]] = True
+    return np.flatnonzero(begins)
+
+
+_ACCENTS = "À-ÖØ-öø-ÿ"
+#: Pieces that the splitting rule leaves whole, which the model takes as they are.
+_SINGLE = re.compile(rf" ?(?:[A-Za-z{_ACCENTS}]+|[0-9]+|[!-/:-@\[-`{{-~]+)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -129,9 +189,9 @@ def _byte_letters() -> dict[int, str]:
 class TextEncoder:
     """Ids of texts by a ``tokenizers`` file, as little-endian unsigned 32-bit numbers.
 
-    For byte-level models without normalisation, a text is cut at places no token spans, and each
-    distinct piece is encoded once: most of a text is words met before. Other models, and texts that
-    hold an added token, are encoded whole.
+    For byte-level models without normalisation, texts are cut at places no token spans, and each
+    distinct piece of many texts is encoded once: most of a text is words met before. Other models, and
+    texts that hold an added token, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -149,36 +209,63 @@ class TextEncoder:
         )
         self.added = [t["content"] for t in made.get("added_tokens", [])]
         self.letters = _byte_letters()
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, piece: str) -> bytes:
-        if not _WORD.fullmatch(piece):
-            return self._whole(piece)
+    def _piece(self, piece: bytes) -> bytes:
+        text = piece.decode()
+        if not _SINGLE.fullmatch(text):
+            return self._whole(text)
         # A single word needs no splitting: the model takes it as it is.
-        shown = piece.replace(" ", self.letters[32]) if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        shown = text.replace(" ", self.letters[32]) if len(text) == len(piece) else piece.decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(shown)]).tobytes()
 
-    def encode(self, text: str) -> bytes:
-        if not self.by_piece or any(a in text for a in self.added):
-            return self._whole(text)
-        pieces = _PIECES.findall(text)
+    def _pieces(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct pieces."""
         known = self.known
         coded = list(map(known.get, pieces))
         if None in coded:
-            new: dict[str, bytes] = {}
+            room = REMEMBERED - len(known)
             for i, ids in enumerate(coded):
                 if ids is None:
                     piece = pieces[i]
-                    ids = new.get(piece)
-                    if ids is None:
-                        ids = new[piece] = self._piece(piece)
-                    coded[i] = ids
-            if len(known) < REMEMBERED:
-                known.update(new)
-        return b"".join(coded)
+                    coded[i] = ids = self._piece(piece)
+                    if room > 0 and len(piece) <= REMEMBERED_BYTES:
+                        known[piece] = ids
+                        room -= 1
+        return coded
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all(pa.array([text]))[0].tobytes()
+
+    def encode_all(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty), one after another, and how many each has."""
+        if not self.by_piece:
+            coded = [self._whole(t or "") for t in texts.to_pylist()]
+            return np.frombuffer(b"".join(coded), dtype="<u4"), np.array([len(c) // 4 for c in coded], dtype=np.int64)
+        texts = texts.cast(pa.large_binary()).fill_null(b"")
+        if not pc.sum(pc.binary_length(texts)).as_py():
+            return np.zeros(0, dtype="<u4"), np.zeros(len(texts), dtype=np.int64)
+        _, offsets, data = texts.buffers()
+        offsets = np.frombuffer(offsets, dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        data = data[int(offsets[0]) : int(offsets[-1])]
+        offsets = offsets - offsets[0]
+        begins = cuts(np.frombuffer(data, dtype=np.uint8), offsets[:-1][offsets[:-1] < offsets[1:]])
+        whole = np.zeros(len(texts), dtype=bool)
+        for content in self.added:
+            whole |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        if whole.any():
+            text = np.searchsorted(offsets, begins, side="right") - 1
+            begins = begins[~whole[text] | (begins == offsets[text])]
+        bounds = np.append(begins, len(data))
+        pieces = pa.Array.from_buffers(pa.large_binary(), len(begins), [None, pa.py_buffer(bounds), data]).dictionary_encode()
+        distinct = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        coded = pa.array(self._pieces(distinct), pa.large_binary()).take(pieces.indices)
+        ends = np.frombuffer(coded.buffers()[1], dtype=np.int64)[: len(coded) + 1]
+        ids = np.frombuffer(coded.buffers()[2], dtype="<u4", count=int(ends[-1]) // 4)
+        return ids, np.diff(ends[np.searchsorted(bounds, offsets)]) // 4
 
 
 @lru_cache(maxsize=1)
@@ -191,6 +278,16 @@ _BLOCK = "part int, block bigint, start bigint, doc_ids array<bigint>, lengths a
 _SCHEMA = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("start", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("words", pa.binary()), ("escapes", pa.binary())])
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in turn, by about ``TEXT_BYTES`` of text."""
+    if batch.num_rows:
+        sizes = pc.fill_null(pc.binary_length(batch.column("text").cast(pa.large_binary())), 0).to_numpy(zero_copy_only=False)
+        before = np.cumsum(sizes) - sizes
+        firsts = [0, *(np.flatnonzero(np.diff(before // TEXT_BYTES)) + 1).tolist(), batch.num_rows]
+        for first, last in zip(firsts, firsts[1:]):
+            yield batch.slice(first, last - first)
+
+
 def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS) -> None:
     """Write the ids of every text, each with ``end_id`` after it, to ``folder`` in ascending doc_id order.
 
@@ -202,27 +299,28 @@ def write(documents: DataFrame, folder: str, tokenizer: str, end_id: int = END_I
 
     def run(batches):
         encoder, part = encoder_of(tokenizer), TaskContext.get().partitionId()
-        end = np.array([end_id], dtype="<u4").tobytes()
         docs, lengths, ids, held, start, block = [], [], [], 0, 0, 0
 
         def closed():
-            words, escapes = pack(np.frombuffer(b"".join(ids), dtype="<u4"))
+            words, escapes = pack(np.concatenate(ids))
             return pa.RecordBatch.from_pylist(
                 [{"part": part, "block": block, "start": start, "doc_ids": docs, "lengths": lengths, "words": words, "escapes": escapes}], schema=_SCHEMA
             )
 
         for batch in batches:
             release_memory()
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                coded = encoder.encode(text.as_py() or "") + end
-                docs.append(doc)
-                lengths.append(len(coded) // 4)
-                ids.append(coded)
-                held += lengths[-1]
-                if held >= block_ids:
-                    yield closed()
-                    start, block = start + held, block + 1
-                    docs, lengths, ids, held = [], [], [], 0
+            for some in _parts(batch):
+                coded, counts = encoder.encode_all(some.column("text"))
+                coded, counts = np.insert(coded, np.cumsum(counts), end_id), counts + 1
+                for doc, one in zip(some.column("doc_id").to_pylist(), np.split(coded, np.cumsum(counts)[:-1])):
+                    docs.append(doc)
+                    lengths.append(len(one))
+                    ids.append(one)
+                    held += len(one)
+                    if held >= block_ids:
+                        yield closed()
+                        start, block = start + held, block + 1
+                        docs, lengths, ids, held = [], [], [], 0
         if docs:
             yield closed()
 

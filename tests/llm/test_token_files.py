@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -54,6 +55,53 @@ def test_pieces_on_random_texts(text):
     assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == direct([text])[0][:-1]
 
 
+@pytest.fixture(scope="module")
+def encoder():
+    return token_files.TextEncoder(token_files.public_tokenizer())
+
+
+def parted(ids, counts):
+    return [one.tolist() for one in np.split(ids, np.cumsum(counts)[:-1])]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from("ab'sl12 \n\t\v\x1c\x85\xa0.,×é½Ā_日"), max_size=20), st.just("a <|endoftext|> b")), min_size=1, max_size=8))
+def test_texts_encoded_together_are_as_alone(encoder, texts):
+    got = parted(*encoder.encode_all(pa.array(["x", None, *texts, "y"]).slice(2, len(texts))))
+    assert got == [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_a_new_piece_is_encoded_once_for_many_texts(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 0)
+    encoder, encoded = token_files.TextEncoder(token_files.public_tokenizer()), []
+    piece = encoder._piece
+    monkeypatch.setattr(encoder, "_piece", lambda p: encoded.append(p) or piece(p))
+    texts = [f"wordless thing {i % 10}" for i in range(500)]
+    assert parted(*encoder.encode_all(pa.array(texts))) == [ids[:-1] for ids in direct(texts[:10])] * 50
+    assert len(encoded) == 12
+
+
+def test_numbers_and_punctuation_are_pieces_of_their_own():
+    encoder = token_files.TextEncoder(token_files.public_tokenizer())
+    encoder.encode("call 42.144.35 or,  then\n| wait 'll x'll\n\nend")
+    assert set(encoder.known) == {b"call", b" 42", b".", b"144", b"35", b" or", b",", b" ", b" then", b"\n", b"|", b" wait", b" 'll", b" x", b"'ll", b"end"}
+
+
+def test_long_pieces_are_not_remembered(encoder):
+    encoder.encode("日本語" * 100)
+    assert max(map(len, encoder.known), default=0) <= token_files.REMEMBERED_BYTES
+
+
+def test_parts_of_a_batch_hold_all_rows_in_order(monkeypatch):
+    monkeypatch.setattr(token_files, "TEXT_BYTES", 10)
+    texts = ["abc", None, "x" * 25, "", "abcdef", "é" * 4, None]
+    batch = pa.RecordBatch.from_pydict({"doc_id": range(7), "text": texts})
+    parts = [p.column("text").to_pylist() for p in token_files._parts(batch)]
+    assert sum(parts, []) == texts and len(parts) > 1
+    assert all(sum(len((t or "").encode()) for t in p[:-1]) <= 10 for p in parts)
+    assert list(token_files._parts(batch.slice(0, 0))) == []
+
+
 def expected(rows):
     out, start = [], 0
     for (doc, _), ids in zip(rows, direct([t for _, t in rows])):
